@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 # The characters Unicode text processing treats as white space,
 # the four ASCII separators 1C to 1F included.
 WHITESPACE = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0 "
-    "           "
-    "    　"
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
 )
 WS = f"[{WHITESPACE}]"
 
@@ -100,8 +100,13 @@ def char_windows(text: Column, size: int, overlap: int) -> Column:
     _check_window(size, overlap)
     step = size - overlap
     per_window = -(-size // step)
-    pieces = F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % step), F.lit(0))
-    bound = F.array(F.struct(pieces.alias("s"), F.char_length(text).alias("n")))
+    piece = F.lit("(?s).{1,%d}" % step)
+    bound = F.transform(
+        F.array(text),
+        lambda t: F.struct(
+            F.regexp_extract_all(t, piece, F.lit(0)).alias("s"), F.char_length(t).alias("n")
+        ),
+    )
 
     def cut(x: Column) -> Column:
         last = F.greatest(F.ceil((x["n"] - size) / F.lit(step)).cast("int"), F.lit(0))

@@ -12,11 +12,10 @@ def work_folder(spark: SparkSession, name: str) -> str:
     Only where the session names none (a bare local test session) is a local
     one made, and then set for the whole session.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        base = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", base)
-        spark.sparkContext.setCheckpointDir(base)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
+        base = spark.sparkContext.getCheckpointDir()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
