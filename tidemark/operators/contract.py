@@ -89,35 +89,42 @@ def apply_contract(messages: DataFrame, rules: tuple[Rule, ...] = ORDER_RULES) -
 
     Works on any frame with a ``value`` column (binary or text), streaming too.
     """
-    value = F.col("value")
-    if dict(messages.dtypes)["value"] == "binary":
-        # Cast keeps the bytes; validity is checked before anything reads them.
-        as_text = value.cast("string")
-        utf8 = F.when(F.is_valid_utf8(as_text), as_text)
-        raw = F.coalesce(utf8, F.hex(value))
-    else:
-        utf8 = raw = value
-    parsed = messages.withColumns({"_v": F.try_parse_json(utf8), "raw": raw})
-
-    shape = F.coalesce(F.schema_of_variant(F.col("_v")), F.lit(""))
+    # The cast keeps the bytes; their validity is checked before they are read.
+    as_text = F.col("value").cast("string")
+    utf8 = F.when(F.is_valid_utf8(as_text), as_text)
+    raw = F.coalesce(utf8, F.hex(as_text.cast("binary")))
     kept = [c for c in messages.columns if c != "value"]
-    typed = parsed.select(
-        *kept,
-        "raw",
-        F.col("_v").cast("string").alias("record"),
-        F.when(F.col("_v").isNull(), "malformed_json")
-        .when(~shape.startswith("OBJECT"), "not_an_object")
-        .alias("_shape"),
-        *[r.value(r.field).alias(r.field) for r in rules],
+    parsed = _once(messages, kept, [F.try_parse_json(utf8).alias("_v"), raw.alias("raw")])
+
+    v = F.col("_v")
+    shape = F.when(v.isNull(), "malformed_json").when(
+        ~F.schema_of_variant(v).startswith("OBJECT"), "not_an_object"
+    )
+    typed = _once(
+        parsed,
+        [*kept, "raw"],
+        [v.cast("string").alias("record"), shape.alias("_shape")]
+        + [r.value(r.field).alias(r.field) for r in rules],
     )
     failed = [
         F.when(~F.coalesce(r.accept(F.col(r.field)), F.lit(False)), F.lit(r.code)) for r in rules
     ]
     reasons = F.array_join(F.array_compact(F.array(*failed)), "; ")
-    reason = F.coalesce(F.col("_shape"), F.when(reasons != "", reasons))
-    return typed.withColumn("reason", reason).withColumn(
-        "is_valid", F.col("reason").isNull()
-    ).drop("_shape")
+    return (
+        typed.withColumn("reason", F.coalesce("_shape", F.when(reasons != "", reasons)))
+        .withColumn("is_valid", F.col("reason").isNull())
+        .drop("_shape")
+    )
+
+
+def _once(df: DataFrame, kept: list[str], computed: list[Column]) -> DataFrame:
+    """Project ``computed`` so that each is evaluated once per row.
+
+    Later filters would otherwise be moved below a plain projection with these
+    expressions copied into every place that names them, and each message
+    would be parsed again for each field and rule.
+    """
+    return df.select(*kept, F.inline(F.array(F.struct(*computed))))
 
 
 def split_valid(checked: DataFrame) -> tuple[DataFrame, DataFrame]:

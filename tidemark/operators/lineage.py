@@ -76,7 +76,7 @@ def run_event(
         _datasets(outs),
     )
     now = F.date_format(
-        F.convert_timezone(F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz")),
+        F.convert_timezone(None, F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz")),
         "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
     )
     event = spark.createDataFrame([row], LINEAGE)

@@ -9,6 +9,7 @@ from tidemark.operators.chunking import chunk_chars
 from tidemark.operators.dense import bucket_idf, dense_search, vectorise
 from tidemark.operators.fusion import rerank, rrf
 from tidemark.operators.lexical import bm25_search, build_index, keyword_search
+from tidemark.session import materialise
 
 DIM = 256
 
@@ -44,7 +45,8 @@ def question_answer(queries: DataFrame, docs: DataFrame, k: int = 5) -> Answered
     query_vectors, vectors = encode(queries, chunks)
     dense = dense_search(query_vectors, vectors, k, metric="dot")
     lexical = keyword_search(queries, chunks, k)
-    results = rerank(queries, rrf([dense, lexical], k), k)
+    # At most k rows per query, read by three more steps: written once.
+    results = materialise(rerank(queries, rrf([dense, lexical], k), k), "results")
     return Answered(
         results, A.contexts(results), A.answers(queries, results), A.citations(results)
     )

@@ -18,7 +18,7 @@ def read_orders(spark: SparkSession, path: str) -> DataFrame:
 
 def read_messages(spark: SparkSession, path: str) -> DataFrame:
     """Messages kept as text, one per line; the batch form of the stream."""
-    return spark.read.text(path).select(F.encode("value", "UTF-8").alias("value"))
+    return spark.read.text(path)
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
