@@ -175,7 +175,7 @@ def message_encode(spark, sf_dir):
         read("customer_id").alias("customer_id"),
         read("product").alias("product"),
         read("quantity").cast("bigint").alias("quantity"),
-        F.round(read("price").cast("double"), DIGITS).alias("price"),
+        read("price").cast("double").alias("price"),
         read("status").alias("status"),
         read("timestamp").alias("timestamp"),
     )
@@ -183,7 +183,7 @@ def message_encode(spark, sf_dir):
 
 def contract_valid(spark, sf_dir):
     valid, _ = contract.split_valid(contract.apply_contract(messages(spark, sf_dir)))
-    return _rounded(valid, "price")
+    return valid
 
 
 def contract_quarantine(spark, sf_dir):
@@ -217,15 +217,13 @@ def contract_lax_types(spark, sf_dir):
 
 
 def silver_orders(spark, sf_dir):
-    return _rounded(
-        order_plans.silver_from_messages(messages(spark, sf_dir)), "price", "total_amount"
-    )
+    return order_plans.silver_from_messages(messages(spark, sf_dir))
 
 
 def silver_upsert(spark, sf_dir):
     target = order_plans.silver_from_messages(messages(spark, sf_dir))
     source = sales.add_total(revisions(spark, sf_dir))
-    return _rounded(sales.upsert(target, source, ["order_id"]), "price", "total_amount")
+    return sales.upsert(target, source, ["order_id"])
 
 
 def gold_product_sales(spark, sf_dir):
@@ -301,7 +299,7 @@ def stream_upsert(spark, sf_dir):
     drain()
     _message_files(spark, contract.encode_messages(revisions(spark, sf_dir)), f"{base}/in")
     drain()
-    return _rounded(tables.read_table(spark, silver, SILVER), "price", "total_amount")
+    return tables.read_table(spark, silver, SILVER)
 
 
 # ------------------------------------------------------------------ text ----
