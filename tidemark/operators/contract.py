@@ -37,27 +37,23 @@ def _string(field: str) -> Column:
     return F.when(_kind(field) == "STRING", F.try_variant_get(F.col("_v"), f"$.{field}", "string"))
 
 
-def _scalar_only(field: str, value: Column) -> Column:
-    return F.when(~F.coalesce(_kind(field), F.lit("VOID")).rlike("^(OBJECT|ARRAY|VOID)"), value)
-
-
 def _whole_number(field: str) -> Column:
     """Integers, integral floats, booleans, and integers written as text."""
-    v = F.col("_v")
+    v, kind = F.col("_v"), _kind(field)
     as_double = F.try_variant_get(v, f"$.{field}", "double")
     as_long = F.try_variant_get(v, f"$.{field}", "bigint")
     digits = F.trim(F.try_variant_get(v, f"$.{field}", "string"))
-    readable = (_kind(field) != "STRING") | digits.rlike("^[+-]?[0-9]+(\\.0*)?$")
+    readable = (kind != "STRING") | digits.rlike("^[+-]?[0-9]+(\\.0*)?$")
     # The bigint read alone cuts 2.5 down to 2, the double read alone loses
     # digits above 2^53: the double decides, the bigint gives the value.
-    number = F.when(
-        as_double == F.floor(as_double), F.coalesce(as_long, as_double.try_cast("bigint"))
+    whole = readable & (as_double == F.floor(as_double))
+    return F.when(kind == "BIGINT", as_long).when(
+        whole, F.coalesce(as_long, as_double.try_cast("bigint"))
     )
-    return _scalar_only(field, F.when(readable, number))
 
 
 def _number(field: str) -> Column:
-    return _scalar_only(field, F.try_variant_get(F.col("_v"), f"$.{field}", "double"))
+    return F.try_variant_get(F.col("_v"), f"$.{field}", "double")
 
 
 def _non_empty(value: Column) -> Column:
@@ -85,7 +81,7 @@ def encode_messages(orders: DataFrame) -> DataFrame:
 
 
 def apply_contract(messages: DataFrame, rules: tuple[Rule, ...] = ORDER_RULES) -> DataFrame:
-    """Add the typed fields, ``is_valid``, ``reason``, ``record`` and ``raw``.
+    """Add the typed fields, ``raw``, ``is_valid``, and ``reason`` and ``record`` if not.
 
     Works on any frame with a ``value`` column (binary or text), streaming too.
     """
@@ -96,24 +92,25 @@ def apply_contract(messages: DataFrame, rules: tuple[Rule, ...] = ORDER_RULES) -
     kept = [c for c in messages.columns if c != "value"]
     parsed = _once(messages, kept, [F.try_parse_json(utf8).alias("_v"), raw.alias("raw")])
 
-    v = F.col("_v")
-    shape = F.when(v.isNull(), "malformed_json").when(
-        ~F.schema_of_variant(v).startswith("OBJECT"), "not_an_object"
-    )
-    typed = _once(
-        parsed,
-        [*kept, "raw"],
-        [v.cast("string").alias("record"), shape.alias("_shape")]
-        + [r.value(r.field).alias(r.field) for r in rules],
-    )
+    typed = _once(parsed, [*kept, "raw", "_v"], [r.value(r.field).alias(r.field) for r in rules])
     failed = [
         F.when(~F.coalesce(r.accept(F.col(r.field)), F.lit(False)), F.lit(r.code)) for r in rules
     ]
     reasons = F.array_join(F.array_compact(F.array(*failed)), "; ")
+    # What is not an object has none of the fields, so its shape only has to
+    # be looked at where a rule failed; the record is only kept there, too.
+    v = F.col("_v")
+    reason = (
+        F.when(reasons == "", None)
+        .when(v.isNull(), "malformed_json")
+        .when(~F.schema_of_variant(v).startswith("OBJECT"), "not_an_object")
+        .otherwise(reasons)
+    )
     return (
-        typed.withColumn("reason", F.coalesce("_shape", F.when(reasons != "", reasons)))
+        typed.withColumn("reason", reason)
         .withColumn("is_valid", F.col("reason").isNull())
-        .drop("_shape")
+        .withColumn("record", F.when(~F.col("is_valid"), v.cast("string")))
+        .drop("_v")
     )
 
 

@@ -15,7 +15,7 @@ from tidemark.operators import chunking, contract, dense, fusion, lexical, linea
 from tidemark.plans import orders as order_plans
 from tidemark.plans import retrieval
 from tidemark.schemas import ORDER, SILVER
-from tidemark.session import work_folder
+from tidemark.session import spread, work_folder
 from tidemark.sources import files, tables
 from tidemark.streaming import ingest
 
@@ -31,7 +31,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per line item with the order fields and its fault number."""
-    li = _table(spark, sf_dir, "lineitem")
+    li = spread(_table(spark, sf_dir, "lineitem"))
     o = _table(spark, sf_dir, "orders")
     p = _table(spark, sf_dir, "part")
     status = (
@@ -165,19 +165,10 @@ def _rounded(df: DataFrame, *columns: str, digits: int = DIGITS) -> DataFrame:
 
 def message_encode(spark, sf_dir):
     sent = contract.encode_messages(_lines(spark, sf_dir))
-    body = F.decode("value", "UTF-8")
-
-    def read(field):
-        return F.get_json_object(body, f"$.{field}")
-
-    return sent.select(
-        F.decode("key", "UTF-8").alias("message_key"),
-        read("customer_id").alias("customer_id"),
-        read("product").alias("product"),
-        read("quantity").cast("bigint").alias("quantity"),
-        read("price").cast("double").alias("price"),
-        read("status").alias("status"),
-        read("timestamp").alias("timestamp"),
+    body = F.from_json(F.decode("value", "UTF-8"), ORDER)
+    return sent.select(F.decode("key", "UTF-8").alias("message_key"), body.alias("m")).select(
+        "message_key",
+        *[f"m.{c}" for c in "customer_id product quantity price status timestamp".split()],
     )
 
 
@@ -306,7 +297,7 @@ def stream_upsert(spark, sf_dir):
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return spread(_table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
 
 
 def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -444,7 +435,7 @@ def vector_ids(spark, sf_dir):
 
 
 def _stored_vectors(spark, sf_dir):
-    e = _table(spark, sf_dir, "embeddings")
+    e = spread(_table(spark, sf_dir, "embeddings"))
     return e.select(
         F.col("vec_id").alias("doc_id"),
         F.lit(0).alias("chunk_no"),
