@@ -26,7 +26,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
     The id is a hash of the full path, so it does not depend on file order.
     """
-    whole = spark.read.option("wholetext", True).text(path)
+    whole = spark.read.text(path, wholetext=True)
     return whole.select(
         F.xxhash64("_metadata.file_path").alias("doc_id"),
         F.col("_metadata.file_name").alias("source"),
