@@ -71,7 +71,8 @@ QUERIES = ["the w1 w39", "w2 w2 w5", "unseen", "", "the", "THE W7 unseen w7"]
 def way(request, monkeypatch):
     """Both ways of bringing queries and rows together."""
     if request.param == "grid":
-        monkeypatch.setattr(topk, "MAX_QUERIES", 2)
+        monkeypatch.setattr(topk, "MAX_QUERIES", 1)
+        monkeypatch.setattr(topk, "BLOCK_FACTOR", 2)
         monkeypatch.setattr(topk, "BLOCK_ROWS", 17)
     return request.param
 
@@ -196,6 +197,22 @@ def test_vector_table_ids(spark):
     assert dense.repeated_ids(table.unionByName(table.limit(1))).count() == 1
 
 
+def test_rebuild_vectors(spark, tmp_path):
+    from tidemark.schemas import VECTOR
+    from tidemark.sources import tables
+
+    path = str(tmp_path / "vectors")
+    chunks = chunks_of(spark, ["red lamp", "green desk", "blue", "lamp"])
+    assert dense.rebuild_vectors(chunks, path, 16) == 4
+    assert dense.rebuild_vectors(chunks.filter("doc_id = 0"), path, 16) == 3
+    stored = dense.stored_vectors(tables.read_table(spark, path, VECTOR))
+    q = dense.vectorise(queries_of(spark, "green desk"), 16, text="query")
+    assert found(dense.dense_search(q, stored, 1), "distance") == [(0, 1, 0, 1, 0.0)]
+    with pytest.raises(dense.RepeatedIdError, match="0:c0"):
+        dense.rebuild_vectors(chunks.unionByName(chunks), path, 16)
+    assert tables.versions(spark, path) == [1, 2]
+
+
 def ranked(spark, *rows):
     return spark.createDataFrame([(q, r, d, 0, f"c{d}", "s", text) for q, r, d, text in rows], RANKED)
 

@@ -11,28 +11,45 @@ from pyspark.sql import types as T
 
 from tidemark.functions import text as X
 from tidemark.operators import topk
+from tidemark.schemas import VECTOR
+from tidemark.sources.tables import read_table, replace_table
 
 METRICS = ("l2sq", "dot")
 
 
-def buckets(text: Column, dim: int, mode: str = "word") -> Column:
+class RepeatedIdError(Exception):
+    """A vector table would hold an id more than once."""
+
+
+def buckets(tokens: Column, dim: int) -> Column:
     """Bucket number of every token: its md5, first 8 hex digits, modulo ``dim``."""
     return F.transform(
-        X.tokens(text, mode),
+        tokens,
         lambda t: (
             F.conv(F.substring(F.md5(F.encode(t, "UTF-8")), 1, 8), 16, 10).cast("bigint") % dim
         ).cast("int"),
     )
 
 
+def hash_tokens(
+    rows: DataFrame, dim: int, text: str = "text", mode: str = "word", tokens: str | None = None
+) -> DataFrame:
+    """Add ``buckets`` unless the rows have them already; of the token column
+    ``tokens`` where there is one, else of the tokens of ``text``."""
+    if "buckets" in rows.columns:
+        return rows
+    found = F.col(tokens) if tokens else X.tokens(F.col(text), mode)
+    return rows.withColumn("buckets", buckets(found, dim))
+
+
 def bucket_idf(rows: DataFrame, dim: int, text: str = "text", mode: str = "word") -> list[float]:
     """Smoothed idf of each of the ``dim`` buckets: ln((1 + N) / (1 + df)) + 1.
 
     ``dim`` + 1 rows reach the driver, whatever the size of the corpus.
     """
     every = F.lit(-1)
-    seen = rows.select(
-        F.explode(F.array_append(F.array_distinct(buckets(F.col(text), dim, mode)), every)).alias("b")
+    seen = hash_tokens(rows, dim, text, mode).select(
+        F.explode(F.array_append(F.array_distinct("buckets"), every)).alias("b")
     )
     df = dict(seen.groupBy("b").count().collect())
     n = df.pop(-1, 0)
@@ -47,26 +64,26 @@ def vectorise(
     mode: str = "word",
     encoder: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]] | None = None,
 ) -> DataFrame:
-    """Add ``embedding``: a unit vector of hashed term counts, weighted by
-    ``idf`` where given; text without tokens gives the zero vector.
+    """``embedding`` in place of any token columns: a unit vector of hashed
+    term counts, weighted by ``idf`` where given; zero for text without tokens.
 
     A vector depends on its own row only, so this is a map without a shuffle.
     ``encoder`` replaces the hashing: a ``mapInArrow`` function that appends a
     ``list<float>`` column to the columns of ``rows``.
     """
+    names = [c for c in rows.columns if c not in ("tokens", "dl", "buckets")]
     schema = T.StructType(
-        list(rows.schema.fields) + [T.StructField("embedding", T.ArrayType(T.FloatType()))]
+        [rows.schema[c] for c in names] + [T.StructField("embedding", T.ArrayType(T.FloatType()))]
     )
     if encoder is not None:
-        return rows.mapInArrow(encoder, schema)
+        return rows.select(*names).mapInArrow(encoder, schema)
     if idf is not None and len(idf) != dim:
         raise ValueError(f"idf has {len(idf)} entries for {dim} buckets")
     weights = np.ones(dim) if idf is None else np.array(idf)
-    names = rows.columns
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column("_b")
+            lists = batch.column("buckets")
             n = batch.num_rows
             row = np.repeat(np.arange(n), lists.value_lengths().fill_null(0).to_numpy())
             cell = row * dim + lists.flatten().to_numpy()
@@ -78,7 +95,8 @@ def vectorise(
             columns = [batch.column(c) for c in names] + [vectors]
             yield pa.RecordBatch.from_arrays(columns, names=[*names, "embedding"])
 
-    return rows.withColumn("_b", buckets(F.col(text), dim, mode)).mapInArrow(task, schema)
+    hashed = hash_tokens(rows, dim, text, mode).select(*names, "buckets")
+    return hashed.mapInArrow(task, schema)
 
 
 def normalise(vector: Column) -> Column:
@@ -94,13 +112,43 @@ def vector_table(chunks: DataFrame) -> DataFrame:
     The id is unique over the whole table; the printed label is in the metadata.
     """
     return chunks.select(
-        F.concat_ws(":", F.col("doc_id").cast("string"), F.col("chunk_id")).alias("id"),
+        _vector_id().alias("id"),
         F.col("text").alias("document"),
         "embedding",
-        F.struct("source", "chunk_id").alias("metadata"),
+        F.struct("source", "chunk_id", *topk.KEY).alias("metadata"),
     )
 
 
+def stored_vectors(table: DataFrame) -> DataFrame:
+    """VECTOR records as rows to search."""
+    return table.select(
+        *[f"metadata.{c}" for c in (*topk.KEY, "chunk_id", "source")],
+        F.col("document").alias("text"),
+        "embedding",
+    )
+
+
+def rebuild_vectors(
+    chunks: DataFrame, path: str, dim: int = 256, idf: list[float] | None = None, encoder=None
+) -> int:
+    """Encode the chunks and replace the vector table; its row count.
+
+    The ids are checked first, from the chunks alone, so that nothing has been
+    encoded or written when one of them is repeated.
+    """
+    repeated = repeated_ids(chunks.select(_vector_id().alias("id")))
+    found = repeated.limit(3).collect()
+    if found:
+        raise RepeatedIdError(", ".join(r["id"] for r in found))
+    spark = chunks.sparkSession
+    replace_table(vector_table(vectorise(chunks, dim, idf, encoder=encoder)), path, VECTOR)
+    return read_table(spark, path, VECTOR).count()
+
+
+def _vector_id() -> Column:
+    return F.concat_ws(":", F.col("doc_id").cast("string"), F.col("chunk_id"))
+
+
 def repeated_ids(vectors: DataFrame, key: str = "id") -> DataFrame:
     """Ids that occur more than once; a vector table must have none."""
     return vectors.groupBy(key).agg(F.count("*").alias("n")).filter("n > 1")

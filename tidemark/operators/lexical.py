@@ -76,6 +76,9 @@ def _idf(n):
 
 
 def tokenise(chunks: DataFrame, mode: str) -> DataFrame:
+    """Add ``tokens`` and ``dl`` unless the chunks have them already."""
+    if "tokens" in chunks.columns:
+        return chunks
     return chunks.withColumn("tokens", X.tokens(F.col("text"), mode)).withColumn(
         "dl", F.size("tokens")
     )

@@ -20,6 +20,7 @@ Both are exact and use the same scorer.
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from math import ceil
 from typing import Any
 
 import numpy as np
@@ -31,8 +32,10 @@ from pyspark.sql import types as T
 # Bounds of the broadcast: number of queries, and numbers or characters in them.
 MAX_QUERIES = 4096
 MAX_QUERY_CELLS = 4_000_000
-# Rows of one block in the grid.
+# One block of the grid: rows, and how many times the bounds above its queries
+# may reach. Larger query blocks mean fewer copies of the rows.
 BLOCK_ROWS = 50_000
+BLOCK_FACTOR = 4
 # Cells of the score array held at a time by one task.
 SCORE_CELLS = 250_000
 # Scores are compared to this many decimals, so that the order of a sum of
@@ -55,8 +58,8 @@ class Size:
 def measure(queries: DataFrame, cells: Column) -> Size:
     """One small job: count the queries and their numbers or characters."""
     n, total = queries.agg(F.count("*"), F.coalesce(F.sum(cells), F.lit(0))).first()
-    blocks = max(-(-n // MAX_QUERIES), -(-int(total) // MAX_QUERY_CELLS), 1)
-    return Size(fits=blocks == 1, blocks=blocks)
+    load = max(n / MAX_QUERIES, int(total) / MAX_QUERY_CELLS)
+    return Size(fits=load <= 1, blocks=max(1, ceil(load / BLOCK_FACTOR)))
 
 
 @dataclass(frozen=True)

@@ -14,8 +14,8 @@ from tidemark.operators import answers as A
 from tidemark.operators import chunking, contract, dense, fusion, lexical, lineage, quality, sales
 from tidemark.plans import orders as order_plans
 from tidemark.plans import retrieval
-from tidemark.schemas import ORDER, SILVER
-from tidemark.session import spread, work_folder
+from tidemark.schemas import ORDER, SILVER, VECTOR
+from tidemark.session import materialise, spread, work_folder
 from tidemark.sources import files, tables
 from tidemark.streaming import ingest
 
@@ -212,7 +212,7 @@ def silver_orders(spark, sf_dir):
 
 
 def silver_upsert(spark, sf_dir):
-    target = order_plans.silver_from_messages(messages(spark, sf_dir))
+    target = materialise(order_plans.silver_from_messages(messages(spark, sf_dir)), "silver")
     source = sales.add_total(revisions(spark, sf_dir))
     return sales.upsert(target, source, ["order_id"])
 
@@ -416,9 +416,9 @@ def hashed_vectors(spark, sf_dir):
 
 
 def vector_table(spark, sf_dir):
-    return dense.vector_table(
-        dense.vectorise(word_chunks(spark, sf_dir), retrieval.DIM)
-    ).select(
+    path = work_folder(spark, "vectors")
+    dense.rebuild_vectors(word_chunks(spark, sf_dir), path, retrieval.DIM)
+    return tables.read_table(spark, path, VECTOR).select(
         "id",
         F.col("metadata.source").alias("source"),
         F.col("metadata.chunk_id").alias("chunk_id"),
@@ -429,8 +429,7 @@ def vector_table(spark, sf_dir):
 
 def vector_ids(spark, sf_dir):
     """Sources that hold a label more than once: labels restart per document."""
-    table = dense.vector_table(dense.vectorise(word_chunks(spark, sf_dir), retrieval.DIM))
-    labels = table.select(F.concat_ws("/", "metadata.source", "metadata.chunk_id").alias("label"))
+    labels = word_chunks(spark, sf_dir).select(F.concat_ws("/", "source", "chunk_id").alias("label"))
     return dense.repeated_ids(labels, "label")
 
 

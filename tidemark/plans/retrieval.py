@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 
 from tidemark.operators import answers as A
 from tidemark.operators.chunking import chunk_chars
-from tidemark.operators.dense import bucket_idf, dense_search, vectorise
+from tidemark.operators.dense import bucket_idf, dense_search, hash_tokens, vectorise
 from tidemark.operators.fusion import rerank, rrf
-from tidemark.operators.lexical import bm25_search, build_index, keyword_search
+from tidemark.operators.lexical import bm25_search, build_index, keyword_search, tokenise
 from tidemark.session import materialise
 
 DIM = 256
@@ -24,6 +24,17 @@ class Answered:
     citations: DataFrame
 
 
+def prepare(docs: DataFrame, size: int, overlap: int, normalise: str, mode: str) -> DataFrame:
+    """The chunk table with its tokens and hash buckets, written once.
+
+    Four steps of a search read the chunks. Cutting and tokenising is the
+    expensive part, so they read it from files instead of doing it again.
+    """
+    chunks = tokenise(chunk_chars(docs, size, overlap, normalise), mode)
+    hashed = hash_tokens(chunks, DIM, tokens="tokens" if mode == "word" else None)
+    return materialise(hashed, "chunks")
+
+
 def encode(queries: DataFrame, chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Queries and chunks with vectors in the same space."""
     idf = bucket_idf(chunks, DIM)
@@ -32,7 +43,7 @@ def encode(queries: DataFrame, chunks: DataFrame) -> tuple[DataFrame, DataFrame]
 
 def hybrid_search(queries: DataFrame, docs: DataFrame, k: int = 5) -> DataFrame:
     """BM25 and nearest vectors over character chunks, fused by rank."""
-    chunks = chunk_chars(docs, 500, 100, "flat")
+    chunks = prepare(docs, 500, 100, "flat", "word")
     query_vectors, vectors = encode(queries, chunks)
     dense = dense_search(query_vectors, vectors, k, metric="l2sq")
     lexical = bm25_search(queries, build_index(chunks, "word"), k, pad_zero=True)
@@ -41,10 +52,10 @@ def hybrid_search(queries: DataFrame, docs: DataFrame, k: int = 5) -> DataFrame:
 
 def question_answer(queries: DataFrame, docs: DataFrame, k: int = 5) -> Answered:
     """Dense and keyword search fused, reranked, and turned into answers."""
-    chunks = chunk_chars(docs, 500, 80, "paragraph")
+    chunks = prepare(docs, 500, 80, "paragraph", "ascii")
     query_vectors, vectors = encode(queries, chunks)
     dense = dense_search(query_vectors, vectors, k, metric="dot")
-    lexical = keyword_search(queries, chunks, k)
+    lexical = keyword_search(queries, chunks, k, mode="ascii")
     # At most k rows per query, read by three more steps: written once.
     results = materialise(rerank(queries, rrf([dense, lexical], k), k), "results")
     return Answered(

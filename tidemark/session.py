@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new path under the folder named by ``spark.checkpoint.dir``.
 
-    Only where the session names none (a bare local test session) is a local
+    Only where a local session names none, as in a bare test, is a temporary
     one made, and then set for the whole session.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     if not base:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
         base = spark.sparkContext.getCheckpointDir()

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.quality import enforce
 from tidemark.operators.sales import upsert
+from tidemark.session import materialise
 
 
 class TableNotFoundError(Exception):
@@ -79,7 +80,11 @@ def upsert_table(source: DataFrame, path: str, keys: list[str], schema: T.Struct
     fitting = enforce(source, schema)
     if not table_exists(spark, path):
         return replace_table(fitting, path, schema)
-    return replace_table(upsert(read_table(spark, path, schema), fitting, keys), path, schema)
+    # The merge reads the batch twice. From files it is computed once, and
+    # Catalyst knows its size when it picks the join: a batch below the
+    # broadcast threshold leaves the table where it is, a larger one shuffles.
+    batch = materialise(fitting, "merge-batch")
+    return replace_table(upsert(read_table(spark, path, schema), batch, keys), path, schema)
 
 
 def merge_into(source: DataFrame, table: str, keys: list[str]) -> None:
