@@ -47,6 +47,12 @@ def sentences(rows: DataFrame, *keys: str, text: str = "text") -> DataFrame:
     )
 
 
+def preview(chunks: DataFrame, n: int = 5, width: int = 200) -> DataFrame:
+    """The first ``n`` chunks in corpus order, their text cut for display."""
+    first = chunks.orderBy("doc_id", "chunk_no").limit(n)
+    return first.withColumn("text", F.substring("text", 1, width))
+
+
 def document_sizes(docs: DataFrame) -> DataFrame:
     """Documents, blank documents, characters and words in one pass."""
     body = F.col("text")

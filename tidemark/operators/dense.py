@@ -166,7 +166,10 @@ def dense_search(
         raise ValueError(f"metric must be one of {METRICS}, not {metric!r}")
     size = topk.measure(queries, F.size("embedding"))
     scorer = topk.Scorer(
-        prepare=_QueryVectors, score=partial(_score, metric=metric), positive_only=False
+        reads="embedding",
+        prepare=_QueryVectors,
+        score=partial(_score, metric=metric),
+        positive_only=False,
     )
     found = topk.top_k(vectors, queries.select("query_id", "embedding"), scorer, k, size)
     if metric == "dot":

@@ -136,6 +136,7 @@ def bm25_search(
     weights = known.select("query_id", "term", (F.col("qtf") * F.col("idf")).alias("weight"))
     corpus = index.corpus.first()
     scorer = topk.Scorer(
+        reads="tokens",
         prepare=_QueryTerms,
         score=partial(_score, avgdl=corpus["avgdl"] or 1.0),
         positive_only=not pad_zero,
@@ -152,7 +153,10 @@ def keyword_search(
         "query_id", "term", F.col("qtf").cast("double").alias("weight")
     )
     scorer = topk.Scorer(
-        prepare=_QueryTerms, score=partial(_score, avgdl=None), positive_only=True
+        reads="tokens",
+        prepare=_QueryTerms,
+        score=partial(_score, avgdl=None),
+        positive_only=True,
     )
     return topk.top_k(
         tokenise(chunks, mode), _with_every_query(weights, queries), scorer, k, size

@@ -65,8 +65,10 @@ def measure(queries: DataFrame, cells: Column) -> Size:
 @dataclass(frozen=True)
 class Scorer:
     """``prepare`` turns the query rows into arrays once per task (its result
-    must have ``query_ids``); ``score`` gives the (rows x queries) array."""
+    must have ``query_ids``); ``score`` gives the (rows x queries) array from
+    the column ``reads``, the only one sent to it besides the result's."""
 
+    reads: str
     prepare: Callable[[pa.Table], Any]
     score: Callable[[Any, pa.RecordBatch], np.ndarray]
     positive_only: bool
@@ -81,13 +83,14 @@ def top_k(
 ) -> DataFrame:
     """RANKED rows: (query_id, rank, doc_id, chunk_no, chunk_id, source, text, score).
 
-    ``rows`` has KEY, CARRY and what the scorer reads. ``queries`` has
+    ``rows`` has KEY, CARRY and the column the scorer reads. ``queries`` has
     ``query_id`` and what the scorer reads; a query may have several rows.
     Ties go to the earlier row in corpus order.
     """
     if k < 1:
         raise ValueError("k must be at least 1")
     id_type = queries.schema["query_id"].dataType
+    rows = rows.select(*KEY, *CARRY, scorer.reads)
     schema = T.StructType(
         [T.StructField("query_id", id_type)]
         + [rows.schema[c] for c in KEY + CARRY]

@@ -330,6 +330,10 @@ def chunk_chars_para(spark, sf_dir):
     return chunking.chunk_chars(documents(spark, sf_dir), 500, 80, "paragraph")
 
 
+def chunk_preview(spark, sf_dir):
+    return chunking.preview(word_chunks(spark, sf_dir), 20, 60)
+
+
 def _token_counts(mode):
     def query(spark, sf_dir):
         each = documents(spark, sf_dir).select(
@@ -584,6 +588,7 @@ QUERIES = {
     "chunk_words_lines": chunk_words_lines,
     "chunk_chars_flat": chunk_chars_flat,
     "chunk_chars_para": chunk_chars_para,
+    "chunk_preview": chunk_preview,
     "tokens_ws": _token_counts("ws"),
     "tokens_word": _token_counts("word"),
     "tokens_ascii": _token_counts("ascii"),

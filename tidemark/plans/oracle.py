@@ -420,6 +420,11 @@ UNION ALL SELECT 'quarantine', reason, count(*), NULL FROM judged WHERE reason I
     "chunk_words_lines": _with(_CHUNK_COLUMNS, _word_chunks(20, 5, "chr(10)")),
     "chunk_chars_flat": _with(_CHUNK_COLUMNS, _FLAT),
     "chunk_chars_para": _with(_CHUNK_COLUMNS, _PARA),
+    "chunk_preview": _with(
+        """SELECT doc_id, chunk_no, chunk_id, source, substring(text, 1, 60) AS text FROM chunks
+ORDER BY doc_id, chunk_no LIMIT 20""",
+        _WORD_CHUNKS,
+    ),
     "tokens_ws": _token_counts("ws"),
     "tokens_word": _token_counts("word"),
     "tokens_ascii": _token_counts("ascii"),

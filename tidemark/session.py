@@ -22,9 +22,9 @@ def work_folder(spark: SparkSession, name: str) -> str:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal out the rows of a table that comes in fewer splits than there are
-    cores, before work that is heavy per row. Large tables have more splits
-    than that and pass through unchanged."""
+    """Deal out the rows of a plain table scan that comes in fewer splits than
+    there are cores, before work that is heavy per row. Large tables have more
+    splits than that and pass through unchanged."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
