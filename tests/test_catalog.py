@@ -10,8 +10,6 @@ import __spark_entry__ as entry_module
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 NAMES = list(entry_module.queries())
-# Queries whose jobs run while they are built, so that only the rest of the
-# work shows in the plan of the result.
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 
 
@@ -27,6 +25,8 @@ def plan_of(df) -> str:
 @pytest.mark.parametrize("name", NAMES)
 def test_query_equals_sql(spark, con, name):
     df = entry_module.queries()[name](spark, SF_DIR)
+    # Steps that were written to files while the query was built, such as a
+    # vocabulary, are not part of this plan.
     plan = plan_of(df)
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan

@@ -139,6 +139,33 @@ def test_latest_row_wins_whatever_the_partitioning(spark):
         assert (row["timestamp"], row["price"]) == ("2024-01-02", 3.0)
 
 
+def test_an_order_with_a_third_of_all_rows(spark):
+    """The hot key shrinks to one row per map task before the shuffle."""
+    rows = 30_000
+    hot = F.col("id") % 3 == 0
+    df = sales.add_total(
+        spark.range(0, rows, 1, 6).select(
+            F.lit("C").alias("customer_id"),
+            F.when(hot, "HOT").otherwise(F.format_string("A-%d", "id")).alias("order_id"),
+            F.lit(1.0).alias("price"),
+            F.when(hot, "Lamp").otherwise("Desk").alias("product"),
+            F.lit(1).cast("bigint").alias("quantity"),
+            F.lit("pending").alias("status"),
+            F.format_string("%08d", "id").alias("timestamp"),
+        )
+    )
+    kept = sales.dedupe_latest(df, ["order_id"])
+    (hot_row,) = kept.filter("order_id = 'HOT'").collect()
+    assert hot_row["timestamp"] == "00029997"
+    gold = {r["product"]: r["total_orders"] for r in sales.product_sales(kept).collect()}
+    assert gold == {"Lamp": 1, "Desk": 20_000}
+    assert {r["product"]: r["total_quantity"] for r in sales.product_sales(df).collect()}["Lamp"] == 10_000
+    shuffled = kept.select("order_id")
+    shuffled.write.format("noop").mode("overwrite").save()
+    plan_text = shuffled._jdf.queryExecution().executedPlan().toString()
+    assert plan_text.count("WindowGroupLimit") >= 2
+
+
 def test_upsert(spark):
     target = orders_df(spark, {}, {"order_id": "A-2"}, {"order_id": None, "product": "old"})
     source = orders_df(spark, {"order_id": "A-2", "price": 9.0}, {"order_id": "A-3"}, {"order_id": None})

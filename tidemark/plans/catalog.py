@@ -1,9 +1,9 @@
 """Every operator as a query over the driver's tables.
 
 Orders are messages made from lineitem, orders and part, one per line item.
-The last line of ``_FAULTS`` is what a share of them has wrong, chosen by key,
-so that each rule of the contract meets good and bad records. Queries of the
-retrieval jobs are the whole texts of ``benchmark``.
+The tables hold no invalid orders, so a share of the messages, chosen by key,
+is spoilt in one of thirty ways: each rule of the contract meets good and bad
+records. The questions of the retrieval jobs are the whole texts of ``benchmark``.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession
