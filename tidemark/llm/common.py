@@ -44,6 +44,24 @@ def mapped(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch |
     return df.mapInArrow(batches, schema)
 
 
+TEXT = "__text"
+
+
+def with_text(df: DataFrame, keep: str, column: str = "text", kind: str = "string") -> DataFrame:
+    """Columns of the schema ``keep``, and the column to work on apart from them, under a name of its own."""
+    return df.select(*[F.col(f"`{c.split()[0]}`") for c in keep.split(",")], F.col(column).cast(kind).alias(TEXT))
+
+
+def added(batch: pa.RecordBatch, **columns) -> pa.RecordBatch:
+    """The kept columns of a batch of ``with_text`` and new ones."""
+    return pa.record_batch({c: batch.column(c) for c in batch.schema.names if c != TEXT} | columns)
+
+
+def schema_of(df: DataFrame) -> str:
+    """The table's columns as a schema text for ``with_text``."""
+    return ", ".join(f"{c} {kind}" for c, kind in df.dtypes)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit integers (multiply and shift, wrapping)."""
     x = (x ^ (x >> np.uint64(32))) * MIX

@@ -7,11 +7,12 @@ sets, and the confirmed links become components by alternating large-star and
 small-star steps.
 
 Work is done on distinct sets, so copies cost one row each. In a bucket every
-set is first compared with the bucket's smallest set only (a star, not all
+set is first compared with the bucket's first set only (a star, not all
 pairs). After the components of those links are known, only buckets that still
 hold several components are compared further, and there only sets of different
-components; a bucket beyond ``block`` rows is cut into blocks that are compared
-two by two in separate tasks. No candidate of a bucket is left out.
+components, best agreeing signatures first; a bucket beyond ``block`` rows is cut
+into blocks that are compared two by two in separate tasks. In the end no pair of a
+bucket is left out unless its sets are in one component already.
 
 With 48 bands of 6 rows a pair at exactly 0.8 is missed with probability 5e-7.
 """
@@ -28,11 +29,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import GOLDEN, kept, mapped, mix64
+from tidemark.llm.graph import components
 
 BANDS, ROWS = 48, 6
 #: Signature agreement below which a pair at the threshold is a 5-sigma event (288 minima).
 SLACK = 0.12
 BLOCK = 2048
+#: Partners of a set in one other component of its bucket that are confirmed, round by round; None: all.
+PARTNERS = (1, 16, 256, None)
 CACHED_WORDS = 300_000
 CHUNK = 1 << 16
 
@@ -117,6 +121,7 @@ def _sketch(size: int, bands: int, rows: int):
             {
                 "rid": batch.column("rid"),
                 "doc_id": batch.column("doc_id"),
+                "text_hash": batch.column("text_hash"),
                 "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
                 "node": pa.array(node, pa.binary()),
                 "sig": pa.array(sig, pa.binary()),
@@ -152,27 +157,30 @@ def _check_signatures(threshold: float):
     return one
 
 
-def _bucket_pairs(threshold: float, percent: int):
-    """Pairs of different components within each (key, i, j) group of sorted rows."""
+def _bucket_pairs(threshold: float, percent: int, most: int | None):
+    """Pairs of different components within each (key, i, j) group of sorted rows.
+
+    For a set and another component, the ``most`` partners whose signatures agree best.
+    """
     agreement = _agreement()
 
     def pairs(rows: pa.Table) -> pa.RecordBatch | None:
         nid, comp, n, blk = (np.asarray(rows.column(c)) for c in ("nid", "comp", "n", "blk"))
         i, j = rows.column("i")[0].as_py(), rows.column("j")[0].as_py()
         sig = _signatures(rows.column("sig"))
-        left = np.arange(len(nid)) if i == j else np.flatnonzero(blk == i)
-        right = left if i == j else np.flatnonzero(blk == j)
-        if not len(left) or not len(right):
-            return None
-        if i == j:  # the largest component's rows need no comparison among themselves
-            names, count = np.unique(comp, return_counts=True)
-            left = np.flatnonzero(comp != names[np.argmax(count)])
+        # The largest component's rows need no comparison among themselves.
+        names, count = np.unique(comp, return_counts=True)
         found_a, found_b = [], []
-        for x in left:
-            other = comp[right] != comp[x]
-            near = 100 * np.minimum(n[right], n[x]) >= percent * np.maximum(n[right], n[x])
-            y = right[other & near]
-            y = y[agreement(sig[y], sig[x]) >= threshold - SLACK]
+        for x in np.flatnonzero(comp != names[np.argmax(count)]):
+            fits = (comp != comp[x]) & (100 * np.minimum(n, n[x]) >= percent * np.maximum(n, n[x]))
+            y = np.flatnonzero(fits if i == j else fits & (blk != blk[x]))
+            est = agreement(sig[y], sig[x])
+            y, est = y[est >= threshold - SLACK], est[est >= threshold - SLACK]
+            if most is not None and len(y) > most:
+                order = np.lexsort((nid[y], -est, comp[y]))
+                y = y[order]
+                _, head, size = np.unique(comp[y], return_index=True, return_counts=True)
+                y = y[np.arange(len(y)) - np.repeat(head, size) < most]
             found_a.append(np.minimum(nid[y], nid[x]))
             found_b.append(np.maximum(nid[y], nid[x]))
         if not found_a:
@@ -231,57 +239,28 @@ def _confirm(percent: int):
     return one
 
 
-def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets reach the threshold.
+def sets_of(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """(nid, set) for the nodes of ``wanted`` (nid), made again from their texts.
 
-    Sets are made again from the texts of the nodes that occur in a pair. A node
-    is found by the document it came from and then by its set, so ids that
+    A node is found by the document it came from and then by its set, so ids that
     occur twice do no harm.
     """
-    wanted = pairs.select(F.col("a").alias("nid")).unionByName(pairs.select(F.col("b").alias("nid"))).distinct()
-    source = nodes.join(wanted, "nid").select("nid", "node", "rep")
+    source = nodes.join(wanted.distinct(), "nid").select("nid", "node", "rep")
     texts = docs.where("doc_id is not null").join(source, F.col("doc_id") == F.col("rep"))
-    sets = mapped(texts.select("nid", "node", "text"), _sets(size), "nid long, set binary").dropDuplicates(["nid"])
-    sets = kept(sets, "shingle-sets")
+    sets = mapped(texts.select("nid", "node", "text"), _sets(size), "nid long, set binary")
+    return kept(sets.dropDuplicates(["nid"]), "shingle-sets")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full shingle sets reach the threshold."""
     both = pairs.join(sets.withColumnRenamed("nid", "a"), "a").join(
         sets.select(F.col("nid").alias("b"), F.col("set").alias("set_b")), "b"
     )
-    return mapped(both.select("a", "b", "set", "set_b"), _confirm(percent), "a long, b long")
+    return kept(mapped(both.select("a", "b", "set", "set_b"), _confirm(percent), "a long, b long"), "confirmed")
 
 
-def _size_of(edges: DataFrame) -> tuple:
-    return edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-
-
-def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
-    """(nid, comp) for every node of ``links`` (a, b): comp is the smallest node
-    that can be reached. Alternates large-star and small-star until nothing changes.
-    """
-    edges = kept(
-        links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
-        "links",
-    )
-    state = _size_of(edges)
-    for _ in range(most_rounds):
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (
-            large.join(least, "u")
-            .select(F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))).alias("e"))
-            .select(F.col("e.v").alias("u"), F.col("e.m").alias("v"))
-            .where("u <> v")
-            .distinct()
-        )
-        edges = kept(small, "stars")
-        before, state = state, _size_of(edges)
-        if state == before:
-            break
-    else:
-        raise RuntimeError("components did not settle")
-    roots = edges.select(F.col("v").alias("nid"), F.col("v").alias("comp")).distinct()
-    return edges.select(F.col("u").alias("nid"), F.col("v").alias("comp")).unionByName(roots)
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("nid")).unionByName(pairs.select(F.col("b").alias("nid")))
 
 
 def near_duplicates(
@@ -292,22 +271,24 @@ def near_duplicates(
     rows: int = ROWS,
     block: int = BLOCK,
 ) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row of ``documents`` (doc_id, text).
+    """(doc_id, n_shingles, component_id, kept, text_hash) for every row of ``documents`` (doc_id, text).
 
     Two documents are linked when 100 * |A and B| >= percent * |A or B| for their
     shingle sets. Null or wordless texts have an empty set and link with nothing:
     component_id is their own id. A row without doc_id takes no part; its
-    component_id is null and kept is false. Rows that repeat a doc_id get the
-    component of that id's smallest link; all of them are kept if the id is.
-    Other columns are not read. An empty table gives no rows.
+    component_id is null and kept is false. Rows that repeat a doc_id are linked by
+    their own texts; each is kept if its doc_id is its component's smallest. ``text_hash`` tells
+    such rows apart. Other columns are not read. An empty table gives no rows.
     """
     threshold = percent / 100
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketch = kept(
         mapped(
-            docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text"),
+            docs.select(
+                F.monotonically_increasing_id().alias("rid"), "doc_id", F.xxhash64("text").alias("text_hash"), "text"
+            ),
             _sketch(shingle, bands, rows),
-            "rid long, doc_id long, n_shingles long, node binary, sig binary, keys array<long>",
+            "rid long, doc_id long, text_hash long, n_shingles long, node binary, sig binary, keys array<long>",
         ),
         "sketches",
     )
@@ -333,33 +314,64 @@ def near_duplicates(
     )
     star = mapped(star.select("a", "b", "sig", "sig_b"), _check_signatures(threshold), "a long, b long, est double")
     first = kept(star.groupBy("a").agg(F.max_by("b", F.struct("est", "b")).alias("b")), "star-pairs")
-    links = kept(confirmed(first, nodes, docs, shingle, percent), "confirmed")
+    sets = sets_of(_ends(first), nodes, docs, shingle)
+    links, tested = confirmed(first, sets, percent), first.select(F.col("b").alias("a"), F.col("a").alias("b"))
     found = kept(components(links), "components")
 
-    # Buckets that still hold several components.
-    named = member.join(found, "nid", "left").select("key", "rows", "nid", F.coalesce("comp", "nid").alias("comp"))
-    open_keys = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
-    cut = F.ceil(F.col("rows") / F.lit(block)).cast("int")
-    left = (
-        named.join(open_keys.select("key"), "key")
-        .join(side, "nid")
-        .withColumn("blk", F.pmod(F.xxhash64("nid"), cut).cast("int"))
-        .withColumn("o", F.explode(F.sequence(F.lit(0), cut - 1)))
-        .select("key", F.least("blk", "o").alias("i"), F.greatest("blk", "o").alias("j"), "blk", "nid", "comp", "n", "sig")
-    )
-    left = left.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    second = left.mapInArrow(_bucket_pairs(threshold, percent), "a long, b long").distinct()
-    second = kept(second.join(first.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti"), "rest")
-    more = kept(confirmed(second, nodes, docs, shingle, percent), "confirmed")
-    final = components(links.unionByName(more))
-
-    named = nodes.join(final, "nid", "left").select("node", "rep", F.coalesce("comp", "nid").alias("comp"))
+    # Buckets that still hold several components: first the best partners of each set in each
+    # other component, then more of them, in the end all. Components that grow together leave the race.
+    for most in PARTNERS:
+        named = member.join(found, "nid", "left").select("key", "rows", "nid", F.coalesce("comp", "nid").alias("comp"))
+        open_keys = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
+        member = kept(named.join(open_keys.select("key"), "key").drop("comp"), "buckets")
+        if member.isEmpty():
+            break
+        cut = F.ceil(F.col("rows") / F.lit(block)).cast("int")
+        left = (
+            member.join(found, "nid", "left")
+            .withColumn("comp", F.coalesce("comp", "nid"))
+            .join(side, "nid")
+            .withColumn("blk", F.pmod(F.xxhash64("nid"), cut).cast("int"))
+            .withColumn("o", F.explode(F.sequence(F.lit(0), cut - 1)))
+            .withColumn("i", F.least("blk", "o"))
+            .withColumn("j", F.greatest("blk", "o"))
+            .select("key", "i", "j", "blk", "nid", "comp", "n", "sig")
+        )
+        left = left.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+        new = left.mapInArrow(_bucket_pairs(threshold, percent, most), "a long, b long").distinct()
+        new = kept(new.join(tested, ["a", "b"], "left_anti"), "open-pairs")
+        if new.isEmpty():
+            if most is None:
+                break
+            continue
+        lacking = _ends(new).join(sets.select("nid"), "nid", "left_anti")
+        if not lacking.isEmpty():
+            sets = sets.unionByName(sets_of(lacking, nodes, docs, shingle))
+        tested = tested.unionByName(new)
+        more = confirmed(new, sets, percent)
+        links = links.unionByName(more)
+        found = kept(components(links), "components")
+
+    named = nodes.join(found, "nid", "left").select("node", "rep", F.coalesce("comp", "nid").alias("comp"))
     label = named.groupBy("comp").agg(F.min("rep").alias("component_id"))
     label = named.join(label, "comp").select("node", "component_id")
     return (
-        sketch.select("doc_id", "n_shingles", "node")
+        sketch.select("doc_id", "n_shingles", "node", "text_hash")
         .join(label, "node", "left")
-        .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+        .withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
-        .withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
+        .select("doc_id", "n_shingles", "component_id", "kept", "text_hash")
     )
+
+
+def deduplicated(documents: DataFrame, **options) -> DataFrame:
+    """One row of ``documents`` for each group of near-duplicates, with all its columns.
+
+    Rows that repeat an id and text leave one; rows without doc_id all stay.
+    """
+    stays = near_duplicates(documents, **options).where("kept").select("doc_id", "text_hash").distinct()
+    stays = stays.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
+    rows = documents.withColumn("__h", F.xxhash64(F.col("text").cast("string")))
+    same = (F.col("doc_id").cast("long") == F.col("__id")) & (F.col("__h") == F.col("__hash"))
+    chosen = rows.join(stays, same, "left_semi").dropDuplicates(["doc_id", "__h"])
+    return chosen.unionByName(rows.where("doc_id is null")).drop("__h")

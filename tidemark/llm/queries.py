@@ -2,10 +2,23 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import minhash_dedup
-from tidemark.llm.common import table, text_batches
+from tidemark.llm import (
+    bpe,
+    embedding_dedup,
+    langid,
+    lm_score,
+    minhash_dedup,
+    mixing,
+    quality_crf,
+    topk_search,
+    toxicity,
+    url_filter,
+)
+from tidemark.llm.common import fold, table, text_batches
 
 
 def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,5 +26,175 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, percent=80)
 
 
-QUERIES = {"op1_minhash_dedup": op1_minhash_dedup}
-ORACLE: dict[str, str] = {}
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text_batches(spark)
+    documents = table(spark, sf_dir, "documents")
+    learned = langid.learn(documents.where(fold("doc_id", 3) != 1).select("text", "lang"))
+    rows = documents.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "text")
+    return langid.predict(rows, learned, "doc_id long, held_out boolean")
+
+
+#: Fixed by the task: (host, path, verdict).
+URL_RULES = (
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+)
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filter.judge(table(spark, sf_dir, "pages"), rules)
+
+
+def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text_batches(spark)
+    return lm_score.score(table(spark, sf_dir, "documents"), fold("doc_id", 10) != 0)
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text_batches(spark)
+    documents = table(spark, sf_dir, "documents")
+    model = toxicity.learn(documents, table(spark, sf_dir, "labels").where(fold("doc_id", 3) != 1))
+    rows = documents.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "text")
+    return toxicity.score(rows, model, "doc_id long, held_out boolean")
+
+
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text_batches(spark)
+    return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op9_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text_batches(spark)
+    documents = table(spark, sf_dir, "documents")
+    chain = quality_crf.learn(documents, table(spark, sf_dir, "labels").where(fold("doc_id", 5) != 0))
+    rows = documents.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "text")
+    return quality_crf.score(rows, chain, "doc_id long, held_out boolean")
+
+
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
+QUERIES = {
+    "op1_minhash_dedup": op1_minhash_dedup,
+    "op2_language_id": op2_language_id,
+    "op3_url_filter": op3_url_filter,
+    "op4_exact_topk": op4_exact_topk,
+    "op5_lm_score": op5_lm_score,
+    "op6_toxicity": op6_toxicity,
+    "op7_source_mixing": op7_source_mixing,
+    "op8_bpe": op8_bpe,
+    "op9_line_quality": op9_line_quality,
+    "op10_embedding_dedup": op10_embedding_dedup,
+}
+
+_RULES = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in URL_RULES)
+_SPACE = r"\x20\x09-\x0D"
+
+ORACLE: dict[str, str] = {
+    "op3_url_filter": rf"""
+        WITH rules(rule_host, rule_path, rule_verdict) AS (VALUES {_RULES}),
+        cut AS (
+            SELECT row_number() OVER () AS n, page_id,
+                   translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
+                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+            FROM pages),
+        fits AS (
+            SELECT n, rule_host || rule_path AS rule, rule_verdict,
+                   row_number() OVER (PARTITION BY n ORDER BY length(rule_host || rule_path) DESC) AS place
+            FROM cut JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host))
+                               AND starts_with(path, rule_path))
+        SELECT page_id, host, path, rule, coalesce(rule_verdict, 'allow') AS verdict
+        FROM cut LEFT JOIN (SELECT * FROM fits WHERE place = 1) USING (n)
+    """,
+    "op4_exact_topk": """
+        WITH whole AS (
+            SELECT row_number() OVER () AS n, vec_id,
+                   list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT q.n, q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+            FROM whole q JOIN whole c ON q.n <> c.n WHERE q.vec_id % 100 = 0)
+        SELECT query_id, row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+        FROM scored QUALIFY rank <= 10
+    """,
+    "op10_embedding_dedup": """
+        WITH RECURSIVE one AS MATERIALIZED (
+            SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        links AS MATERIALIZED (
+            SELECT a.vec_id AS a, b.vec_id AS b
+            FROM one a JOIN one b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+            WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
+        reach(vec_id, other) AS (
+            SELECT a, b FROM links UNION SELECT r.vec_id, l.b FROM reach r JOIN links l ON r.other = l.a),
+        least AS (SELECT vec_id, min(other) AS other FROM reach GROUP BY vec_id),
+        counted AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+        SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(other, vec_id)) AS component_id,
+               vec_id = least(vec_id, coalesce(other, vec_id)) AS kept
+        FROM embeddings LEFT JOIN least USING (vec_id) LEFT JOIN counted USING (vec_id)
+    """,
+    "op7_source_mixing": rf"""
+        WITH sized AS (
+            SELECT doc_id, source,
+                   coalesce(len(regexp_extract_all(text, '[^{_SPACE}]+')), 0)::BIGINT AS size,
+                   md5(concat_ws('|', doc_id::VARCHAR, text)) AS digest,
+                   CASE WHEN coalesce(length(text), 0) = 0 THEN {mixing.LEAST_QUALITY}::DOUBLE
+                        ELSE greatest(length(regexp_replace(text, '[^\p{{L}}\x20\x0A]+', '', 'g'))::DOUBLE
+                                      / length(text), {mixing.LEAST_QUALITY}::DOUBLE) END AS weight
+            FROM documents),
+        keyed AS MATERIALIZED (
+            SELECT *, -ln((('0x' || substr(digest, 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0::DOUBLE)
+                      / weight AS key
+            FROM sized),
+        sums AS (
+            SELECT source, sum(size)::BIGINT AS source_size,
+                   [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS w
+            FROM keyed GROUP BY source),
+        ratio AS (
+            SELECT *, 2 * source_size AS cap,
+                   row_number() OVER (ORDER BY 2 * source_size / w::DOUBLE, source NULLS LAST) AS place,
+                   1.5::DOUBLE * (sum(source_size) OVER ())::DOUBLE AS budget
+            FROM sums),
+        levels AS (
+            SELECT *, (budget - (coalesce(sum(cap) OVER (ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING
+                                                         AND 1 PRECEDING), 0))::DOUBLE)
+                      / (sum(w) OVER (ORDER BY place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE
+                      AS level
+            FROM ratio),
+        aims AS (
+            SELECT source, source_size,
+                   least(cap::DOUBLE, w * (SELECT arg_min(level, place) FROM levels WHERE level * w <= cap)) AS target
+            FROM levels),
+        parts AS (
+            SELECT *, floor(target / greatest(source_size, 1))::BIGINT AS epochs FROM aims),
+        rests AS (
+            SELECT *, floor(target - epochs * source_size + 0.5::DOUBLE)::BIGINT AS rest FROM parts),
+        placed AS (
+            SELECT k.doc_id, k.size, r.source_size, r.target, r.epochs,
+                   greatest(least(rest - coalesce(sum(size) OVER (PARTITION BY k.source ORDER BY key, digest, doc_id
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), size), 0)::BIGINT AS extra
+            FROM keyed k JOIN rests r ON k.source IS NOT DISTINCT FROM r.source)
+        SELECT doc_id, size, source_size, target, epochs * size + extra AS taken,
+               CASE WHEN size > 0 THEN epochs + (2 * extra >= size)::INT ELSE 0 END::INT AS copies
+        FROM placed
+    """,
+}
