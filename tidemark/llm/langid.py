@@ -3,13 +3,15 @@
 Method: each language has a zstandard raw-content dictionary, made of whole
 sample texts of that language. A text is encoded with every dictionary, in
 blocks, so that a long text cannot replace the dictionary by its own history;
-the language whose encoding is smallest wins. If the two smallest sizes are too
-close, the decision counts as a rejection.
+the language whose encoding is smallest wins. Only letters count: case is folded
+and everything else becomes single spaces. If the two smallest sizes are close, the text is encoded once more
+with greater effort; if they still are too close, the decision counts as a rejection.
 """
 
 from __future__ import annotations
 
 import functools
+import re
 from collections.abc import Sequence
 
 import numpy as np
@@ -27,7 +29,12 @@ DICT_ROWS = 400
 #: Longest text, in characters, that may enter a dictionary; texts enter whole.
 DICT_TEXT = 8_000
 BLOCK = 4_096
-LEVEL = 3
+LEVEL, EFFORT = 6, 12
+#: Relative difference of the two smallest sizes below which the greater effort is made.
+CLOSE = 0.05
+#: With the greater effort, texts of fewer bytes are encoded twice in a row behind a run of spaces:
+#: very short inputs would be stored as they are, whatever the dictionary.
+SHORT, LEAD = 256, b" " * 64
 #: Relative difference of the two smallest sizes below which a decision is rejected.
 MARGIN = 0.002
 #: Relative difference at which the score reaches 0.5 + 0.5 * tanh(1).
@@ -35,6 +42,12 @@ SCALE = 0.05
 UNKNOWN = "und"
 
 Dictionaries = dict[str, bytes]
+_OTHERS = re.compile(r"[\W\d_]+")
+
+
+def letters(text: str) -> bytes:
+    """What is encoded of a text: its letters in lower case, with single spaces for all else."""
+    return _OTHERS.sub(" ", text.lower()).encode()
 
 
 def learn(training: DataFrame, dict_bytes: int = DICT_BYTES, dict_rows: int = DICT_ROWS) -> Dictionaries:
@@ -63,29 +76,30 @@ def learn(training: DataFrame, dict_bytes: int = DICT_BYTES, dict_rows: int = DI
     texts: dict[str, list[tuple[int, str]]] = {}
     for r in sample.select("lang", "total", "text").collect():
         texts.setdefault(r.lang, []).append((r.total, r.text))
-    return {lang: "\n".join(t for _, t in sorted(found)).encode() for lang, found in sorted(texts.items())}
+    return {lang: b" ".join(letters(t) for _, t in sorted(found)) for lang, found in sorted(texts.items())}
 
 
-@functools.lru_cache(maxsize=4)
-def _compressors(content: tuple[tuple[str, bytes], ...]) -> list[zstandard.ZstdCompressor]:
+@functools.lru_cache(maxsize=8)
+def _compressors(content: tuple[tuple[str, bytes], ...], level: int) -> list[zstandard.ZstdCompressor]:
     """One per language, made once in each Python worker."""
     made = []
     for _, text in content:
         data = zstandard.ZstdCompressionDict(text, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        data.precompute_compress(level=LEVEL)
+        data.precompute_compress(level=level)
         made.append(
             zstandard.ZstdCompressor(
-                level=LEVEL, dict_data=data, write_checksum=False, write_content_size=False, write_dict_id=False
+                level=level, dict_data=data, write_checksum=False, write_content_size=False, write_dict_id=False
             )
         )
     return made
 
 
-def sizes(text: str, compressors: Sequence[zstandard.ZstdCompressor]) -> list[int]:
-    """Encoded bytes of the whole text with each dictionary."""
-    data = text.encode()
+def ranking(data: bytes, compressors: Sequence[zstandard.ZstdCompressor]) -> tuple[list[int], float]:
+    """Languages by encoded size of all blocks, and the relative difference of the two smallest."""
     blocks = [data[i : i + BLOCK] for i in range(0, len(data), BLOCK)]
-    return [sum(len(c.compress(b)) for b in blocks) for c in compressors]
+    size = [sum(len(c.compress(b)) for b in blocks) for c in compressors]
+    order = sorted(range(len(size)), key=lambda i: (size[i], i))
+    return order, (size[order[1]] - size[order[0]]) / size[order[1]] if len(order) > 1 else 1.0
 
 
 def _decide(dictionaries: Dictionaries, margin: float):
@@ -93,7 +107,7 @@ def _decide(dictionaries: Dictionaries, margin: float):
     names = [lang for lang, _ in content]
 
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        compressors = _compressors(content)
+        quick, slow = _compressors(content, LEVEL), _compressors(content, EFFORT)
         langs, scores, accepted = [], [], []
         for text in batch.column(TEXT).to_pylist():
             if not names or not text or not any(map(str.isalpha, text)):
@@ -101,13 +115,13 @@ def _decide(dictionaries: Dictionaries, margin: float):
                 scores.append(0.0)
                 accepted.append(False)
                 continue
-            size = sizes(text, compressors)
-            order = sorted(range(len(size)), key=lambda i: (size[i], names[i]))
-            best = size[order[0]]
-            gap = (size[order[1]] - best) / size[order[1]] if len(order) > 1 else 1.0
+            data = letters(text)
+            order, gap = ranking(data, quick)
+            if gap < CLOSE:
+                order, gap = ranking(LEAD + data + b" " + data if len(data) < SHORT else data, slow)
             langs.append(names[order[0]])
             scores.append(float(0.5 + 0.5 * np.tanh(gap / SCALE)))
-            accepted.append(len(order) == 1 or gap >= margin)
+            accepted.append(gap >= margin)
         return added(
             batch,
             lang_pred=pa.array(langs, pa.string()),
