@@ -1,10 +1,11 @@
 """Toxicity of whole texts by a counterfactual-regularised classifier.
 
 Method: logistic regression on the words of a text, present or not, and on their
-beginnings, with an L1 penalty that leaves few weights. Labelled sentences that
-name a group of people are repeated with the name swapped for another group's;
-the training penalises the square of every change of score that the swap causes, so that
-naming a group does not make a text toxic.
+beginnings, as far as a feature goes with the label more often or less than
+chance allows. Labelled sentences that name a group of people are repeated with the
+name swapped for another group's; the training penalises the square of every
+change of score that the swap causes, so that naming a group does not make a
+text toxic. Into a sentence that names no group, a name is put first.
 """
 
 from __future__ import annotations
@@ -25,12 +26,16 @@ from tidemark.llm.common import TEXT, added, mapped, with_text
 SAMPLE = 8_000
 SAMPLE_FEATURES = 20_000
 BUCKETS = 1 << 20
-STARTS = (4, 5)
-STEPS = 250
-LASSO = 4e-4
+STARTS = (3, 4, 5, 6)
+#: A feature counts if it occurs in so many texts and its toxic share is so many standard errors from the mean.
+LEAST_TEXTS = 2
+LEAST_Z = 3.5
+STEPS = 200
+RATE = 0.1
+RIDGE = 1e-5
 SWAP_PENALTY = 5.0
-#: Sentences without a group name that are tried with one, next to those that have one.
-NEUTRAL = 2_000
+#: Documents of the sample whose sentences are swapped.
+SWAPPED = 2_000
 PREDICT_FROM = 0.7
 WORD = re.compile(r"[^\W\d_]+")
 SENTENCE = re.compile(r"[.!?\n]+")
@@ -88,61 +93,48 @@ class Model:
     weights: dict[int, float]
 
 
-def _rows(sets: list[np.ndarray], place: dict[int, int]):
-    """Column numbers of all sets in one array, and the start of each."""
-    column = np.fromiter((place[f] for s in sets for f in s.tolist() if f in place), np.int64)
-    size = np.fromiter((sum(f in place for f in s.tolist()) for s in sets), np.int64, len(sets))
-    return column, np.repeat(np.arange(len(sets)), size)
+def _entries(sets: list[np.ndarray], names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column of every feature of the sets that is in ``names`` (sorted)."""
+    flat = np.concatenate([*sets, np.empty(0, np.int64)])
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    at = np.searchsorted(names, flat)
+    hit = (at < len(names)) & (names[np.minimum(at, len(names) - 1)] == flat)
+    return row[hit], at[hit]
 
 
 def train(texts: list[np.ndarray], toxic: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray]]) -> Model:
-    """Logistic regression with L1 by accelerated proximal steps.
+    """Logistic regression by Adam steps on feature sets ``texts`` with labels ``toxic``.
 
-    ``texts`` are feature sets with labels ``toxic``; ``pairs`` are sets before and
-    after a swap. A feature seen in a single text is left out.
+    ``pairs`` are sets before and after a swap.
     """
-    every, seen = np.unique(np.concatenate([*texts, np.empty(0, np.int64)]), return_counts=True)
-    in_pairs = {f for a, b in pairs for f in (*a.tolist(), *b.tolist())}
-    names = np.array([f for f, c in zip(every.tolist(), seen, strict=True) if c > 1 or f in in_pairs], np.int64)
-    place = {f: k for k, f in enumerate(names.tolist())}
-    n, d = len(texts), len(names)
-    share = min(max(float(toxic.mean()), 1e-6), 1 - 1e-6) if n else 0.5
+    n = len(texts)
+    share = min(max(float(toxic.mean()), 1e-6), 1 - 1e-6)
     bias = math.log(share / (1 - share))
+    every, inverse = np.unique(np.concatenate([*texts, np.empty(0, np.int64)]), return_inverse=True)
+    seen = np.bincount(inverse, minlength=len(every))
+    hit = np.bincount(inverse, np.repeat(toxic, [len(x) for x in texts]), minlength=len(every))
+    z = (hit - seen * share) / np.sqrt(np.maximum(seen * share * (1 - share), 1e-9))
+    names = every[(seen >= LEAST_TEXTS) & (np.abs(z) >= LEAST_Z)]
+    d, m = len(names), max(len(pairs), 1)
     if not d:
         return Model(bias, {})
-    column, row = _rows(texts, place)
-    left, left_row = _rows([a for a, _ in pairs], place)
-    right, right_row = _rows([b for _, b in pairs], place)
-    m = max(len(pairs), 1)
-
-    # A text's features share its weight, so that long texts do not dominate the steps.
-    def gradient(w: np.ndarray, b: float) -> tuple[np.ndarray, float]:
-        z = np.bincount(row, w[column], minlength=n) + b
-        error = (1 / (1 + np.exp(-np.clip(z, -35, 35))) - toxic) / n
-        g = np.bincount(column, error[row], minlength=d)
-        if pairs:
-            change = np.bincount(left_row, w[left], minlength=m) - np.bincount(right_row, w[right], minlength=m)
-            change *= 2 * SWAP_PENALTY / m
-            g += np.bincount(left, change[left_row], minlength=d) - np.bincount(right, change[right_row], minlength=d)
-        return g, float(error.sum())
-
-    # Step length from the share of texts and pairs that a feature occurs in.
-    used = 0.25 * np.bincount(column, minlength=d) / n
-    if pairs:
-        used += 2 * SWAP_PENALTY * (np.bincount(left, minlength=d) + np.bincount(right, minlength=d)) / m
-    step = 1.0 / (used * 40 + 1e-3)
-    w, ahead, t = np.zeros(d), np.zeros(d), 1.0
-    for _ in range(STEPS):
-        g, g_bias = gradient(ahead, bias)
-        new = ahead - step * g
-        new = np.sign(new) * np.maximum(np.abs(new) - step * LASSO, 0)
-        t_new = (1 + math.sqrt(1 + 4 * t * t)) / 2
-        if float(np.dot(ahead - new, new - w)) > 0:  # the pace turned against the descent
-            t_new = 1.0
-        ahead = new + (t - 1) / t_new * (new - w)
-        w, t = new, t_new
-        bias -= 2.0 * g_bias
-    return Model(float(bias), {int(names[k]): float(w[k]) for k in np.flatnonzero(w)})
+    row, column = _entries(texts, names)
+    a_row, a = _entries([x for x, _ in pairs], names)
+    b_row, b = _entries([x for _, x in pairs], names)
+    theta = np.append(np.zeros(d), bias)
+    first, second = np.zeros(d + 1), np.zeros(d + 1)
+    for k in range(1, STEPS + 1):
+        w = theta[:-1]
+        score = np.bincount(row, w[column], minlength=n) + theta[-1]
+        error = (1 / (1 + np.exp(-np.clip(score, -35, 35))) - toxic) / n
+        change = np.bincount(a_row, w[a], minlength=m) - np.bincount(b_row, w[b], minlength=m)
+        change *= 2 * SWAP_PENALTY / m
+        g = np.bincount(column, error[row], minlength=d) + RIDGE * w
+        g += np.bincount(a, change[a_row], minlength=d) - np.bincount(b, change[b_row], minlength=d)
+        g = np.append(g, error.sum())
+        first, second = 0.9 * first + 0.1 * g, 0.999 * second + 0.001 * g * g
+        theta = theta - RATE * (first / (1 - 0.9**k)) / (np.sqrt(second / (1 - 0.999**k)) + 1e-8)
+    return Model(float(theta[-1]), dict(zip(names.tolist(), theta[:-1].tolist(), strict=True)))
 
 
 def learn(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | None:
@@ -189,7 +181,7 @@ def learn(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Mode
         return None
     got.sort(key=lambda r: r.doc_id)
     as_set = lambda x: np.frombuffer(x, np.int32).astype(np.int64)
-    pairs = [(as_set(r.a), as_set(r.b)) for r in got[:NEUTRAL]]
+    pairs = [(as_set(r.a), as_set(r.b)) for r in got[:SWAPPED]]
     return train([as_set(r.x) for r in got], np.array([r.toxic > 0 for r in got], float), pairs)
 
 
