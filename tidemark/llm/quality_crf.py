@@ -4,7 +4,8 @@ Method: every line is a position of a chain with the states bad and good. Its
 features describe the line and its two neighbours; two states in a row have
 transition weights. Training climbs the conditional log-likelihood of the
 labelled documents' lines; forward and backward passes give each line's marginal
-of being good, and their mean, weighted by line length, is the document's score.
+of being good. Their mean, weighted by line length, is the document's quality, which a
+logistic line fitted to the same labels turns into a probability.
 """
 
 from __future__ import annotations
@@ -20,8 +21,8 @@ from tidemark.llm.common import TEXT, added, mapped, with_text
 
 #: Bound of the sample the model is fitted on: labelled documents, and lines of one of them.
 SAMPLE = 6_000
-SAMPLE_LINES = 600
-STEPS = 300
+SAMPLE_LINES = 200
+STEPS = 200
 RATE = 0.1
 RIDGE = 1e-3
 PREDICT_FROM = 0.3
@@ -91,10 +92,13 @@ def line_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 
 @dataclass(frozen=True)
 class Chain:
-    """Weights of the state good per feature, and of state pairs (before, after)."""
+    """Weights of the state good per feature and of state pairs (before, after), and the
+    line from the logit of a document's mean to that of its score."""
 
     weights: np.ndarray
     transitions: np.ndarray
+    slope: float = 1.0
+    offset: float = 0.0
 
     def marginals(self, x: np.ndarray, first: np.ndarray) -> np.ndarray:
         return _passes(x @ self.weights, self.transitions, first)[0]
@@ -107,79 +111,87 @@ def _columns(first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     return order, length[order]
 
 
-def _passes(emission: np.ndarray, transitions: np.ndarray, first: np.ndarray, pairs: bool = False):
-    """Marginal of good for each line; with ``pairs`` also the expected transitions, summed.
+def _passes(emission: np.ndarray, transitions: np.ndarray, first: np.ndarray, weight: np.ndarray | None = None):
+    """Marginal of good for each line; with a ``weight`` per text also the expected transitions.
 
     All texts take a step together; those that have ended drop out.
     """
     n = len(emission)
     order, length = _columns(first, n)
     heads = first[order]
-    top = transitions.max()
-    move = np.exp(transitions - top)
+    move = np.exp(transitions - transitions.max())
     local = np.stack([np.exp(-np.maximum(emission, 0)), np.exp(np.minimum(emission, 0))], 1)
     forward, backward = np.empty((n, 2)), np.ones((n, 2))
-    for t in range(length[0] if len(length) else 0):
-        at = heads[: np.searchsorted(-length, -t)] + t
+    most = length[0] if len(length) else 0
+    still = np.searchsorted(-length, -np.arange(most))
+    for t in range(most):
+        at = heads[: still[t]] + t
         step = local[at] if t == 0 else (forward[at - 1] @ move) * local[at]
         forward[at] = step / step.sum(1, keepdims=True)
     expected = np.zeros((2, 2))
-    for t in range((length[0] if len(length) else 0) - 1, 0, -1):
-        at = heads[: np.searchsorted(-length, -t)] + t
+    for t in range(most - 1, 0, -1):
+        at = heads[: still[t]] + t
         ahead = local[at] * backward[at]
         step = ahead @ move.T
         backward[at - 1] = step / step.sum(1, keepdims=True)
-        if pairs:
+        if weight is not None:
             both = forward[at - 1][:, :, None] * move * ahead[:, None, :]
-            expected += (both / both.sum((1, 2), keepdims=True)).sum(0)
+            both *= (weight[order[: still[t]]] / both.sum((1, 2)))[:, None, None]
+            expected += both.sum(0)
     state = forward * backward
-    return (state[:, 1] / state.sum(1)), expected
+    return state[:, 1] / state.sum(1), expected
 
 
-def train(x: np.ndarray, first: np.ndarray, good: np.ndarray) -> Chain:
+def train(x: np.ndarray, chars: np.ndarray, first: np.ndarray, good: np.ndarray) -> Chain:
     """Fit to lines ``x`` of texts that start at ``first`` and carry a label ``good`` each.
 
     Adam steps up the conditional log-likelihood, in which every line has its text's label;
-    each text weighs one.
+    each text weighs one. Then a line through the texts' scores, on the
+    logistic scale, is fitted to the same labels.
     """
     n, texts = len(x), len(first)
     length = np.diff(np.append(first, n))
     label = np.repeat(good.astype(float), length)
-    weight = np.repeat(1.0 / length, length)
+    per_text = 1.0 / length
+    weight = np.repeat(per_text, length)
     seen = np.zeros((2, 2))
-    both = np.bincount(good.astype(int), np.maximum(length - 1, 0) / length, minlength=2)
-    seen[0, 0], seen[1, 1] = both
+    seen[0, 0], seen[1, 1] = np.bincount(good.astype(int), (length - 1) * per_text, minlength=2)
     theta = np.zeros(x.shape[1] + 4)
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     for k in range(1, STEPS + 1):
-        p, expected = _weighted(x @ theta[:-4], theta[-4:].reshape(2, 2), first, weight)
+        p, expected = _passes(x @ theta[:-4], theta[-4:].reshape(2, 2), first, per_text)
         up = np.concatenate([x.T @ (weight * (label - p)), (seen - expected).ravel()]) / texts - RIDGE * theta
         m, v = 0.9 * m + 0.1 * up, 0.999 * v + 0.001 * up * up
         theta = theta + RATE * (m / (1 - 0.9**k)) / (np.sqrt(v / (1 - 0.999**k)) + 1e-8)
-    return Chain(theta[:-4], theta[-4:].reshape(2, 2))
+    chain = Chain(theta[:-4], theta[-4:].reshape(2, 2))
+    z = _logit(document_means(chain, x, chars, first))
+    slope, offset = 1.0, 0.0
+    for _ in range(50):  # Newton steps with a small ridge towards the scores as they are
+        p = 1 / (1 + np.exp(-np.clip(slope * z + offset, -35, 35)))
+        q = p * (1 - p)
+        grad = np.array([((p - good) * z).sum() + slope - 1, (p - good).sum() + offset])
+        hess = np.array([[(q * z * z).sum() + 1, (q * z).sum()], [(q * z).sum(), q.sum() + 1]])
+        slope, offset = np.array([slope, offset]) - np.linalg.solve(hess, grad)
+    return Chain(chain.weights, chain.transitions, max(float(slope), 1e-3), float(offset))
 
 
-def _weighted(emission: np.ndarray, transitions: np.ndarray, first: np.ndarray, weight: np.ndarray):
-    """Marginals, and expected transitions with each text's weight."""
-    n = len(emission)
-    p, _ = _passes(emission, transitions, first)
-    order, length = _columns(first, n)
-    expected = np.zeros((2, 2))
-    for size in np.unique(length):  # texts of one length share their weight
-        if size > 1:
-            chosen = first[order[length == size]]
-            rows = (chosen[:, None] + np.arange(size)).ravel()
-            starts = np.arange(len(chosen)) * size
-            expected += _passes(emission[rows], transitions, starts, pairs=True)[1] / size
-    return p, expected
+def _logit(p: np.ndarray) -> np.ndarray:
+    p = np.clip(p, 1e-6, 1 - 1e-6)
+    return np.log(p / (1 - p))
 
 
-def document_scores(chain: Chain, x: np.ndarray, chars: np.ndarray, first: np.ndarray) -> np.ndarray:
+def document_means(chain: Chain, x: np.ndarray, chars: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Length-weighted mean of the lines' marginals."""
     p = chain.marginals(x, first)
     return np.add.reduceat(p * chars, first) / np.add.reduceat(chars, first)
 
 
+def document_scores(chain: Chain, x: np.ndarray, chars: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Probability of a good document, from the mean of its lines."""
+    z = chain.slope * _logit(document_means(chain, x, chars, first)) + chain.offset
+    return 1 / (1 + np.exp(-np.clip(z, -35, 35)))
+
+
 def learn(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain | None:
     """A chain from ``documents`` (doc_id, text) and ``labels`` (doc_id, quality).
 
@@ -201,8 +213,8 @@ def learn(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chai
     rows = rows.where(F.length("text") - F.length(F.translate("text", "\n", "")) < SAMPLE_LINES)
 
     def features(batch: pa.RecordBatch) -> pa.RecordBatch:
-        x, _, first = line_features(batch.column("text").to_pylist())
-        parts = np.split(x.astype(np.float32), first[1:])
+        x, chars, first = line_features(batch.column("text").to_pylist())
+        parts = np.split(np.concatenate([x, chars[:, None]], 1).astype(np.float32), first[1:])
         return pa.record_batch(
             {
                 "doc_id": batch.column("doc_id"),
@@ -215,9 +227,10 @@ def learn(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chai
     got = sorted(((r.doc_id, r.quality, bytes(r.x)) for r in found.dropDuplicates(["doc_id"]).collect()))
     if not got:
         return None
-    parts = [np.frombuffer(x, np.float32).reshape(-1, FEATURES).astype(float) for _, _, x in got]
+    parts = [np.frombuffer(x, np.float32).reshape(-1, FEATURES + 1).astype(float) for _, _, x in got]
     first = np.cumsum([0] + [len(p) for p in parts[:-1]])
-    return train(np.concatenate(parts), first, np.array([q > 0 for _, q, _ in got]))
+    lines = np.concatenate(parts)
+    return train(lines[:, :-1], lines[:, -1], first, np.array([q > 0 for _, q, _ in got]))
 
 
 def score(documents: DataFrame, chain: Chain | None, keep: str) -> DataFrame:
