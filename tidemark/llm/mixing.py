@@ -33,7 +33,7 @@ def word_count(text: Column) -> Column:
 
 def quality(text: Column) -> Column:
     """Share of letters, spaces and line feeds in the text, at least ``LEAST_QUALITY``."""
-    clean = F.length(F.regexp_replace(text, r"[^\p{L}\x20\x0A]+", "")) / F.length(text)
+    clean = F.try_divide(F.length(F.regexp_replace(text, r"[^\p{L}\x20\x0A]+", "")), F.length(text))
     return F.coalesce(F.greatest(clean, F.lit(LEAST_QUALITY)), F.lit(LEAST_QUALITY))
 
 
