@@ -19,6 +19,7 @@ import functools
 import hashlib
 import heapq
 import json
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,14 @@ from tidemark.llm.common import TEXT, added, mapped, with_text
 
 #: Fixed: the word pattern of this family of byte-level vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: The same for texts of code points up to U+024F, with the members of each class written out,
+#: which the standard library's matcher does in half the time.
+LETTERS, NUMBERS, SPACES = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f", "0-9\xb2\xb3\xb9\xbc-\xbe", " \t-\r\x85\xa0"
+LATIN = re.compile("[\0-\u024f]*")
+LATIN_PATTERN = re.compile(
+    f" ?[{LETTERS}]+| ?[{NUMBERS}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[^{SPACES}{LETTERS}{NUMBERS}]+"
+    f"|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+"
+)
 #: Fixed: code points that are letters or numbers in later Unicode versions only. The
 #: library whose encoding is matched goes by version 15.1, in which they are neither.
 LATER = (
@@ -42,8 +51,11 @@ LATER = (
 )
 #: A sign that is neither letter, number nor white space.
 SIGN = "\u2603"
-CACHED_WORDS = 200_000
-NEVER = np.int64(1) << np.int64(40)
+CACHED_WORDS = 300_000
+CACHED_PAIRS = 400_000
+NEVER = 1 << 40
+#: Bytes up to which a word is merged by looking through all its pairs.
+SHORT = 24
 
 
 def byte_letters() -> dict[str, int]:
@@ -81,6 +93,7 @@ class Vocabulary:
         made = np.array([ids[a + b] for a, b in merges], np.int64)
         self.size = size
         self.names = [str(i) for i in range(size)]
+        self.pairs: dict[int, bool] = {}
         key = left * size + right
         order = np.argsort(key, kind="stable")
         self.keys, self.ranks, self.made = key[order], order.astype(np.int64), made[order]
@@ -127,17 +140,14 @@ class Vocabulary:
         """
         fine = np.ones(len(a), bool)
         for i in range(self.right_edges.shape[1]):
-            x, x_end = self.right_edges[a, i], self.right_ends[a, i]
-            if not (x >= 0).any():
-                break
             for j in range(self.left_edges.shape[1]):
                 if skip_whole and i == j == 0:
                     continue
-                y, y_end = self.left_edges[b, j], self.left_ends[b, j]
-                if not (y >= 0).any():
+                at = np.flatnonzero(fine & (self.right_edges[a, i] >= 0) & (self.left_edges[b, j] >= 0))
+                if not len(at):
                     break
-                r = self.rank(x, y)
-                fine &= ~((r < NEVER) & (r < x_end) & (r <= y_end))
+                r = self.rank(self.right_edges[a[at], i], self.left_edges[b[at], j])
+                fine[at] = (r == NEVER) | (r >= self.right_ends[a[at], i]) | (r > self.left_ends[b[at], j])
         return fine
 
     def _mark_reachable(self, first: np.ndarray, last: np.ndarray) -> None:
@@ -149,34 +159,52 @@ class Vocabulary:
         for t in merged[np.argsort(self.rank_of[merged])]:
             good[t] = good[t] and good[first[t]] and good[last[t]]
         self.known = {self.bytes[t]: int(t) for t in np.flatnonzero(good)}
-        longest = np.zeros(1 << 16, np.int64)
+        self.single = self.byte_ids.tolist()
+        # By the first two bytes, the lengths of the tokens that begin so, longest first.
+        lengths: dict[bytes, set[int]] = {}
         for word in self.known:
             if len(word) > 1:
-                head = word[0] << 8 | word[1]
-                longest[head] = max(longest[head], len(word))
-        self.longest = longest.tolist()
+                lengths.setdefault(word[:2], set()).add(len(word))
+        self.lengths = {head: tuple(sorted(sizes, reverse=True)) for head, sizes in lengths.items()}
 
     def propose(self, word: bytes) -> list[int]:
         """Greedy longest match."""
-        out, at, known, longest, end = [], 0, self.known, self.longest, len(word)
+        known, lengths, end = self.known, self.lengths, len(word)
+        whole = known.get(word)
+        if whole is not None:
+            return [whole]
+        out, at = [], 0
         while at < end:
-            size = min(longest[word[at] << 8 | word[at + 1]], end - at) if at + 1 < end else 1
-            while size > 1:
+            for size in lengths.get(word[at : at + 2], ()):
                 token = known.get(word[at : at + size])
-                if token is not None:
+                if token is not None and at + size <= end:
                     out.append(token)
                     at += size
                     break
-                size -= 1
             else:
-                out.append(int(self.byte_ids[word[at]]))
+                out.append(self.single[word[at]])
                 at += 1
         return out
 
     def merge_exactly(self, word: bytes) -> list[int]:
-        """Lowest rank first, leftmost of equal ranks; n log n."""
-        ids: list[int] = [int(self.byte_ids[b]) for b in word]
+        """Lowest rank first, leftmost of equal ranks; n log n beyond a short word."""
+        ids = [self.single[b] for b in word]
         n = len(ids)
+        if n <= SHORT:
+            none, merge = (NEVER, 0), self.merge
+            found = [merge.get(p, none) for p in zip(ids, ids[1:])]  # noqa: B905
+            while found:
+                best = min(found)
+                if best is none or best[0] == NEVER:
+                    break
+                k = found.index(best)
+                ids[k : k + 2] = [best[1]]
+                del found[k]
+                if k:
+                    found[k - 1] = merge.get((ids[k - 1], ids[k]), none)
+                if k < len(found):
+                    found[k] = merge.get((ids[k], ids[k + 1]), none)
+            return ids
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         alive = [True] * n
         queue = [(*self.merge[p], k, *p) for k, p in enumerate(zip(ids, ids[1:])) if p in self.merge]  # noqa: B905
@@ -206,11 +234,19 @@ class Vocabulary:
         owner = np.repeat(np.arange(len(words)), lengths)
         inside = np.flatnonzero(owner[1:] == owner[:-1])
         pairs, which = np.unique(flat[inside] * self.size + flat[inside + 1], return_inverse=True)
-        fine = self.compatible(pairs // self.size, pairs % self.size)
-        for k in np.unique(owner[inside[~fine[which]]]):
+        for k in np.unique(owner[inside[~self._tested(pairs)[which]]]):
             proposed[k] = self.merge_exactly(words[k])
         return proposed
 
+    def _tested(self, pairs: np.ndarray) -> np.ndarray:
+        """``compatible``, remembered for pairs tested before."""
+        if len(self.pairs) > CACHED_PAIRS:
+            self.pairs.clear()
+        names = pairs.tolist()
+        new = np.array([p for p in names if p not in self.pairs], np.int64)
+        self.pairs.update(zip(new.tolist(), self.compatible(new // self.size, new % self.size).tolist(), strict=True))
+        return np.array([self.pairs[p] for p in names], bool)
+
     def pieces(self, text: str) -> list[str]:
         """The words and special tokens of a text, in order; together they are the text."""
         parts = self.special_pattern.split(text) if self.special_pattern else [text]
@@ -218,7 +254,9 @@ class Vocabulary:
         for part in parts:
             if part in self.special:
                 out.append(part)
-            elif part.isascii() or not self.later.search(part):
+            elif LATIN.fullmatch(part):
+                out.extend(LATIN_PATTERN.findall(part))
+            elif not self.later.search(part):
                 out.extend(self.words.findall(part))
             else:
                 out.extend(part[m.start() : m.end()] for m in self.words.finditer(self.later.sub(SIGN, part)))
@@ -235,23 +273,30 @@ def _vocabulary(name: str) -> Vocabulary:
 
 
 class Encoded(dict):
-    """Ids of words and special tokens, known from earlier batches."""
+    """For words and special tokens met before: decimal ids joined by commas, and the bytes they decode to.
+
+    Of at most twice ``CACHED_WORDS`` entries, those not met for long are forgotten.
+    """
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
         self.vocabulary = vocabulary
+        self.older: dict[str, tuple[str, bytes]] = {}
 
     def learn(self, texts: list[list[str]]) -> None:
         if len(self) > CACHED_WORDS:
+            self.older = dict(self)
             self.clear()
-        new = [w for w in {w for t in texts for w in t}.difference(self)]
-        special = self.vocabulary.special
-        plain = [w for w in new if w not in special]
-        for word, ids in zip(plain, self.vocabulary.encode_words([w.encode() for w in plain]), strict=True):
-            self[word] = ids
-        for word in new:
-            if word in special:
-                self[word] = [special[word]]
+        v, older = self.vocabulary, self.older
+        lacking = set().union(*texts).difference(self)
+        again = lacking.intersection(older)
+        self.update((w, older[w]) for w in again)
+        new = lacking.difference(again)
+        special = [w for w in new if w in v.special]
+        plain = list(new.difference(special))
+        found = v.encode_words([w.encode() for w in plain]) + [[v.special[w]] for w in special]
+        for word, ids in zip(plain + special, found, strict=True):
+            self[word] = (",".join([v.names[i] for i in ids]), b"".join([v.bytes[i] for i in ids]))
 
 
 @functools.lru_cache(maxsize=2)
@@ -264,7 +309,7 @@ STEP = 1 << 18
 
 
 def _rows(name: str, texts: list[str]):
-    """Ids of each text, learning the new words of several texts at a time."""
+    """What is known of the words of each text; new words of several texts are learned at a time."""
     known = _encoded(name)
     held: list[list[str]] = []
     count = 0
@@ -272,7 +317,7 @@ def _rows(name: str, texts: list[str]):
         if held and (text is None or count >= STEP):
             known.learn(held)
             for words in held:
-                yield [i for w in words for i in known[w]]
+                yield list(map(known.__getitem__, words))
             held, count = [], 0
         if text is not None:
             held.append(known.vocabulary.pieces(text))
@@ -282,7 +327,7 @@ def _rows(name: str, texts: list[str]):
 def _encode(name: str):
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = [t or "" for t in batch.column(TEXT).to_pylist()]
-        ids = pa.array((np.array(x, np.int32) for x in _rows(name, texts)), pa.list_(pa.int32()))
+        ids = pa.array(([int(i) for ids, _ in found for i in ids.split(",")] for found in _rows(name, texts)), pa.list_(pa.int32()))
         return added(batch, ids=ids)
 
     return one
@@ -299,12 +344,13 @@ def _decode(name: str):
 
 def _digests(name: str):
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        vocabulary = _vocabulary(name)
         counts, encoded, decoded = [], [], []
-        for ids in _rows(name, [t or "" for t in batch.column(TEXT).to_pylist()]):
-            counts.append(len(ids))
-            encoded.append(hashlib.sha256(",".join([vocabulary.names[i] for i in ids]).encode()).hexdigest())
-            decoded.append(hashlib.sha256(vocabulary.decode(ids).encode()).hexdigest())
+        for found in _rows(name, [t or "" for t in batch.column(TEXT).to_pylist()]):
+            ids = ",".join([ids for ids, _ in found])
+            counts.append(ids.count(",") + 1 if ids else 0)
+            encoded.append(hashlib.sha256(ids.encode()).hexdigest())
+            text = b"".join([part for _, part in found]).decode("utf-8", "replace")
+            decoded.append(hashlib.sha256(text.encode()).hexdigest())
         return added(batch, n_tokens=pa.array(counts, pa.int64()), ids_sha256=encoded, decoded_sha256=decoded)
 
     return one
