@@ -45,7 +45,7 @@ def okapi(texts, query, k, pad, per_doc=3):
         for t in query.lower().split():
             tf = d.count(t)
             s += idf.get(t, 0) * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * len(d) / avgdl))
-        scores.append(round(s, 9))
+        scores.append(float(f"{s:.11e}"))
     order = sorted(range(n), key=lambda i: -scores[i])
     if not pad:
         order = [i for i in order if scores[i] > 0]
@@ -160,6 +160,71 @@ def test_dense(spark, way, metric, monkeypatch):
     assert np.allclose([g[4] for g in got], [e[4] for e in expected], atol=2e-6)
 
 
+def test_near_neighbours_are_told_apart(spark, way):
+    """Distances far below any fixed number of decimals."""
+    m = [[3e-5, 0.0], [2e-5, 0.0], [1.5e-5, 0.0], [1e-5, 0.0]]
+    queries = spark.createDataFrame([(0, m[3])], "query_id long, embedding array<float>")
+    got = dense.dense_search(queries, vectors_of(spark, m), 2).orderBy("rank").collect()
+    assert [r["doc_id"] for r in got] == [3, 2] and got[0]["distance"] == 0 and 0 < got[1]["distance"] < 1e-10
+    far = [[1e6 + x, 1.0] for x in (0.5, 0.25, 0.0)]
+    queries = spark.createDataFrame([(0, far[2])], "query_id long, embedding array<float>")
+    assert [r["doc_id"] for r in dense.dense_search(queries, vectors_of(spark, far), 3).orderBy("rank").collect()] == [2, 1, 0]
+
+
+def test_small_positive_scores_stay(spark, way):
+    """A term in nearly half of all chunks has an idf, and so a score, close to 0."""
+    texts = ["x"] * 500 + ["y"] * 502
+    index = lexical.build_index(chunks_of(spark, texts), "ws")
+    got = lexical.bm25_search(queries_of(spark, "x"), index, 3).collect()
+    assert len(got) == 3 and all(0 < r["score"] < 0.01 for r in got)
+
+
+def test_no_queries_and_null_vectors(spark, way):
+    vectors = vectors_of(spark, [[1.0, 0.0], [0.0, 1.0]])
+    with_null = vectors.unionByName(vectors.limit(1).withColumn("embedding", F.lit(None).cast("array<float>")))
+    queries = spark.createDataFrame([(0, [1.0, 0.0]), (1, None)], "query_id long, embedding array<float>")
+    assert dense.dense_search(queries.limit(0), vectors).count() == 0
+    assert dense.dense_search(queries, vectors.limit(0)).count() == 0
+    assert dense.dense_search(queries, with_null, 5).count() == 2
+    docs = spark.createDataFrame([(1, "s", "a lamp")], "doc_id long, source string, text string")
+    assert retrieval.hybrid_search(queries_of(spark, "x").limit(0), docs).count() == 0
+
+
+def test_bad_vectors_are_refused_when_the_table_is_built(spark, tmp_path):
+    import pyarrow as pa
+
+    def some_null(batches):
+        for b in batches:
+            v = pa.array([None if t == "x" else [1.0] for t in b.column("text").to_pylist()], pa.list_(pa.float32()))
+            yield pa.RecordBatch.from_arrays([*b.columns, v], names=[*b.schema.names, "embedding"])
+
+    with pytest.raises(dense.BadVectorError, match="1 null"):
+        dense.rebuild_vectors(chunks_of(spark, ["abc", "x"]), str(tmp_path / "v"), encoder=some_null)
+
+
+def test_approximate_search_finds_most(spark):
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(20, 16))
+    m = (centres[np.arange(400) % 20] + rng.normal(size=(400, 16)) * 0.1).astype(np.float32)
+    vectors = vectors_of(spark, m)
+    queries = spark.createDataFrame([(i, [float(x) for x in m[i]]) for i in range(0, 400, 20)], "query_id long, embedding array<float>")
+
+    def keys(df):
+        return {(r["query_id"], r["doc_id"]) for r in df.collect()}
+
+    exact, near = keys(dense.dense_search(queries, vectors, 5)), keys(dense.approximate_search(queries, vectors, 5, reach=1.0))
+    assert len(exact & near) >= 0.9 * len(exact)
+    first = dense.approximate_search(queries, vectors, 1).collect()
+    assert len(first) == 20 and all(r["distance"] == 0 for r in first)
+
+
+def test_significant_digits():
+    x = np.array([0.0, 1.0, 123456.7890123456, -1e-300 / 3, 1e300 / 3, np.inf, -np.inf, 5e-10])
+    got = topk.significant(x, 12)
+    assert np.allclose(got, x, rtol=1e-11, atol=0) and got[2] == 123456.789012
+    assert topk.significant(np.array([0.1 + 0.2]))[0] == topk.significant(np.array([0.3]))[0]
+
+
 def test_dense_refuses_vectors_of_different_lengths(spark):
     mixed = vectors_of(spark, [[1, 2], [1, 2, 3]]).coalesce(1)
     queries = spark.createDataFrame([(0, [1.0, 0.0])], "query_id long, embedding array<float>")
@@ -243,6 +308,10 @@ def test_rerank(spark):
     table = results.select("query_id", "doc_id", "chunk_no", F.col("doc_id").cast("double").alias("rerank_score"))
     assert [r["doc_id"] for r in fusion.rerank(q, results, 1, scores=table).orderBy("query_id").collect()] == [3, 1]
     assert fusion.rerank(q, results.limit(0)).count() == 0
+    # A result without a score in the table stays, with 0.
+    some = fusion.rerank(q, results, 5, scores=table.filter("doc_id = 2"))
+    assert found(some.filter("query_id = 0"), "rerank_score") == [(0, 1, 2, 0, 2.0), (0, 2, 1, 0, 0.0), (0, 3, 3, 0, 0.0)]
+    assert fusion.rerank(q, results, 1, scorer=None).columns == some.columns
 
 
 def test_answers(spark):
@@ -269,7 +338,10 @@ def test_contexts_and_citations(spark):
         "\n\n[Context 3]\nSource: s\nChunk ID: c2\n\nthree\n"
     )
     cited = A.citations(results).orderBy("citation_no").collect()
-    assert [(r["citation_no"], r["citation"]) for r in cited] == [(1, "s (c2)"), (2, "s (c1)")]
+    # Two documents of one source have a chunk c2 each.
+    assert [(r["citation_no"], r["doc_id"], r["citation"]) for r in cited] == [(1, 2, "s (c2)"), (2, 1, "s (c1)"), (3, 3, "s (c2)")]
+    twice = results.unionByName(results.withColumn("rank", F.col("rank") + 3))
+    assert A.citations(twice).orderBy("citation_no").collect() == cited
 
 
 def test_jobs_end_to_end(spark):

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import text as X
 from tidemark.operators.chunking import sentences
+from tidemark.operators.topk import KEY
 
 # Fixed value: the answer where nothing was retrieved.
 NOT_FOUND = "I could not find relevant information in the knowledge base."
@@ -19,22 +20,28 @@ def _joined(order: Column, value: Column, sep: str) -> Column:
     return F.array_join(F.transform(rows, lambda r: r["v"]), sep)
 
 
+# How a block of context and a citation are written.
+CONTEXT = "\n[Context %d]\nSource: %s\nChunk ID: %s\n\n"
+CITATION = "%s (%s)"
+
+
 def contexts(results: DataFrame) -> DataFrame:
     """(query_id, context): numbered blocks in rank order."""
-    block = F.concat(
-        F.format_string("\n[Context %d]\nSource: %s\nChunk ID: %s\n\n", "rank", "source", "chunk_id"),
-        F.col("text"),
-        F.lit("\n"),
-    )
+    block = F.concat(F.format_string(CONTEXT, "rank", "source", "chunk_id"), F.col("text"), F.lit("\n"))
     return results.groupBy("query_id").agg(_joined(F.col("rank"), block, "\n").alias("context"))
 
 
 def citations(results: DataFrame) -> DataFrame:
-    """(query_id, citation_no, citation): distinct, in order of first rank."""
-    cited = results.withColumn("citation", F.format_string("%s (%s)", "source", "chunk_id"))
-    first = cited.groupBy("query_id", "citation").agg(F.min("rank").alias("_rank"))
-    w = Window.partitionBy("query_id").orderBy("_rank")
-    return first.select("query_id", F.row_number().over(w).alias("citation_no"), "citation")
+    """(query_id, citation_no, doc_id, chunk_no, citation): distinct chunks, in order of first rank.
+
+    The label starts anew in every document and documents may share a source,
+    so what makes a citation distinct is the chunk's key, and the document is given with it.
+    """
+    first = results.groupBy("query_id", *KEY).agg(
+        F.min("rank").alias("_rank"), F.min(F.format_string(CITATION, "source", "chunk_id")).alias("citation")
+    )
+    w = Window.partitionBy("query_id").orderBy("_rank", *KEY)
+    return first.select("query_id", F.row_number().over(w).alias("citation_no"), *KEY, "citation")
 
 
 def candidate_sentences(queries: DataFrame, results: DataFrame) -> DataFrame:

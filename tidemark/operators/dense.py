@@ -12,9 +12,16 @@ from pyspark.sql import types as T
 from tidemark.functions import text as X
 from tidemark.operators import topk
 from tidemark.schemas import VECTOR
+from tidemark.session import materialise
 from tidemark.sources.tables import read_table, replace_table
 
 METRICS = ("l2sq", "dot")
+# Cells whose scores a task works out at a time.
+CELLS = 100_000
+
+
+class BadVectorError(Exception):
+    """A vector table would hold a null vector, or vectors of several lengths."""
 
 
 class RepeatedIdError(Exception):
@@ -134,14 +141,20 @@ def rebuild_vectors(
     """Encode the chunks and replace the vector table; its row count.
 
     The ids are checked first, from the chunks alone, so that nothing has been
-    encoded or written when one of them is repeated.
+    encoded or written when one of them is repeated. A vector that is null, or of another
+    length than the rest, is refused before the table is replaced.
     """
     repeated = repeated_ids(chunks.select(_vector_id().alias("id")))
     found = repeated.limit(3).collect()
     if found:
         raise RepeatedIdError(", ".join(r["id"] for r in found))
     spark = chunks.sparkSession
-    replace_table(vector_table(vectorise(chunks, dim, idf, encoder=encoder)), path, VECTOR)
+    made = materialise(vector_table(vectorise(chunks, dim, idf, encoder=encoder)), "vectors")
+    length = F.size("embedding")
+    bad = made.agg(F.count_if(F.col("embedding").isNull()), F.min(length), F.max(length)).first()
+    if bad[0] or bad[1] != bad[2]:
+        raise BadVectorError(f"{bad[0]} null vectors, lengths {bad[1]} to {bad[2]}")
+    replace_table(made, path, VECTOR)
     return read_table(spark, path, VECTOR).count()
 
 
@@ -160,18 +173,22 @@ def dense_search(
     """RANKED exact nearest vectors; ``queries`` is (query_id, embedding).
 
     ``l2sq`` adds ``distance``, smallest first; ``dot`` adds ``score``, largest
-    first. An empty vector table gives an empty result.
+    first. No vectors, or no queries, give an empty result; a null vector on
+    either side takes no part. Vectors of different lengths are an error.
     """
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}, not {metric!r}")
-    size = topk.measure(queries, F.size("embedding"))
+    asked = queries.select("query_id", "embedding").filter(F.col("embedding").isNotNull())
+    size = topk.measure(asked, F.size("embedding"))
     scorer = topk.Scorer(
         reads="embedding",
         prepare=_QueryVectors,
         score=partial(_score, metric=metric),
         positive_only=False,
+        refine=partial(_refine, metric=metric),
     )
-    found = topk.top_k(vectors, queries.select("query_id", "embedding"), scorer, k, size)
+    there = vectors.filter(F.col("embedding").isNotNull())
+    found = topk.top_k(there, asked, scorer, k, size)
     if metric == "dot":
         return found
     distance = F.when(F.col("score") == 0, 0.0).otherwise(-F.col("score"))
@@ -188,19 +205,59 @@ class _QueryVectors:
 
 
 def _matrix(lists: pa.ListArray) -> np.ndarray:
-    n = len(lists)
-    if lists.null_count:
-        raise ValueError("a vector is null")
-    lengths = np.unique(lists.value_lengths().to_numpy())
+    lengths = np.unique(lists.value_lengths().to_numpy(zero_copy_only=False))
     if len(lengths) > 1:
         raise ValueError(f"vectors of different lengths: {lengths.tolist()}")
-    return lists.flatten().to_numpy().astype(np.float64).reshape(n, -1)
+    width = int(lengths[0]) if len(lengths) else 0
+    return lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(lists), width)
 
 
-def _score(side: _QueryVectors, batch: pa.RecordBatch, metric: str) -> np.ndarray:
+def _score(side: _QueryVectors, batch: pa.RecordBatch, metric: str) -> tuple[np.ndarray, np.ndarray]:
+    """All scores as one matrix product, and how far rounding may have moved each."""
     rows = _matrix(batch.column("embedding"))
     dot = rows @ side.matrix.T
-    if metric == "dot":
-        return dot
     square = (rows**2).sum(axis=1)[:, None] + (side.matrix**2).sum(axis=1)[None, :]
-    return -np.maximum(square - 2 * dot, 0.0)
+    error = square * (4 * np.finfo(float).eps * (rows.shape[1] + 4)) + np.finfo(float).tiny
+    return (dot if metric == "dot" else 2 * dot - square), error
+
+
+def _refine(
+    side: _QueryVectors, batch: pa.RecordBatch, r: np.ndarray, q: np.ndarray, metric: str
+) -> np.ndarray:
+    """Scores of single cells, summed in the same order for equal vectors."""
+    rows = _matrix(batch.column("embedding"))
+    out = np.empty(len(r))
+    for at in range(0, len(r), CELLS):
+        x, y = rows[r[at : at + CELLS]], side.matrix[q[at : at + CELLS]]
+        out[at : at + CELLS] = (x * y).sum(axis=1) if metric == "dot" else -((x - y) ** 2).sum(axis=1)
+    return out
+
+
+def approximate_search(
+    queries: DataFrame, vectors: DataFrame, k: int = 5, reach: float = 1.0, tables: int = 8, seed: int = 1
+) -> DataFrame:
+    """RANKED near vectors by random projections, for callers who may miss some.
+
+    The library's bucketed join finds the pairs within ``reach`` (Euclidean);
+    farther vectors are never returned, nearer ones may be missed. More ``tables``
+    miss fewer and cost more. Adds ``distance``, squared as in ``dense_search``.
+    """
+    from pyspark.ml.feature import BucketedRandomProjectionLSH
+    from pyspark.ml.functions import array_to_vector
+
+    def as_vectors(df: DataFrame, *columns: str) -> DataFrame:
+        there = df.filter(F.col("embedding").isNotNull())
+        return there.select(*columns, array_to_vector(F.col("embedding").cast("array<double>")).alias("v"))
+
+    rows, asked = as_vectors(vectors, *topk.KEY), as_vectors(queries, "query_id")
+    lsh = BucketedRandomProjectionLSH(
+        inputCol="v", outputCol="h", bucketLength=2 * reach, numHashTables=tables, seed=seed
+    )
+    pairs = lsh.fit(rows).approxSimilarityJoin(asked, rows, reach, "d")
+    near = pairs.select(
+        "datasetA.query_id", *[f"datasetB.{c}" for c in topk.KEY], (-F.col("d") * F.col("d")).alias("score")
+    )
+    found = topk.limit(near, k)
+    carried = vectors.select(*topk.KEY, *topk.CARRY).join(found, topk.KEY)
+    distance = F.when(F.col("score") == 0, 0.0).otherwise(-F.col("score"))
+    return carried.withColumn("distance", distance).select("query_id", "rank", *topk.KEY, *topk.CARRY, "distance")

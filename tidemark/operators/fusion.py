@@ -65,16 +65,20 @@ def rerank(
 
     ``scorer`` is a column expression of query and text. ``scores``, a table
     (query_id, doc_id, chunk_no, rerank_score), takes its place where the
-    scores were made elsewhere. With neither, the first k pass through.
+    scores were made elsewhere; a result that has none there scores 0. With
+    neither, the first k pass through, without a score.
     """
     if scores is not None:
-        scored = results.join(scores, ["query_id", *KEY])
+        given = scores.select("query_id", *KEY, F.col("rerank_score").cast("double").alias("rerank_score"))
+        scored = results.join(given, ["query_id", *KEY], "left").withColumn(
+            "rerank_score", F.coalesce("rerank_score", F.lit(0.0))
+        )
     elif scorer is not None:
         scored = pairs(queries, results).withColumn(
             "rerank_score", scorer(F.col("query"), F.col("text")).cast("double")
         )
     else:
-        return results.filter(F.col("rank") <= k)
+        scored = results.withColumn("rerank_score", F.lit(None).cast("double"))
     scored = scored.withColumnRenamed("rank", "previous_rank")
     w = Window.partitionBy("query_id").orderBy(F.col("rerank_score").desc(), "previous_rank")
     return (

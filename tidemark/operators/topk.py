@@ -3,8 +3,10 @@
 A join of queries with rows would emit one row per matching pair, and a common
 word matches nearly every chunk. Instead each task scores a block of rows
 against a block of queries as one array, and keeps the k best per query while
-it reads on. What leaves a task is at most k rows per query; a window over
-those gives the result.
+it reads on. Only the key and the scored column of a row go to Python. What
+leaves a task is at most k keys per query; those are limited within salted
+groups and then per query, so that no task ever takes what all tasks have found
+for one query. Label, source and text are joined to the final rows.
 
 Two ways to bring the sides together, chosen by the measured size of the
 queries:
@@ -38,9 +40,14 @@ BLOCK_ROWS = 50_000
 BLOCK_FACTOR = 4
 # Cells of the score array held at a time by one task.
 SCORE_CELLS = 250_000
-# Scores are compared to this many decimals, so that the order of a sum of
-# floats never decides between equal texts.
-SCORE_DIGITS = 9
+# Scores are compared to this many significant digits, so that the order of a
+# sum of floats never decides between equal texts. Nothing is cut off: small
+# scores keep as many digits as large ones.
+SCORE_DIGITS = 12
+# Groups in which the rows of one query are limited first.
+SALTS = 32
+# Rows of a result that may be broadcast to fetch their text.
+MAX_RESULT = 100_000
 
 KEY = ["doc_id", "chunk_no"]
 CARRY = ["chunk_id", "source", "text"]
@@ -53,25 +60,40 @@ class Size:
 
     fits: bool
     blocks: int
+    queries: int
 
 
 def measure(queries: DataFrame, cells: Column) -> Size:
     """One small job: count the queries and their numbers or characters."""
     n, total = queries.agg(F.count("*"), F.coalesce(F.sum(cells), F.lit(0))).first()
     load = max(n / MAX_QUERIES, int(total) / MAX_QUERY_CELLS)
-    return Size(fits=load <= 1, blocks=max(1, ceil(load / BLOCK_FACTOR)))
+    return Size(fits=load <= 1, blocks=max(1, ceil(load / BLOCK_FACTOR)), queries=n)
+
+
+def significant(x: np.ndarray, digits: int = SCORE_DIGITS) -> np.ndarray:
+    """Rounded to so many significant digits; zero and non-finite values stay."""
+    fine = np.isfinite(x) & (x != 0)
+    power = np.floor(np.log10(np.abs(x), where=fine, out=np.zeros(x.shape)))
+    # In two factors, as neither 10^300 nor 10^-300 times a score may overflow.
+    step = digits - 1 - power
+    half = np.trunc(step / 2)
+    a, b = 10.0**half, 10.0 ** (step - half)
+    return np.where(fine, np.rint(x * a * b) / a / b, x)
 
 
 @dataclass(frozen=True)
 class Scorer:
     """``prepare`` turns the query rows into arrays once per task (its result
     must have ``query_ids``); ``score`` gives the (rows x queries) array from
-    the column ``reads``, the only one sent to it besides the result's."""
+    the column ``reads``, the only one sent to it besides the key. Where that
+    array is only near the scores, it comes with an array of bounds of the error, and
+    ``refine`` gives the scores of single cells."""
 
     reads: str
     prepare: Callable[[pa.Table], Any]
     score: Callable[[Any, pa.RecordBatch], np.ndarray]
     positive_only: bool
+    refine: Callable[[Any, pa.RecordBatch, np.ndarray, np.ndarray], np.ndarray] | None = None
 
 
 def top_k(
@@ -90,23 +112,31 @@ def top_k(
     if k < 1:
         raise ValueError("k must be at least 1")
     id_type = queries.schema["query_id"].dataType
-    rows = rows.select(*KEY, *CARRY, scorer.reads)
+    sent = rows.select(*KEY, scorer.reads)
     schema = T.StructType(
         [T.StructField("query_id", id_type)]
-        + [rows.schema[c] for c in KEY + CARRY]
+        + [sent.schema[c] for c in KEY]
         + [T.StructField("score", T.DoubleType())]
     )
     partial = (
-        _scan(rows, queries, scorer, k, schema)
+        _scan(sent, queries, scorer, k, schema)
         if size.fits
-        else _grid(rows, queries, scorer, k, schema, size.blocks)
-    )
-    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), *KEY)
-    return (
-        partial.withColumn("rank", F.row_number().over(w))
-        .filter(F.col("rank") <= k)
-        .select("query_id", "rank", *KEY, *CARRY, "score")
+        else _grid(sent, queries, scorer, k, schema, size.blocks)
     )
+    found = limit(partial, k)
+    side = F.broadcast(found) if size.queries * k <= MAX_RESULT else found
+    return rows.select(*KEY, *CARRY).join(side, KEY).select("query_id", "rank", *KEY, *CARRY, "score")
+
+
+def limit(found: DataFrame, k: int) -> DataFrame:
+    """The k best of (query_id, KEY, score) per query: within salted groups, then of what those leave."""
+    salted = found.withColumn("_salt", F.pmod(F.xxhash64(*KEY), F.lit(SALTS)))
+    return _limit(_limit(salted, k, "query_id", "_salt").drop("rank", "_salt"), k, "query_id")
+
+
+def _limit(found: DataFrame, k: int, *groups: str) -> DataFrame:
+    w = Window.partitionBy(*groups).orderBy(F.col("score").desc(), *KEY)
+    return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
 def _scan(rows, queries, scorer, k, schema) -> DataFrame:
@@ -160,7 +190,7 @@ def _grid(rows, queries, scorer, k, schema, query_blocks) -> DataFrame:
 
 
 class _Best:
-    """The k best rows per query among those offered so far."""
+    """The k best rows per query among those offered so far; keys and scores only."""
 
     def __init__(self, scorer: Scorer, query_rows: pa.Table, k: int):
         self.scorer, self.k = scorer, k
@@ -169,43 +199,68 @@ class _Best:
         self.bar = np.full(self.n, -np.inf)
         self.q = np.zeros(0, np.int64)
         self.score = np.zeros(0)
-        self.rows: pa.Table | None = None
+        self.keys: list[np.ndarray] | None = None
+        self.worst: list[np.ndarray] | None = None
+        self.types: list[pa.DataType] = []
 
     def offer(self, batch: pa.RecordBatch) -> None:
         step = max(1, SCORE_CELLS // max(1, self.n))
         for at in range(0, batch.num_rows, step):
             self._offer_block(batch.slice(at, step))
 
+    def _cells(self, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row, query and score of every cell that may be among the best."""
+        scorer = self.scorer
+        if scorer.refine is None:
+            scores = significant(scorer.score(self.side, batch))
+            keep = scores >= self.bar
+            if scorer.positive_only:
+                keep &= scores > 0
+            r, q = np.nonzero(keep)
+            return r, q, scores[r, q]
+        near, error = scorer.score(self.side, batch)
+        r, q = np.nonzero(near + error >= self.bar)
+        scores = significant(scorer.refine(self.side, batch, r, q))
+        keep = scores >= self.bar[q]
+        if scorer.positive_only:
+            keep &= scores > 0
+        return r[keep], q[keep], scores[keep]
+
     def _offer_block(self, batch: pa.RecordBatch) -> None:
         if not self.n or not batch.num_rows:
             return
-        scores = np.round(self.scorer.score(self.side, batch), SCORE_DIGITS)
-        keep = scores >= self.bar
-        if self.scorer.positive_only:
-            keep &= scores > 0
-        r, q = np.nonzero(keep)
+        r, q, scores = self._cells(batch)
+        own = [batch.column(c).to_numpy(zero_copy_only=False) for c in KEY]
+        if self.keys is None:
+            self.types = [batch.column(c).type for c in KEY]
+            self.keys = [c[:0] for c in own]
+            self.worst = [np.resize(c[:1], self.n) for c in own]
+        # What equals the worst kept score has to come before that row in corpus order.
+        doc, no = (c[r] for c in own)
+        later = (scores == self.bar[q]) & (
+            (doc > self.worst[0][q]) | ((doc == self.worst[0][q]) & (no > self.worst[1][q]))
+        )
+        r, q, scores = r[~later], q[~later], scores[~later]
         if not len(r):
             return
-        new = pa.Table.from_batches([batch.select(KEY + CARRY)])
-        pool = new if self.rows is None else pa.concat_tables([self.rows, new])
-        held = len(self.q)
-        at = np.concatenate([np.arange(held), held + r])
         q = np.concatenate([self.q, q])
-        s = np.concatenate([self.score, scores[keep]])
-        doc, no = (pool.column(c).to_numpy()[at] for c in KEY)
+        s = np.concatenate([self.score, scores])
+        doc, no = (np.concatenate([held, c[r]]) for held, c in zip(self.keys, own, strict=True))
         order = np.lexsort((no, doc, -s, q))
         starts = np.searchsorted(q[order], q[order], side="left")
         place = np.arange(len(order)) - starts
-        order = order[place < self.k]
-        self.q, self.score = q[order], s[order]
-        self.rows = pool.take(pa.array(at[order])).combine_chunks()
+        order, place = order[place < self.k], place[place < self.k]
+        self.q, self.score, self.keys = q[order], s[order], [doc[order], no[order]]
         # A query with k rows only needs what reaches its worst one.
-        kth = place[place < self.k] == self.k - 1
-        self.bar[self.q[kth]] = self.score[kth]
+        kth = place == self.k - 1
+        at = self.q[kth]
+        self.bar[at] = self.score[kth]
+        for worst, held in zip(self.worst, self.keys, strict=True):
+            worst[at] = held[kth]
 
     def result(self, names: list[str]) -> Iterator[pa.RecordBatch]:
-        if self.rows is None:
+        if self.keys is None or not len(self.q):
             return
         ids = self.side.query_ids.take(pa.array(self.q))
-        columns = [ids, *self.rows.columns, pa.array(self.score)]
-        yield from pa.Table.from_arrays(columns, names=names).to_batches()
+        keys = [pa.array(c, t) for c, t in zip(self.keys, self.types, strict=True)]
+        yield from pa.Table.from_arrays([ids, *keys, pa.array(self.score)], names=names).to_batches()
