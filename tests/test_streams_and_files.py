@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import lineage
 from tidemark.schemas import CHUNK, LINEAGE, ORDER, SILVER
-from tidemark.session import materialise, spread, work_folder
+from tidemark.session import materialise, remove, work_folder
 from tidemark.sources import files, tables
 from tidemark.streaming import ingest
 
@@ -37,7 +37,7 @@ def test_ingest_in_batches_equals_one_batch_and_restart_adds_nothing(spark, tmp_
     expected = (sorted(f"A-{n}" for n in range(20) if n % 4), 5)
     assert run_ingest(spark, split, 1) == expected
     assert run_ingest(spark, whole) == expected
-    assert len(list((split / "valid").glob("batch=*"))) == 5
+    assert len(list((split / "valid").glob("query=*/batch=*"))) == 5
     assert run_ingest(spark, split, 1) == expected
     (split / "in" / "late.jsonl").write_text(line(99) + "{\n")
     assert run_ingest(spark, split, 1) == (sorted(expected[0] + ["A-99"]), 6)
@@ -50,7 +50,7 @@ def test_streaming_upsert(spark, tmp_path):
     def drain():
         stream = files.stream_files(spark, f"{base}/in")
         ingest.start_upsert(stream, f"{base}/cp", f"{base}/silver").awaitTermination()
-        rows = tables.read_table(spark, f"{base}/silver", SILVER).collect()
+        rows = tables.read_merged(spark, f"{base}/silver", ["order_id"], SILVER).collect()
         return sorted((r["order_id"], r["quantity"], r["total_amount"]) for r in rows)
 
     (base / "in" / "1.jsonl").write_text(line(1) + line(1, quantity=3, timestamp="2024-01-02") + line(2))
@@ -58,7 +58,73 @@ def test_streaming_upsert(spark, tmp_path):
     (base / "in" / "2.jsonl").write_text(line(2, quantity=7) + line(3) + line(4, price=0))
     assert drain() == [("A-1", 3, 6.0), ("A-2", 7, 14.0), ("A-3", 1, 2.0)]
     assert drain() == [("A-1", 3, 6.0), ("A-2", 7, 14.0), ("A-3", 1, 2.0)]
-    assert tables.versions(spark, f"{base}/silver") == [1, 2]
+    assert tables.versions(spark, f"{base}/silver") == []
+    assert tables.fold(spark, f"{base}/silver", ["order_id"], SILVER) == 1
+    assert tables.read_table(spark, f"{base}/silver", SILVER).count() == 3 and not list((base / "silver" / "changes").iterdir())
+    (base / "in" / "3.jsonl").write_text(line(1, quantity=9))
+    assert drain() == [("A-1", 9, 18.0), ("A-2", 7, 14.0), ("A-3", 1, 2.0)]
+
+
+def test_a_small_batch_writes_only_its_own_size(spark, tmp_path):
+    path = str(tmp_path / "t")
+    big = spark.range(200_000).selectExpr("id", "cast(id * 7 AS string) AS v")
+    tables.replace_table(big, path, big.schema)
+
+    def size():
+        return sum(f.stat().st_size for f in (tmp_path / "t").rglob("*") if f.is_file())
+
+    before = size()
+    small = spark.range(10).selectExpr("id * 1000 AS id", "'new' AS v")
+    assert tables.append_changes(small, path, ["id"], big.schema) == 1
+    assert size() - before < before / 20
+    assert tables.append_changes(small, path, ["id"], big.schema, batch=1) == 1  # a repeated batch
+    merged = tables.read_merged(spark, path, ["id"], big.schema)
+    assert merged.count() == 200_000 and merged.filter("v = 'new'").count() == 10
+    newer = spark.createDataFrame([(0, "newer"), (300_000, "more")], big.schema)
+    tables.append_changes(newer, path, ["id"], big.schema)
+    merged = {r["id"]: r["v"] for r in tables.read_merged(spark, path, ["id"], big.schema).filter("id % 1000 = 0").collect()}
+    assert (merged[0], merged[1000], merged[300_000], merged[10_000]) == ("newer", "new", "more", "70000")
+
+
+def test_writes_go_on_after_a_failed_one(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(3).toDF("id")
+    (tmp_path / "t" / "version=1").mkdir(parents=True)
+    (tmp_path / "t" / "version=1" / "part-0.parquet").write_bytes(b"half")
+    assert tables.versions(spark, path) == []
+    assert tables.replace_table(rows, path, rows.schema) == 2
+    broken = rows.select(F.assert_true(F.col("id") < 2).alias("x"), "id").select(F.coalesce(F.col("x").cast("bigint"), "id").alias("id"))
+    with pytest.raises(Exception):
+        tables.replace_table(broken, path, rows.schema)
+    assert tables.versions(spark, path) == [2]
+    assert tables.upsert_table(spark.createDataFrame([(7,)], rows.schema), path, ["id"], rows.schema) == 4
+    assert tables.read_table(spark, path, rows.schema).count() == 4
+    assert tables.replace_table(rows, path, rows.schema, keep=1) == 5
+    assert tables.versions(spark, path) == [5]
+
+
+def test_an_unequal_count_is_never_the_table(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    rows = spark.range(3).toDF("id")
+
+    class Wrong(tables.Observation):
+        @property
+        def get(self):
+            return {"rows": 2}
+
+    monkeypatch.setattr(tables, "Observation", Wrong)
+    with pytest.raises(tables.WriteCheckError):
+        tables.replace_table(rows, path, rows.schema)
+    assert tables.versions(spark, path) == []
+
+
+def test_repeated_source_keys_are_refused(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), "id long, v string"
+    twice = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c"), (None, "d")], schema)
+    for write in (tables.upsert_table, tables.append_changes):
+        with pytest.raises(tables.RepeatedKeyError):
+            write(twice, path, ["id"], twice.schema)
+    assert not tables.table_exists(spark, path)
 
 
 def test_documents_and_chunks(spark, tmp_path):
@@ -83,10 +149,32 @@ def test_shared_folder_comes_from_the_session(spark):
     assert base.rstrip("/") in df.inputFiles()[0] and df.count() == 5
 
 
-def test_spread_leaves_tables_with_enough_splits(spark):
-    many = spark.range(0, 100, 1, 40)
-    assert spread(many) is many
-    assert spread(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+def test_an_unreadable_file_ends_the_stream(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.gz").write_bytes(b"\x1f\x8b broken")
+    with pytest.raises(Exception, match="(?i)gz|header|stream|corrupt|EOF"):
+        run_ingest(spark, tmp_path)
+
+
+def test_a_second_query_overwrites_nothing(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "1.jsonl").write_text(line(1))
+    run_ingest(spark, tmp_path)
+    (tmp_path / "more").mkdir()
+    (tmp_path / "more" / "2.jsonl").write_text(line(2))
+    stream = files.stream_files(spark, f"{tmp_path}/more")
+    ingest.start_ingest(stream, f"{tmp_path}/cp2", f"{tmp_path}/valid", f"{tmp_path}/bad").awaitTermination()
+    rows = spark.read.schema(ORDER).json(f"{tmp_path}/valid").collect()
+    assert sorted(r["order_id"] for r in rows) == ["A-1", "A-2"]
+
+
+def test_remove(spark):
+    path = work_folder(spark, "gone")
+    spark.range(3).write.parquet(path)
+    remove(spark, path)
+    assert not tables.table_exists(spark, path)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
 
 
 def test_run_events(spark, tmp_path):

@@ -11,6 +11,7 @@ from tidemark.operators.sales import add_total, dedupe_latest, product_sales
 from tidemark.schemas import GOLD, ORDER, SILVER
 from tidemark.sources.files import append_json, read_messages, read_orders
 from tidemark.sources.tables import read_table, replace_table, upsert_table
+from tidemark.streaming.ingest import route
 
 
 def silver_from_messages(messages: DataFrame) -> DataFrame:
@@ -26,13 +27,7 @@ def gold_from_messages(messages: DataFrame) -> DataFrame:
 
 def ingest(spark: SparkSession, messages_path: str, base: str) -> None:
     """Append the valid orders and the quarantined records of one batch."""
-    checked = apply_contract(read_messages(spark, messages_path)).persist()
-    try:
-        valid, quarantine = split_valid(checked)
-        append_json(valid, f"{base}/raw")
-        append_json(quarantine, f"{base}/quarantine")
-    finally:
-        checked.unpersist()
+    route(read_messages(spark, messages_path), f"{base}/raw", f"{base}/quarantine")
 
 
 def run(spark: SparkSession, messages_path: str, base: str) -> DataFrame:

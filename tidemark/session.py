@@ -21,20 +21,19 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal out the rows of a plain table scan that comes in fewer splits than
-    there are cores, before work that is heavy per row. Large tables have more
-    splits than that and pass through unchanged."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
-    Later steps then start from files that survive the loss of any executor.
+    Later steps then start from files that survive the loss of any executor. The caller, or
+    whoever cleans the shared folder after the job, removes them: ``remove``.
     """
     spark = df.sparkSession
     path = work_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this package wrote."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -11,6 +11,10 @@ class EmptyInputError(Exception):
     """A step that needs input found none."""
 
 
+class RepeatedIdError(Exception):
+    """Two files would be one document."""
+
+
 def read_orders(spark: SparkSession, path: str) -> DataFrame:
     """Raw orders, one JSON object per line."""
     return spark.read.schema(ORDER).json(path)
@@ -24,13 +28,20 @@ def read_messages(spark: SparkSession, path: str) -> DataFrame:
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, source, text): each text file as one string, blank files left out.
 
-    The id is a hash of the full path, so it does not depend on file order.
+    The id is a 64-bit hash of the full path, so it does not depend on file
+    order. Should two paths share one, nothing is returned but an error: the
+    paths are compared first, without reading the files' text.
     """
     whole = spark.read.text(path, wholetext=True)
+    doc_id = F.xxhash64("_metadata.file_path").alias("doc_id")
+    paths = whole.select(doc_id, "_metadata.file_path").groupBy("doc_id").agg(
+        F.count("*").alias("n"), F.min("file_path").alias("one"), F.max("file_path").alias("other")
+    )
+    shared = paths.filter("n > 1").first()
+    if shared:
+        raise RepeatedIdError(f"{shared['one']} and {shared['other']} have the id {shared['doc_id']}")
     return whole.select(
-        F.xxhash64("_metadata.file_path").alias("doc_id"),
-        F.col("_metadata.file_name").alias("source"),
-        F.col("value").alias("text"),
+        doc_id, F.col("_metadata.file_name").alias("source"), F.col("value").alias("text")
     ).filter(X.strip(F.col("text")) != "")
 
 
@@ -61,23 +72,40 @@ def write_messages(messages: DataFrame, servers: str, topic: str) -> None:
     ).option("topic", topic).save()
 
 
-def stream_messages(spark: SparkSession, servers: str, topic: str) -> DataFrame:
-    """Messages of a topic from its first offset; lost offsets do not end the
-    stream. Needs the Kafka connector on the class path."""
-    return (
+def stream_messages(
+    spark: SparkSession,
+    servers: str,
+    topic: str,
+    offsets_per_batch: int | None = 10_000_000,
+    least_splits: int | None = None,
+    fail_on_loss: bool = True,
+) -> DataFrame:
+    """Messages of a topic from its first offset, in batches of bounded size.
+
+    ``least_splits`` reads a topic of few partitions with more tasks. Offsets
+    that the broker no longer has end the stream, unless the caller accepts
+    the loss. Needs the Kafka connector on the class path.
+    """
+    reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", "earliest")
-        .option("failOnDataLoss", False)
-        .load()
-        .select("key", "value")
+        .option("failOnDataLoss", fail_on_loss)
     )
+    if offsets_per_batch:
+        reader = reader.option("maxOffsetsPerTrigger", offsets_per_batch)
+    if least_splits:
+        reader = reader.option("minPartitions", least_splits)
+    return reader.load().select("key", "value")
+
 
+def stream_files(spark: SparkSession, path: str, files_per_batch: int | None = 1000) -> DataFrame:
+    """Messages that arrive as text files, one per line, in batches of bounded size.
 
-def stream_files(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    """Messages that arrive as text files, one per line; unreadable files are skipped."""
-    reader = spark.readStream.option("ignoreCorruptFiles", True)
+    A file that cannot be read ends the stream; nothing is passed over.
+    """
+    reader = spark.readStream
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.text(path)

@@ -1,41 +1,60 @@
 """Tables that are replaced or merged while others read them.
 
 A table is a folder of parquet versions, ``<path>/version=<n>``. The newest
-one that Spark marked as complete is the table. Parquet cannot be overwritten
-while it is read, so every refresh and merge writes the next version.
+one that is marked as complete is the table. Parquet cannot be overwritten
+while it is read, so every refresh and merge writes the next version, compares
+what can be read back, and only then marks it. What a failed write leaves is
+passed over, by readers and by the numbering.
+
+Batches that are small beside their table are appended under
+``<path>/changes/batch=<n>`` instead, at the cost of their own size, and merged
+when the table is read; ``fold`` writes the merged table as a version.
 """
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.quality import enforce
-from tidemark.operators.sales import upsert
-from tidemark.session import materialise
+from tidemark.operators.sales import dedupe_latest, upsert
+from tidemark.session import materialise, remove
+
+DONE = "_SUCCESS"
 
 
 class TableNotFoundError(Exception):
     """There is no complete version under the path."""
 
 
+class RepeatedKeyError(Exception):
+    """A batch to be merged has several rows for one key."""
+
+
 class WriteCheckError(Exception):
     """What was read back is not what was written."""
 
 
-def versions(spark: SparkSession, path: str) -> list[int]:
-    """Complete versions, oldest first."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+def _folders(spark: SparkSession, path: str, name: str) -> dict[int, bool]:
+    """Numbers of the folders ``<name>=<n>`` under a path, and which are complete."""
+    jvm = spark._jvm.org.apache.hadoop.fs
+    folder = jvm.Path(path)
     fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(folder):
-        return []
-    out = []
+        return {}
+    out = {}
     for status in fs.listStatus(folder):
-        name = status.getPath().getName()
-        if name.startswith("version=") and fs.exists(
-            spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-        ):
-            out.append(int(name.split("=", 1)[1]))
-    return sorted(out)
+        found = status.getPath().getName().split("=", 1)
+        if found[0] == name and found[-1].isdigit():
+            out[int(found[1])] = fs.exists(jvm.Path(status.getPath(), DONE))
+    return out
+
+
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """Complete versions, oldest first."""
+    return sorted(n for n, done in _folders(spark, path, "version").items() if done)
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -52,41 +71,108 @@ def read_table(
     return spark.read.schema(schema).parquet(f"{path}/version={version or known[-1]}")
 
 
-def replace_table(df: DataFrame, path: str, schema: T.StructType) -> int:
-    """Write ``df`` as the next version and return its number.
-
-    The batch is checked against the schema before anything is written. Rows
-    are counted as they are written, and compared with what can be read back.
-    """
+def _write_checked(df: DataFrame, target: str, schema: T.StructType) -> None:
+    """Write, compare the rows that can be read back, and only then mark the folder as complete."""
     spark = df.sparkSession
-    fitting = enforce(df, schema)
-    number = (versions(spark, path) or [0])[-1] + 1
-    target = f"{path}/version={number}"
     written = Observation()
-    fitting.observe(written, F.count(F.lit(1)).alias("rows")).write.parquet(target)
+    df.observe(written, F.count(F.lit(1)).alias("rows")).write.option(
+        "mapreduce.fileoutputcommitter.marksuccessfuljobs", False
+    ).parquet(target)
     found = spark.read.schema(schema).parquet(target).count()
     if found != written.get["rows"]:
         raise WriteCheckError(f"{target}: wrote {written.get['rows']} rows, found {found}")
+    done = spark._jvm.org.apache.hadoop.fs.Path(target, DONE)
+    done.getFileSystem(spark._jsc.hadoopConfiguration()).create(done, True).close()
+
+
+def replace_table(df: DataFrame, path: str, schema: T.StructType, keep: int | None = None) -> int:
+    """Write ``df`` as the next version and return its number.
+
+    The batch is checked against the schema before anything is written. With
+    ``keep``, only so many complete versions stay; a reader of an older one fails.
+    """
+    spark = df.sparkSession
+    fitting = enforce(df, schema)
+    number = max(_folders(spark, path, "version"), default=0) + 1
+    _write_checked(fitting, f"{path}/version={number}", schema)
+    if keep:
+        for old in versions(spark, path)[:-keep]:
+            remove(spark, f"{path}/version={old}")
     return number
 
 
+def _one_row_per_key(batch: DataFrame, keys: list[str]) -> None:
+    repeated = batch.dropna(subset=keys).groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1").first()
+    if repeated:
+        raise RepeatedKeyError(f"{[repeated[k] for k in keys]} has {repeated['n']} rows")
+
+
 def upsert_table(source: DataFrame, path: str, keys: list[str], schema: T.StructType) -> int:
-    """Create the table from ``source``, or merge it in by ``keys``.
+    """Create the table from ``source``, or merge it in by ``keys``, as the next version.
 
-    ``source`` has one row per key. Applying the same source again changes
-    nothing, so a repeated batch is harmless.
+    A source with several rows for a key is refused. Applying the same source
+    again changes nothing, so a repeated batch is harmless.
     """
     spark = source.sparkSession
     fitting = enforce(source, schema)
-    if not table_exists(spark, path):
-        return replace_table(fitting, path, schema)
-    # The merge reads the batch twice. From files it is computed once, and
+    # The batch is read three times. From files it is computed once, and
     # Catalyst knows its size when it picks the join: a batch below the
     # broadcast threshold leaves the table where it is, a larger one shuffles.
     batch = materialise(fitting, "merge-batch")
+    _one_row_per_key(batch, keys)
+    if not table_exists(spark, path):
+        return replace_table(batch, path, schema)
     return replace_table(upsert(read_table(spark, path, schema), batch, keys), path, schema)
 
 
+def append_changes(source: DataFrame, path: str, keys: list[str], schema: T.StructType, batch: int | None = None) -> int:
+    """Write ``source`` beside the table as batch ``batch``, or as the next one; its number.
+
+    Costs the size of the batch, not of the table. A batch that is there already
+    and complete stays as it is, so a repeated one changes nothing.
+    """
+    spark = source.sparkSession
+    there = _folders(spark, f"{path}/changes", "batch")
+    number = max(there, default=0) + 1 if batch is None else batch
+    if there.get(number):
+        return number
+    if number in there:  # what a failed attempt has left
+        remove(spark, f"{path}/changes/batch={number}")
+    fitting = materialise(enforce(source, schema), "change-batch")
+    _one_row_per_key(fitting, keys)
+    _write_checked(fitting, f"{path}/changes/batch={number}", schema)
+    return number
+
+
+def read_merged(spark: SparkSession, path: str, keys: list[str], schema: T.StructType) -> DataFrame:
+    """The newest version with all batches appended since: per key the row of the last batch.
+
+    Rows with a null key match nothing and all stay, as in a merge.
+    """
+    known = versions(spark, path)
+    batches = sorted(n for n, done in _folders(spark, f"{path}/changes", "batch").items() if done)
+    if not known and not batches:
+        raise TableNotFoundError(path)
+    number = F.col("_batch")
+    parts = [read_table(spark, path, schema).withColumn("_batch", F.lit(-1))] if known else []
+    parts += [
+        spark.read.schema(schema).parquet(f"{path}/changes/batch={n}").withColumn("_batch", F.lit(n)) for n in batches
+    ]
+    united = reduce(DataFrame.unionByName, parts)
+    keyed = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    latest = dedupe_latest(united.filter(keyed), keys, [number.desc()])
+    return latest.unionByName(united.filter(~keyed)).drop("_batch")
+
+
+def fold(spark: SparkSession, path: str, keys: list[str], schema: T.StructType) -> int:
+    """Write the merged table as the next version and remove the batches it holds."""
+    batches = [n for n, done in _folders(spark, f"{path}/changes", "batch").items() if done]
+    number = replace_table(read_merged(spark, path, keys, schema), path, schema)
+    for n in batches:
+        remove(spark, f"{path}/changes/batch={n}")
+    return number
+
+
 def merge_into(source: DataFrame, table: str, keys: list[str]) -> None:
     """The same merge in place, for a catalog table whose format merges rows
     itself; only the touched files are rewritten there."""

@@ -2,16 +2,26 @@
 
 Both jobs stop once everything available has been read, and continue from the
 checkpoint at the next start. A batch may be repeated after a failure, so each
-writes to a place named after its number, or merges by key.
+writes to a place named after its query and number, or to a numbered batch of
+the table. Queries are told apart by the id in their checkpoint, so a second
+query that numbers its batches from 0 again overwrites nothing.
 """
 
-from pyspark.sql import DataFrame
+import json
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.contract import apply_contract, split_valid
 from tidemark.operators.sales import add_total, dedupe_latest
 from tidemark.schemas import SILVER
-from tidemark.sources.tables import upsert_table
+from tidemark.session import remove, work_folder
+from tidemark.sources.tables import append_changes
+
+
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """Id of the query that owns a checkpoint."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
 
 
 def start_ingest(
@@ -20,26 +30,39 @@ def start_ingest(
     """Route each message of the stream to exactly one of two JSON folders."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        checked = apply_contract(batch.select("value")).persist()
-        try:
-            valid, quarantine = split_valid(checked)
-            for df, folder in ((valid, valid_dir), (quarantine, quarantine_dir)):
-                df.write.mode("overwrite").option("ignoreNullFields", False).json(
-                    f"{folder}/batch={batch_id}"
-                )
-        finally:
-            checked.unpersist()
+        query = query_id(batch.sparkSession, checkpoint)
+        route(batch.select("value"), valid_dir, quarantine_dir, f"query={query}/batch={batch_id}", "overwrite")
 
     return _start(messages, checkpoint, write)
 
 
+def route(messages: DataFrame, valid_dir: str, quarantine_dir: str, part: str = "", mode: str = "append") -> None:
+    """Check messages once and write both sides.
+
+    The checked rows are written to the shared folder in two parts, one per
+    side; each output is a copy of its part, so nothing is parsed twice and nothing is held by executors.
+    """
+    spark = messages.sparkSession
+    path = work_folder(spark, "checked")
+    apply_contract(messages).write.partitionBy("is_valid").parquet(path)
+    schema = apply_contract(messages.limit(0)).schema
+    valid, quarantine = split_valid(spark.read.schema(schema).parquet(path))
+    for df, folder in ((valid, valid_dir), (quarantine, quarantine_dir)):
+        df.write.mode(mode).option("ignoreNullFields", False).json(f"{folder}/{part}".rstrip("/"))
+    remove(spark, path)
+
+
 def start_upsert(messages: DataFrame, checkpoint: str, silver_path: str) -> StreamingQuery:
-    """Merge the valid orders of each batch into the silver table."""
+    """Append the valid orders of each batch to the silver table's changes.
+
+    A batch costs its own size. ``read_merged`` reads the table with all batches,
+    ``fold`` writes them into it. The table belongs to one query; its batches keep their numbers.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         valid, _ = split_valid(apply_contract(batch.select("value")))
         silver = dedupe_latest(add_total(valid), ["order_id"])
-        upsert_table(silver, silver_path, ["order_id"], SILVER)
+        append_changes(silver, silver_path, ["order_id"], SILVER, batch_id)
 
     return _start(messages, checkpoint, write)
 
