@@ -52,8 +52,16 @@ def _whole_number(field: str) -> Column:
     )
 
 
+# Text that counts as a number: Spark's own cast would also take "10.5d" and "1.5F".
+NUMBER_TEXT = r"(?i)^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?$|^[+-]?(inf|infinity|nan)$"
+
+
 def _number(field: str) -> Column:
-    return F.try_variant_get(F.col("_v"), f"$.{field}", "double")
+    """Numbers, booleans, and numbers written as text, infinity among them."""
+    v = F.col("_v")
+    text = F.trim(F.try_variant_get(v, f"$.{field}", "string"))
+    value = F.try_variant_get(v, f"$.{field}", "double")
+    return F.when((_kind(field) != "STRING") | text.rlike(NUMBER_TEXT), value)
 
 
 def _non_empty(value: Column) -> Column:
@@ -84,7 +92,9 @@ def apply_contract(messages: DataFrame, rules: tuple[Rule, ...] = ORDER_RULES) -
     """Add the typed fields, ``raw``, ``is_valid``, and ``reason`` and ``record`` if not.
 
     Works on any frame with a ``value`` column (binary or text), streaming too.
+    Of a key that an object repeats, the last value counts; the session is set to read it so.
     """
+    messages.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", True)
     # The cast keeps the bytes; their validity is checked before they are read.
     as_text = F.col("value").cast("string")
     utf8 = F.when(F.is_valid_utf8(as_text), as_text)

@@ -46,6 +46,10 @@ SILVER_CHECKS = (
 )
 
 
+# Groups in which the rows of one check are limited first.
+SALTS = 32
+
+
 class QualityGateError(Exception):
     """A batch failed one of its expectations."""
 
@@ -100,7 +104,11 @@ def require_gate(results: DataFrame) -> None:
 def failing_rows(
     df: DataFrame, checks: tuple[Check, ...], key: str, n: int = 20
 ) -> DataFrame:
-    """The first ``n`` rows by ``key`` that break each check, from one pass."""
+    """The first ``n`` rows by ``key`` that break each check, from one pass.
+
+    There are few checks, so the rows of one are limited within salted groups
+    first; no task takes what every task has found for a check.
+    """
     failed = [
         F.when(
             c.unexpected(),
@@ -113,8 +121,13 @@ def failing_rows(
     hits = df.select(F.col(key), F.explode(F.array_compact(F.array(*failed))).alias("f")).select(
         "f.check_name", key, "f.observed"
     )
-    w = Window.partitionBy("check_name").orderBy(key, "observed")
-    return hits.withColumn("sample_no", F.row_number().over(w)).filter(F.col("sample_no") <= n)
+    hits = hits.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(SALTS)))
+
+    def first(rows: DataFrame, *groups: str) -> DataFrame:
+        w = Window.partitionBy(*groups).orderBy(key, "observed")
+        return rows.withColumn("sample_no", F.row_number().over(w)).filter(F.col("sample_no") <= n)
+
+    return first(first(hits, "check_name", "_salt").drop("sample_no", "_salt"), "check_name")
 
 
 # Casts that lose nothing.
