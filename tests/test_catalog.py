@@ -58,10 +58,21 @@ def test_dedupe_keeps_one_row_per_key_before_the_shuffle(spark):
     assert plan.index("WindowGroupLimit") < plan.index("Exchange hashpartitioning(order_id") < partial
 
 
-def test_search_shuffles_only_its_result(spark):
-    """Chunks go from the scan into the scoring task without a shuffle."""
-    plan = plan_of(entry_module.queries()["keyword_topk"](spark, SF_DIR))
+def test_search_sends_keys_and_scores_only(spark):
+    """Chunks go from the scan into the scoring task without a shuffle and without
+    their text, which is joined to the final rows."""
+    plan = plan_of(entry_module.queries()["bm25_topk"](spark, SF_DIR))
     below = plan[plan.index("MapInArrow") :]
-    exchanges = re.findall(r"Exchange (\w+)", below)
-    # The one left deals out the single input file of the test tables.
-    assert set(exchanges) <= {"RoundRobinPartitioning"}
+    read = re.findall(r"ReadSchema: struct<(.*?)>\n", below)
+    assert "Exchange" not in below.split("FileScan")[0]
+    assert any("tokens" in r and "text:" not in r for r in read)
+
+
+def test_no_plan_deals_rows_out_in_turn(spark):
+    for name in ("contract_valid", "chunk_words", "bm25_topk", "dense_topk_dot"):
+        assert "RoundRobinPartitioning" not in plan_of(entry_module.queries()[name](spark, SF_DIR)), name
+
+
+def test_the_rows_of_one_check_are_limited_twice(spark):
+    plan = plan_of(entry_module.queries()["dq_failing_rows"](spark, SF_DIR))
+    assert "hashpartitioning(check_name#" in plan and re.search(r"hashpartitioning\(check_name#\d+, _salt#", plan)

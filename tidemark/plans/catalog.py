@@ -2,7 +2,7 @@
 
 Orders are messages made from lineitem, orders and part, one per line item.
 The tables hold no invalid orders, so a share of the messages, chosen by key,
-is spoilt in one of thirty ways: each rule of the contract meets good and bad
+is spoilt in one of some thirty ways: each rule of the contract meets good and bad
 records. The questions of the retrieval jobs are the whole texts of ``benchmark``.
 """
 
@@ -14,8 +14,8 @@ from tidemark.operators import answers as A
 from tidemark.operators import chunking, contract, dense, fusion, lexical, lineage, quality, sales
 from tidemark.plans import orders as order_plans
 from tidemark.plans import retrieval
-from tidemark.schemas import ORDER, SILVER, VECTOR
-from tidemark.session import materialise, spread, work_folder
+from tidemark.schemas import ORDER, QUARANTINE, SILVER, VECTOR
+from tidemark.session import materialise, work_folder
 from tidemark.sources import files, tables
 from tidemark.streaming import ingest
 
@@ -31,7 +31,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per line item with the order fields and its fault number."""
-    li = spread(_table(spark, sf_dir, "lineitem"))
+    li = _table(spark, sf_dir, "lineitem")
     o = _table(spark, sf_dir, "orders")
     p = _table(spark, sf_dir, "part")
     status = (
@@ -98,10 +98,14 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
             21: F.lit('"abc"'),
             22: F.lit("true"),
             29: F.lit("-1"),
+            33: F.lit('"10.5d"'),
+            34: _quoted(F.concat(F.lit(" "), price, F.lit(" "))),
         },
         price,
     )
-    status = _choose({4: F.lit('"shipped"'), 23: F.lit('"Completed"')}, _quoted(F.col("status")))
+    status = _choose(
+        {4: F.lit('"shipped"'), 23: F.lit('"Completed"'), 32: F.lit('"shipped"')}, _quoted(F.col("status"))
+    )
     stamp = _choose(
         {
             5: F.lit(""),
@@ -110,7 +114,9 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         },
         F.concat(F.lit(',"timestamp":'), _quoted(F.col("timestamp"))),
     )
-    extra = _choose({27: F.lit(',"coupon":{"code":"X"}')}, F.lit(""))
+    # A repeated key: the last value counts.
+    again = F.concat(F.lit(',"status":'), _quoted(F.col("status")))
+    extra = _choose({27: F.lit(',"coupon":{"code":"X"}'), 32: again}, F.lit(""))
     fields = F.concat(
         F.lit('{"order_id":'), _quoted(F.col("order_id")),
         F.lit(',"customer_id":'), customer,
@@ -179,10 +185,14 @@ def contract_valid(spark, sf_dir):
 
 def contract_quarantine(spark, sf_dir):
     _, refused = contract.split_valid(contract.apply_contract(messages(spark, sf_dir)))
+    parsed = F.from_json("record", ORDER)
     return refused.select(
         F.regexp_extract("raw", "ORD-[0-9]+-[0-9]+", 0).alias("order_ref"),
         "reason",
-        F.col("record").isNull().alias("no_record"),
+        parsed["customer_id"].alias("record_customer"),
+        parsed["order_id"].alias("record_order"),
+        F.regexp_extract("raw", '"customer_id":"?([A-Z0-9-]+)', 1).alias("raw_customer"),
+        F.regexp_extract("raw", '"timestamp":(.*?)[,}]', 1).alias("raw_timestamp"),
     )
 
 
@@ -257,7 +267,7 @@ def _message_files(spark, df: DataFrame, folder: str) -> None:
 
 
 def stream_ingest(spark, sf_dir):
-    """What is in the two folders after the stream has read all messages."""
+    """Every row of the two folders after the stream has read all messages."""
     base = work_folder(spark, "stream-ingest")
     _message_files(spark, messages(spark, sf_dir), f"{base}/in")
     stream = files.stream_files(spark, f"{base}/in")
@@ -265,16 +275,12 @@ def stream_ingest(spark, sf_dir):
         stream, f"{base}/checkpoint", f"{base}/valid", f"{base}/quarantine"
     ).awaitTermination()
     valid = spark.read.schema(ORDER).json(f"{base}/valid")
-    refused = spark.read.schema("record string, reason string, raw string").json(f"{base}/quarantine")
-    return (
-        valid.groupBy(F.lit("valid").alias("side"), F.col("status").alias("label"))
-        .agg(F.count("*").alias("n"), F.sum("quantity").alias("quantity"))
-        .unionByName(
-            refused.groupBy(F.lit("quarantine").alias("side"), F.col("reason").alias("label")).agg(
-                F.count("*").alias("n"), F.lit(None).cast("bigint").alias("quantity")
-            )
-        )
-    )
+    refused = spark.read.schema(QUARANTINE).json(f"{base}/quarantine")
+    order_ref = F.regexp_extract("raw", "ORD-[0-9]+-[0-9]+", 0)
+    return valid.select(
+        "order_id", "customer_id", "product", "quantity", "price", "status", "timestamp",
+        F.lit(None).cast("string").alias("reason"),
+    ).unionByName(refused.select(order_ref.alias("order_id"), "reason"), allowMissingColumns=True)
 
 
 def stream_upsert(spark, sf_dir):
@@ -290,14 +296,30 @@ def stream_upsert(spark, sf_dir):
     drain()
     _message_files(spark, contract.encode_messages(revisions(spark, sf_dir)), f"{base}/in")
     drain()
-    return tables.read_table(spark, silver, SILVER)
+    return tables.read_merged(spark, silver, ["order_id"], SILVER)
+
+
+def bronze_refresh(spark, sf_dir):
+    """The newest version after two refreshes: the orders of one batch, then of a later one."""
+    path = work_folder(spark, "bronze")
+    valid, _ = contract.split_valid(contract.apply_contract(messages(spark, sf_dir)))
+    tables.replace_table(revisions(spark, sf_dir), path, ORDER)
+    tables.replace_table(valid, path, ORDER)
+    return tables.read_table(spark, path, ORDER)
+
+
+def orders_job(spark, sf_dir):
+    """The whole job from message files to gold, the gate included."""
+    base = work_folder(spark, "orders-job")
+    _message_files(spark, messages(spark, sf_dir), f"{base}/in")
+    return _rounded(order_plans.run(spark, f"{base}/in", f"{base}/lake"), "total_revenue", digits=2)
 
 
 # ------------------------------------------------------------------ text ----
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(_table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
 
 
 def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -314,6 +336,35 @@ def paragraphs(spark, sf_dir):
     return chunking.paragraphs(documents(spark, sf_dir), sep="\n")
 
 
+def conversation_paragraphs(spark, sf_dir):
+    """Each conversation as one text whose turns are parted by blank lines of several kinds."""
+    turns = _table(spark, sf_dir, "conversations").groupBy("conv_id").agg(
+        F.array_join(
+            F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda t: t["text"]), "\r\n \t\r\n\n\n"
+        ).alias("text")
+    )
+    tidy = turns.select(F.col("conv_id").alias("doc_id"), X.tidy_paragraphs(F.col("text")).alias("text"))
+    return chunking.paragraphs(tidy)
+
+
+def documents_from_files(spark, sf_dir):
+    """Documents written as one text file each, ended by a line feed, and read as whole documents."""
+    path = work_folder(spark, "document-files")
+    named = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("part"), F.col("text").alias("value"))
+    named.repartition("part").write.partitionBy("part").text(path)
+    read = files.read_documents(spark, f"{path}/*/*.txt")
+    return read.groupBy(F.md5(F.col("text").cast("binary")).alias("text_md5")).agg(
+        F.count("*").alias("files"), F.count_distinct("doc_id").alias("ids")
+    )
+
+
+def chunks_jsonl(spark, sf_dir):
+    """Chunks written as JSON Lines and read back."""
+    path = work_folder(spark, "chunk-lines")
+    files.write_chunks(word_chunks(spark, sf_dir), path)
+    return files.read_chunks(spark, path)
+
+
 def chunk_words(spark, sf_dir):
     return word_chunks(spark, sf_dir)
 
@@ -387,19 +438,31 @@ def _ranked(df: DataFrame, score: str) -> DataFrame:
     return _rounded(df.select("query_id", "rank", "doc_id", "chunk_no", "chunk_id", "source", "text", score), score)
 
 
+def _word_index(spark, sf_dir):
+    return lexical.build_index(word_chunks(spark, sf_dir), "ws")
+
+
 def _bm25(spark, sf_dir):
-    index = lexical.build_index(word_chunks(spark, sf_dir), "ws")
-    return lexical.bm25_search(questions(spark, sf_dir), index, 5)
+    return lexical.bm25_search(questions(spark, sf_dir), _word_index(spark, sf_dir), 5)
 
 
 def _keywords(spark, sf_dir):
-    return lexical.keyword_search(questions(spark, sf_dir), word_chunks(spark, sf_dir), 5)
+    chunks = materialise(lexical.tokenise(word_chunks(spark, sf_dir), "ascii"), "keyword-chunks")
+    return lexical.keyword_search(questions(spark, sf_dir), chunks, 5)
 
 
 def bm25_topk(spark, sf_dir):
     return _ranked(_bm25(spark, sf_dir), "score")
 
 
+def bm25_stored(spark, sf_dir):
+    """The same from an index that was saved and loaded again."""
+    path = work_folder(spark, "saved-index")
+    lexical.save_index(_word_index(spark, sf_dir), path)
+    index = lexical.load_index(spark, path, "ws")
+    return _ranked(lexical.bm25_search(questions(spark, sf_dir), index, 5), "score")
+
+
 def bm25_topk_padded(spark, sf_dir):
     index = lexical.build_index(chunk_chars_flat(spark, sf_dir), "word")
     return _ranked(lexical.bm25_search(questions(spark, sf_dir), index, 5, pad_zero=True), "score")
@@ -438,7 +501,7 @@ def vector_ids(spark, sf_dir):
 
 
 def _stored_vectors(spark, sf_dir):
-    e = spread(_table(spark, sf_dir, "embeddings"))
+    e = _table(spark, sf_dir, "embeddings")
     return e.select(
         F.col("vec_id").alias("doc_id"),
         F.lit(0).alias("chunk_no"),
@@ -449,8 +512,11 @@ def _stored_vectors(spark, sf_dir):
     )
 
 
-def _dense(spark, sf_dir, metric):
+def _dense(spark, sf_dir, metric, scale=1.0):
     vectors = _stored_vectors(spark, sf_dir)
+    if scale != 1.0:
+        small = F.transform("embedding", lambda x: (x.cast("double") * scale).cast("float"))
+        vectors = vectors.withColumn("embedding", small)
     asked = vectors.select(F.col("doc_id").alias("query_id"), "embedding")
     return dense.dense_search(asked, vectors, 5, metric)
 
@@ -465,6 +531,25 @@ def dense_topk_l2(spark, sf_dir):
     )
 
 
+def dense_topk_small(spark, sf_dir):
+    """Vectors of length 1e-5: distances around 1e-10 rank like any others."""
+    found = _dense(spark, sf_dir, "l2sq", 1e-5).withColumn("distance", F.col("distance") * 1e10)
+    return _rounded(found.select("query_id", "rank", "doc_id", "source", "distance"), "distance")
+
+
+def dense_topk_grid(spark, sf_dir):
+    """Sixteen turned copies of every vector as queries: more than may be broadcast, so blocks meet blocks."""
+    vectors = _stored_vectors(spark, sf_dir)
+    turned = vectors.withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(15))))
+    moved = F.concat(
+        F.slice("embedding", F.col("turn") + 1, F.size("embedding") - F.col("turn")),
+        F.slice("embedding", F.lit(1), F.col("turn")),
+    )
+    asked = turned.select((F.col("doc_id") * 16 + F.col("turn")).alias("query_id"), moved.alias("embedding"))
+    found = dense.dense_search(asked, vectors, 3, "dot")
+    return _rounded(found.select("query_id", "rank", "doc_id", "score"), "score")
+
+
 def normalised_vectors(spark, sf_dir):
     """Unit vectors of the stored ones after stretching them by their label."""
     e = _table(spark, sf_dir, "embeddings").select(
@@ -487,6 +572,16 @@ def rerank_overlap(spark, sf_dir):
     )
 
 
+def rerank_scores(spark, sf_dir):
+    """Scores from a table that lacks every second result: those score 0 and stay."""
+    results = materialise(_bm25(spark, sf_dir), "to-rerank")
+    scores = results.filter("rank % 2 = 1").select(
+        "query_id", "doc_id", "chunk_no", F.col("rank").cast("double").alias("rerank_score")
+    )
+    done = fusion.rerank(questions(spark, sf_dir), results, 5, scores=scores)
+    return done.select("query_id", "rank", "doc_id", "chunk_no", "previous_rank", "rerank_score")
+
+
 def context_blocks(spark, sf_dir):
     return A.contexts(_keywords(spark, sf_dir))
 
@@ -507,11 +602,15 @@ def hybrid_search(spark, sf_dir):
 
 def question_answer(spark, sf_dir):
     done = retrieval.question_answer(questions(spark, sf_dir), documents(spark, sf_dir))
-    cited = done.citations.groupBy("query_id").agg(F.count("*").alias("citations"))
+    named = F.format_string("%d:%s:%d", "citation_no", "citation", "doc_id")
+    cited = done.citations.groupBy("query_id").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("citation_no", named.alias("c")))), lambda x: x["c"]), "; ")
+        .alias("citations")
+    )
     return (
         done.answers.join(done.contexts, "query_id", "left")
         .join(cited, "query_id", "left")
-        .withColumn("citations", F.coalesce("citations", F.lit(0)))
+        .withColumn("citations", F.coalesce("citations", F.lit("")))
     )
 
 
@@ -564,6 +663,19 @@ def lineage_upstream(spark, sf_dir):
     return lineage.upstream(lineage_edges(spark, sf_dir))
 
 
+def lineage_log(spark, sf_dir):
+    """Events appended to a log in two writes and read back, without clock and run columns."""
+    path = work_folder(spark, "lineage-log")
+    events = lineage.events_from_log(_run_log(spark, sf_dir))
+    for part in (F.col("eventType") == "START", F.col("eventType") != "START"):
+        files.append_json(events.filter(part), path)
+    log = files.read_lineage(spark, path)
+    return log.groupBy(
+        "eventType", "producer", F.col("job.namespace").alias("namespace"), F.col("job.name").alias("job"),
+        F.size("inputs").alias("n_inputs"), F.size("outputs").alias("n_outputs"),
+    ).agg(F.count("*").alias("events"), F.count_distinct("run.runId").alias("runs"))
+
+
 def run_states(spark, sf_dir):
     return lineage.run_states(lineage.events_from_log(_run_log(spark, sf_dir)))
 
@@ -583,7 +695,12 @@ QUERIES = {
     "schema_enforcement": schema_enforcement,
     "stream_ingest": stream_ingest,
     "stream_upsert": stream_upsert,
+    "bronze_refresh": bronze_refresh,
+    "orders_job": orders_job,
     "paragraphs": paragraphs,
+    "conversation_paragraphs": conversation_paragraphs,
+    "documents_from_files": documents_from_files,
+    "chunks_jsonl": chunks_jsonl,
     "chunk_words": chunk_words,
     "chunk_words_lines": chunk_words_lines,
     "chunk_chars_flat": chunk_chars_flat,
@@ -599,6 +716,7 @@ QUERIES = {
     "corpus_stats": corpus_stats,
     "term_stats": term_stats,
     "bm25_topk": bm25_topk,
+    "bm25_stored": bm25_stored,
     "bm25_topk_padded": bm25_topk_padded,
     "keyword_topk": keyword_topk,
     "hashed_vectors": hashed_vectors,
@@ -607,14 +725,18 @@ QUERIES = {
     "normalised_vectors": normalised_vectors,
     "dense_topk_dot": dense_topk_dot,
     "dense_topk_l2": dense_topk_l2,
+    "dense_topk_small": dense_topk_small,
+    "dense_topk_grid": dense_topk_grid,
     "rrf_fuse": rrf_fuse,
     "rerank_overlap": rerank_overlap,
+    "rerank_scores": rerank_scores,
     "context_blocks": context_blocks,
     "grounded_answer": grounded_answer,
     "citations": citations,
     "hybrid_search": hybrid_search,
     "question_answer": question_answer,
     "lineage_events": lineage_events,
+    "lineage_log": lineage_log,
     "lineage_refused": lineage_refused,
     "lineage_edges": lineage_edges,
     "lineage_upstream": lineage_upstream,

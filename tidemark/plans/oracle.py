@@ -3,9 +3,17 @@
 Pieces that several queries need are WITH items; ``_with`` puts them together.
 """
 
-from tidemark.operators.answers import NOT_FOUND
-from tidemark.operators.lineage import STAGES
-
+# The answer where nothing was retrieved, and what each stage reads and writes.
+NOT_FOUND = "I could not find relevant information in the knowledge base."
+STAGES = {
+    "producer": ((), ("kafka_orders",)),
+    "ingestion": (("kafka_orders",), ("raw_orders",)),
+    "bronze": (("raw_orders",), ("bronze_orders",)),
+    "silver": (("bronze_orders",), ("silver_orders",)),
+    "quality_gate": (("silver_orders",), ("quality_checked_silver",)),
+    "gold": (("silver_orders",), ("product_sales",)),
+    "lineage": (("silver_orders",), ("product_sales",)),
+}
 # White space as Unicode text processing has it.
 _WS = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
@@ -54,7 +62,8 @@ _REASONS = """judged AS (
     WHEN 21 THEN 'price:positive_number' WHEN 23 THEN 'status:allowed_value'
     WHEN 24 THEN 'timestamp:string' WHEN 26 THEN 'not_an_object'
     WHEN 28 THEN 'malformed_json'
-    WHEN 29 THEN 'quantity:positive_integer; price:positive_number' END AS reason
+    WHEN 29 THEN 'quantity:positive_integer; price:positive_number'
+    WHEN 33 THEN 'price:positive_number' END AS reason
   FROM lines)"""
 
 _VALID = """valid AS (
@@ -114,11 +123,11 @@ _LAX = """SELECT quantity_kind, price_kind, reason IS NULL AS is_valid, count(*)
   SELECT reason,
     CASE WHEN fault IN (6, 12, 26, 28) THEN NULL WHEN fault IN (7, 9, 16) THEN 'STRING'
          WHEN fault = 14 THEN 'BOOLEAN' WHEN fault = 17 THEN 'ARRAY<NUMBER>' ELSE 'NUMBER' END AS quantity_kind,
-    CASE WHEN fault IN (6, 12, 26, 28) THEN NULL WHEN fault IN (10, 20, 21) THEN 'STRING'
+    CASE WHEN fault IN (6, 12, 26, 28) THEN NULL WHEN fault IN (10, 20, 21, 33, 34) THEN 'STRING'
          WHEN fault = 22 THEN 'BOOLEAN' ELSE 'NUMBER' END AS price_kind,
     CASE WHEN fault IN (6, 8, 12, 16, 17, 26, 28) THEN NULL WHEN fault = 1 THEN 0 WHEN fault = 14 THEN 1
          WHEN fault = 29 THEN -1 ELSE quantity END AS q,
-    CASE WHEN fault IN (6, 12, 20, 21, 26, 28) THEN NULL WHEN fault = 2 THEN -price WHEN fault = 19 THEN 0
+    CASE WHEN fault IN (6, 12, 20, 21, 26, 28, 33) THEN NULL WHEN fault = 2 THEN -price WHEN fault = 19 THEN 0
          WHEN fault = 22 THEN 1 WHEN fault = 29 THEN -1 ELSE price END AS p
   FROM judged) GROUP BY ALL"""
 
@@ -191,14 +200,19 @@ def _sizes(stage: str, table: str) -> str:
 # ------------------------------------------------------------- retrieval ----
 
 
+def _significant(x: str) -> str:
+    """12 significant digits, so that the order of a sum decides nothing."""
+    return f"CASE WHEN {x} = 0 THEN 0::DOUBLE ELSE round({x}, 11 - CAST(floor(log10(abs({x}))) AS INTEGER)) END"
+
+
 def _terms(mode: str) -> str:
     """Token tables of the chunks and the queries, and the corpus constants."""
-    return f"""tok AS (SELECT doc_id, chunk_no, {_tokens("text", mode)} AS ts FROM chunks),
-tf AS (SELECT doc_id, chunk_no, term, count(*) AS tf
+    return f"""tok AS MATERIALIZED (SELECT doc_id, chunk_no, {_tokens("text", mode)} AS ts FROM chunks),
+tf AS MATERIALIZED (SELECT doc_id, chunk_no, term, count(*) AS tf
        FROM (SELECT doc_id, chunk_no, unnest(ts) AS term FROM tok) GROUP BY ALL),
 dl AS (SELECT doc_id, chunk_no, len(ts) AS dl FROM tok),
 corpus AS (SELECT count(*) AS n, avg(dl) AS avgdl FROM dl),
-df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+df AS MATERIALIZED (SELECT term, count(*) AS df FROM tf GROUP BY term),
 raw_idf AS (SELECT term, df, ln(n - df + 0.5::DOUBLE) - ln(df + 0.5::DOUBLE) AS idf0 FROM df, corpus),
 mean_idf AS (SELECT count(*) AS n_terms, avg(idf0) AS avg_idf FROM raw_idf),
 idf AS (SELECT term, df, CASE WHEN idf0 < 0 THEN 0.25::DOUBLE * avg_idf ELSE idf0 END AS idf FROM raw_idf, mean_idf),
@@ -215,9 +229,11 @@ def _rank_list(name: str, scored: str, order: str, score: str, k: int = 5) -> st
 
 
 _BM25_SUM = """bm25_sum AS (
-  SELECT query_id, doc_id, chunk_no, round(sum(qtf * idf * tf * 2.5::DOUBLE
-    / (tf + 1.5::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * dl / avgdl))), 9) AS score
-  FROM qtf JOIN idf USING (term) JOIN tf USING (term) JOIN dl USING (doc_id, chunk_no), corpus GROUP BY ALL)"""
+  SELECT query_id, doc_id, chunk_no, {significant} AS score FROM (
+    SELECT query_id, doc_id, chunk_no, sum(qtf * idf * tf * 2.5::DOUBLE
+      / (tf + 1.5::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * dl / avgdl))) AS s
+    FROM qtf JOIN idf USING (term) JOIN tf USING (term) JOIN dl USING (doc_id, chunk_no), corpus GROUP BY ALL))"""
+_BM25_SUM = _BM25_SUM.replace("{significant}", _significant("s"))
 _BM25_POSITIVE = "bm25_pos AS (SELECT * FROM bm25_sum WHERE score > 0)"
 _BM25_PADDED = """bm25_all AS (
   SELECT b.item_id AS query_id, c.doc_id, c.chunk_no, coalesce(s.score, 0) AS score
@@ -291,10 +307,10 @@ def _contexts(results: str) -> str:
 
 
 def _citations(results: str) -> str:
-    return f"""cited AS (
-  SELECT query_id, source || ' (' || chunk_id || ')' AS citation, min(rank) AS first_rank FROM {results} GROUP BY ALL),
-citations AS (SELECT query_id, citation, CAST(row_number() OVER (PARTITION BY query_id ORDER BY first_rank) AS INTEGER)
-  AS citation_no FROM cited)"""
+    return f"""citations AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY rank) AS INTEGER) AS citation_no,
+    doc_id, chunk_no, source || ' (' || chunk_id || ')' AS citation
+  FROM (SELECT query_id, doc_id, chunk_no, source, chunk_id, min(rank) AS rank FROM {results} GROUP BY ALL))"""
 
 
 def _buckets(x: str) -> str:
@@ -334,8 +350,9 @@ every AS (SELECT b.item_id AS query_id, c.doc_id, c.chunk_no, coalesce(d.dot, 0)
 def _stored(score: str, order: str, name: str) -> str:
     return f"""SELECT query_id, CAST(rank AS INTEGER) AS rank, doc_id, source, round({name}, 6) AS {name} FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY {order}, doc_id) AS rank FROM (
-    SELECT q.vec_id AS query_id, v.vec_id AS doc_id, 'label-' || v.label AS source, round({score}, 9) AS {name}
-    FROM embeddings q CROSS JOIN embeddings v)) WHERE rank <= 5"""
+    SELECT query_id, doc_id, source, {_significant("s")} AS {name} FROM (
+      SELECT q.vec_id AS query_id, v.vec_id AS doc_id, 'label-' || v.label AS source, {score} AS s
+      FROM embeddings q CROSS JOIN embeddings v))) WHERE rank <= 5"""
 
 
 def _ranked(name: str, score: str) -> str:
@@ -373,7 +390,12 @@ ORACLE = {
     ),
     "contract_quarantine": _with(
         """SELECT CASE fault WHEN 28 THEN '' ELSE order_id END AS order_ref, reason,
-  reason = 'malformed_json' AS no_record FROM judged WHERE reason IS NOT NULL""",
+  CASE WHEN fault IN (6, 12, 26, 28) THEN NULL WHEN fault = 11 THEN substr(customer_id, 6)
+       ELSE customer_id END AS record_customer,
+  CASE WHEN fault IN (6, 12, 26, 28) THEN NULL ELSE order_id END AS record_order,
+  CASE WHEN fault IN (26, 28) THEN '' WHEN fault = 11 THEN substr(customer_id, 6) ELSE customer_id END AS raw_customer,
+  CASE WHEN fault IN (5, 6, 26, 28) THEN '' WHEN fault = 24 THEN '5' ELSE '"' || "timestamp" || '"' END AS raw_timestamp
+FROM judged WHERE reason IS NOT NULL""",
         _LINES, _REASONS,
     ),
     "contract_counts": _with(
@@ -409,13 +431,33 @@ WHERE sample_no <= 20""",
   ('price', 'type', 'double', 'string'), ('status', 'missing', 'string', ''), ('note', 'unknown', '', 'int'))
   AS t(column_name, problem, expected, found), (SELECT count(*) AS rows_rejected FROM orders)""",
     "stream_ingest": _with(
-        """SELECT 'valid' AS side, status AS label, count(*) AS n, CAST(sum(quantity) AS BIGINT) AS quantity
-FROM valid GROUP BY status
-UNION ALL SELECT 'quarantine', reason, count(*), NULL FROM judged WHERE reason IS NOT NULL GROUP BY reason""",
+        """SELECT order_id, customer_id, product, quantity, price, status, "timestamp", NULL AS reason FROM valid
+UNION ALL SELECT CASE fault WHEN 28 THEN '' ELSE order_id END, NULL, NULL, NULL, NULL, NULL, NULL, reason
+FROM judged WHERE reason IS NOT NULL""",
         _LINES, _REASONS, _VALID,
     ),
     "stream_upsert": _UPSERT,
+    "bronze_refresh": _with(
+        'SELECT customer_id, order_id, price, product, quantity, status, "timestamp" FROM valid',
+        _LINES, _REASONS, _VALID,
+    ),
+    "orders_job": _with(
+        """SELECT product, count(DISTINCT order_id) AS total_orders, CAST(sum(quantity) AS BIGINT) AS total_quantity,
+  round(sum(total_amount), 2) AS total_revenue FROM silver GROUP BY product""",
+        *_ORDERS,
+    ),
     "paragraphs": _with("SELECT doc_id, CAST(para_no AS INTEGER) AS para_no, paragraph FROM paras", _paragraphs("chr(10)")),
+    "conversation_paragraphs": f"""WITH turns AS (
+  SELECT conv_id, turn, {_strip(r"regexp_replace(regexp_replace(replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)), '[ \t]+', ' ', 'g'), '\n{3,}', chr(10) || chr(10), 'g')")} AS t
+  FROM conversations),
+pieces AS (SELECT conv_id, turn, unnest(ps) AS paragraph, generate_subscripts(ps, 1) AS n FROM (
+  SELECT conv_id, turn, list_filter(list_transform(string_split(t, chr(10) || chr(10)), lambda p: {_strip("p")}),
+    lambda p: p <> '') AS ps FROM turns))
+SELECT conv_id AS doc_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn, n) AS INTEGER) AS para_no, paragraph
+FROM pieces""",
+    "documents_from_files": f"""SELECT md5(text || chr(10)) AS text_md5, count(*) AS files, count(*) AS ids FROM documents
+WHERE {_strip("text")} <> '' GROUP BY 1""",
+    "chunks_jsonl": _with(_CHUNK_COLUMNS, _WORD_CHUNKS),
     "chunk_words": _with(_CHUNK_COLUMNS, _WORD_CHUNKS),
     "chunk_words_lines": _with(_CHUNK_COLUMNS, _word_chunks(20, 5, "chr(10)")),
     "chunk_chars_flat": _with(_CHUNK_COLUMNS, _FLAT),
@@ -441,6 +483,7 @@ UNION ALL SELECT * FROM ({_with(_sizes("flat chunks", "chunks"), _FLAT)})""",
     ),
     "term_stats": _with("SELECT term, df, round(idf, 6) AS idf FROM idf", _WORD_CHUNKS, _terms("ws")),
     "bm25_topk": _with(_ranked("bm25", "score"), *_BM25),
+    "bm25_stored": _with(_ranked("bm25", "score"), *_BM25),
     "bm25_topk_padded": _with(
         _ranked("bm25", "score"),
         _FLAT, _terms("word"), _BM25_SUM, _BM25_PADDED, _rank_list("bm25", "bm25_all", _BY_SCORE, "score"),
@@ -465,6 +508,19 @@ FROM (SELECT vec_id, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS no
     "dense_topk_l2": _stored(
         "power(list_distance(q.embedding::DOUBLE[], v.embedding::DOUBLE[]), 2)", "distance", "distance"
     ),
+    "dense_topk_small": _with(
+        _stored("power(list_distance(q.embedding::DOUBLE[], v.embedding::DOUBLE[]), 2) * 1e10::DOUBLE", "distance", "distance")
+        .replace("embeddings", "small"),
+        """small AS MATERIALIZED (SELECT vec_id, label,
+  list_transform(embedding, lambda x: CAST(x::DOUBLE * 1e-5::DOUBLE AS FLOAT)) AS embedding FROM embeddings)""",
+    ),
+    "dense_topk_grid": f"""WITH asked AS (
+  SELECT vec_id * 16 + t AS query_id, list_concat(embedding[t + 1 :], embedding[1 : t])::DOUBLE[] AS q
+  FROM embeddings, (SELECT unnest(range(0, 16)) AS t)),
+scored AS (SELECT query_id, doc_id, {_significant("s")} AS score FROM (
+  SELECT query_id, vec_id AS doc_id, list_dot_product(q, embedding::DOUBLE[]) AS s FROM asked, embeddings))
+SELECT query_id, CAST(rank AS INTEGER) AS rank, doc_id, round(score, 6) AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM scored) WHERE rank <= 3""",
     "rrf_fuse": _with(
         _ranked("fused", "rrf_score"),
         *_BM25, _keyword_sum(), _rank_list("keywords", "key_sum", _BY_SCORE, "score"),
@@ -474,24 +530,31 @@ FROM (SELECT vec_id, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS no
         "SELECT query_id, rank, doc_id, chunk_no, previous_rank, round(rerank_score, 6) AS rerank_score FROM reranked",
         *_BM25, _reranked("reranked", "bm25"),
     ),
+    "rerank_scores": _with(
+        """SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY rerank_score DESC, rank) AS INTEGER) AS rank,
+  doc_id, chunk_no, rank AS previous_rank, rerank_score
+FROM (SELECT *, CASE WHEN rank % 2 = 1 THEN rank::DOUBLE ELSE 0::DOUBLE END AS rerank_score FROM bm25)""",
+        *_BM25,
+    ),
     "context_blocks": _with("SELECT query_id, context FROM contexts", *_KEYWORDS, _contexts("keywords")),
     "grounded_answer": _with("SELECT query_id, query, answer FROM answered", *_KEYWORDS, _answers("keywords")),
-    "citations": _with("SELECT query_id, citation_no, citation FROM citations", *_KEYWORDS, _citations("keywords")),
+    "citations": _with("SELECT query_id, citation_no, doc_id, chunk_no, citation FROM citations", *_KEYWORDS, _citations("keywords")),
     "hybrid_search": _with(
         _ranked("fused", "rrf_score"),
         _FLAT, _terms("word"), _BM25_SUM, _BM25_PADDED, _rank_list("bm25", "bm25_all", _BY_SCORE, "score"),
         _hashed(),
-        "near AS (SELECT query_id, doc_id, chunk_no, round(greatest(c2 + q2 - 2 * dot, 0), 9) AS distance FROM every)",
+        "near AS (SELECT query_id, doc_id, chunk_no, round(greatest(c2 + q2 - 2 * dot, 0), 12) AS distance FROM every)",
         _rank_list("dense", "near", "distance, doc_id, chunk_no", "distance"),
         _fused("fused", "dense", "bm25"),
     ),
     "question_answer": _with(
-        """SELECT a.query_id, a.query, a.answer, c.context, coalesce(n.citations, 0) AS citations
+        """SELECT a.query_id, a.query, a.answer, c.context, coalesce(n.citations, '') AS citations
 FROM answered a LEFT JOIN contexts c USING (query_id)
-LEFT JOIN (SELECT query_id, count(*) AS citations FROM citations GROUP BY query_id) n USING (query_id)""",
+LEFT JOIN (SELECT query_id, string_agg(citation_no || ':' || citation || ':' || doc_id, '; ' ORDER BY citation_no) AS citations
+  FROM citations GROUP BY query_id) n USING (query_id)""",
         _PARA, _keyword_sum(), _rank_list("keywords", "key_sum", _BY_SCORE, "score"),
         _hashed(),
-        "near AS (SELECT query_id, doc_id, chunk_no, round(dot, 9) AS score FROM every)",
+        "near AS (SELECT query_id, doc_id, chunk_no, round(dot, 12) AS score FROM every)",
         _rank_list("dense", "near", _BY_SCORE, "score"),
         _fused("fused", "dense", "keywords"), _reranked("final", "fused"),
         _answers("final"), _contexts("final"), _citations("final"),
@@ -502,6 +565,14 @@ LEFT JOIN (SELECT query_id, count(*) AS citations FROM citations GROUP BY query_
 FROM log WHERE state <> 'RUNNING'""",
         _LOG,
     ),
+    "lineage_log": _with(
+        f"""SELECT state AS "eventType", 'tidemark' AS producer, 'order-lakehouse' AS namespace, stage AS job,
+  CAST(len(list_filter(string_split({_sides(0)}, ','), lambda x: x <> '')) AS INTEGER) AS n_inputs,
+  CAST(CASE WHEN state = 'START' THEN 0
+       ELSE len(list_filter(string_split({_sides(1)}, ','), lambda x: x <> '')) END AS INTEGER) AS n_outputs,
+  count(*) AS events, count(DISTINCT run_id) AS runs FROM log WHERE state <> 'RUNNING' GROUP BY ALL""",
+        _LOG,
+    ),
     "lineage_refused": _with(
         "SELECT stage, state, count(*) AS events FROM log WHERE state = 'RUNNING' GROUP BY ALL", _LOG
     ),
