@@ -11,23 +11,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, langid, minhash_dedup, mixing, quality_crf
-from tidemark.llm.common import fold, kept, schema_of, table, text_batches
+from tidemark.llm.common import fold, kept, table, text_batches
 
 VOCABULARY = "byte_bpe_50k.json"
 
 
+def _whole(docs: DataFrame) -> DataFrame:
+    """Each row as one struct, ``__row``, beside what the operators read, so that no
+    column of ``docs`` can clash with a column that an operator adds."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), "doc_id", "text", "source")
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told with a margin; the others go."""
     text_batches(spark)
     learned = langid.learn(docs.where(fold("doc_id", 3) != 1).select("text", "lang"))
-    return langid.predict(docs, learned, schema_of(docs)).where("accepted").select(*docs.columns)
+    rows = _whole(docs)
+    return langid.predict(rows, learned, rows.select("__row").schema).where("accepted").select("__row.*")
 
 
 def line_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the line model takes for good."""
     text_batches(spark)
     chain = quality_crf.learn(docs, table(spark, sf_dir, "labels").where(fold("doc_id", 5) != 0))
-    return quality_crf.score(docs, chain, schema_of(docs)).where("predicted = 1").select(*docs.columns)
+    rows = _whole(docs)
+    return quality_crf.score(rows, chain, rows.select("__row").schema).where("predicted = 1").select("__row.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,8 +46,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Whole documents, each as often as the mix takes it."""
-    mixed = mixing.mix(docs).where("copies > 0")
-    return mixed.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    mixed = mixing.mix(_whole(docs)).where("copies > 0")
+    return mixed.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("__row.*")
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

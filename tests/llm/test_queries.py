@@ -62,3 +62,15 @@ def test_pipeline_of_an_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF_DIR)
     assert docs.count() == 0
+
+
+def test_pipeline_keeps_columns_with_any_name(spark):
+    extra = "*", "1 AS score", "2 AS accepted", "3 AS predicted", "4 AS size", "5 AS copies", "6 AS kept", "named_struct('a', 7) AS `x y`"
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").selectExpr(*extra)
+    columns = docs.columns
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES[:4]):
+        docs = corpus_pipeline.kept(stage(spark, docs, SF_DIR), f"wide-stage-{k}")
+        assert docs.columns == columns
+    assert {tuple(r) for r in docs.select("score", "accepted", "predicted", "size", "copies", "kept", "`x y`.a").collect()} == {
+        (1, 2, 3, 4, 5, 6, 7)
+    }

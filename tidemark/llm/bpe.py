@@ -26,8 +26,9 @@ import pyarrow as pa
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
-from tidemark.llm.common import TEXT, added, mapped, with_text
+from tidemark.llm.common import TEXT, added, mapped, wider, with_text
 
 #: Fixed: the word pattern of this family of byte-level vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -362,25 +363,25 @@ def ship(spark: SparkSession, path: str) -> str:
     return path.rstrip("/").rpartition("/")[2]
 
 
-def encode(documents: DataFrame, vocabulary: str, keep: str = "doc_id long") -> DataFrame:
+def encode(documents: DataFrame, vocabulary: str, keep: str | StructType = "doc_id long") -> DataFrame:
     """Columns ``keep`` and ``ids array<int>`` for every row; null text counts as empty.
 
     ``vocabulary`` is the path of a byte-level ``tokenizers`` JSON file that the
     driver can read. Special tokens written in a text are encoded as such; none is added.
     """
     name = ship(documents.sparkSession, vocabulary)
-    return mapped(with_text(documents, keep), _encode(name), f"{keep}, ids array<int>")
+    return mapped(with_text(documents, keep), _encode(name), wider(keep, "ids array<int>"))
 
 
-def decode(rows: DataFrame, vocabulary: str, keep: str = "doc_id long") -> DataFrame:
+def decode(rows: DataFrame, vocabulary: str, keep: str | StructType = "doc_id long") -> DataFrame:
     """Columns ``keep`` and ``text`` from ``ids``; special tokens stay, null ids give null."""
     name = ship(rows.sparkSession, vocabulary)
-    return mapped(with_text(rows, keep, "ids", "array<int>"), _decode(name), f"{keep}, text string")
+    return mapped(with_text(rows, keep, "ids", "array<int>"), _decode(name), wider(keep, "text string"))
 
 
-def round_trip(documents: DataFrame, vocabulary: str, keep: str = "doc_id long") -> DataFrame:
+def round_trip(documents: DataFrame, vocabulary: str, keep: str | StructType = "doc_id long") -> DataFrame:
     """Columns ``keep``, n_tokens, ids_sha256 (of the decimal ids joined by commas) and
     decoded_sha256 (of the text decoded from these ids), in one pass over the texts."""
     name = ship(documents.sparkSession, vocabulary)
-    schema = f"{keep}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    schema = wider(keep, "n_tokens long, ids_sha256 string, decoded_sha256 string")
     return mapped(with_text(documents, keep), _digests(name), schema)

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.session import materialise
 
@@ -32,7 +33,7 @@ def fold(id_column: str, folds: int) -> Column:
     return F.crc32(F.col(id_column).cast("string").cast("binary")) % folds
 
 
-def mapped(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
+def mapped(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | StructType) -> DataFrame:
     """``function`` over every Arrow batch."""
 
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -47,9 +48,19 @@ def mapped(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch |
 TEXT = "__text"
 
 
-def with_text(df: DataFrame, keep: str, column: str = "text", kind: str = "string") -> DataFrame:
+def with_text(df: DataFrame, keep: str | StructType, column: str = "text", kind: str = "string") -> DataFrame:
     """Columns of the schema ``keep``, and the column to work on apart from them, under a name of its own."""
-    return df.select(*[F.col(f"`{c.split()[0]}`") for c in keep.split(",")], F.col(column).cast(kind).alias(TEXT))
+    names = _schema(keep).fieldNames()
+    return df.select(*[F.col(f"`{c}`") for c in names], F.col(column).cast(kind).alias(TEXT))
+
+
+def _schema(schema: str | StructType) -> StructType:
+    return StructType.fromDDL(schema) if isinstance(schema, str) else schema
+
+
+def wider(keep: str | StructType, new: str) -> StructType:
+    """The schema ``keep`` with new columns."""
+    return StructType(_schema(keep).fields + _schema(new).fields)
 
 
 def added(batch: pa.RecordBatch, **columns) -> pa.RecordBatch:
@@ -57,11 +68,6 @@ def added(batch: pa.RecordBatch, **columns) -> pa.RecordBatch:
     return pa.record_batch({c: batch.column(c) for c in batch.schema.names if c != TEXT} | columns)
 
 
-def schema_of(df: DataFrame) -> str:
-    """The table's columns as a schema text for ``with_text``."""
-    return ", ".join(f"{c} {kind}" for c, kind in df.dtypes)
-
-
 def mix64(x: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit integers (multiply and shift, wrapping)."""
     x = (x ^ (x >> np.uint64(32))) * MIX

@@ -19,9 +19,10 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import TEXT, added, mapped, with_text
+from tidemark.llm.common import TEXT, added, mapped, wider, with_text
 
 #: Bound of the sample: bytes of dictionary for each language, and rows looked at to fill it.
 DICT_BYTES = 110_000
@@ -132,12 +133,12 @@ def _decide(dictionaries: Dictionaries, margin: float):
     return one
 
 
-def predict(texts: DataFrame, dictionaries: Dictionaries, keep: str, margin: float = MARGIN) -> DataFrame:
+def predict(texts: DataFrame, dictionaries: Dictionaries, keep: str | StructType, margin: float = MARGIN) -> DataFrame:
     """Columns ``keep`` (a schema, such as ``doc_id long``) with lang_pred, score and accepted.
 
     Only ``text`` decides. Null texts and texts without a letter are ``und``,
     score 0 and rejected, as is everything if no language was learned. With two
     equal sizes the language that sorts first is named, and rejected.
     """
-    schema = f"{keep}, lang_pred string, score double, accepted boolean"
+    schema = wider(keep, "lang_pred string, score double, accepted boolean")
     return mapped(with_text(texts, keep), _decide(dictionaries, margin), schema)

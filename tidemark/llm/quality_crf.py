@@ -16,8 +16,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from tidemark.llm.common import TEXT, added, mapped, with_text
+from tidemark.llm.common import TEXT, added, mapped, wider, with_text
 
 #: Bound of the sample the model is fitted on: labelled documents, and lines of one of them.
 SAMPLE = 6_000
@@ -233,7 +234,7 @@ def learn(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chai
     return train(lines[:, :-1], lines[:, -1], first, np.array([q > 0 for _, q, _ in got]))
 
 
-def score(documents: DataFrame, chain: Chain | None, keep: str) -> DataFrame:
+def score(documents: DataFrame, chain: Chain | None, keep: str | StructType) -> DataFrame:
     """Columns ``keep`` (a schema), score and predicted for every row of ``documents``.
 
     Only ``text`` decides. Null and empty texts are one empty line. Without a
@@ -248,4 +249,4 @@ def score(documents: DataFrame, chain: Chain | None, keep: str) -> DataFrame:
             value = np.clip(document_scores(chain, *line_features(texts)), 0, 1)
         return added(batch, score=pa.array(value), predicted=pa.array((value >= PREDICT_FROM).astype(np.int32)))
 
-    return mapped(with_text(documents, keep), one, f"{keep}, score double, predicted int")
+    return mapped(with_text(documents, keep), one, wider(keep, "score double, predicted int"))

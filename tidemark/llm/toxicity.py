@@ -19,8 +19,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from tidemark.llm.common import TEXT, added, mapped, with_text
+from tidemark.llm.common import TEXT, added, mapped, wider, with_text
 
 #: Bound of the sample the model is fitted on: labelled documents, and features of one of them.
 SAMPLE = 8_000
@@ -208,7 +209,7 @@ def text_score(model: Model, text: str, known: dict) -> float:
     return 1 / (1 + math.exp(-min(max(z, -35.0), 35.0)))
 
 
-def score(documents: DataFrame, model: Model | None, keep: str) -> DataFrame:
+def score(documents: DataFrame, model: Model | None, keep: str | StructType) -> DataFrame:
     """Columns ``keep`` (a schema), score and predicted for every row of ``documents``.
 
     Only ``text`` decides; a null text counts as empty and gets the score of the
@@ -222,4 +223,4 @@ def score(documents: DataFrame, model: Model | None, keep: str) -> DataFrame:
             value = np.array([text_score(model, t or "", known) if model else 0.0 for t in texts], np.float64)
             yield added(batch, score=pa.array(value), predicted=pa.array((value >= PREDICT_FROM).astype(np.int32)))
 
-    return with_text(documents, keep).mapInArrow(batches, f"{keep}, score double, predicted int")
+    return with_text(documents, keep).mapInArrow(batches, wider(keep, "score double, predicted int"))
