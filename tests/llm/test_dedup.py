@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from tidemark.llm import embedding_dedup, minhash_dedup
-from tidemark.llm.graph import components
+from tidemark.llm.graph import components, merged
 
 
 def shingles(text, size):
@@ -129,6 +129,10 @@ def test_components_of_chains_rings_and_stars(spark):
     expected = classes(nodes, lambda a, b: frozenset((a, b)) in pairs)
     found = components(spark.createDataFrame(both, "a long, b long"))
     assert {r.nid: r.comp for r in found.collect()} == expected
+    some, rest = both[:60], both[60:]
+    first = components(spark.createDataFrame(some, "a long, b long"))
+    again = merged(first, spark.createDataFrame(rest, "a long, b long"))
+    assert {r.nid: r.comp for r in again.collect()} == expected
 
 
 VECTORS = "vec_id long, embedding array<float>, label int"

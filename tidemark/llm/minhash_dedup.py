@@ -9,10 +9,11 @@ small-star steps.
 Work is done on distinct sets, so copies cost one row each. In a bucket every
 set is first compared with the bucket's first set only (a star, not all
 pairs). After the components of those links are known, only buckets that still
-hold several components are compared further, and there only sets of different
-components, best agreeing signatures first; a bucket beyond ``block`` rows is cut
-into blocks that are compared two by two in separate tasks. In the end no pair of a
-bucket is left out unless its sets are in one component already.
+hold several components are looked at again: signatures of different components
+are compared, and the sets that agree form groups, in which sets of different
+components are compared in full. Both write one row a set, or a link that joins two components, never all pairs;
+a bucket or group beyond ``block`` rows is cut into blocks that meet two by two in
+separate tasks. No pair of a bucket is left out unless its sets are in one component already.
 
 With 48 bands of 6 rows a pair at exactly 0.8 is missed with probability 5e-7.
 """
@@ -25,18 +26,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import GOLDEN, kept, mapped, mix64
-from tidemark.llm.graph import components
+from tidemark.llm.graph import components, merged
 
 BANDS, ROWS = 48, 6
 #: Signature agreement below which a pair at the threshold is a 5-sigma event (288 minima).
 SLACK = 0.12
 BLOCK = 2048
-#: Partners of a set in one other component of its bucket that are confirmed, round by round; None: all.
-PARTNERS = (1, 16, 256, None)
+#: Shingles of the sets that one block holds.
+BLOCK_SHINGLES = 500_000
 CACHED_WORDS = 300_000
 CHUNK = 1 << 16
 
@@ -157,61 +158,123 @@ def _check_signatures(threshold: float):
     return one
 
 
-def _bucket_pairs(threshold: float, percent: int, most: int | None):
-    """Pairs of different components within each (key, i, j) group of sorted rows.
+def _others(comp: np.ndarray) -> np.ndarray:
+    """Rows outside the largest component, whose rows need no comparison among themselves."""
+    names, count = np.unique(comp, return_counts=True)
+    return np.flatnonzero(comp != names[np.argmax(count)])
 
-    For a set and another component, the ``most`` partners whose signatures agree best.
+
+def _united(root: np.ndarray, rows: np.ndarray) -> None:
+    """Give all groups that ``rows`` belong to the smallest number among them."""
+    roots = np.unique(root[rows])
+    if len(roots) > 1:
+        root[np.isin(root, roots)] = roots[0]
+
+
+def _near_misses(threshold: float, percent: int):
+    """Sets of a bucket whose signatures agree with those of another component, and
+    for each the first set of the group that such agreements hold together.
+
+    One row a set, however many agreements it has.
     """
     agreement = _agreement()
 
-    def pairs(rows: pa.Table) -> pa.RecordBatch | None:
+    def group(rows: pa.Table) -> pa.RecordBatch | None:
         nid, comp, n, blk = (np.asarray(rows.column(c)) for c in ("nid", "comp", "n", "blk"))
-        i, j = rows.column("i")[0].as_py(), rows.column("j")[0].as_py()
+        same = rows.column("i")[0] == rows.column("j")[0]
         sig = _signatures(rows.column("sig"))
-        # The largest component's rows need no comparison among themselves.
-        names, count = np.unique(comp, return_counts=True)
-        found_a, found_b = [], []
-        for x in np.flatnonzero(comp != names[np.argmax(count)]):
+        root, found = np.arange(len(nid)), np.zeros(len(nid), bool)
+        for x in _others(comp):
             fits = (comp != comp[x]) & (100 * np.minimum(n, n[x]) >= percent * np.maximum(n, n[x]))
-            y = np.flatnonzero(fits if i == j else fits & (blk != blk[x]))
-            est = agreement(sig[y], sig[x])
-            y, est = y[est >= threshold - SLACK], est[est >= threshold - SLACK]
-            if most is not None and len(y) > most:
-                order = np.lexsort((nid[y], -est, comp[y]))
-                y = y[order]
-                _, head, size = np.unique(comp[y], return_index=True, return_counts=True)
-                y = y[np.arange(len(y)) - np.repeat(head, size) < most]
-            found_a.append(np.minimum(nid[y], nid[x]))
-            found_b.append(np.maximum(nid[y], nid[x]))
-        if not found_a:
+            y = np.flatnonzero(fits if same else fits & (blk != blk[x]))
+            y = y[agreement(sig[y], sig[x]) >= threshold - SLACK]
+            if len(y):
+                both = np.append(y, x)
+                found[both] = True
+                _united(root, both)
+        at = np.flatnonzero(found)
+        return pa.record_batch({"a": nid[at], "b": nid[root[at]]}) if len(at) else None
+
+    return _by_group(group)
+
+
+def _links_between(percent: int):
+    """Confirmed links between different components of a group, as many as hold these
+    together. Sets are compared in full."""
+
+    def group(rows: pa.Table) -> pa.RecordBatch | None:
+        nid, comp, n, blk = (np.asarray(rows.column(c)) for c in ("nid", "comp", "n", "blk"))
+        same = rows.column("i")[0] == rows.column("j")[0]
+        others = _others(comp)
+        if not len(others):
             return None
-        both = np.unique(np.stack([np.concatenate(found_a), np.concatenate(found_b)], 1), axis=0)
-        return pa.record_batch({"a": pa.array(both[:, 0], pa.int64()), "b": pa.array(both[:, 1], pa.int64())})
+        sets = [np.frombuffer(s, np.int64) for s in rows.column("set").to_pylist()]
+        heads = np.cumsum([0] + [len(s) for s in sets])
+        values, flat = np.unique(np.concatenate(sets), return_inverse=True)
+        _, root = np.unique(comp, return_inverse=True)
+        in_x = np.zeros(len(values), bool)
+        found = []
+        for x in others:
+            fits = (root != root[x]) & (100 * np.minimum(n, n[x]) >= percent * np.maximum(n, n[x]))
+            if not same:
+                fits &= blk != blk[x]
+            if not fits.any():
+                continue
+            own = flat[heads[x] : heads[x + 1]]
+            in_x[own] = True
+            common = np.add.reduceat(in_x[flat], heads[:-1], dtype=np.int64)
+            in_x[own] = False
+            y = np.flatnonzero(fits & (100 * common >= percent * (n + n[x] - common)))
+            if len(y):
+                _, first = np.unique(root[y], return_index=True)
+                found += [(nid[k], nid[x]) for k in y[first]]
+                _united(root, np.append(y[first], x))
+        if not found:
+            return None
+        return pa.record_batch({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+    return _by_group(group)
+
+
+def _by_group(work):
+    """``work`` on each (g, i, j) group of sorted rows, which may span batches."""
 
     def groups(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         at = None
         for batch in stream:
-            key = np.stack([np.asarray(batch.column(c)).astype(np.int64) for c in ("key", "i", "j")], 1)
+            key = np.stack([np.asarray(batch.column(c)).astype(np.int64) for c in ("g", "i", "j")], 1)
             heads = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
             for start, stop in zip([0, *heads], [*heads, len(key)], strict=True):
                 if start == stop:
                     continue
                 if at != tuple(key[start]) and held:
-                    out = pairs(pa.Table.from_batches(held))
-                    if out is not None and out.num_rows:
+                    out = work(pa.Table.from_batches(held))
+                    if out is not None:
                         yield out
                     held = []
                 at = tuple(key[start])
                 held.append(batch.slice(start, stop - start))
         if held:
-            out = pairs(pa.Table.from_batches(held))
-            if out is not None and out.num_rows:
+            out = work(pa.Table.from_batches(held))
+            if out is not None:
                 yield out
 
     return groups
 
 
+def _in_blocks(rows: DataFrame, group: str, blocks: Column) -> DataFrame:
+    """Rows sorted by (g, i, j): each group cut into ``blocks`` blocks, every two of which meet."""
+    rows = (
+        rows.withColumnRenamed(group, "g")
+        .withColumn("blk", F.pmod(F.xxhash64("nid"), blocks).cast("int"))
+        .withColumn("o", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        .withColumn("i", F.least("blk", "o"))
+        .withColumn("j", F.greatest("blk", "o"))
+    )
+    return rows.repartition("g", "i", "j").sortWithinPartitions("g", "i", "j")
+
+
 def _sets(size: int):
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = [shingle_set(t, size) for t in batch.column("text").to_pylist()]
@@ -315,42 +378,35 @@ def near_duplicates(
     star = mapped(star.select("a", "b", "sig", "sig_b"), _check_signatures(threshold), "a long, b long, est double")
     first = kept(star.groupBy("a").agg(F.max_by("b", F.struct("est", "b")).alias("b")), "star-pairs")
     sets = sets_of(_ends(first), nodes, docs, shingle)
-    links, tested = confirmed(first, sets, percent), first.select(F.col("b").alias("a"), F.col("a").alias("b"))
-    found = kept(components(links), "components")
-
-    # Buckets that still hold several components: first the best partners of each set in each
-    # other component, then more of them, in the end all. Components that grow together leave the race.
-    for most in PARTNERS:
-        named = member.join(found, "nid", "left").select("key", "rows", "nid", F.coalesce("comp", "nid").alias("comp"))
-        open_keys = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
-        member = kept(named.join(open_keys.select("key"), "key").drop("comp"), "buckets")
-        if member.isEmpty():
-            break
-        cut = F.ceil(F.col("rows") / F.lit(block)).cast("int")
-        left = (
-            member.join(found, "nid", "left")
-            .withColumn("comp", F.coalesce("comp", "nid"))
-            .join(side, "nid")
-            .withColumn("blk", F.pmod(F.xxhash64("nid"), cut).cast("int"))
-            .withColumn("o", F.explode(F.sequence(F.lit(0), cut - 1)))
-            .withColumn("i", F.least("blk", "o"))
-            .withColumn("j", F.greatest("blk", "o"))
-            .select("key", "i", "j", "blk", "nid", "comp", "n", "sig")
+    found = kept(components(confirmed(first, sets, percent)), "components")
+
+    # Buckets that still hold several components: sets that agree across components there
+    # form groups, in which the components are compared in full.
+    named = member.join(found, "nid", "left").select("key", "rows", "nid", F.coalesce("comp", "nid").alias("comp"))
+    open_keys = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
+    left = named.join(open_keys.select("key"), "key").join(side, "nid")
+    left = _in_blocks(left, "key", F.ceil(F.col("rows") / F.lit(block)).cast("int"))
+    left = left.select("g", "i", "j", "blk", "nid", "comp", "n", "sig")
+    misses = kept(left.mapInArrow(_near_misses(threshold, percent), "a long, b long").distinct(), "near-misses")
+    if not misses.where("a <> b").isEmpty():
+        grouped = kept(
+            components(misses).withColumnRenamed("comp", "cluster")
+            .join(found, "nid", "left")
+            .select("nid", "cluster", F.coalesce("comp", "nid").alias("comp")),
+            "clusters",
+        )
+        sets = sets_of(grouped.select("nid"), nodes, docs, shingle)
+        held = grouped.join(sets, "nid").withColumn("n", F.length("set") / 8)
+        size = grouped.join(features.select("nid", "n"), "nid").groupBy("cluster").agg(
+            F.count("*").alias("rows"), F.sum("n").alias("shingles")
         )
-        left = left.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-        new = left.mapInArrow(_bucket_pairs(threshold, percent, most), "a long, b long").distinct()
-        new = kept(new.join(tested, ["a", "b"], "left_anti"), "open-pairs")
-        if new.isEmpty():
-            if most is None:
-                break
-            continue
-        lacking = _ends(new).join(sets.select("nid"), "nid", "left_anti")
-        if not lacking.isEmpty():
-            sets = sets.unionByName(sets_of(lacking, nodes, docs, shingle))
-        tested = tested.unionByName(new)
-        more = confirmed(new, sets, percent)
-        links = links.unionByName(more)
-        found = kept(components(links), "components")
+        cut = F.greatest(F.ceil(F.col("rows") / F.lit(block)), F.ceil(F.col("shingles") / F.lit(BLOCK_SHINGLES))).cast("int")
+        size = size.select(F.col("cluster").alias("of"), cut.alias("blocks"))
+        held = held.join(size, F.col("cluster") == F.col("of"))
+        held = _in_blocks(held, "cluster", F.col("blocks")).select("g", "i", "j", "blk", "nid", "comp", F.col("n").cast("long").alias("n"), "set")
+        more = kept(held.mapInArrow(_links_between(percent), "a long, b long").distinct(), "more-links")
+        if not more.isEmpty():
+            found = kept(merged(found, more), "components")
 
     named = nodes.join(found, "nid", "left").select("node", "rep", F.coalesce("comp", "nid").alias("comp"))
     label = named.groupBy("comp").agg(F.min("rep").alias("component_id"))
