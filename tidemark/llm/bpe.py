@@ -52,7 +52,7 @@ LATER = (
 )
 #: A sign that is neither letter, number nor white space.
 SIGN = "\u2603"
-CACHED_WORDS = 300_000
+CACHED_WORDS = 150_000
 CACHED_PAIRS = 400_000
 NEVER = 1 << 40
 #: Bytes up to which a word is merged by looking through all its pairs.
