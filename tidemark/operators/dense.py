@@ -12,7 +12,6 @@ from pyspark.sql import types as T
 from tidemark.functions import text as X
 from tidemark.operators import topk
 from tidemark.schemas import VECTOR
-from tidemark.session import materialise
 from tidemark.sources.tables import read_table, replace_table
 
 METRICS = ("l2sq", "dot")
@@ -149,13 +148,16 @@ def rebuild_vectors(
     if found:
         raise RepeatedIdError(", ".join(r["id"] for r in found))
     spark = chunks.sparkSession
-    made = materialise(vector_table(vectorise(chunks, dim, idf, encoder=encoder)), "vectors")
+    made = vector_table(vectorise(chunks, dim, idf, encoder=encoder))
+    replace_table(made, path, VECTOR, check=_fit_vectors)
+    return read_table(spark, path, VECTOR).count()
+
+
+def _fit_vectors(written: DataFrame) -> None:
     length = F.size("embedding")
-    bad = made.agg(F.count_if(F.col("embedding").isNull()), F.min(length), F.max(length)).first()
+    bad = written.agg(F.count_if(F.col("embedding").isNull()), F.min(length), F.max(length)).first()
     if bad[0] or bad[1] != bad[2]:
         raise BadVectorError(f"{bad[0]} null vectors, lengths {bad[1]} to {bad[2]}")
-    replace_table(made, path, VECTOR)
-    return read_table(spark, path, VECTOR).count()
 
 
 def _vector_id() -> Column:

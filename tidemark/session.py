@@ -21,14 +21,15 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
-    Later steps then start from files that survive the loss of any executor. The caller, or
-    whoever cleans the shared folder after the job, removes them: ``remove``.
+    Later steps then start from files that survive the loss of any executor.
+    A step that is done with them when it returns gives a ``path`` of its own and
+    removes it; what a returned table still reads stays until the shared folder is cleared.
     """
     spark = df.sparkSession
-    path = work_folder(spark, name)
+    path = path or work_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -11,6 +11,8 @@ Batches that are small beside their table are appended under
 when the table is read; ``fold`` writes the merged table as a version.
 """
 
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import reduce
 from operator import and_
 
@@ -20,7 +22,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.quality import enforce
 from tidemark.operators.sales import dedupe_latest, upsert
-from tidemark.session import materialise, remove
+from tidemark.session import materialise, remove, work_folder
 
 DONE = "_SUCCESS"
 
@@ -71,8 +73,13 @@ def read_table(
     return spark.read.schema(schema).parquet(f"{path}/version={version or known[-1]}")
 
 
-def _write_checked(df: DataFrame, target: str, schema: T.StructType) -> None:
-    """Write, compare the rows that can be read back, and only then mark the folder as complete."""
+def _write_checked(
+    df: DataFrame, target: str, schema: T.StructType, check: Callable[[DataFrame], None] | None = None
+) -> None:
+    """Write, compare the rows that can be read back, and only then mark the folder as complete.
+
+    ``check`` may look at what was written, too, and raise.
+    """
     spark = df.sparkSession
     written = Observation()
     df.observe(written, F.count(F.lit(1)).alias("rows")).write.option(
@@ -81,26 +88,44 @@ def _write_checked(df: DataFrame, target: str, schema: T.StructType) -> None:
     found = spark.read.schema(schema).parquet(target).count()
     if found != written.get["rows"]:
         raise WriteCheckError(f"{target}: wrote {written.get['rows']} rows, found {found}")
+    if check:
+        check(spark.read.schema(schema).parquet(target))
     done = spark._jvm.org.apache.hadoop.fs.Path(target, DONE)
     done.getFileSystem(spark._jsc.hadoopConfiguration()).create(done, True).close()
 
 
-def replace_table(df: DataFrame, path: str, schema: T.StructType, keep: int | None = None) -> int:
+def replace_table(
+    df: DataFrame,
+    path: str,
+    schema: T.StructType,
+    keep: int | None = None,
+    check: Callable[[DataFrame], None] | None = None,
+) -> int:
     """Write ``df`` as the next version and return its number.
 
-    The batch is checked against the schema before anything is written. With
-    ``keep``, only so many complete versions stay; a reader of an older one fails.
+    The batch is checked against the schema before anything is written, and by
+    ``check`` before the version becomes the table. With ``keep``, only so many complete versions stay; a reader of an older one fails.
     """
     spark = df.sparkSession
     fitting = enforce(df, schema)
     number = max(_folders(spark, path, "version"), default=0) + 1
-    _write_checked(fitting, f"{path}/version={number}", schema)
+    _write_checked(fitting, f"{path}/version={number}", schema, check)
     if keep:
         for old in versions(spark, path)[:-keep]:
             remove(spark, f"{path}/version={old}")
     return number
 
 
+@contextmanager
+def _held(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``df`` in files that are removed when the work with them is done."""
+    path = work_folder(df.sparkSession, name)
+    try:
+        yield materialise(df, name, path)
+    finally:
+        remove(df.sparkSession, path)
+
+
 def _one_row_per_key(batch: DataFrame, keys: list[str]) -> None:
     repeated = batch.dropna(subset=keys).groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1").first()
     if repeated:
@@ -118,11 +143,11 @@ def upsert_table(source: DataFrame, path: str, keys: list[str], schema: T.Struct
     # The batch is read three times. From files it is computed once, and
     # Catalyst knows its size when it picks the join: a batch below the
     # broadcast threshold leaves the table where it is, a larger one shuffles.
-    batch = materialise(fitting, "merge-batch")
-    _one_row_per_key(batch, keys)
-    if not table_exists(spark, path):
-        return replace_table(batch, path, schema)
-    return replace_table(upsert(read_table(spark, path, schema), batch, keys), path, schema)
+    with _held(fitting, "merge-batch") as batch:
+        _one_row_per_key(batch, keys)
+        if not table_exists(spark, path):
+            return replace_table(batch, path, schema)
+        return replace_table(upsert(read_table(spark, path, schema), batch, keys), path, schema)
 
 
 def append_changes(source: DataFrame, path: str, keys: list[str], schema: T.StructType, batch: int | None = None) -> int:
@@ -138,9 +163,9 @@ def append_changes(source: DataFrame, path: str, keys: list[str], schema: T.Stru
         return number
     if number in there:  # what a failed attempt has left
         remove(spark, f"{path}/changes/batch={number}")
-    fitting = materialise(enforce(source, schema), "change-batch")
-    _one_row_per_key(fitting, keys)
-    _write_checked(fitting, f"{path}/changes/batch={number}", schema)
+    with _held(enforce(source, schema), "change-batch") as fitting:
+        _one_row_per_key(fitting, keys)
+        _write_checked(fitting, f"{path}/changes/batch={number}", schema)
     return number
 
 
@@ -166,7 +191,8 @@ def read_merged(spark: SparkSession, path: str, keys: list[str], schema: T.Struc
 
 def fold(spark: SparkSession, path: str, keys: list[str], schema: T.StructType) -> int:
     """Write the merged table as the next version and remove the batches it holds."""
-    batches = [n for n, done in _folders(spark, f"{path}/changes", "batch").items() if done]
+    # Oldest first: what a failure leaves is the newest, which may be merged once more.
+    batches = sorted(n for n, done in _folders(spark, f"{path}/changes", "batch").items() if done)
     number = replace_table(read_merged(spark, path, keys, schema), path, schema)
     for n in batches:
         remove(spark, f"{path}/changes/batch={n}")
