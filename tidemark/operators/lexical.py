@@ -84,16 +84,19 @@ def tokenise(chunks: DataFrame, mode: str) -> DataFrame:
     )
 
 
-def build_index(chunks: DataFrame, mode: str = "word") -> Index:
+def build_index(chunks: DataFrame, mode: str = "word", store: bool = True) -> Index:
     """Tokenise the chunks and count the vocabulary, each once, into the shared folder.
 
     Counting, searching and fetching the text of results all read the written
-    chunks, a few columns each. Every chunk adds its distinct terms and one null term, so that document
+    chunks, a few columns each; ``store`` false leaves them unwritten, for an
+    index that is only read for its counts. Every chunk adds its distinct terms and one null term, so that document
     frequencies, the number of chunks and their total length come out of the
     same aggregation. Frequent terms are combined in the map tasks, what is
     shuffled and written is the size of the vocabulary.
     """
-    tokenised = chunks if "tokens" in chunks.columns else materialise(tokenise(chunks, mode), "index-chunks")
+    tokenised = tokenise(chunks, mode)
+    if store and "tokens" not in chunks.columns:
+        tokenised = materialise(tokenised, "index-chunks")
     no_term = F.lit(None).cast("string")
     each = tokenised.select(
         "dl", F.explode(F.array_append(F.array_distinct("tokens"), no_term)).alias("term")

@@ -44,6 +44,7 @@ SCORE_CELLS = 250_000
 # sum of floats never decides between equal texts. Nothing is cut off: small
 # scores keep as many digits as large ones.
 SCORE_DIGITS = 12
+SLACK = 1e-10
 # Groups in which the rows of one query are limited first.
 SALTS = 32
 # Rows of a result that may be broadcast to fetch their text.
@@ -211,21 +212,29 @@ class _Best:
     def _cells(self, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Row, query and score of every cell that may be among the best."""
         scorer = self.scorer
+        near = scorer.score(self.side, batch)
         if scorer.refine is None:
-            scores = significant(scorer.score(self.side, batch))
-            keep = scores >= self.bar
-            if scorer.positive_only:
-                keep &= scores > 0
-            r, q = np.nonzero(keep)
-            return r, q, scores[r, q]
-        near, error = scorer.score(self.side, batch)
-        r, q = np.nonzero(near + error >= self.bar)
-        scores = significant(scorer.refine(self.side, batch, r, q))
+            bar = self._bar_with(near)
+            slack = np.where(np.isfinite(bar), np.abs(bar) * SLACK, 0)  # what the last digits may move it by
+            r, q = np.nonzero(near >= bar - slack)
+            scores = near[r, q]
+        else:
+            near, error = near
+            r, q = np.nonzero(near + error >= self._bar_with(near - error))
+            scores = scorer.refine(self.side, batch, r, q)
+        scores = significant(scores)
         keep = scores >= self.bar[q]
         if scorer.positive_only:
             keep &= scores > 0
         return r[keep], q[keep], scores[keep]
 
+    def _bar_with(self, least: np.ndarray) -> np.ndarray:
+        """The bar, raised by what k rows of this block reach at least."""
+        n = len(least)
+        if n <= self.k:
+            return self.bar
+        return np.maximum(self.bar, np.partition(least, n - self.k, axis=0)[n - self.k])
+
     def _offer_block(self, batch: pa.RecordBatch) -> None:
         if not self.n or not batch.num_rows:
             return

@@ -426,12 +426,12 @@ def doc_lengths(spark, sf_dir):
 
 
 def corpus_stats(spark, sf_dir):
-    index = lexical.build_index(word_chunks(spark, sf_dir), "ws")
+    index = lexical.build_index(word_chunks(spark, sf_dir), "ws", store=False)
     return _rounded(index.corpus, "avgdl", "avg_idf")
 
 
 def term_stats(spark, sf_dir):
-    return _rounded(lexical.build_index(word_chunks(spark, sf_dir), "ws").term_stats, "idf")
+    return _rounded(lexical.build_index(word_chunks(spark, sf_dir), "ws", store=False).term_stats, "idf")
 
 
 def _ranked(df: DataFrame, score: str) -> DataFrame:
@@ -447,8 +447,7 @@ def _bm25(spark, sf_dir):
 
 
 def _keywords(spark, sf_dir):
-    chunks = materialise(lexical.tokenise(word_chunks(spark, sf_dir), "ascii"), "keyword-chunks")
-    return lexical.keyword_search(questions(spark, sf_dir), chunks, 5)
+    return lexical.keyword_search(questions(spark, sf_dir), word_chunks(spark, sf_dir), 5)
 
 
 def bm25_topk(spark, sf_dir):
@@ -561,7 +560,10 @@ def normalised_vectors(spark, sf_dir):
 
 
 def rrf_fuse(spark, sf_dir):
-    return _ranked(fusion.rrf([_bm25(spark, sf_dir), _keywords(spark, sf_dir)], 5), "rrf_score")
+    index, asked = _word_index(spark, sf_dir), questions(spark, sf_dir)
+    chunks = index.chunks.drop("tokens", "dl")
+    lists = [lexical.bm25_search(asked, index, 5), lexical.keyword_search(asked, chunks, 5)]
+    return _ranked(fusion.rrf(lists, 5), "rrf_score")
 
 
 def rerank_overlap(spark, sf_dir):
