@@ -94,13 +94,11 @@ class Model:
     weights: dict[int, float]
 
 
-def _entries(sets: list[np.ndarray], names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Row and column of every feature of the sets that is in ``names`` (sorted)."""
-    flat = np.concatenate([*sets, np.empty(0, np.int64)])
-    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    at = np.searchsorted(names, flat)
-    hit = (at < len(names)) & (names[np.minimum(at, len(names) - 1)] == flat)
-    return row[hit], at[hit]
+def _entries(sets: list[np.ndarray], place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column of every feature of the sets that has a column in ``place``."""
+    columns = [c[c >= 0] for c in (place[s] for s in sets)]
+    row = np.repeat(np.arange(len(sets), dtype=np.int32), [len(c) for c in columns])
+    return row, np.concatenate([*columns, np.empty(0, np.int32)])
 
 
 def train(texts: list[np.ndarray], toxic: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray]]) -> Model:
@@ -111,17 +109,20 @@ def train(texts: list[np.ndarray], toxic: np.ndarray, pairs: list[tuple[np.ndarr
     n = len(texts)
     share = min(max(float(toxic.mean()), 1e-6), 1 - 1e-6)
     bias = math.log(share / (1 - share))
-    every, inverse = np.unique(np.concatenate([*texts, np.empty(0, np.int64)]), return_inverse=True)
-    seen = np.bincount(inverse, minlength=len(every))
-    hit = np.bincount(inverse, np.repeat(toxic, [len(x) for x in texts]), minlength=len(every))
+    seen, hit = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    for x, label in zip(texts, toxic, strict=True):  # every feature once a text
+        seen[x] += 1
+        hit[x] += label
     z = (hit - seen * share) / np.sqrt(np.maximum(seen * share * (1 - share), 1e-9))
-    names = every[(seen >= LEAST_TEXTS) & (np.abs(z) >= LEAST_Z)]
+    names = np.flatnonzero((seen >= LEAST_TEXTS) & (np.abs(z) >= LEAST_Z))
+    place = np.full(BUCKETS, -1, np.int32)
+    place[names] = np.arange(len(names), dtype=np.int32)
     d, m = len(names), max(len(pairs), 1)
     if not d:
         return Model(bias, {})
-    row, column = _entries(texts, names)
-    a_row, a = _entries([x for x, _ in pairs], names)
-    b_row, b = _entries([x for _, x in pairs], names)
+    row, column = _entries(texts, place)
+    a_row, a = _entries([x for x, _ in pairs], place)
+    b_row, b = _entries([x for _, x in pairs], place)
     theta = np.append(np.zeros(d), bias)
     first, second = np.zeros(d + 1), np.zeros(d + 1)
     for k in range(1, STEPS + 1):
@@ -177,13 +178,14 @@ def learn(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Mode
 
     schema = "doc_id long, toxic int, x binary, a binary, b binary"
     found = mapped(rows.select("doc_id", "toxic", "text"), features, schema)
-    got = found.where(F.length("x") <= 4 * SAMPLE_FEATURES).dropDuplicates(["doc_id"]).collect()
-    if not got:
+    got = found.where(F.length("x") <= 4 * SAMPLE_FEATURES).dropDuplicates(["doc_id"]).toArrow()
+    if not got.num_rows:
         return None
-    got.sort(key=lambda r: r.doc_id)
-    as_set = lambda x: np.frombuffer(x, np.int32).astype(np.int64)
-    pairs = [(as_set(r.a), as_set(r.b)) for r in got[:SWAPPED]]
-    return train([as_set(r.x) for r in got], np.array([r.toxic > 0 for r in got], float), pairs)
+    order = np.argsort(np.asarray(got.column("doc_id")))
+    sets = {c: [np.frombuffer(x.as_buffer(), np.int32) for x in got.column(c)] for c in ("x", "a", "b")}
+    toxic = (np.asarray(got.column("toxic")) > 0).astype(float)
+    pairs = [(sets["a"][k], sets["b"][k]) for k in order[:SWAPPED]]
+    return train([sets["x"][k] for k in order], toxic[order], pairs)
 
 
 CACHED_WORDS = 200_000
