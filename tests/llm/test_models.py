@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -120,6 +121,44 @@ def test_model_is_a_distribution(documents, spark):
     assert np.allclose(inside[used], 1) and np.allclose(shares.sum(axis=1), 1, atol=1e-4)
 
 
+def test_long_and_late_texts_teach_the_contexts(documents):
+    """What follows what is learned from a text of any length, also where only one shard of many has it."""
+    rows = [(i, t) for i, t, _ in corpus(40)] + [(1000, "left right " * 30_000)]
+    for partitions in (1, 7):
+        learned = documents(rows).repartition(partitions).select("doc_id", "text")
+        model, _ = lm_score.learn(learned)
+        held = lm_score.hashed_words(pa.array(["left right left right left"]))[0]
+        shares = np.exp(lm_score.log_shares(lm_score.features(held), model.weights, model.classes.bias))
+        assert shares[4, model.classes.of(b"left")] > 0.9
+
+
+def test_hashed_words_are_the_words(monkeypatch):
+    texts = ["Ab aB\tc", None, "", " \x0b\r\n", "É\x85x\x00 y", "ab", "z" * 300 + " C", "a\x1cb\u00a0c"]
+    whole = pa.array(texts)
+    monkeypatch.setattr(lm_score, "PIECE", 8)
+    parts = [whole.slice(*p) for p in lm_score.pieces(whole)]
+    assert len(parts) > 2 and sum(len(p) for p in parts) == len(texts)
+    seen = {}
+    for part in parts:
+        hashes, last, length = lm_score.hashed_words(part)
+        words = [lm_score.words_of(t) for t in part.to_pylist()]
+        assert length.tolist() == [len(w) for w in words]
+        at = 0
+        for text in words:
+            assert not hashes[at : at + lm_score.PAD].any()
+            at += lm_score.PAD
+            for word in text:
+                assert seen.setdefault(word, int(hashes[at])) == hashes[at]
+                assert lm_score.ending_of(int(last[at])) == word[-2:]
+                at += 1
+    assert len(set(seen.values())) == len(seen)
+
+
+def test_buckets_grow_with_the_vocabulary():
+    found = [lm_score.bits_for(n) for n in (0, 5_000, 20_000, 10**9)]
+    assert found[0] == found[1] == lm_score.BITS < found[2] <= found[3] == lm_score.MOST_BITS
+
+
 def test_language_model_without_training(documents):
     assert lm_score.score(documents([]), fold("doc_id", 10) != 0).count() == 0
     got = lm_score.score(documents([(1, "a b"), (None, "c")]), F.lit(False)).collect()
