@@ -194,6 +194,17 @@ def test_toxic_words_and_group_names(documents, spark):
     assert new_form > 0.7
 
 
+def test_every_naming_sentence_is_swapped(documents, spark, monkeypatch):
+    given = []
+    monkeypatch.setattr(toxicity, "train", lambda texts, toxic, pairs: given.extend(pairs))
+    rows = [(i, "Women sing. Nobody came. The old men wait! No name") for i in range(2_050)] + [(3_000, "none here")]
+    toxicity.learn(documents(rows), labelled(spark, [(i, i % 2) for i, _ in rows], "toxic"))
+    assert len(given) == 2 * 2_050 + 1
+    (gone, come), (more_gone, more_come) = given[:2]
+    assert set(toxicity.features_of("women")) >= set(gone.tolist()) and set(toxicity.features_of("men")) >= set(come.tolist())
+    assert not set(toxicity.features_of("wait")) & {*more_gone.tolist(), *more_come.tolist()}
+
+
 def test_swaps_stay_in_their_group():
     for name, others in toxicity.SWAPS.items():
         assert others and name not in others

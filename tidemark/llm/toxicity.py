@@ -35,8 +35,6 @@ STEPS = 200
 RATE = 0.1
 RIDGE = 1e-5
 SWAP_PENALTY = 5.0
-#: Documents of the sample whose sentences are swapped.
-SWAPPED = 2_000
 PREDICT_FROM = 0.7
 WORD = re.compile(r"[^\W\d_]+")
 SENTENCE = re.compile(r"[.!?\n]+")
@@ -88,6 +86,17 @@ def swapped(words: set[str], number: int) -> set[str] | None:
     return words - named | {SWAPS[n][(number + k) % len(SWAPS[n])] for k, n in enumerate(sorted(named))}
 
 
+def pairs_of(text: str, number: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Of each sentence of a text that names a group, the features that only it and that only its swapped form has; the
+    others cancel. A text that names none gives one pair, of a sentence with a name put in."""
+    parts = [set(words_of(s)) for s in SENTENCE.split(text)]
+    named = [p for p in parts if p & SWAPS.keys()]
+    if not named:  # a neutral mention, put into a sentence that has none
+        named = [next((p for p in parts if p), set()) | {NAMES[number % len(NAMES)]}]
+    both = [(feature_set(p), feature_set(swapped(p, number + k))) for k, p in enumerate(named)]
+    return [(np.setdiff1d(a, b, True), np.setdiff1d(b, a, True)) for a, b in both]
+
+
 @dataclass(frozen=True)
 class Model:
     bias: float
@@ -104,7 +113,7 @@ def _entries(sets: list[np.ndarray], place: np.ndarray) -> tuple[np.ndarray, np.
 def train(texts: list[np.ndarray], toxic: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray]]) -> Model:
     """Logistic regression by Adam steps on feature sets ``texts`` with labels ``toxic``.
 
-    ``pairs`` are sets before and after a swap.
+    ``pairs`` are sets before and after a swap, or what differs in them.
     """
     n = len(texts)
     share = min(max(float(toxic.mean()), 1e-6), 1 - 1e-6)
@@ -143,7 +152,8 @@ def learn(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Mode
     """A model from ``documents`` (doc_id, text) and ``labels`` (doc_id, toxic).
 
     Fitted on the ``sample`` labelled ids that come first by hash, less texts of
-    more than ``SAMPLE_FEATURES`` features; feature sets, no texts, reach the driver. Of repeated labels
+    more than ``SAMPLE_FEATURES`` features; feature sets, no texts, reach the driver. Every sentence of these
+texts that names a group is swapped. Of repeated labels
     the larger counts; null ids, labels and texts teach nothing. None if
     nothing is left to learn from.
     """
@@ -159,33 +169,27 @@ def learn(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Mode
     rows = rows.where("text is not null").join(F.broadcast(chosen), F.col("doc_id") == F.col("id"))
 
     def features(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets, before, after = [], [], []
-        ids = batch.column("doc_id").to_pylist()
-        for doc_id, text in zip(ids, batch.column("text").to_pylist(), strict=True):
-            sets.append(feature_set(set(words_of(text))))
-            parts = [set(words_of(s)) for s in SENTENCE.split(text)]
-            named = next((p for p in parts if p & SWAPS.keys()), None)
-            if named is None:  # a neutral mention, put into a sentence that has none
-                name = NAMES[doc_id % len(NAMES)]
-                named = next((p for p in parts if p), set()) | {name}
-            before.append(feature_set(named))
-            after.append(feature_set(swapped(named, doc_id)))
-        packed = {
-            name: pa.array([s.astype(np.int32).tobytes() for s in column], pa.binary())
-            for name, column in (("x", sets), ("a", before), ("b", after))
+        texts, ids = batch.column("text").to_pylist(), batch.column("doc_id").to_pylist()
+        sets = [feature_set(set(words_of(t))).astype(np.int32).tobytes() for t in texts]
+        pairs = [pairs_of(t, k) for t, k in zip(texts, ids, strict=True)]
+        sides = {
+            name: pa.array([[p[side].astype(np.int32).tobytes() for p in of] for of in pairs], pa.list_(pa.binary()))
+            for side, name in enumerate("ab")
         }
-        return pa.record_batch({"doc_id": batch.column("doc_id"), "toxic": batch.column("toxic")} | packed)
+        rest = {"doc_id": batch.column("doc_id"), "toxic": batch.column("toxic"), "x": pa.array(sets, pa.binary())}
+        return pa.record_batch(rest | sides)
 
-    schema = "doc_id long, toxic int, x binary, a binary, b binary"
+    schema = "doc_id long, toxic int, x binary, a array<binary>, b array<binary>"
     found = mapped(rows.select("doc_id", "toxic", "text"), features, schema)
     got = found.where(F.length("x") <= 4 * SAMPLE_FEATURES).dropDuplicates(["doc_id"]).toArrow()
     if not got.num_rows:
         return None
     order = np.argsort(np.asarray(got.column("doc_id")))
-    sets = {c: [np.frombuffer(x.as_buffer(), np.int32) for x in got.column(c)] for c in ("x", "a", "b")}
+    sets = [np.frombuffer(x.as_buffer(), np.int32) for x in got.column("x")]
     toxic = (np.asarray(got.column("toxic")) > 0).astype(float)
-    pairs = [(sets["a"][k], sets["b"][k]) for k in order[:SWAPPED]]
-    return train([sets["x"][k] for k in order], toxic[order], pairs)
+    before, after = (got.column(c).take(pa.array(order)).combine_chunks().flatten() for c in "ab")
+    pairs = [tuple(np.frombuffer(x.as_py(), np.int32) for x in pair) for pair in zip(before, after, strict=True)]
+    return train([sets[k] for k in order], toxic[order], pairs)
 
 
 CACHED_WORDS = 200_000
