@@ -13,10 +13,13 @@ from tidemark.llm import (
     lm_score,
     minhash_dedup,
     mixing,
+    periodic_runs,
     quality_crf,
+    sketches,
     topk_search,
     toxicity,
     url_filter,
+    whitening,
 )
 from tidemark.llm.common import fold, table, text_batches
 
@@ -88,6 +91,59 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=4)
+
+
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketches.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def _periodic(documents: DataFrame) -> DataFrame:
+    """(doc_id, text) as op13 wants them: in a tenth of the documents, by a hash of the id, the words from one on repeat with a period."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    words = documents.select(
+        "doc_id",
+        "text",
+        g.alias("g"),
+        F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(rf"[^{_SPACE}]+"), F.lit(0))).alias("words"),
+    ).withColumn("n", F.size("words"))
+    a = F.when(F.col("n") > 0, F.col("g") % F.col("n"))
+    cut = words.withColumn("a", a.cast("int"))
+    p = (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int")
+    cut = cut.withColumn("p", p)
+    rest = F.col("n") - F.col("a")
+    times = F.ceil(rest / F.col("p")).cast("int")
+    block = F.slice("words", F.col("a") + 1, F.col("p"))
+    tail = F.slice(F.flatten(F.array_repeat(block, times)), F.lit(1), rest)
+    made = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), tail), " ")
+    return cut.select("doc_id", F.when(F.col("n") > 0, made).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text_batches(spark)
+    found = periodic_runs.detect(_periodic(table(spark, sf_dir, "documents")), "doc_id long")
+    # The greatest length / period, compared as whole numbers; of equal ones the first.
+    sign = lambda a, b: F.when(a < b, -1).when(a > b, 1).otherwise(0)
+    share = lambda x, y: sign(y["length"] * x["period"], x["length"] * y["period"])
+    greater = lambda x, y: F.when(share(x, y) != 0, share(x, y)).when(
+        x["start"] != y["start"], sign(x["start"], y["start"])
+    ).otherwise(sign(x["period"], y["period"]))
+    best = F.col("best")
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", F.get(F.array_sort("runs", greater), F.lit(0))).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.expr("(best.length * 1000) div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_language_id": op2_language_id,
@@ -99,6 +155,9 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_line_quality": op9_line_quality,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op11_whitening": op11_whitening,
+    "op12_fingerprints": op12_fingerprints,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 _RULES = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in URL_RULES)
@@ -197,4 +256,76 @@ ORACLE: dict[str, str] = {
                CASE WHEN size > 0 THEN epochs + (2 * extra >= size)::INT ELSE 0 END::INT AS copies
         FROM placed
     """,
+    "op12_fingerprints": rf"""
+        WITH given AS (SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n FROM documents),
+        met AS (SELECT doc_id, n, text,
+                       coalesce(lead(text) OVER by_id, first_value(text) OVER by_id) AS after
+                FROM given WINDOW by_id AS (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+        made AS (SELECT doc_id, n, text, after, left(text, n - n // 4) || left(after, n // 4) AS new FROM met),
+        cut AS (SELECT doc_id, n, new,
+                       list_distinct(regexp_extract_all(text, '{sketches.PARAGRAPH}')) AS own,
+                       list_distinct(regexp_extract_all(new, '{sketches.PARAGRAPH}')) AS edited,
+                       list_distinct(regexp_extract_all(after, '{sketches.PARAGRAPH}')) AS next
+                FROM made),
+        each AS (SELECT doc_id, 0 AS kind, unnest(own) AS p FROM cut UNION ALL
+                 SELECT doc_id, 1, unnest(edited) FROM cut),
+        digests AS (SELECT doc_id, kind, ('0x' || substr(md5(p), 1, 15))::BIGINT AS d FROM each),
+        checked AS (SELECT *, ('0x' || substr(md5(d::VARCHAR), 1, 8))::BIGINT AS c FROM digests),
+        cells AS (SELECT doc_id, kind, {sketches.BASE} * j + ((d >> (20 * j)) & {sketches.BASE - 1}) AS cell,
+                         count(*) AS k, bit_xor(d) AS d, bit_xor(c) AS c
+                  FROM checked, range(3) AS parts(j) GROUP BY ALL),
+        written AS (SELECT doc_id, kind, string_agg(cell || ':' || k || ':' || d || ':' || c, ',' ORDER BY cell) AS w
+                    FROM cells GROUP BY ALL)
+        SELECT doc_id, n AS n_chars, sha256(new) AS edited_sha256,
+               len(own) || '|' || coalesce(a.w, '') AS fingerprint,
+               len(edited) || '|' || coalesce(b.w, '') AS edited_fingerprint,
+               CASE WHEN len(own) + len(edited) = 0 THEN 1.0::DOUBLE
+                    ELSE (2 * len(list_intersect(own, edited)))::DOUBLE / (len(own) + len(edited)) END AS near_edited,
+               CASE WHEN len(own) + len(next) = 0 THEN 1.0::DOUBLE
+                    ELSE (2 * len(list_intersect(own, next)))::DOUBLE / (len(own) + len(next)) END AS near_next
+        FROM cut LEFT JOIN (FROM written WHERE kind = 0) a USING (doc_id)
+                 LEFT JOIN (FROM written WHERE kind = 1) b USING (doc_id)
+    """,
+    "op13_periodic_runs": rf"""
+        WITH hashed AS (
+            SELECT doc_id, text,
+                   xor(list_reduce(flatten([[4294967295]] || list_transform(string_split(doc_id::VARCHAR, ''),
+                           lambda c: [ord(c), -1, -1, -1, -1, -1, -1, -1, -1]))::BIGINT[],
+                       lambda crc, b: CASE WHEN b >= 0 THEN xor(crc, b) WHEN crc & 1 = 1 THEN xor(crc >> 1, 3988292384)
+                                        ELSE crc >> 1 END), 4294967295) AS h
+            FROM documents),
+        given AS (
+            SELECT doc_id, coalesce(regexp_extract_all(text, '[^{_SPACE}]+'), []) AS w, h % 10 = 0 AS turned, h // 10 AS g
+            FROM hashed),
+        sized AS (SELECT *, len(w) AS n FROM given),
+        placed AS (SELECT *, CASE WHEN turned AND n > 0 THEN g % n ELSE n END AS a FROM sized),
+        period AS (SELECT *, CASE WHEN a < n THEN 1 + (n - a) // (3 + g % 8) ELSE 1 END AS p FROM placed),
+        words AS MATERIALIZED (
+            SELECT doc_id, n, i, w[1 + (CASE WHEN i < a THEN i ELSE a + (i - a) % p END)] AS word
+            FROM (SELECT *, unnest(range(n)) AS i FROM period)),
+        pairs AS (
+            SELECT x.doc_id, x.i, y.i - x.i AS q
+            FROM words x JOIN words y ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND (y.i - x.i) * 4 <= x.n),
+        islands AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM pairs),
+        long AS (
+            SELECT doc_id, q, min(i) AS s, count(*) + q AS l FROM islands GROUP BY doc_id, q, island
+            HAVING count(*) + q >= greatest(6, 4 * q)),
+        runs AS MATERIALIZED (
+            SELECT * FROM long r WHERE NOT EXISTS (
+                SELECT 1 FROM long t WHERE t.doc_id = r.doc_id AND t.q < r.q AND t.s <= r.s AND t.s + t.l >= r.s + r.l)),
+        best AS (
+            SELECT r.* FROM runs r WHERE NOT EXISTS (
+                SELECT 1 FROM runs t WHERE t.doc_id = r.doc_id AND (t.l * r.q > r.l * t.q
+                    OR (t.l * r.q = r.l * t.q AND (t.s < r.s OR (t.s = r.s AND t.q < r.q)))))),
+        lines AS (
+            SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS runs
+            FROM runs GROUP BY doc_id),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + l)) AS i FROM runs),
+        kept AS (
+            SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS left_over
+            FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+        SELECT g.doc_id, coalesce(n_runs, 0) AS n_runs, s AS start, l AS length, q AS period, 1000 * l // q AS exponent_milli,
+               sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(left_over, '')) AS collapsed_sha256
+        FROM given g LEFT JOIN best USING (doc_id) LEFT JOIN lines USING (doc_id) LEFT JOIN kept USING (doc_id)
+    """,
 }
