@@ -35,8 +35,11 @@ MOST_TRIES = 20
 #: What a row of cells belongs to.
 OWN, EDITED, TO_EDITED, TO_NEXT, PRESENT = 0, 1, 2, 3, -1
 KEY = ["nul", "i", "h"]
-_DOC = [*KEY, "copies", "n_chars", "sha"]
-_CELL = ["kind", "size", "total", "cell"]
+_CELL = ["kind", "size", "cell"]
+#: Characters of text whose cells a task holds at once; cells take about ten times as much memory.
+TASK_CHARS = 16 << 20
+#: What the rows of kind PRESENT hold beside the cells of a text, by number: two values each.
+FACTS = (("copies", "n_chars"), ("total_edited", "total_next"), ("n_own", "n_edited"), ("sha0", "sha1"), ("sha2", "sha3"))
 
 
 def digests(text: Column) -> Column:
@@ -90,10 +93,12 @@ def following(docs: DataFrame) -> DataFrame:
 
 
 def with_next(docs: DataFrame, order: DataFrame) -> DataFrame:
-    """For each key of ``order``: _DOC, the digests ``own`` of its text, ``edited`` of its edited text and ``next`` of the next one.
+    """For each key of ``order``: KEY, copies, n_chars, sha, the digests ``own`` of its text, ``edited`` of its edited text and ``next`` of the next one.
 
     The edited text has its last quarter of code points replaced by the first ones of the next text. Texts are shuffled once, by key; of a text, its predecessor gets the head
-    it needs and the digests."""
+    it needs and the digests. The number of parts follows from the characters, for what is made of them is many times their size."""
+    chars = order.agg(F.coalesce(F.sum(F.col("n_chars").cast("long")), F.lit(0))).first()[0]
+    docs = docs.repartition(max(1, -(-chars // TASK_CHARS)), *KEY)
     wanted = order.select(
         *[F.col(f"after.{c}").alias(c) for c in KEY],
         F.struct(*KEY).alias("before"),
@@ -127,7 +132,7 @@ def with_next(docs: DataFrame, order: DataFrame) -> DataFrame:
         *KEY,
         "copies",
         F.col("n_chars").cast("long").alias("n_chars"),
-        F.unhex(F.sha2(F.encode("new", "UTF-8"), 256)).alias("sha"),
+        F.sha2(F.encode("new", "UTF-8"), 256).alias("sha"),
         digests(F.col("text")).alias("own"),
         digests(F.col("new")).alias("edited"),
         "next",
@@ -135,59 +140,58 @@ def with_next(docs: DataFrame, order: DataFrame) -> DataFrame:
 
 
 def _cells(texts: DataFrame, attempt: int) -> DataFrame:
-    """_DOC, _CELL and sums n, digest, check of all cells that are not empty: the sketches of the text and of the edited
-    text, and those of both pairs, subtracted."""
+    """KEY, _CELL and sums n, digest, check of all cells that are not empty: the sketches of the text and of the edited
+    text, those of both pairs, subtracted, and the FACTS of the text."""
 
     def room(total: Column) -> Column:
         bits = F.ceil(F.log2(F.greatest(total * ROOM, F.lit(LEAST)))).cast("int")
         return F.call_function("shiftleft", F.lit(1).cast("long"), bits) * (1 << attempt)
 
-    sized = texts.select(
-        *_DOC, "own", "edited", "next",
-        (F.size("own") + F.size("edited")).cast("long").alias("total_edited"),
-        (F.size("own") + F.size("next")).cast("long").alias("total_next"),
+    def count(*sides: str) -> Column:
+        return sum((F.size(s) for s in sides), F.lit(0)).cast("long")
+
+    of_hash = [F.conv(F.substring("sha", 1 + 16 * k, 16), 16, -10).cast("bigint").alias(f"sha{k}") for k in range(4)]
+    facts = texts.select(
+        *KEY, "own", "edited", "next", "copies", "n_chars", *of_hash,
+        count("own").alias("n_own"), count("edited").alias("n_edited"),
+        count("own", "edited").alias("total_edited"), count("own", "next").alias("total_next"),
     )
-    tagged = lambda side, tag: F.transform(side, lambda d: F.struct(F.lit(tag).alias("tag"), d.alias("digest")))
-    present = F.array(F.struct(F.lit("here").alias("tag"), F.lit(0).cast("long").alias("digest")))
-    each = sized.select(
-        *_DOC,
-        F.size("own").cast("long").alias("n_own"),
-        F.size("edited").cast("long").alias("n_edited"),
-        "total_edited",
-        "total_next",
-        F.explode(F.concat(tagged("own", "own"), tagged("edited", "edited"), tagged("next", "next"), present)).alias("e"),
-    ).select(*_DOC, "n_own", "n_edited", "total_edited", "total_next", "e.tag", "e.digest")
-    each = each.withColumns(
-        {"check": check_of(F.col("digest")), "s_edited": room(F.col("total_edited")), "s_next": room(F.col("total_next"))}
+
+    def tagged(side: str) -> Column:
+        zero = F.lit(0).cast("long")
+        return F.transform(side, lambda d: F.struct(F.lit(side).alias("tag"), zero.alias("no"), d.alias("n"), d.alias("digest")))
+
+    def fact(number: int) -> Column:
+        first, second = FACTS[number]
+        return F.struct(F.lit("fact").alias("tag"), F.lit(-1 - number).cast("long").alias("no"), F.col(first).alias("n"), F.col(second).alias("digest"))
+
+    entries = F.concat(tagged("own"), tagged("edited"), tagged("next"), F.array(*[fact(k) for k in range(len(FACTS))]))
+    each = facts.select(*KEY, "total_edited", "total_next", F.explode(entries).alias("e")).select(
+        *KEY, "e.*", room(F.col("total_edited")).alias("s_edited"), room(F.col("total_next")).alias("s_next")
     )
+    each = each.withColumn("check", F.when(F.col("tag") == "fact", F.lit(0).cast("long")).otherwise(check_of(F.col("digest"))))
 
-    def at(kind: int, size: Column, total: str, sign: int, seed: int | None) -> list[Column]:
-        return [
-            F.struct(
-                F.lit(kind).alias("kind"), size.alias("size"), F.col(total).alias("total"),
-                place(F.col("digest"), part, size, seed).alias("cell"), F.lit(sign).cast("long").alias("n"),
-            )
-            for part in range(PARTS)
-        ]
-
-    base, s_e, s_n = F.lit(BASE).cast("long"), F.col("s_edited"), F.col("s_next")
-    pair = lambda side, sign: at(side, s_e if side == TO_EDITED else s_n, f"total_{'edited' if side == TO_EDITED else 'next'}", sign, attempt)
-    here = F.struct(
-        F.lit(PRESENT).alias("kind"), base.alias("size"), F.lit(0).cast("long").alias("total"),
-        F.lit(-1).cast("long").alias("cell"), F.lit(1).cast("long").alias("n"),
-    )
+    def row(kind: int, size: Column, cell: Column, n: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), size.alias("size"), cell.alias("cell"), n.cast("long").alias("n"))
+
+    def cells(kind: int, size: Column, sign: int, seed: int | None) -> list[Column]:
+        return [row(kind, size, place(F.col("digest"), part, size, seed), F.lit(sign)) for part in range(PARTS)]
+
+    base, s_edited, s_next = F.lit(BASE).cast("long"), F.col("s_edited"), F.col("s_next")
     added = (
-        F.when(F.col("tag") == "own", F.array(*at(OWN, base, "n_own", 1, None), *pair(TO_EDITED, 1), *pair(TO_NEXT, 1)))
-        .when(F.col("tag") == "edited", F.array(*at(EDITED, base, "n_edited", 1, None), *pair(TO_EDITED, -1)))
-        .when(F.col("tag") == "next", F.array(*pair(TO_NEXT, -1)))
-        .otherwise(F.array(here))
+        F.when(
+            F.col("tag") == "own",
+            F.array(*cells(OWN, base, 1, None), *cells(TO_EDITED, s_edited, 1, attempt), *cells(TO_NEXT, s_next, 1, attempt)),
+        )
+        .when(F.col("tag") == "edited", F.array(*cells(EDITED, base, 1, None), *cells(TO_EDITED, s_edited, -1, attempt)))
+        .when(F.col("tag") == "next", F.array(*cells(TO_NEXT, s_next, -1, attempt)))
+        .otherwise(F.array(row(PRESENT, base, F.col("no"), F.col("n"))))
     )
-    spread = each.select(*_DOC, "digest", "check", F.explode(added).alias("c")).select(*_DOC, "c.*", "digest", "check")
-    return _summed(spread)
+    return _summed(each.select(*KEY, "digest", "check", F.explode(added).alias("c")).select(*KEY, "c.*", "digest", "check"))
 
 
 def _summed(cells: DataFrame) -> DataFrame:
-    sums = cells.groupBy(*_DOC, *_CELL).agg(
+    sums = cells.groupBy(*KEY, *_CELL).agg(
         F.sum("n").alias("n"), F.bit_xor("digest").alias("digest"), F.bit_xor("check").alias("check")
     )
     return sums.where("n <> 0 or digest <> 0 or check <> 0")
@@ -211,16 +215,22 @@ def peeled(cells: DataFrame, attempt: int, cycles: int = CYCLES) -> DataFrame:
         out = F.when(single, F.array(row(-1 - F.col("digest"), F.col("n")), *gone)).otherwise(
             F.array(row(F.col("cell"), F.col("n")))
         )
-        cells = _summed(cells.select(*_DOC, "kind", "size", "total", F.explode(out).alias("r")).select(*_DOC, "kind", "size", "total", "r.*"))
+        cells = _summed(cells.select(*KEY, "kind", "size", F.explode(out).alias("r")).select(*KEY, "kind", "size", "r.*"))
     return cells
 
 
-def _written(kind: int) -> Column:
+def _fact(name: str) -> Column:
+    number = next(k for k, names in enumerate(FACTS) if name in names)
+    value = "digest" if FACTS[number].index(name) else "n"
+    mine = (F.col("kind") == PRESENT) & (F.col("cell") == -1 - number)
+    return F.coalesce(F.max(F.when(mine, F.col(value))), F.lit(0).cast("long"))
+
+
+def _written(kind: int, count: str) -> Column:
     """A sketch as text: number of digests, then cell, count, digests and checks of each cell that is not empty."""
-    mine = F.col("kind") == kind
-    rows = F.array_sort(F.collect_list(F.when(mine, F.struct("cell", "n", "digest", "check"))))
+    rows = F.array_sort(F.collect_list(F.when(F.col("kind") == kind, F.struct("cell", "n", "digest", "check"))))
     cells = F.transform(rows, lambda c: F.concat_ws(":", c["cell"], c["n"], c["digest"], c["check"]))
-    return F.concat(F.coalesce(F.max(F.when(mine, F.col("total"))), F.lit(0)).cast("string"), F.lit("|"), F.array_join(cells, ","))
+    return F.concat(_fact(count).cast("string"), F.lit("|"), F.array_join(cells, ","))
 
 
 def _tried(docs: DataFrame, order: DataFrame, attempt: int) -> DataFrame:
@@ -231,16 +241,21 @@ def _tried(docs: DataFrame, order: DataFrame, attempt: int) -> DataFrame:
         mine, found = F.col("kind") == kind, F.col("cell") < 0
         lost = lambda n: F.array_sort(F.collect_list(F.when(mine & found & (F.col("n") == n), F.col("digest"))))
         return [
-            F.coalesce(F.max(F.when(mine, F.col("total"))), F.lit(0)).alias(f"total_{name}"),
+            _fact(f"total_{name}").alias(f"total_{name}"),
             F.count_if(mine & found).alias(f"differ_{name}"),
             F.count_if(mine & ~found).alias(f"left_{name}"),
             lost(1).alias(f"without_{name}"),
             lost(-1).alias(f"only_{name}"),
         ]
 
-    return cells.groupBy(*_DOC).agg(
-        _written(OWN).alias("fingerprint"),
-        _written(EDITED).alias("edited_fingerprint"),
+    # Whole numbers of the hash, back to its hexadecimal digits.
+    sha = F.concat(*[F.lpad(F.hex(_fact(f"sha{k}")), 16, "0") for k in range(4)])
+    return cells.groupBy(*KEY).agg(
+        _fact("copies").alias("copies"),
+        _fact("n_chars").alias("n_chars"),
+        F.lower(sha).alias("sha"),
+        _written(OWN, "n_own").alias("fingerprint"),
+        _written(EDITED, "n_edited").alias("edited_fingerprint"),
         *of(TO_EDITED, "edited"),
         *of(TO_NEXT, "next"),
     )
@@ -263,7 +278,7 @@ def fingerprints(documents: DataFrame, digest_lists: bool = False) -> DataFrame:
     order = kept(following(docs), "next-keys")
     sides = ("edited", "next")
     lists = [f"{kind}_{s}" for s in sides for kind in ("without", "only")] if digest_lists else []
-    columns = [*_DOC, "fingerprint", "edited_fingerprint", *[f"{c}_{s}" for s in sides for c in ("total", "differ", "left")], *lists]
+    columns = [*KEY, "copies", "n_chars", "sha", "fingerprint", "edited_fingerprint", *[f"{c}_{s}" for s in sides for c in ("total", "differ", "left")], *lists]
     done, failed = None, F.lit(False)
     for s in sides:
         failed = failed | (F.col(f"left_{s}") > 0)
@@ -288,7 +303,7 @@ def fingerprints(documents: DataFrame, digest_lists: bool = False) -> DataFrame:
     return done.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select(
         F.when(~F.col("nul"), F.col("i")).alias("doc_id"),
         "n_chars",
-        F.lower(F.hex("sha")).alias("edited_sha256"),
+        F.col("sha").alias("edited_sha256"),
         "fingerprint",
         "edited_fingerprint",
         *like,
