@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import kept
+from tidemark.session import work_folder
 
 #: A paragraph: as little as ends with punctuation or a line, or the rest of the text.
 PARAGRAPH = r"(?s).+?(?:[.!?,;\n]|\z)"
@@ -36,8 +37,9 @@ MOST_TRIES = 20
 OWN, EDITED, TO_EDITED, TO_NEXT, PRESENT = 0, 1, 2, 3, -1
 KEY = ["nul", "i", "h"]
 _CELL = ["kind", "size", "cell"]
-#: Characters of text whose cells a task holds at once; cells take about ten times as much memory.
-TASK_CHARS = 16 << 20
+#: Characters of text whose cells a task holds at once: a table of cells takes about 25 times as much memory, and some four of them are
+#: alive in a task. Beyond so many parts they grow, and tasks spill.
+TASK_CHARS, MOST_PARTS = 2 << 20, 100_000
 #: What the rows of kind PRESENT hold beside the cells of a text, by number: two values each.
 FACTS = (("copies", "n_chars"), ("total_edited", "total_next"), ("n_own", "n_edited"), ("sha0", "sha1"), ("sha2", "sha3"))
 
@@ -98,7 +100,7 @@ def with_next(docs: DataFrame, order: DataFrame) -> DataFrame:
     The edited text has its last quarter of code points replaced by the first ones of the next text. Texts are shuffled once, by key; of a text, its predecessor gets the head
     it needs and the digests. The number of parts follows from the characters, for what is made of them is many times their size."""
     chars = order.agg(F.coalesce(F.sum(F.col("n_chars").cast("long")), F.lit(0))).first()[0]
-    docs = docs.repartition(max(1, -(-chars // TASK_CHARS)), *KEY)
+    docs = docs.repartition(min(max(1, -(-chars // TASK_CHARS)), MOST_PARTS), *KEY)
     wanted = order.select(
         *[F.col(f"after.{c}").alias(c) for c in KEY],
         F.struct(*KEY).alias("before"),
@@ -286,7 +288,7 @@ def fingerprints(documents: DataFrame, digest_lists: bool = False) -> DataFrame:
     for attempt in range(MOST_TRIES):
         # What has failed is few; its texts alone are read again for larger sketches.
         some = docs if attempt == 0 else docs.join(_both_ends(todo), KEY, "left_semi")
-        tried = kept(_tried(some, todo, attempt).select(*columns), "fingerprints")
+        tried = _packed(_tried(some, todo, attempt).select(*columns))
         done = tried.where(~failed) if done is None else done.unionByName(tried.where(~failed))
         left = tried.where(failed).select(*KEY)
         if left.isEmpty():
@@ -311,5 +313,12 @@ def fingerprints(documents: DataFrame, digest_lists: bool = False) -> DataFrame:
     )
 
 
+def _packed(df: DataFrame) -> DataFrame:
+    """Written and read again; digits of sketches take half the room under zstandard."""
+    path = work_folder(df.sparkSession, "fingerprints")
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _both_ends(order: DataFrame) -> DataFrame:
     return order.select(*KEY).unionByName(order.select(*[F.col(f"after.{c}").alias(c) for c in KEY]))
