@@ -18,6 +18,9 @@ K1 = 1.5
 B = 0.75
 EPSILON = 0.25
 
+# Folders of a saved index.
+PARTS = 64
+
 
 @dataclass(frozen=True)
 class Index:
@@ -32,6 +35,8 @@ class Index:
     mode: str
     chunks: DataFrame
     term_counts: DataFrame
+    #: Number of folders that stored chunks are dealt into by their key, if they are.
+    parts: int | None = None
 
     @property
     def postings(self) -> DataFrame:
@@ -108,15 +113,22 @@ def build_index(chunks: DataFrame, mode: str = "word", store: bool = True) -> In
     return Index(mode, tokenised, materialise(counts, "term-counts"))
 
 
-def save_index(index: Index, path: str) -> None:
-    """Keep the index, tokens included, for later searches."""
-    index.chunks.write.mode("overwrite").parquet(f"{path}/chunks")
+def save_chunks(chunks: DataFrame, path: str, parts: int) -> None:
+    """Chunks in folders ``part=<n>`` by a hash of their key, sorted by key in their files."""
+    dealt = chunks.withColumn("part", topk.part_of(parts)).repartition("part")
+    dealt.sortWithinPartitions("part", *topk.KEY).write.mode("overwrite").partitionBy("part").parquet(path)
+
+
+def save_index(index: Index, path: str, parts: int = PARTS) -> None:
+    """Keep the index, tokens included, for later searches; chunks in folders by key, so that results are fetched from few."""
+    save_chunks(index.chunks, f"{path}/chunks", parts)
     index.term_counts.write.mode("overwrite").parquet(f"{path}/term_counts")
 
 
-def load_index(spark: SparkSession, path: str, mode: str = "word") -> Index:
+def load_index(spark: SparkSession, path: str, mode: str = "word", parts: int = PARTS) -> Index:
+    """A saved index; ``parts`` as it was saved with."""
     return Index(
-        mode, spark.read.parquet(f"{path}/chunks"), spark.read.parquet(f"{path}/term_counts")
+        mode, spark.read.parquet(f"{path}/chunks"), spark.read.parquet(f"{path}/term_counts"), parts
     )
 
 
@@ -145,7 +157,7 @@ def bm25_search(
         score=partial(_score, avgdl=corpus["avgdl"] or 1.0),
         positive_only=not pad_zero,
     )
-    return topk.top_k(index.chunks, _with_every_query(weights, queries), scorer, k, size)
+    return topk.top_k(index.chunks, _with_every_query(weights, queries), scorer, k, size, index.parts)
 
 
 def keyword_search(

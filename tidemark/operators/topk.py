@@ -31,6 +31,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import materialise
+
 # Bounds of the broadcast: number of queries, and numbers or characters in them.
 MAX_QUERIES = 4096
 MAX_QUERY_CELLS = 4_000_000
@@ -82,6 +84,25 @@ def significant(x: np.ndarray, digits: int = SCORE_DIGITS) -> np.ndarray:
     return np.where(fine, np.rint(x * a * b) / a / b, x)
 
 
+def significant_column(score: Column, digits: int = SCORE_DIGITS) -> Column:
+    """``significant`` for a column of finite scores."""
+    return F.format_string(f"%.{digits - 1}e", score).cast("double")
+
+
+def part_of(parts: int) -> Column:
+    """Folder of a key among ``parts``, for rows that are fetched by key later."""
+    return F.pmod(F.xxhash64(*KEY), F.lit(parts)).cast("int")
+
+
+def only_parts(rows: DataFrame, found: DataFrame, parts: int) -> DataFrame:
+    """``rows``, stored in folders ``part=<n>``, restricted to the folders of the keys of ``found``.
+
+    At most ``parts`` numbers reach the driver; the filter prunes the scan's folders before any file is opened.
+    """
+    numbers = [r["part"] for r in found.select(part_of(parts).alias("part")).distinct().collect()]
+    return rows.filter(F.col("part").isin(numbers)) if numbers else rows.filter(F.lit(False))
+
+
 @dataclass(frozen=True)
 class Scorer:
     """``prepare`` turns the query rows into arrays once per task (its result
@@ -103,12 +124,14 @@ def top_k(
     scorer: Scorer,
     k: int,
     size: Size,
+    parts: int | None = None,
 ) -> DataFrame:
     """RANKED rows: (query_id, rank, doc_id, chunk_no, chunk_id, source, text, score).
 
     ``rows`` has KEY, CARRY and the column the scorer reads. ``queries`` has
     ``query_id`` and what the scorer reads; a query may have several rows.
-    Ties go to the earlier row in corpus order.
+    Ties go to the earlier row in corpus order. Rows that are stored in ``parts`` folders by
+    their key are fetched from the folders of the results only.
     """
     if k < 1:
         raise ValueError("k must be at least 1")
@@ -125,6 +148,9 @@ def top_k(
         else _grid(sent, queries, scorer, k, schema, size.blocks)
     )
     found = limit(partial, k)
+    if parts:
+        found = materialise(found, "found")
+        rows = only_parts(rows, found, parts)
     side = F.broadcast(found) if size.queries * k <= MAX_RESULT else found
     return rows.select(*KEY, *CARRY).join(side, KEY).select("query_id", "rank", *KEY, *CARRY, "score")
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import text as X
 from tidemark.operators import answers as A
-from tidemark.operators import chunking, contract, dense, fusion, lexical, lineage, quality, sales
+from tidemark.operators import chunking, contract, dense, fusion, lexical, lineage, postings as impacts, quality, sales
 from tidemark.plans import orders as order_plans
 from tidemark.plans import retrieval
 from tidemark.schemas import ORDER, QUARANTINE, SILVER, VECTOR
@@ -462,6 +462,31 @@ def bm25_stored(spark, sf_dir):
     return _ranked(lexical.bm25_search(questions(spark, sf_dir), index, 5), "score")
 
 
+def short_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A question of each item of ``benchmark``: its five longest words, of equal ones the first in order."""
+    words = F.array_distinct(X.tokens(F.col("text"), "ws"))
+    by_length = F.array_sort(F.transform(words, lambda w: F.struct((-F.char_length(w)).alias("less"), w.alias("word"))))
+    five = F.transform(F.slice(by_length, 1, 5), lambda s: s["word"])
+    return _table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.array_join(five, " ").alias("query"))
+
+
+def _posted(spark, sf_dir, kind, mode):
+    path = work_folder(spark, f"postings-{kind}")
+    impacts.build(word_chunks(spark, sf_dir), path, mode, kind)
+    return impacts.load(spark, path)
+
+
+def bm25_postings(spark, sf_dir):
+    """Short questions, answered from stored postings of bounded impact."""
+    index = _posted(spark, sf_dir, impacts.BM25, "ws")
+    return _ranked(impacts.search(short_questions(spark, sf_dir), index, 5), "score")
+
+
+def keyword_postings(spark, sf_dir):
+    index = _posted(spark, sf_dir, impacts.COUNT, "ascii")
+    return _ranked(impacts.search(short_questions(spark, sf_dir), index, 5), "score")
+
+
 def bm25_topk_padded(spark, sf_dir):
     index = lexical.build_index(chunk_chars_flat(spark, sf_dir), "word")
     return _ranked(lexical.bm25_search(questions(spark, sf_dir), index, 5, pad_zero=True), "score")
@@ -719,6 +744,8 @@ QUERIES = {
     "term_stats": term_stats,
     "bm25_topk": bm25_topk,
     "bm25_stored": bm25_stored,
+    "bm25_postings": bm25_postings,
+    "keyword_postings": keyword_postings,
     "bm25_topk_padded": bm25_topk_padded,
     "keyword_topk": keyword_topk,
     "hashed_vectors": hashed_vectors,

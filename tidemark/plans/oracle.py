@@ -220,6 +220,14 @@ qtf AS (SELECT query_id, term, count(*) AS qtf FROM (
   SELECT item_id AS query_id, unnest({_tokens("text", mode)}) AS term FROM benchmark) GROUP BY ALL)"""
 
 
+def _short(sql: str, mode: str) -> str:
+    """``sql`` with the five longest words of each item of ``benchmark`` as its questions."""
+    words = f"list_sort(list_distinct({_tokens('text', mode)}))"
+    five = f"""list_transform(list_sort(list_transform({words}, lambda w: {{'l': -length(w), 'w': w}}))[1:5], lambda s: s.w)"""
+    asked = f"(SELECT item_id, array_to_string({five}, ' ') AS text FROM benchmark) AS asked"
+    return sql.replace("FROM benchmark", f"FROM {asked}")
+
+
 def _rank_list(name: str, scored: str, order: str, score: str, k: int = 5) -> str:
     """Top k of (query_id, doc_id, chunk_no, <score>) with the chunk's columns."""
     return f"""{name} AS (
@@ -481,9 +489,19 @@ UNION ALL SELECT * FROM ({_with(_sizes("flat chunks", "chunks"), _FLAT)})""",
         "SELECT n AS n_chunks, round(avgdl, 6) AS avgdl, n_terms, round(avg_idf, 6) AS avg_idf FROM corpus, mean_idf",
         _WORD_CHUNKS, _terms("ws"),
     ),
-    "term_stats": _with("SELECT term, df, round(idf, 6) AS idf FROM idf", _WORD_CHUNKS, _terms("ws")),
+    "term_stats": _with(
+        """SELECT term, df, round(CASE WHEN idf0 < 0 THEN 0.25::DOUBLE * (SELECT avg(idf0) FROM raw) ELSE idf0 END, 6) AS idf
+FROM raw""",
+        _WORD_CHUNKS,
+        f"""tok AS (SELECT doc_id, chunk_no, {_tokens("text", "ws")} AS ts FROM chunks),
+seen AS (SELECT doc_id, chunk_no, unnest(list_distinct(ts)) AS term FROM tok),
+df AS (SELECT term, count(*) AS df FROM seen GROUP BY term),
+raw AS (SELECT term, df, ln((SELECT count(*) FROM chunks) - df + 0.5::DOUBLE) - ln(df + 0.5::DOUBLE) AS idf0 FROM df)""",
+    ),
     "bm25_topk": _with(_ranked("bm25", "score"), *_BM25),
     "bm25_stored": _with(_ranked("bm25", "score"), *_BM25),
+    "bm25_postings": _short(_with(_ranked("bm25", "score"), *_BM25), "ws"),
+    "keyword_postings": _short(_with(_ranked("keywords", "score"), *_KEYWORDS), "ws"),
     "bm25_topk_padded": _with(
         _ranked("bm25", "score"),
         _FLAT, _terms("word"), _BM25_SUM, _BM25_PADDED, _rank_list("bm25", "bm25_all", _BY_SCORE, "score"),
