@@ -182,17 +182,24 @@ def dense_search(
         raise ValueError(f"metric must be one of {METRICS}, not {metric!r}")
     asked = queries.select("query_id", "embedding").filter(F.col("embedding").isNotNull())
     size = topk.measure(asked, F.size("embedding"))
-    scorer = topk.Scorer(
+    there = vectors.filter(F.col("embedding").isNotNull())
+    found = topk.top_k(there, asked, scorer(metric), k, size)
+    return found if metric == "dot" else as_distance(found)
+
+
+def scorer(metric: str) -> topk.Scorer:
+    """Scores of vectors, larger ones first: the product, or the negative squared distance."""
+    return topk.Scorer(
         reads="embedding",
         prepare=_QueryVectors,
         score=partial(_score, metric=metric),
         positive_only=False,
         refine=partial(_refine, metric=metric),
     )
-    there = vectors.filter(F.col("embedding").isNotNull())
-    found = topk.top_k(there, asked, scorer, k, size)
-    if metric == "dot":
-        return found
+
+
+def as_distance(found: DataFrame) -> DataFrame:
+    """``distance`` in place of a negative score."""
     distance = F.when(F.col("score") == 0, 0.0).otherwise(-F.col("score"))
     return found.withColumn("distance", distance).drop("score")
 

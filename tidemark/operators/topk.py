@@ -195,6 +195,14 @@ def _grid(rows, queries, scorer, k, schema, query_blocks) -> DataFrame:
         "_r", all_blocks(row_blocks)
     )
 
+    return cogrouped(left, right, ["_r", "_q"], scorer, k, schema)
+
+
+def cogrouped(
+    left: DataFrame, right: DataFrame, groups: list[str], scorer: Scorer, k: int, schema: T.StructType
+) -> DataFrame:
+    """The k best rows of ``left`` for each query of ``right`` within each group of both; each group is one task's block."""
+
     def task(left_block: pa.Table, right_block: pa.Table) -> pa.Table:
         if left_block.num_rows and right_block.num_rows:
             best = _Best(scorer, right_block, k)
@@ -209,11 +217,7 @@ def _grid(rows, queries, scorer, k, schema, query_blocks) -> DataFrame:
         ] + [pa.field("score", pa.float64())]
         return pa.schema(out_schema).empty_table()
 
-    return (
-        left.groupBy("_r", "_q")
-        .cogroup(right.groupBy("_r", "_q"))
-        .applyInArrow(task, schema)
-    )
+    return left.groupBy(*groups).cogroup(right.groupBy(*groups)).applyInArrow(task, schema)
 
 
 class _Best:

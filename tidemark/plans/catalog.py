@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import text as X
 from tidemark.operators import answers as A
-from tidemark.operators import chunking, contract, dense, fusion, lexical, lineage, postings as impacts, quality, sales
+from tidemark.operators import chunking, contract, dense, fusion, lexical, lineage, pivots, quality, sales
+from tidemark.operators import postings as impacts
 from tidemark.plans import orders as order_plans
 from tidemark.plans import retrieval
 from tidemark.schemas import ORDER, QUARANTINE, SILVER, VECTOR
@@ -555,6 +556,24 @@ def dense_topk_l2(spark, sf_dir):
     )
 
 
+def _pivots(spark, sf_dir, metric):
+    """Every vector asked for its nearest ones, from a stored index of pivots."""
+    path = work_folder(spark, f"pivots-{metric}")
+    vectors = _stored_vectors(spark, sf_dir)
+    pivots.build(vectors, path, metric)
+    return pivots.search(vectors.select(F.col("doc_id").alias("query_id"), "embedding"), pivots.load(spark, path), 5)
+
+
+def dense_pivots_dot(spark, sf_dir):
+    found = _pivots(spark, sf_dir, "dot")
+    return _rounded(found.select("query_id", "rank", "doc_id", "source", "score"), "score")
+
+
+def dense_pivots_l2(spark, sf_dir):
+    found = _pivots(spark, sf_dir, "l2sq")
+    return _rounded(found.select("query_id", "rank", "doc_id", "source", "distance"), "distance")
+
+
 def dense_topk_small(spark, sf_dir):
     """Vectors of length 1e-5: distances around 1e-10 rank like any others."""
     found = _dense(spark, sf_dir, "l2sq", 1e-5).withColumn("distance", F.col("distance") * 1e10)
@@ -754,6 +773,8 @@ QUERIES = {
     "normalised_vectors": normalised_vectors,
     "dense_topk_dot": dense_topk_dot,
     "dense_topk_l2": dense_topk_l2,
+    "dense_pivots_dot": dense_pivots_dot,
+    "dense_pivots_l2": dense_pivots_l2,
     "dense_topk_small": dense_topk_small,
     "dense_topk_grid": dense_topk_grid,
     "rrf_fuse": rrf_fuse,

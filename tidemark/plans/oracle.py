@@ -522,6 +522,10 @@ raw AS (SELECT term, df, ln((SELECT count(*) FROM chunks) - df + 0.5::DOUBLE) -
     "normalised_vectors": """SELECT vec_id, CAST(generate_subscripts(v, 1) - 1 AS INTEGER) AS pos, round(unnest(v) / norm, 5) AS w
 FROM (SELECT vec_id, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS norm FROM (
   SELECT vec_id, list_transform(embedding::DOUBLE[], lambda x: x * (label + 1)) AS v FROM embeddings))""",
+    "dense_pivots_dot": _stored("list_dot_product(q.embedding::DOUBLE[], v.embedding::DOUBLE[])", "score DESC", "score"),
+    "dense_pivots_l2": _stored(
+        "power(list_distance(q.embedding::DOUBLE[], v.embedding::DOUBLE[]), 2)", "distance", "distance"
+    ),
     "dense_topk_dot": _stored("list_dot_product(q.embedding::DOUBLE[], v.embedding::DOUBLE[])", "score DESC", "score"),
     "dense_topk_l2": _stored(
         "power(list_distance(q.embedding::DOUBLE[], v.embedding::DOUBLE[]), 2)", "distance", "distance"
