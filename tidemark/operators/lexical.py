@@ -117,6 +117,13 @@ def save_chunks(chunks: DataFrame, path: str, parts: int) -> None:
     """Chunks in folders ``part=<n>`` by a hash of their key, sorted by key in their files."""
     dealt = chunks.withColumn("part", topk.part_of(parts)).repartition("part")
     dealt.sortWithinPartitions("part", *topk.KEY).write.mode("overwrite").partitionBy("part").parquet(path)
+    # Without a row there are no files to tell the columns.
+    dealt.limit(0).write.mode("overwrite").parquet(f"{path}_columns")
+
+
+def load_chunks(spark: SparkSession, path: str) -> DataFrame:
+    """What ``save_chunks`` has written."""
+    return spark.read.schema(spark.read.parquet(f"{path}_columns").schema).parquet(path)
 
 
 def save_index(index: Index, path: str, parts: int = PARTS) -> None:
@@ -128,7 +135,7 @@ def save_index(index: Index, path: str, parts: int = PARTS) -> None:
 def load_index(spark: SparkSession, path: str, mode: str = "word", parts: int = PARTS) -> Index:
     """A saved index; ``parts`` as it was saved with."""
     return Index(
-        mode, spark.read.parquet(f"{path}/chunks"), spark.read.parquet(f"{path}/term_counts"), parts
+        mode, load_chunks(spark, f"{path}/chunks"), spark.read.parquet(f"{path}/term_counts"), parts
     )
 
 

@@ -97,8 +97,8 @@ def _sorted(df: DataFrame, first: str, *others: str) -> DataFrame:
 
 def load(spark: SparkSession, path: str) -> Postings:
     meta = spark.read.parquet(f"{path}/meta").first()
-    blocks, terms, chunks = (spark.read.parquet(f"{path}/{t}") for t in ("blocks", "terms", "chunks"))
-    return Postings(blocks, terms, chunks, meta["mode"], meta["kind"], meta["parts"], meta["avgdl"])
+    blocks, terms = (spark.read.parquet(f"{path}/{t}") for t in ("blocks", "terms"))
+    return Postings(blocks, terms, lexical.load_chunks(spark, f"{path}/chunks"), meta["mode"], meta["kind"], meta["parts"], meta["avgdl"])
 
 
 @dataclass(frozen=True)
