@@ -50,7 +50,7 @@ def test_streaming_upsert(spark, tmp_path):
     def drain():
         stream = files.stream_files(spark, f"{base}/in")
         ingest.start_upsert(stream, f"{base}/cp", f"{base}/silver").awaitTermination()
-        rows = tables.read_merged(spark, f"{base}/silver", ["order_id"], SILVER).collect()
+        rows = tables.read_parts(spark, f"{base}/silver", SILVER).collect()
         return sorted((r["order_id"], r["quantity"], r["total_amount"]) for r in rows)
 
     (base / "in" / "1.jsonl").write_text(line(1) + line(1, quantity=3, timestamp="2024-01-02") + line(2))
@@ -58,32 +58,56 @@ def test_streaming_upsert(spark, tmp_path):
     (base / "in" / "2.jsonl").write_text(line(2, quantity=7) + line(3) + line(4, price=0))
     assert drain() == [("A-1", 3, 6.0), ("A-2", 7, 14.0), ("A-3", 1, 2.0)]
     assert drain() == [("A-1", 3, 6.0), ("A-2", 7, 14.0), ("A-3", 1, 2.0)]
-    assert tables.versions(spark, f"{base}/silver") == []
-    assert tables.fold(spark, f"{base}/silver", ["order_id"], SILVER) == 1
-    assert tables.read_table(spark, f"{base}/silver", SILVER).count() == 3 and not list((base / "silver" / "changes").iterdir())
+    assert not (base / "silver_pending").exists()
     (base / "in" / "3.jsonl").write_text(line(1, quantity=9))
     assert drain() == [("A-1", 9, 18.0), ("A-2", 7, 14.0), ("A-3", 1, 2.0)]
 
 
-def test_a_small_batch_writes_only_its_own_size(spark, tmp_path):
-    path = str(tmp_path / "t")
-    big = spark.range(200_000).selectExpr("id", "cast(id * 7 AS string) AS v")
-    tables.replace_table(big, path, big.schema)
+def _files(folder):
+    return {f: f.stat().st_mtime_ns for f in folder.rglob("*.parquet")}
 
-    def size():
-        return sum(f.stat().st_size for f in (tmp_path / "t").rglob("*") if f.is_file())
 
-    before = size()
-    small = spark.range(10).selectExpr("id * 1000 AS id", "'new' AS v")
-    assert tables.append_changes(small, path, ["id"], big.schema) == 1
-    assert size() - before < before / 20
-    assert tables.append_changes(small, path, ["id"], big.schema, batch=1) == 1  # a repeated batch
-    merged = tables.read_merged(spark, path, ["id"], big.schema)
-    assert merged.count() == 200_000 and merged.filter("v = 'new'").count() == 10
-    newer = spark.createDataFrame([(0, "newer"), (300_000, "more")], big.schema)
-    tables.append_changes(newer, path, ["id"], big.schema)
-    merged = {r["id"]: r["v"] for r in tables.read_merged(spark, path, ["id"], big.schema).filter("id % 1000 = 0").collect()}
-    assert (merged[0], merged[1000], merged[300_000], merged[10_000]) == ("newer", "new", "more", "70000")
+def test_untouched_parts_keep_their_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    big = spark.range(20_000).selectExpr("id", "cast(id * 7 AS string) AS v")
+    assert len(tables.merge_parts(big, path, ["id"], big.schema, 16)) == 16
+    before = _files(tmp_path / "t")
+    small = spark.createDataFrame([(0, "new"), (30_000, "more")], big.schema)
+    touched = tables.merge_parts(small, path, ["id"], big.schema, 16)
+    after = _files(tmp_path / "t")
+    kept = {f for f in before if after.get(f) == before[f]}
+    assert len(touched) <= 2 and {f.parent.name for f in before if f not in kept} <= {f"of_16={n}" for n in touched}
+    assert {f.parent.name for f in kept} == {f"of_16={n}" for n in range(16)} - {f"of_16={n}" for n in touched}
+    for _ in range(2):
+        merged = {r["id"]: r["v"] for r in tables.read_parts(spark, path, big.schema).collect()}
+        assert len(merged) == 20_001 and (merged[0], merged[30_000], merged[19_999]) == ("new", "more", str(19_999 * 7))
+        tables.merge_parts(small, path, ["id"], big.schema, 16)  # a repeated batch
+    assert tables.merge_parts(small.filter("false"), path, ["id"], big.schema, 16) == []
+    with pytest.raises(ValueError, match="parts"):
+        tables.merge_parts(small, path, ["id"], big.schema, 8)
+
+
+def test_a_merge_that_failed_while_replacing_is_done_again(spark, tmp_path, monkeypatch):
+    path, schema = str(tmp_path / "t"), "id long, v string"
+    first = spark.createDataFrame([(k, "a") for k in range(50)] + [(None, "x"), (None, "x")], schema)
+    tables.merge_parts(first, path, ["id"], first.schema, 4)
+    real = tables._replace_parts
+
+    def fails(spark, pending, path, schema, name):
+        remove(spark, f"{path}/of_4=1")  # as if the folders had been taken away and not yet put back
+        raise OSError("lost")
+
+    monkeypatch.setattr(tables, "_replace_parts", fails)
+    second = spark.createDataFrame([(k, "b") for k in range(0, 60, 2)], schema)
+    with pytest.raises(OSError):
+        tables.merge_parts(second, path, ["id"], first.schema, 4)
+    monkeypatch.setattr(tables, "_replace_parts", real)
+    third = spark.createDataFrame([(1, "c")], schema)
+    tables.merge_parts(third, path, ["id"], first.schema, 4)
+    rows = [tuple(r) for r in tables.read_parts(spark, path, first.schema).collect()]
+    assert sorted(r for r in rows if r[0] is None) == [(None, "x"), (None, "x")]
+    expected = {k: "b" if k % 2 == 0 else "a" for k in range(50)} | {k: "b" for k in range(50, 60, 2)} | {1: "c"}
+    assert {k: v for k, v in rows if k is not None} == expected and len(rows) == len(expected) + 2
 
 
 def test_writes_go_on_after_a_failed_one(spark, tmp_path):
@@ -121,7 +145,7 @@ def test_an_unequal_count_is_never_the_table(spark, tmp_path, monkeypatch):
 def test_repeated_source_keys_are_refused(spark, tmp_path):
     path, schema = str(tmp_path / "t"), "id long, v string"
     twice = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c"), (None, "d")], schema)
-    for write in (tables.upsert_table, tables.append_changes):
+    for write in (tables.upsert_table, tables.merge_parts):
         with pytest.raises(tables.RepeatedKeyError):
             write(twice, path, ["id"], twice.schema)
     assert not tables.table_exists(spark, path)
@@ -156,6 +180,28 @@ def test_an_unreadable_file_ends_the_stream(spark, tmp_path):
         run_ingest(spark, tmp_path)
 
 
+def test_batches_are_counted_by_file_and_unreadable_files_are_told(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "1 a.jsonl").write_text(line(1) + line(2, quantity=0) + line(3))
+    (tmp_path / "in" / "2.jsonl").write_text(line(4))
+    (tmp_path / "in" / "3.gz").write_bytes(b"\x1f\x8b broken")
+    (tmp_path / "in" / "4.jsonl").write_text("")
+
+    def run():
+        stream = files.stream_files(spark, f"{tmp_path}/in", 1, with_file=True, skip_unreadable=True)
+        out = [f"{tmp_path}/{name}" for name in ("cp", "valid", "bad", "counts")]
+        ingest.start_ingest(stream, *out).awaitTermination()
+        return ingest.read_counts(spark, f"{tmp_path}/counts")
+
+    for _ in range(2):  # a restart adds nothing
+        counts = run()
+        rows = sorted((r["file"].rsplit("/", 1)[1], r["received"], r["valid"], r["quarantined"]) for r in counts.collect())
+        assert rows == [("1%20a.jsonl", 3, 2, 1), ("2.jsonl", 1, 1, 0)]
+        assert counts.select("batch").distinct().count() == 2
+        (lost,) = ingest.unread_files(spark, f"{tmp_path}/in", counts).collect()
+        assert lost["file"].endswith("/3.gz")
+
+
 def test_a_second_query_overwrites_nothing(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "1.jsonl").write_text(line(1))
@@ -212,3 +258,23 @@ def test_edges_of_a_log_are_the_declared_graph(spark):
     assert lineage.refused_events(log).count() == 2
     up = {(r["dataset"], r["from_dataset"], r["from_job"]) for r in lineage.upstream(edges).collect()}
     assert ("silver_orders", "bronze_orders", "bronze") in up and ("product_sales", "silver_orders", "silver") in up
+
+
+def test_closure_of_chains_diamonds_and_cycles(spark):
+    edges = [("a", "b"), ("b", "c"), ("b", "d"), ("c", "e"), ("d", "e"), ("e", "f"), ("x", "y"), ("y", "z"), ("z", "x"), ("s", "s"), (None, "a"), ("f", None)]
+    edges += [(f"n{k}", f"n{k + 1}") for k in range(37)]
+    found = {(r["dataset"], r["ancestor"]): r["depth"] for r in lineage.closure(spark.createDataFrame(edges, "input string, output string")).collect()}
+    made = {}
+    for i, o in edges:
+        if i and o:
+            made.setdefault(o, set()).add(i)
+    expected = {}
+    for start in made:
+        level, depth = made[start], 1
+        while level:
+            for n in level:
+                expected[start, n] = depth
+            depth += 1
+            level = {p for n in level for p in made.get(n, ())} - {b for a, b in expected if a == start}
+    assert found == expected and found["e", "a"] == 3 and found["x", "x"] == 3 and found["n37", "n0"] == 37
+    assert lineage.closure(spark.createDataFrame([], "input string, output string")).count() == 0

@@ -7,6 +7,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.session import materialise
 from tidemark.schemas import LINEAGE
 
 NAMESPACE = "order-lakehouse"
@@ -181,3 +182,27 @@ def upstream(edges: DataFrame) -> DataFrame:
         F.col("output").alias("dataset"), F.col("job").alias("via_job"), F.col("input").alias("from_dataset")
     ).filter(F.col("from_dataset").isNotNull() & F.col("dataset").isNotNull())
     return used.join(made, "from_dataset").select("dataset", "via_job", "from_dataset", "from_job")
+
+
+def closure(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
+    """(dataset, ancestor, depth): all that a dataset was made from, by the fewest steps; read the other way, all that
+    was made from an ancestor. ``edges`` has input and output; rows without one of them are left out.
+
+    A round doubles the depth: a fewest way of more than h steps begins with one of exactly h, so only those pairs are joined with all that
+    are known. New pairs alone are kept; a cycle ends when it has come back to each of its datasets, which are
+    then their own ancestors.
+    """
+    pair = ["dataset", "ancestor"]
+    links = edges.filter("input is not null and output is not null").select(
+        F.col("output").alias("dataset"), F.col("input").alias("ancestor"), F.lit(1).alias("depth")
+    )
+    known = materialise(links.distinct(), "lineage-links")
+    for h in (2**r for r in range(most_rounds)):
+        begun = known.filter(F.col("depth") == h).select("dataset", F.col("ancestor").alias("way"))
+        on = known.select(F.col("dataset").alias("way"), "ancestor", (F.col("depth") + h).alias("depth"))
+        reached = begun.join(on, "way").groupBy(*pair).agg(F.min("depth").alias("depth"))
+        new = materialise(reached.join(known, pair, "left_anti"), "lineage-round")
+        if new.isEmpty():
+            return known
+        known = known.unionByName(new)
+    raise RuntimeError(f"lineage is deeper than 2^{most_rounds} steps")

@@ -6,7 +6,7 @@ is spoilt in one of some thirty ways: each rule of the contract meets good and b
 records. The questions of the retrieval jobs are the whole texts of ``benchmark``.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import text as X
@@ -297,7 +297,18 @@ def stream_upsert(spark, sf_dir):
     drain()
     _message_files(spark, contract.encode_messages(revisions(spark, sf_dir)), f"{base}/in")
     drain()
-    return tables.read_merged(spark, silver, ["order_id"], SILVER)
+    return tables.read_parts(spark, silver, SILVER)
+
+
+def stream_counts(spark, sf_dir):
+    """What the ingest stream has counted over all batches and files, and the files that gave it nothing."""
+    base = work_folder(spark, "stream-counts")
+    _message_files(spark, messages(spark, sf_dir), f"{base}/in")
+    stream = files.stream_files(spark, f"{base}/in", files_per_batch=3, with_file=True)
+    ingest.start_ingest(stream, f"{base}/checkpoint", f"{base}/valid", f"{base}/quarantine", f"{base}/counts").awaitTermination()
+    counts = ingest.read_counts(spark, f"{base}/counts")
+    total = counts.agg(*[F.sum(c).alias(c) for c in ("received", "valid", "quarantined")])
+    return total.crossJoin(ingest.unread_files(spark, f"{base}/in", counts).agg(F.count("*").alias("unread_files")))
 
 
 def bronze_refresh(spark, sf_dir):
@@ -709,6 +720,18 @@ def lineage_upstream(spark, sf_dir):
     return lineage.upstream(lineage_edges(spark, sf_dir))
 
 
+def lineage_closure(spark, sf_dir):
+    """All ancestors in the graph of the run log, and in that of what users did after what, which has cycles and diamonds."""
+    e = _table(spark, sf_dir, "events")
+    after = F.lead("event_type").over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
+    followed = e.select(F.col("event_type").alias("input"), after.alias("output")).distinct()
+    # A chain of days leads into it.
+    days = e.select(F.date_format("ts", "yyyy-MM-dd").alias("output"), F.date_format(F.date_sub(F.to_date("ts"), 1), "yyyy-MM-dd").alias("input"))
+    into = e.select(F.col("event_type").alias("output"), F.date_format("ts", "yyyy-MM-dd").alias("input"))
+    edges = lineage_edges(spark, sf_dir).select("input", "output")
+    return lineage.closure(edges.unionByName(followed).unionByName(days.distinct()).unionByName(into.distinct()))
+
+
 def lineage_log(spark, sf_dir):
     """Events appended to a log in two writes and read back, without clock and run columns."""
     path = work_folder(spark, "lineage-log")
@@ -741,6 +764,7 @@ QUERIES = {
     "schema_enforcement": schema_enforcement,
     "stream_ingest": stream_ingest,
     "stream_upsert": stream_upsert,
+    "stream_counts": stream_counts,
     "bronze_refresh": bronze_refresh,
     "orders_job": orders_job,
     "paragraphs": paragraphs,
@@ -790,5 +814,6 @@ QUERIES = {
     "lineage_refused": lineage_refused,
     "lineage_edges": lineage_edges,
     "lineage_upstream": lineage_upstream,
+    "lineage_closure": lineage_closure,
     "run_states": run_states,
 }

@@ -445,6 +445,11 @@ FROM judged WHERE reason IS NOT NULL""",
         _LINES, _REASONS, _VALID,
     ),
     "stream_upsert": _UPSERT,
+    "stream_counts": _with(
+        """SELECT count(*) AS received, count(*) FILTER (reason IS NULL) AS valid,
+  count(*) FILTER (reason IS NOT NULL) AS quarantined, 0 AS unread_files FROM judged""",
+        _LINES, _REASONS,
+    ),
     "bronze_refresh": _with(
         'SELECT customer_id, order_id, price, product, quantity, status, "timestamp" FROM valid',
         _LINES, _REASONS, _VALID,
@@ -604,6 +609,20 @@ FROM log WHERE state <> 'RUNNING'""",
 FROM edges u JOIN edges m ON u.input = m.output WHERE u.output IS NOT NULL""",
         _LOG, _EDGES,
     ),
+    "lineage_closure": _with(
+        "SELECT dataset, ancestor, CAST(min(depth) AS INTEGER) AS depth FROM reach GROUP BY ALL",
+        _LOG, _EDGES,
+        """links AS MATERIALIZED (
+  SELECT DISTINCT output, input FROM (
+    SELECT output, input FROM edges UNION ALL
+    SELECT lead(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id), event_type FROM events UNION ALL
+    SELECT strftime(ts, '%Y-%m-%d'), strftime(ts - INTERVAL 1 DAY, '%Y-%m-%d') FROM events UNION ALL
+    SELECT event_type, strftime(ts, '%Y-%m-%d') FROM events)
+  WHERE output IS NOT NULL AND input IS NOT NULL),
+reach AS (
+  SELECT output AS dataset, input AS ancestor, 1 AS depth FROM links
+  UNION SELECT r.dataset, l.input, r.depth + 1 FROM reach r JOIN links l ON r.ancestor = l.output WHERE r.depth < 100)""",
+    ).replace("WITH ", "WITH RECURSIVE ", 1),
     "run_states": _with(
         'SELECT stage AS job, state AS "eventType", count(*) AS events FROM log WHERE state <> \'RUNNING\' GROUP BY ALL',
         _LOG,

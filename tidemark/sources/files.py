@@ -100,12 +100,17 @@ def stream_messages(
     return reader.load().select("key", "value")
 
 
-def stream_files(spark: SparkSession, path: str, files_per_batch: int | None = 1000) -> DataFrame:
-    """Messages that arrive as text files, one per line, in batches of bounded size.
+def stream_files(
+    spark: SparkSession, path: str, files_per_batch: int | None = 1000, with_file: bool = False, skip_unreadable: bool = False
+) -> DataFrame:
+    """Messages that arrive as text files, one per line, in batches of bounded size; with ``with_file`` beside
+    the path of their file, for counts.
 
-    A file that cannot be read ends the stream; nothing is passed over.
+    A file that cannot be read ends the stream. Only if ``skip_unreadable`` is asked for is it passed over, from the first fault on;
+    ``ingest.unread_files`` then tells which files gave nothing.
     """
-    reader = spark.readStream
+    reader = spark.readStream.option("ignoreCorruptFiles", skip_unreadable)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.text(path)
+    lines = reader.text(path)
+    return lines.select("value", F.col("_metadata.file_path").alias("file")) if with_file else lines

@@ -6,23 +6,26 @@ while it is read, so every refresh and merge writes the next version, compares
 what can be read back, and only then marks it. What a failed write leaves is
 passed over, by readers and by the numbering.
 
-Batches that are small beside their table are appended under
-``<path>/changes/batch=<n>`` instead, at the cost of their own size, and merged
-when the table is read; ``fold`` writes the merged table as a version.
+A table that takes many small batches is dealt into folders by a hash of its key
+instead (``merge_parts``): a batch reads and rewrites the folders of its own keys
+alone, with Spark's dynamic partition overwrite and its committer.
 """
 
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from functools import reduce
-from operator import and_
+from operator import or_
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.quality import enforce
-from tidemark.operators.sales import dedupe_latest, upsert
-from tidemark.session import materialise, remove, work_folder
+from tidemark.operators.sales import upsert
+from tidemark.session import exists, materialise, remove, work_folder
+
+# Folders of a table that is merged by parts, unless the caller chooses.
+PARTS = 64
 
 DONE = "_SUCCESS"
 
@@ -70,7 +73,7 @@ def read_table(
     known = versions(spark, path)
     if not known or (version is not None and version not in known):
         raise TableNotFoundError(f"{path} version {version if version is not None else 'any'}")
-    return spark.read.schema(schema).parquet(f"{path}/version={version or known[-1]}")
+    return spark.read.schema(schema).parquet(f"{path}/version={known[-1] if version is None else version}")
 
 
 def _write_checked(
@@ -150,53 +153,60 @@ def upsert_table(source: DataFrame, path: str, keys: list[str], schema: T.Struct
         return replace_table(upsert(read_table(spark, path, schema), batch, keys), path, schema)
 
 
-def append_changes(source: DataFrame, path: str, keys: list[str], schema: T.StructType, batch: int | None = None) -> int:
-    """Write ``source`` beside the table as batch ``batch``, or as the next one; its number.
-
-    Costs the size of the batch, not of the table. A batch that is there already
-    and complete stays as it is, so a repeated one changes nothing.
-    """
-    spark = source.sparkSession
-    there = _folders(spark, f"{path}/changes", "batch")
-    number = max(there, default=0) + 1 if batch is None else batch
-    if there.get(number):
-        return number
-    if number in there:  # what a failed attempt has left
-        remove(spark, f"{path}/changes/batch={number}")
-    with _held(enforce(source, schema), "change-batch") as fitting:
-        _one_row_per_key(fitting, keys)
-        _write_checked(fitting, f"{path}/changes/batch={number}", schema)
-    return number
+def _part(parts: int, keys: list[str], columns: list[str]) -> Column:
+    """Folder of a row. Rows with a null key match nothing and are dealt by all their columns, so that they do not meet in one."""
+    null_key = reduce(or_, [F.col(k).isNull() for k in keys])
+    return F.pmod(F.when(null_key, F.xxhash64(*columns)).otherwise(F.xxhash64(*keys)), F.lit(parts)).cast("int")
 
 
-def read_merged(spark: SparkSession, path: str, keys: list[str], schema: T.StructType) -> DataFrame:
-    """The newest version with all batches appended since: per key the row of the last batch.
+def merge_parts(source: DataFrame, path: str, keys: list[str], schema: T.StructType, parts: int = PARTS) -> list[int]:
+    """Merge ``source`` by ``keys`` into a table of folders ``of_<parts>=<n>``, or create it; the numbers of the folders written.
 
-    Rows with a null key match nothing and all stay, as in a merge.
+    Only the folders that the keys of the source fall into are read and replaced. The merged rows are first written beside
+    the table, complete, as Spark's committer marks them; if replacing the folders then fails, the next merge does that again before
+    its own work, so no row is lost and a repeated source changes nothing. One writer at a time; a reader beside it may see
+    some folders before and some after. A source with several rows for a key is refused, as is another number of parts.
     """
-    known = versions(spark, path)
-    batches = sorted(n for n, done in _folders(spark, f"{path}/changes", "batch").items() if done)
-    if not known and not batches:
+    spark, name = source.sparkSession, f"of_{parts}"
+    pending = f"{path.rstrip('/')}_pending"
+    if exists(spark, f"{pending}/{DONE}"):
+        _replace_parts(spark, pending, path, schema, name)
+    remove(spark, pending)
+    there = exists(spark, path)
+    if there and name not in spark.read.parquet(path).columns:
+        raise ValueError(f"{path} is not dealt into {parts} parts")
+    with _held(enforce(source, schema), "merge-batch") as batch:
+        _one_row_per_key(batch, keys)
+        dealt = batch.withColumn(name, _part(parts, keys, schema.fieldNames()))
+        numbers = sorted(r[0] for r in dealt.select(name).distinct().collect())  # no more than there are parts
+        if not numbers:
+            return []
+        merged = batch
+        if there:
+            stored = spark.read.schema(_with(schema, name)).parquet(path)
+            touched = stored.filter(F.col(name).isin(numbers)).select(*schema.fieldNames())
+            merged = upsert(touched, batch, keys)
+        merged = merged.withColumn(name, _part(parts, keys, schema.fieldNames()))
+        merged.repartition(name).write.partitionBy(name).parquet(pending)
+    _replace_parts(spark, pending, path, schema, name)
+    remove(spark, pending)
+    return numbers
+
+
+def _replace_parts(spark: SparkSession, pending: str, path: str, schema: T.StructType, name: str) -> None:
+    rows = spark.read.schema(_with(schema, name)).parquet(pending)
+    rows.repartition(name).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(name).parquet(path)
+
+
+def _with(schema: T.StructType, name: str) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(name, T.IntegerType())])
+
+
+def read_parts(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The table that ``merge_parts`` keeps."""
+    if not exists(spark, path):
         raise TableNotFoundError(path)
-    number = F.col("_batch")
-    parts = [read_table(spark, path, schema).withColumn("_batch", F.lit(-1))] if known else []
-    parts += [
-        spark.read.schema(schema).parquet(f"{path}/changes/batch={n}").withColumn("_batch", F.lit(n)) for n in batches
-    ]
-    united = reduce(DataFrame.unionByName, parts)
-    keyed = reduce(and_, [F.col(k).isNotNull() for k in keys])
-    latest = dedupe_latest(united.filter(keyed), keys, [number.desc()])
-    return latest.unionByName(united.filter(~keyed)).drop("_batch")
-
-
-def fold(spark: SparkSession, path: str, keys: list[str], schema: T.StructType) -> int:
-    """Write the merged table as the next version and remove the batches it holds."""
-    # Oldest first: what a failure leaves is the newest, which may be merged once more.
-    batches = sorted(n for n, done in _folders(spark, f"{path}/changes", "batch").items() if done)
-    number = replace_table(read_merged(spark, path, keys, schema), path, schema)
-    for n in batches:
-        remove(spark, f"{path}/changes/batch={n}")
-    return number
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
 def merge_into(source: DataFrame, table: str, keys: list[str]) -> None:
