@@ -49,6 +49,22 @@ def test_top_k_of_large_components_is_exact(spark):
     assert top(spark, rows) == brute_top(rows, 4, 10)
 
 
+@pytest.mark.parametrize("blocks", [{}, {"rows": 8, "queries": 2}])
+def test_top_k_keeps_finite_components_of_any_size(spark, blocks):
+    rows = [(i, [0.25 * i, -1.0, 0.5], 0) for i in range(0, 40)]
+    rows[1] = (1, [1e13, 3.0, 0.0], 0)
+    rows[10] = (10, [2.0**43, 1.0, -2.0], 0)
+    rows[20] = (20, [-3e38, 1.0, 1.0], 0)
+    rows[30] = (30, [0.0, 1e30, 0.25], 0)
+    ends = lambda s: min(max(s, -(1 << 63)), (1 << 63) - 1)
+    everything = brute_top(rows, 100, 10)
+    expected = []
+    for q in (0, 10, 20, 30):
+        scored = sorted((-ends(s), i) for a, _, i, s in everything if a == q)
+        expected += [(q, place + 1, i, -s) for place, (s, i) in enumerate(scored[:4])]
+    assert top(spark, rows, **blocks) == expected
+
+
 def test_top_k_with_few_rows(spark):
     assert top(spark, []) == []
     assert top(spark, [(10, [1.0], 0)]) == []
