@@ -281,3 +281,14 @@ def test_orders_job(spark, tmp_path):
     for e in log:
         assert e["eventTime"].endswith("+00:00")
         assert bool(e["outputs"]) == (e["eventType"] != "START")
+
+
+def test_gold_from_changes_equals_the_full_refresh(spark):
+    schema = "order_id string, product string, quantity long, total_amount double"
+    silver = spark.createDataFrame([(f"o{k}", "abc"[k % 3], k, k * 1.5) for k in range(9)] + [("only", "d", 1, 2.0), (None, "a", 5, 1.0)], schema)
+    gold = sales.product_sales(silver)
+    batch = spark.createDataFrame([("o1", "a", 100, 7.0), ("only", "b", 2, 3.0), ("new", "e", 4, 8.0), ("o3", "a", 3, 4.5)], schema)
+    found = sales.refresh_sales(gold, sales.signed_changes(silver, batch, ["order_id"]))
+    expected = sales.product_sales(sales.upsert(silver, batch, ["order_id"]))
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, expected.collect()))
+    assert "d" not in {r["product"] for r in found.collect()}

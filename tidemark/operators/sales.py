@@ -53,3 +53,29 @@ def product_sales(silver: DataFrame) -> DataFrame:
         F.sum("quantity").alias("total_quantity"),
         F.sum("total_amount").alias("total_revenue"),
     )
+
+
+def signed_changes(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+    """What merging ``source`` (one row per key) into ``target`` changes: its rows with ``sign`` 1, and the rows of the target that
+    they take the place of with -1. A row that stays as it is gives both."""
+    old = target.join(source.select(*keys), keys, "left_semi")
+    columns = target.columns
+    return source.select(*columns, F.lit(1).alias("sign")).unionByName(old.select(*columns, F.lit(-1).alias("sign")))
+
+
+def refresh_sales(gold: DataFrame, changes: DataFrame) -> DataFrame:
+    """``product_sales`` of the merged table, from that of the table before and ``signed_changes``.
+
+    An order is one row of its table, so orders of a product are counted by signs; nothing but the changes and gold is read. A
+    product whose last order has gone goes too. Quantities and orders are exact; revenue is a sum of doubles in another order.
+    """
+    sign = F.col("sign")
+    moved = changes.groupBy("product").agg(
+        F.sum(sign).cast("bigint").alias("total_orders"),
+        F.sum(sign * F.col("quantity")).cast("bigint").alias("total_quantity"),
+        F.sum(sign * F.col("total_amount")).alias("total_revenue"),
+    )
+    sums = gold.unionByName(moved).groupBy("product").agg(
+        *[F.sum(c).alias(c) for c in ("total_orders", "total_quantity", "total_revenue")]
+    )
+    return sums.filter("total_orders <> 0")

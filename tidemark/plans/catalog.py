@@ -234,6 +234,20 @@ def gold_product_sales(spark, sf_dir):
     )
 
 
+def gold_incremental(spark, sf_dir):
+    """Gold after two batches of revisions, each from its changes alone; the table is merged by parts beside it."""
+    path, keys = work_folder(spark, "silver-parts"), ["order_id"]
+    tables.merge_parts(order_plans.silver_from_messages(messages(spark, sf_dir)), path, keys, SILVER, 16)
+    gold = materialise(sales.product_sales(tables.read_parts(spark, path, SILVER)), "gold")
+    revised = sales.add_total(revisions(spark, sf_dir))
+    for half in (0, 1):
+        batch = materialise(revised.filter(F.pmod(F.xxhash64("order_id"), F.lit(2)) == half), "revisions")
+        changes = materialise(sales.signed_changes(tables.read_parts(spark, path, SILVER), batch, keys), "changes")
+        gold = materialise(sales.refresh_sales(gold, changes), "gold")
+        tables.merge_parts(batch, path, keys, SILVER, 16)
+    return _rounded(gold, "total_revenue", digits=2)
+
+
 def dq_results(spark, sf_dir):
     return _rounded(quality.run_expectations(observed_orders(spark, sf_dir)), "unexpected_percent")
 
@@ -307,8 +321,12 @@ def stream_counts(spark, sf_dir):
     stream = files.stream_files(spark, f"{base}/in", files_per_batch=3, with_file=True)
     ingest.start_ingest(stream, f"{base}/checkpoint", f"{base}/valid", f"{base}/quarantine", f"{base}/counts").awaitTermination()
     counts = ingest.read_counts(spark, f"{base}/counts")
-    total = counts.agg(*[F.sum(c).alias(c) for c in ("received", "valid", "quarantined")])
-    return total.crossJoin(ingest.unread_files(spark, f"{base}/in", counts).agg(F.count("*").alias("unread_files")))
+    names = ["received", "valid", "quarantined"]
+    lost = ingest.unread_files(spark, f"{base}/in", counts)
+    each = counts.select(*names, F.lit(0).alias("unread_files")).unionByName(
+        lost.select(*[F.lit(0).cast("long").alias(c) for c in names], F.lit(1).alias("unread_files"))
+    )
+    return each.agg(*[F.sum(c).alias(c) for c in (*names, "unread_files")])
 
 
 def bronze_refresh(spark, sf_dir):
@@ -519,14 +537,18 @@ def hashed_vectors(spark, sf_dir):
 
 
 def vector_table(spark, sf_dir):
+    """Every record of the rebuilt table: a digest of its document, and its weights that are not zero, in units of 1e-5."""
     path = work_folder(spark, "vectors")
     dense.rebuild_vectors(word_chunks(spark, sf_dir), path, retrieval.DIM)
+    units = F.transform("embedding", lambda w, k: F.struct(k.alias("k"), F.round(w.cast("double") * 1e5).cast("long").alias("w")))
+    there = F.transform(F.filter(units, lambda u: u["w"] != 0), lambda u: F.concat_ws(":", u["k"], u["w"]))
     return tables.read_table(spark, path, VECTOR).select(
         "id",
         F.col("metadata.source").alias("source"),
         F.col("metadata.chunk_id").alias("chunk_id"),
-        F.char_length("document").alias("characters"),
+        F.md5(F.encode("document", "UTF-8")).alias("document_md5"),
         F.size("embedding").alias("dim"),
+        F.array_join(there, ",").alias("weights"),
     )
 
 
@@ -758,6 +780,7 @@ QUERIES = {
     "silver_orders": silver_orders,
     "silver_upsert": silver_upsert,
     "gold_product_sales": gold_product_sales,
+    "gold_incremental": gold_incremental,
     "dq_results": dq_results,
     "dq_gate": dq_gate,
     "dq_failing_rows": dq_failing_rows,

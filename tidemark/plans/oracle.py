@@ -419,6 +419,14 @@ FROM judged WHERE reason IS NOT NULL""",
   round(sum(total_amount), 2) AS total_revenue FROM silver GROUP BY product""",
         *_ORDERS,
     ),
+    "gold_incremental": _with(
+        """SELECT product, count(DISTINCT order_id) AS total_orders, CAST(sum(quantity) AS BIGINT) AS total_quantity,
+  round(sum(total_amount), 2) AS total_revenue FROM merged GROUP BY product""",
+        *_ORDERS, _REVISED,
+        """merged AS (
+  SELECT * FROM revised UNION ALL BY NAME
+  SELECT * FROM silver WHERE order_id NOT IN (SELECT order_id FROM revised))""",
+    ),
     "dq_results": _with(_checks("observed"), _LINES, _OBSERVED),
     "dq_gate": _with(
         f"""SELECT bool_and(success) AS passed, count(*) FILTER (NOT success) AS failed_checks, 'observed' AS batch
@@ -516,9 +524,16 @@ raw AS (SELECT term, df, ln((SELECT count(*) FROM chunks) - df + 0.5::DOUBLE) -
         "SELECT doc_id, chunk_no, CAST(bucket AS INTEGER) AS bucket, round(w, 5) AS weight FROM cv", _FLAT, _hashed()
     ),
     "vector_table": _with(
-        """SELECT doc_id || ':' || chunk_id AS id, source, chunk_id, CAST(length(text) AS INTEGER) AS characters,
-  256 AS dim FROM chunks""",
+        """SELECT doc_id || ':' || chunk_id AS id, source, chunk_id, md5(text) AS document_md5, 256 AS dim,
+  coalesce(weights, '') AS weights FROM chunks LEFT JOIN listed USING (doc_id, chunk_no)""",
         _WORD_CHUNKS,
+        f"""cb AS (SELECT doc_id, chunk_no, bucket, count(*) AS n FROM (
+  SELECT doc_id, chunk_no, unnest({_buckets("text")}) AS bucket FROM chunks) GROUP BY ALL),
+norms AS (SELECT doc_id, chunk_no, sqrt(sum(n * n)) AS norm FROM cb GROUP BY ALL),
+units AS (SELECT doc_id, chunk_no, bucket, CAST(round(CAST(n / norm AS FLOAT)::DOUBLE * 1e5) AS BIGINT) AS w
+  FROM cb JOIN norms USING (doc_id, chunk_no)),
+listed AS (SELECT doc_id, chunk_no, string_agg(bucket || ':' || w, ',' ORDER BY bucket) AS weights
+  FROM units WHERE w <> 0 GROUP BY ALL)""",
     ),
     "vector_ids": _with(
         "SELECT source || '/' || chunk_id AS label, count(*) AS n FROM chunks GROUP BY ALL HAVING count(*) > 1",
