@@ -58,16 +58,21 @@ class SchemaMismatchError(Exception):
     """A batch does not fit the table it is written to."""
 
 
-def run_expectations(df: DataFrame, checks: tuple[Check, ...] = SILVER_CHECKS) -> DataFrame:
-    """One row per check, all of them measured in one pass over ``df``."""
-    aggs = [F.count("*").alias("n")]
+def measures(checks: tuple[Check, ...] = SILVER_CHECKS) -> list[Column]:
+    """The counts that ``results`` needs, as aggregates: of a whole table, or observed on rows that are being written."""
+    aggs = [F.count(F.lit(1)).alias("rows")]
     for i, c in enumerate(checks):
-        aggs.append(F.count_if(c.missing()).alias(f"m{i}"))
-        aggs.append(F.count_if(c.unexpected()).alias(f"u{i}"))
-    n = F.col("n")
+        aggs.append(F.count_if(c.missing()).alias(f"missing_{i}"))
+        aggs.append(F.count_if(c.unexpected()).alias(f"unexpected_{i}"))
+    return aggs
+
+
+def results(counted: DataFrame, checks: tuple[Check, ...] = SILVER_CHECKS) -> DataFrame:
+    """One row per check from the row of ``measures``."""
+    n = F.col("rows")
     rows = []
     for i, c in enumerate(checks):
-        missing, bad = F.col(f"m{i}"), F.col(f"u{i}")
+        missing, bad = F.col(f"missing_{i}"), F.col(f"unexpected_{i}")
         judged = n if c.kind == "not_null" else n - missing
         rows.append(
             F.struct(
@@ -82,7 +87,12 @@ def run_expectations(df: DataFrame, checks: tuple[Check, ...] = SILVER_CHECKS) -
                 (bad == 0).alias("success"),
             )
         )
-    return df.agg(*aggs).select(F.inline(F.array(*rows)))
+    return counted.select(F.inline(F.array(*rows)))
+
+
+def run_expectations(df: DataFrame, checks: tuple[Check, ...] = SILVER_CHECKS) -> DataFrame:
+    """One row per check, all of them measured in one pass over ``df``."""
+    return results(df.agg(*measures(checks)), checks)
 
 
 def gate(results: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import text as X
 from tidemark.operators import answers as A
-from tidemark.operators import chunking, contract, dense, fusion, lexical, lineage, pivots, quality, sales
+from tidemark.operators import chunking, compact, contract, dense, fusion, late, lexical, lineage, pivots, quality, sales
 from tidemark.operators import postings as impacts
 from tidemark.plans import orders as order_plans
 from tidemark.plans import retrieval
@@ -345,6 +345,45 @@ def orders_job(spark, sf_dir):
     return _rounded(order_plans.run(spark, f"{base}/in", f"{base}/lake"), "total_revenue", digits=2)
 
 
+def _job_and_refused_batch(spark, sf_dir) -> str:
+    """The lake after the whole job, and after a second batch whose quantities pass the contract but not the gate."""
+    base = work_folder(spark, "refused-batch")
+    _message_files(spark, messages(spark, sf_dir), f"{base}/in")
+    order_plans.run(spark, f"{base}/in", f"{base}/lake")
+    late_orders = revisions(spark, sf_dir).withColumn("quantity", F.lit(1001).cast("bigint"))
+    _message_files(spark, contract.encode_messages(late_orders), f"{base}/late")
+    try:
+        order_plans.run(spark, f"{base}/late", f"{base}/lake")
+    except quality.QualityGateError:
+        return f"{base}/lake"
+    raise AssertionError("the gate let the batch pass")
+
+
+def gate_keeps_silver(spark, sf_dir):
+    """Silver after a batch that failed its expectations: the version from before."""
+    return tables.read_table(spark, f"{_job_and_refused_batch(spark, sf_dir)}/silver", SILVER)
+
+
+def job_events(spark, sf_dir):
+    """The run events of both jobs, clock and run id checked for form, START before the end of the same run."""
+    log = files.read_lineage(spark, f"{_job_and_refused_batch(spark, sf_dir)}/lineage")
+    runs = Window.partitionBy("run.runId")
+    started = F.min(F.when(F.col("eventType") == "START", F.col("eventTime"))).over(runs)
+
+    def listed(side):
+        return F.array_join(F.transform(side, lambda d: F.concat_ws("/", d["namespace"], d["name"])), ",").alias(side)
+
+    each = log.select(
+        "eventType", "producer", F.col("job.namespace").alias("namespace"), F.col("job.name").alias("job"), listed("inputs"), listed("outputs"),
+        F.col("run.runId").rlike("^[0-9a-f]{8}-[0-9a-f]{4}-4[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$").alias("id"),
+        F.col("eventTime").rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}[.][0-9]{6}[+]00:00$").alias("clock"),
+        ((F.count("*").over(runs) == 2) & (started <= F.col("eventTime"))).alias("pair"),
+    )
+    return each.groupBy("eventType", "producer", "namespace", "job", "inputs", "outputs").agg(
+        F.count("*").alias("events"), *[F.count_if(c).alias(f"good_{c}s") for c in ("id", "clock", "pair")]
+    )
+
+
 # ------------------------------------------------------------------ text ----
 
 
@@ -384,7 +423,8 @@ def documents_from_files(spark, sf_dir):
     named.repartition("part").write.partitionBy("part").text(path)
     read = files.read_documents(spark, f"{path}/*/*.txt")
     return read.groupBy(F.md5(F.col("text").cast("binary")).alias("text_md5")).agg(
-        F.count("*").alias("files"), F.count_distinct("doc_id").alias("ids")
+        F.count("*").alias("files"), F.count_distinct("doc_id").alias("ids"),
+        F.count_if(F.col("source").rlike("^part-[0-9]{5}-[0-9a-f-]{36}[^/]*[.]txt$")).alias("named"),
     )
 
 
@@ -607,6 +647,24 @@ def dense_pivots_l2(spark, sf_dir):
     return _rounded(found.select("query_id", "rank", "doc_id", "source", "distance"), "distance")
 
 
+def _bytes(spark, sf_dir, metric):
+    """Every vector asked for its nearest ones, from stored bytes with a bound of their error."""
+    path = work_folder(spark, f"bytes-{metric}")
+    vectors = _stored_vectors(spark, sf_dir)
+    compact.build(vectors, path, metric)
+    return compact.search(vectors.select(F.col("doc_id").alias("query_id"), "embedding"), compact.load(spark, path), 5)
+
+
+def dense_bytes_dot(spark, sf_dir):
+    found = _bytes(spark, sf_dir, "dot")
+    return _rounded(found.select("query_id", "rank", "doc_id", "source", "score"), "score")
+
+
+def dense_bytes_l2(spark, sf_dir):
+    found = _bytes(spark, sf_dir, "l2sq")
+    return _rounded(found.select("query_id", "rank", "doc_id", "source", "distance"), "distance")
+
+
 def dense_topk_small(spark, sf_dir):
     """Vectors of length 1e-5: distances around 1e-10 rank like any others."""
     found = _dense(spark, sf_dir, "l2sq", 1e-5).withColumn("distance", F.col("distance") * 1e10)
@@ -661,6 +719,13 @@ def rerank_scores(spark, sf_dir):
     return done.select("query_id", "rank", "doc_id", "chunk_no", "previous_rank", "rerank_score")
 
 
+def rerank_tokens(spark, sf_dir):
+    """Each query token's best match among the text's token vectors, summed."""
+    results = materialise(_bm25(spark, sf_dir), "to-rerank")
+    done = late.rerank(questions(spark, sf_dir), results, 5)
+    return _rounded(done.select("query_id", "rank", "doc_id", "chunk_no", "previous_rank", "rerank_score"), "rerank_score")
+
+
 def context_blocks(spark, sf_dir):
     return A.contexts(_keywords(spark, sf_dir))
 
@@ -790,6 +855,8 @@ QUERIES = {
     "stream_counts": stream_counts,
     "bronze_refresh": bronze_refresh,
     "orders_job": orders_job,
+    "gate_keeps_silver": gate_keeps_silver,
+    "job_events": job_events,
     "paragraphs": paragraphs,
     "conversation_paragraphs": conversation_paragraphs,
     "documents_from_files": documents_from_files,
@@ -822,11 +889,14 @@ QUERIES = {
     "dense_topk_l2": dense_topk_l2,
     "dense_pivots_dot": dense_pivots_dot,
     "dense_pivots_l2": dense_pivots_l2,
+    "dense_bytes_dot": dense_bytes_dot,
+    "dense_bytes_l2": dense_bytes_l2,
     "dense_topk_small": dense_topk_small,
     "dense_topk_grid": dense_topk_grid,
     "rrf_fuse": rrf_fuse,
     "rerank_overlap": rerank_overlap,
     "rerank_scores": rerank_scores,
+    "rerank_tokens": rerank_tokens,
     "context_blocks": context_blocks,
     "grounded_answer": grounded_answer,
     "citations": citations,

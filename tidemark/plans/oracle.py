@@ -286,6 +286,28 @@ def _reranked(name: str, results: str) -> str:
   FROM {name}_scored) WHERE rank <= 5)"""
 
 
+def _token_scores(results: str) -> str:
+    """Sum over the query's tokens of the best product with a token of the text; a token is the unit vector of its trigrams."""
+    asked = f"SELECT item_id AS query_id, unnest({_tokens('text', 'ascii')}) AS term FROM benchmark"
+    gram = "('0x' || substr(md5(substring('^' || term || '$', i, 3)), 1, 8))::BIGINT % 256"
+    return f"""asked AS MATERIALIZED (SELECT query_id, term, count(*) AS n FROM ({asked}) GROUP BY ALL),
+held AS MATERIALIZED (SELECT DISTINCT query_id, doc_id, chunk_no, term FROM (
+  SELECT query_id, doc_id, chunk_no, unnest({_tokens("text", "ascii")}) AS term FROM {results})),
+vocabulary AS (SELECT term FROM asked UNION SELECT term FROM held),
+grams AS MATERIALIZED (SELECT term, bucket, count(*) AS n FROM (
+  SELECT term, {gram} AS bucket FROM (SELECT term, unnest(range(1, length(term) + 1)) AS i FROM vocabulary)) GROUP BY ALL),
+lengths AS MATERIALIZED (SELECT term, sqrt(sum(n * n)) AS length FROM grams GROUP BY term),
+met AS MATERIALIZED (SELECT DISTINCT a.term AS one, h.term AS other FROM asked a JOIN held h USING (query_id)),
+alike AS MATERIALIZED (SELECT one, other, sum(x.n * y.n) / (any_value(lx.length) * any_value(ly.length)) AS alike
+  FROM met JOIN grams x ON x.term = one JOIN grams y ON y.term = other AND y.bucket = x.bucket
+  JOIN lengths lx ON lx.term = one JOIN lengths ly ON ly.term = other GROUP BY ALL),
+best AS (SELECT h.query_id, doc_id, chunk_no, a.term, any_value(a.n) AS n, max(coalesce(alike, 0)) AS best
+  FROM held h JOIN asked a USING (query_id) LEFT JOIN alike ON one = a.term AND other = h.term GROUP BY ALL),
+token_sum AS (SELECT query_id, doc_id, chunk_no, sum(n * best) AS s FROM best GROUP BY ALL),
+token_scores AS (SELECT r.query_id, r.doc_id, r.chunk_no, r.rank, coalesce({_significant("s")}, 0) AS rerank_score
+  FROM {results} r LEFT JOIN token_sum USING (query_id, doc_id, chunk_no))"""
+
+
 def _answers(results: str) -> str:
     return f"""sent AS (
   SELECT query_id, rank, unnest(ss) AS sentence, generate_subscripts(ss, 1) AS sentence_no FROM (
@@ -387,6 +409,11 @@ _EDGES = f"""edges AS (
   FROM log WHERE state = 'COMPLETE' GROUP BY ALL)"""
 
 
+def _stage_row(stage: str, passed: int, failed: int) -> str:
+    sides = [",".join(f"order-lakehouse/{d}" for d in side) for side in STAGES[stage]]
+    return f"('{stage}', '{sides[0]}', '{sides[1]}', {passed}, {failed})"
+
+
 ORACLE = {
     "message_encode": _with(
         'SELECT order_id AS message_key, customer_id, product, quantity, price, status, "timestamp" FROM lines',
@@ -467,6 +494,16 @@ FROM judged WHERE reason IS NOT NULL""",
   round(sum(total_amount), 2) AS total_revenue FROM silver GROUP BY product""",
         *_ORDERS,
     ),
+    "gate_keeps_silver": _with(f"SELECT {_SILVER_COLUMNS} FROM silver", *_ORDERS),
+    "job_events": f"""WITH stages(job, inputs, outputs, passed, failed) AS (VALUES
+  {", ".join(_stage_row(*row) for row in (("ingestion", 2, 0), ("bronze", 2, 0), ("silver", 2, 0), ("quality_gate", 1, 1), ("gold", 1, 0)))}),
+each AS (
+  SELECT 'START' AS "eventType", job, inputs, '' AS outputs, passed + failed AS n FROM stages
+  UNION ALL SELECT 'COMPLETE', job, inputs, outputs, passed FROM stages
+  UNION ALL SELECT 'FAIL', job, inputs, outputs, failed FROM stages)
+SELECT "eventType", 'tidemark' AS producer, 'order-lakehouse' AS namespace, job, inputs, outputs,
+  CAST(n AS BIGINT) AS events, CAST(n AS BIGINT) AS good_ids, CAST(n AS BIGINT) AS good_clocks, CAST(n AS BIGINT) AS good_pairs
+FROM each WHERE n > 0 AND (SELECT count(*) FROM orders) > 0""",
     "paragraphs": _with("SELECT doc_id, CAST(para_no AS INTEGER) AS para_no, paragraph FROM paras", _paragraphs("chr(10)")),
     "conversation_paragraphs": f"""WITH turns AS (
   SELECT conv_id, turn, {_strip(r"regexp_replace(regexp_replace(replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)), '[ \t]+', ' ', 'g'), '\n{3,}', chr(10) || chr(10), 'g')")} AS t
@@ -476,7 +513,7 @@ pieces AS (SELECT conv_id, turn, unnest(ps) AS paragraph, generate_subscripts(ps
     lambda p: p <> '') AS ps FROM turns))
 SELECT conv_id AS doc_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn, n) AS INTEGER) AS para_no, paragraph
 FROM pieces""",
-    "documents_from_files": f"""SELECT md5(text || chr(10)) AS text_md5, count(*) AS files, count(*) AS ids FROM documents
+    "documents_from_files": f"""SELECT md5(text || chr(10)) AS text_md5, count(*) AS files, count(*) AS ids, count(*) AS named FROM documents
 WHERE {_strip("text")} <> '' GROUP BY 1""",
     "chunks_jsonl": _with(_CHUNK_COLUMNS, _WORD_CHUNKS),
     "chunk_words": _with(_CHUNK_COLUMNS, _WORD_CHUNKS),
@@ -546,6 +583,10 @@ FROM (SELECT vec_id, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS no
     "dense_pivots_l2": _stored(
         "power(list_distance(q.embedding::DOUBLE[], v.embedding::DOUBLE[]), 2)", "distance", "distance"
     ),
+    "dense_bytes_dot": _stored("list_dot_product(q.embedding::DOUBLE[], v.embedding::DOUBLE[])", "score DESC", "score"),
+    "dense_bytes_l2": _stored(
+        "power(list_distance(q.embedding::DOUBLE[], v.embedding::DOUBLE[]), 2)", "distance", "distance"
+    ),
     "dense_topk_dot": _stored("list_dot_product(q.embedding::DOUBLE[], v.embedding::DOUBLE[])", "score DESC", "score"),
     "dense_topk_l2": _stored(
         "power(list_distance(q.embedding::DOUBLE[], v.embedding::DOUBLE[]), 2)", "distance", "distance"
@@ -578,6 +619,11 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, doc_id, round(score, 6) AS score
 FROM (SELECT *, CASE WHEN rank % 2 = 1 THEN rank::DOUBLE ELSE 0::DOUBLE END AS rerank_score FROM bm25)""",
         *_BM25,
     ),
+    "rerank_tokens": _with(
+        """SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY rerank_score DESC, rank) AS INTEGER) AS rank,
+  doc_id, chunk_no, rank AS previous_rank, round(rerank_score, 6) AS rerank_score FROM token_scores""",
+        *_BM25, _token_scores("bm25"),
+    ),
     "context_blocks": _with("SELECT query_id, context FROM contexts", *_KEYWORDS, _contexts("keywords")),
     "grounded_answer": _with("SELECT query_id, query, answer FROM answered", *_KEYWORDS, _answers("keywords")),
     "citations": _with("SELECT query_id, citation_no, doc_id, chunk_no, citation FROM citations", *_KEYWORDS, _citations("keywords")),

@@ -13,6 +13,7 @@ alone, with Spark's dynamic partition overwrite and its committer.
 
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
@@ -20,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.quality import enforce
+from tidemark.operators.quality import Check, enforce, measures, require_gate, results
 from tidemark.operators.sales import upsert
 from tidemark.session import exists, materialise, remove, work_folder
 
@@ -76,25 +77,56 @@ def read_table(
     return spark.read.schema(schema).parquet(f"{path}/version={known[-1] if version is None else version}")
 
 
-def _write_checked(
-    df: DataFrame, target: str, schema: T.StructType, check: Callable[[DataFrame], None] | None = None
-) -> None:
-    """Write, compare the rows that can be read back, and only then mark the folder as complete.
+@dataclass(frozen=True)
+class Prepared:
+    """A version that is written and not yet the table, and the counts of its expectations."""
 
-    ``check`` may look at what was written, too, and raise.
+    path: str
+    number: int
+    schema: T.StructType
+    checks: tuple[Check, ...]
+    counts: dict[str, int]
+
+    @property
+    def folder(self) -> str:
+        return f"{self.path}/version={self.number}"
+
+    def results(self, spark: SparkSession) -> DataFrame:
+        """One row per expectation, as ``run_expectations`` gives them, without reading the rows again."""
+        names = [f"{name} long" for name in self.counts]
+        return results(spark.createDataFrame([tuple(self.counts.values())], ", ".join(names)), self.checks)
+
+
+def prepare_table(df: DataFrame, path: str, schema: T.StructType, checks: tuple[Check, ...] = ()) -> Prepared:
+    """Write ``df`` as the next version without making it the table; ``publish`` does that.
+
+    The expectations are counted while the rows are written: Spark's observed metrics of the writing tasks, of which each
+    partition counts once however often it is tried. The batch is checked against the schema before anything is written.
     """
     spark = df.sparkSession
+    fitting = enforce(df, schema)
+    number = max(_folders(spark, path, "version"), default=0) + 1
     written = Observation()
-    df.observe(written, F.count(F.lit(1)).alias("rows")).write.option(
+    fitting.observe(written, *measures(checks)).write.option(
         "mapreduce.fileoutputcommitter.marksuccessfuljobs", False
-    ).parquet(target)
-    found = spark.read.schema(schema).parquet(target).count()
-    if found != written.get["rows"]:
-        raise WriteCheckError(f"{target}: wrote {written.get['rows']} rows, found {found}")
+    ).parquet(f"{path}/version={number}")
+    return Prepared(path, number, schema, checks, written.get)
+
+
+def publish(spark: SparkSession, made: Prepared, check: Callable[[DataFrame], None] | None = None) -> int:
+    """Compare the rows that can be read back with those written, and only then mark the version as complete; its number.
+
+    ``check`` may look at what was written, too, and raise.
+    """
+    there = spark.read.schema(made.schema).parquet(made.folder)
+    found = there.count()
+    if found != made.counts["rows"]:
+        raise WriteCheckError(f"{made.folder}: wrote {made.counts['rows']} rows, found {found}")
     if check:
-        check(spark.read.schema(schema).parquet(target))
-    done = spark._jvm.org.apache.hadoop.fs.Path(target, DONE)
+        check(there)
+    done = spark._jvm.org.apache.hadoop.fs.Path(made.folder, DONE)
     done.getFileSystem(spark._jsc.hadoopConfiguration()).create(done, True).close()
+    return made.number
 
 
 def replace_table(
@@ -103,20 +135,23 @@ def replace_table(
     schema: T.StructType,
     keep: int | None = None,
     check: Callable[[DataFrame], None] | None = None,
+    checks: tuple[Check, ...] = (),
 ) -> int:
     """Write ``df`` as the next version and return its number.
 
-    The batch is checked against the schema before anything is written, and by
-    ``check`` before the version becomes the table. With ``keep``, only so many complete versions stay; a reader of an older one fails.
+    The batch is checked against the schema before anything is written, and by ``checks``, expectations counted
+    while it is written, and ``check`` before the version becomes the table; if one fails, the table keeps the version it had.
+    With ``keep``, only so many complete versions stay; a reader of an older one fails.
     """
     spark = df.sparkSession
-    fitting = enforce(df, schema)
-    number = max(_folders(spark, path, "version"), default=0) + 1
-    _write_checked(fitting, f"{path}/version={number}", schema, check)
+    made = prepare_table(df, path, schema, checks)
+    if checks:
+        require_gate(made.results(spark))
+    publish(spark, made, check)
     if keep:
         for old in versions(spark, path)[:-keep]:
             remove(spark, f"{path}/version={old}")
-    return number
+    return made.number
 
 
 @contextmanager
@@ -135,8 +170,10 @@ def _one_row_per_key(batch: DataFrame, keys: list[str]) -> None:
         raise RepeatedKeyError(f"{[repeated[k] for k in keys]} has {repeated['n']} rows")
 
 
-def upsert_table(source: DataFrame, path: str, keys: list[str], schema: T.StructType) -> int:
-    """Create the table from ``source``, or merge it in by ``keys``, as the next version.
+def prepare_upsert(
+    source: DataFrame, path: str, keys: list[str], schema: T.StructType, checks: tuple[Check, ...] = ()
+) -> Prepared:
+    """``source`` merged by ``keys`` into the table, or the first version of it, written but not yet the table.
 
     A source with several rows for a key is refused. Applying the same source
     again changes nothing, so a repeated batch is harmless.
@@ -148,9 +185,13 @@ def upsert_table(source: DataFrame, path: str, keys: list[str], schema: T.Struct
     # broadcast threshold leaves the table where it is, a larger one shuffles.
     with _held(fitting, "merge-batch") as batch:
         _one_row_per_key(batch, keys)
-        if not table_exists(spark, path):
-            return replace_table(batch, path, schema)
-        return replace_table(upsert(read_table(spark, path, schema), batch, keys), path, schema)
+        merged = upsert(read_table(spark, path, schema), batch, keys) if table_exists(spark, path) else batch
+        return prepare_table(merged, path, schema, checks)
+
+
+def upsert_table(source: DataFrame, path: str, keys: list[str], schema: T.StructType) -> int:
+    """``prepare_upsert``, made the table at once; the number of the version."""
+    return publish(source.sparkSession, prepare_upsert(source, path, keys, schema))
 
 
 def _part(parts: int, keys: list[str], columns: list[str]) -> Column:
