@@ -177,3 +177,13 @@ def test_mix_of_repeated_rows_and_of_nothing(documents):
     assert len({r.taken for r in got}) == 1 and abs(sum(r.taken for r in got) - 180) < 40
     assert mixing.mix(documents([])).count() == 0
     assert [r.taken for r in mixing.mix(documents([(1, None, None, None)])).collect()] == [0]
+
+
+def test_rules_are_not_put_in_order(spark):
+    """Precedence is made of lengths: no window over all rules, and nothing joined back to them."""
+    rules = spark.createDataFrame([("com", "/", "allow"), ("a.com", "/x", "block")], "host string, path string, verdict string")
+    pages = spark.createDataFrame([(1, "http://b.a.com/xy")], "page_id long, url string")
+    judged = url_filter.judge(pages, rules)
+    plan = judged._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and plan.count("Join") == 1
+    assert tuple(judged.first()) == (1, "b.a.com", "/xy", "a.com/x", "block")

@@ -15,7 +15,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PREFIX_HEX = 8
@@ -32,9 +31,11 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 
 
 def ranked(rules: DataFrame) -> DataFrame:
-    """Rules with lookup hash, digest and precedence: longest host and path
-    together, then longest host, then block before allow. Rules with a null, or
-    another verdict, are left out; of equal rules one stays."""
+    """Rules with lookup hash, digest and precedence: the length of host and path
+    together, then that of the host, then block before allow, as one integer.
+    Two rules that fit one URL never share both lengths, so no numbering of all
+    rules is needed. Rules with a null, or another verdict, are left out; of
+    equal rules one stays."""
     host = F.translate(F.col("host").cast("string"), UPPER, LOWER)
     listed = (
         rules.select(host.alias("r_host"), F.col("path").cast("string").alias("r_path"), "verdict")
@@ -43,20 +44,26 @@ def ranked(rules: DataFrame) -> DataFrame:
         .agg(F.max("verdict").alias("verdict"))
     )
     stem = F.regexp_extract("r_path", r"(?s)^.*/", 0)
-    order = Window.orderBy(F.length("r_host") + F.length("r_path"), F.length("r_host"), "verdict", "r_host")
+    both = (F.length("r_host") + F.length("r_path")).cast("long")
     return listed.select(
-        "r_host",
-        "r_path",
-        "verdict",
-        F.concat("r_host", "r_path").alias("rule"),
         F.substr(F.sha2(F.concat("r_host", stem), 256), F.lit(1), F.lit(PREFIX_HEX)).alias("prefix"),
         F.sha2(F.concat("r_host", "r_path"), 256).alias("digest"),
         F.size(F.split("r_host", r"\.")).alias("labels"),
         (F.size(F.split(stem, "/")) - 1).alias("depth"),
-        F.row_number().over(order).cast("long").alias("precedence"),
+        F.length("r_path").alias("length"),
+        (both * 2**32 + F.length("r_host").cast("long") * 2 + (F.col("verdict") == "block").cast("long")).alias("precedence"),
     )
 
 
+def decided(precedence: Column, host: Column, path: Column) -> tuple[Column, Column]:
+    """Rule and verdict that a precedence stands for, on a URL that the rule fits; null without one."""
+    both = F.shiftright(precedence, 32).cast("int")
+    of_host = F.shiftright(precedence.bitwiseAND(F.lit(2**32 - 1)), 1).cast("int")
+    rule = F.concat(F.substr(host, F.length(host) - of_host + 1), F.substr(path, F.lit(1), both - of_host))
+    verdict = F.when(precedence.isNotNull(), F.when(precedence % 2 == 1, "block").otherwise("allow"))
+    return F.when(precedence.isNotNull(), rule), verdict
+
+
 def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFrame:
     """(page_id, host, path, rule, verdict) for every row of ``pages`` (page_id, url).
 
@@ -86,10 +93,9 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFra
         .withColumn("stem", F.explode(stems))
         .withColumn("looked", F.substr(F.sha2(F.concat("suffix", "stem"), 256), F.lit(1), F.lit(PREFIX_HEX)))
     )
-    known = listed.select("prefix", "digest", F.length("r_path").alias("length"), "precedence")
+    known = listed.select("prefix", "digest", "length", "precedence")
     start = F.sha2(F.concat("suffix", F.substr("path", F.lit(1), F.col("length"))), 256)
     hits = looked_up.join(known, (F.col("looked") == F.col("prefix")) & (start == F.col("digest")), "left")
     best = hits.groupBy("row", "page_id", "host", "path").agg(F.max("precedence").alias("precedence"))
-    return best.join(listed.select("precedence", "rule", "verdict"), "precedence", "left").select(
-        "page_id", "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict")
-    )
+    rule, verdict = decided(F.col("precedence"), F.col("host"), F.col("path"))
+    return best.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, F.lit(default)).alias("verdict"))
