@@ -104,21 +104,66 @@ def test_base_scores_and_a_better_model(documents, monkeypatch, heavy):
     assert sum(r.score for r in common) > sum(r.base_score for r in common)
 
 
-def test_model_is_a_distribution(documents, spark):
-    """Over all words of the vocabulary and the places of unknown words, the probabilities after any history add to 1."""
+def plain_log10(model, counts, history, word):
+    """A word's log10 probability by the definition: class, then slot or rest of the class, then its share of the rest."""
+
+    def choice(names, bias):
+        z = [sum(float(model.weights[n][k]) for n in names) + float(bias[k]) for k in range(len(bias))]
+        total = math.log(sum(map(math.exp, z)))
+        return [x - total for x in z]
+
+    found = lm_score.features(np.array([*history, 0], np.uint64))[-1:]
+    place = np.array([model.classes.of(word)])
+    outer, inner = lm_score.decisions(found, place, len(model.weights).bit_length() - 2)[0].tolist()
+    group, slot = divmod(int(place[0]), lm_score.SLOTS)
+    log = choice(outer, model.classes.bias[0])[group] + choice(inner, model.classes.bias[1 + group])[slot]
+    if word in model.classes.slots:
+        return log / math.log(10)
+    rest = [c for w, c in counts.items() if model.classes.of(w) == place[0]]
+    return log / math.log(10) + math.log10((counts.get(word, 0) + 0.1) / (sum(rest) + 0.1 * (len(rest) + 1)))
+
+
+def hashed(word):
+    return int(lm_score.hashed_words(pa.array([word], pa.binary()))[0][lm_score.PAD])
+
+
+def test_scores_equal_the_definition(documents):
+    """Every held-out text, word by word; repeated rows count each, rows without id are scored but not learned from."""
+    rows = [(i, t) for i, t, _ in corpus(300)]
+    rows += [rows[7]] * 2 + [(None, "ko only-here")] + [(1000, None), (1001, ""), (1002, "Never seen É x")]
+    df = documents(rows)
+    training = fold("doc_id", 10) != 0
+    found = lm_score.score(df, training).collect()
+    assert sorted(str(r.doc_id) for r in found) == sorted(str(i) for i, _ in rows)
+    model, words = lm_score.learn(df.where(training).select("text"))
+    counts = {bytes(r.word): r.c for r in words.collect()}
+    assert b"only-here" not in counts
+    texts = dict(rows)
+    for r in [r for r in found if r.held_out or r.doc_id in (7, 1000, 1001, 1002)]:
+        history, total = [0, 0, 0], 0.0
+        for word in tokens(texts[r.doc_id]):
+            total += plain_log10(model, counts, history, word)
+            history = [*history[1:], int(lm_score.END_HASH) if word == b"\n" else hashed(word)]
+        assert r.score == pytest.approx(total, rel=1e-4)
+
+
+def test_model_is_a_distribution(documents):
+    """After any history, the probabilities of all classes and of all slots add to 1, and so do the shares of the words of a rest."""
     model, words = lm_score.learn(documents(corpus(300)).select("doc_id", "text"))
-    classes = model.classes
-    table = [(bytes(r.word), r.c) for r in words.collect()]
-    history = np.array([0, 0, 0, *range(1, 6)], np.uint64) * np.uint64(0x123456789ABCDEF1)
-    shares = np.exp(lm_score.log_shares(lm_score.features(history), model.weights, classes.bias))
-    inside = np.zeros(len(classes.bias))
-    for word, c in table:
-        inside[classes.of(word)] += (c + lm_score.ADD) / 10 ** classes.log_total[classes.of(word)]
-    unknown = lm_score.ADD / 10**classes.log_total
-    unknown[: len(classes.singles)] = 0
-    inside[len(classes.singles) :] += unknown[len(classes.singles) :]
-    used = np.ones(len(inside), bool)
-    assert np.allclose(inside[used], 1) and np.allclose(shares.sum(axis=1), 1, atol=1e-4)
+    counts = {bytes(r.word): r.c for r in words.collect()}
+    assert model.classes.slots and any(w not in model.classes.slots for w in counts)
+    assert len(set(model.classes.slots.values())) == len(model.classes.slots)
+    everything = [*counts, b"\x00unknown"]
+    for history in ([0, 0, 0], [1 << 60, 7 << 50, 123456789]):
+        total = sum(10 ** plain_log10(model, counts, history, w) for w in everything)
+        # an unknown word stands for its class; those of all other classes have a place, too
+        seen = {model.classes.of(b"\x00unknown")}
+        for ending in model.classes.endings:
+            word = b"\x00\x00unknown" + ending
+            if len(ending) == 2 and model.classes.of(word) not in seen:
+                seen.add(model.classes.of(word))
+                total += 10 ** plain_log10(model, counts, history, word)
+        assert total == pytest.approx(1, abs=2e-3)
 
 
 def test_long_and_late_texts_teach_the_contexts(documents):
@@ -128,8 +173,33 @@ def test_long_and_late_texts_teach_the_contexts(documents):
         learned = documents(rows).repartition(partitions).select("doc_id", "text")
         model, _ = lm_score.learn(learned)
         held = lm_score.hashed_words(pa.array(["left right left right left"]))[0]
-        shares = np.exp(lm_score.log_shares(lm_score.features(held), model.weights, model.classes.bias))
-        assert shares[4, model.classes.of(b"left")] > 0.9
+        place = np.full(len(held) - lm_score.PAD, model.classes.of(b"left"))
+        shares = np.exp(lm_score.token_shares(lm_score.features(held), place, model.weights, model.classes.bias))
+        assert shares[4] > 0.9
+
+
+@pytest.mark.parametrize("least", [1_000_000, 500])
+def test_scores_hardly_depend_on_storage(documents, monkeypatch, least):
+    """One shard or many, from 1, 7 or 40 partitions: the held-out gain stays."""
+    monkeypatch.setattr(lm_score, "LEAST_TOKENS", least)
+    rows = [(i, t) for i, t, _ in corpus(600)]
+    gain = []
+    for partitions in (1, 7, 40):
+        found = lm_score.score(documents(rows).repartition(partitions), fold("doc_id", 10) != 0).where("held_out")
+        n, better = found.agg(F.sum("n_tokens"), F.sum(F.col("score") - F.col("base_score"))).first()
+        gain.append(better / n)
+    assert min(gain) > 0 and max(gain) - min(gain) < (0.05 if least > 500 else 0.5 * max(gain)), gain
+
+
+def test_sums_equal_plain_addition():
+    rng = np.random.default_rng(1)
+    for n, most in ((1, 3), (500, 7), (5_000, 4_000)):
+        buckets = (rng.zipf(1.2, (n, 4)) % most).astype(np.int32)
+        error = rng.normal(size=(n, 16)).astype(np.float32)
+        want, seen = np.zeros((most, 16)), np.bincount(buckets.ravel(), minlength=most)
+        np.add.at(want, buckets.ravel(), np.repeat(error, 4, axis=0))
+        at, total, count = lm_score._sums(error, buckets)
+        assert np.allclose(total, want[at], atol=1e-2) and (count == seen[at]).all() and len(at) == (seen > 0).sum()
 
 
 def test_hashed_words_are_the_words(monkeypatch):
