@@ -2,6 +2,7 @@
 
 import itertools
 import math
+import os
 import random
 import zlib
 from collections import Counter
@@ -9,11 +10,13 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from tidemark.llm import langid, lm_score, quality_crf, toxicity
 from tidemark.llm.common import fold
 
+TABLES = "/root/testdata/sf0.01"
 SYLLABLES = {"aa": "ba ko mi ta ru", "bb": "ent och ell igs upp", "cc": "öß ça ñe ïl åk"}
 
 
@@ -42,6 +45,56 @@ def test_language_of_held_out_texts(documents):
     assert all(r.lang_pred == r.lang and r.accepted and 0.5 < r.score <= 1 for r in found)
 
 
+@pytest.mark.skipif(not os.path.isdir(TABLES), reason="no test tables")
+def test_languages_that_cannot_be_told_are_rejected(documents, spark):
+    """Held-out texts of the given table: clean ones stay; those in a language left out, equal mixes and random letters go."""
+    table = spark.read.parquet(f"{TABLES}/documents.parquet").where("length(text) between 20 and 8000").select("doc_id", "text", "lang")
+    training = table.where(fold("doc_id", 3) != 1)
+    held = [r for r in table.where(fold("doc_id", 3) == 1).where("lang is not null").orderBy("doc_id").collect()]
+    learned = langid.learn(training)
+
+    def accepted(texts, dictionaries):
+        rows = documents(list(enumerate(texts)) * 2)  # each row twice
+        found = [(r.doc_id, r.accepted, r.lang_pred) for r in langid.predict(rows, dictionaries, "doc_id long").collect()]
+        assert len(found) == 2 * len(set(found)) == 2 * len(texts)
+        return {k: lang for k, accept, lang in found if accept}
+
+    clean = accepted([r.text for r in held], learned)
+    assert len(clean) >= 0.98 * len(held) and sum(held[k].lang == lang for k, lang in clean.items()) >= 0.99 * len(clean)
+    rng, of = random.Random(5), {lang: [r.text for r in held if r.lang == lang] for lang in learned}
+    for lang, texts in of.items():
+        assert len(accepted(texts, {k: v for k, v in learned.items() if k != lang})) < 0.15 * len(texts)
+    # Texts with a copy in the dictionary are told by it, and are no part of a mix.
+    new = lambda t, lang: not any(langid.letters(t[k : k + 40]).strip() in learned[lang] for k in range(0, 300, 40))
+    equal = {lang: [t[:300] for t in texts if len(t) >= 300 and new(t, lang)] for lang, texts in of.items()}
+    assert min(map(len, equal.values())) > 10
+    mixed = [" ".join(rng.choice(equal[lang]) for lang in rng.sample(sorted(equal), len(equal))) for _ in range(40)]
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    junk = [" ".join("".join(rng.choices(letters, k=rng.randrange(2, 9))) for _ in range(n)) for n in (5, 30, 300, 3_000) * 10]
+    keys = ["asdf qwer zxcv tyui ghjk", "Tämä on suomenkielinen lause, jota ei ole opittu koskaan aiemmin"]
+    assert len(accepted(mixed, learned)) <= 8 and len(accepted(junk, learned)) <= 4 and not accepted(keys, learned)
+
+
+def test_smallest_encoding_wins(documents):
+    """Every dictionary tried one by one, with the greater effort where it is close."""
+    learned = langid.learn(documents(corpus()))
+    rows = [(i, t) for i, t, _ in corpus(90)] + [(1000, "ba ko " + sentence(random.Random(1), "bb", 30) * 200)]
+    found = {r.doc_id: r for r in langid.predict(documents(rows), learned, "doc_id long").collect()}
+
+    def size(lang, data, level):
+        content = zstandard.ZstdCompressionDict(learned[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        made = zstandard.ZstdCompressor(level=level, dict_data=content, write_checksum=False, write_content_size=False, write_dict_id=False)
+        return sum(len(made.compress(data[i : i + langid.BLOCK])) for i in range(0, len(data), langid.BLOCK))
+
+    for i, text in rows:
+        data = langid.letters(text)
+        sizes = sorted((size(lang, data, langid.LEVEL), lang) for lang in learned)
+        if (sizes[1][0] - sizes[0][0]) / sizes[1][0] < langid.CLOSE or sizes[1][0] - sizes[0][0] < langid.LEAST_BYTES:
+            data = langid.LEAD + data + b" " + data if len(data) < langid.SHORT else data
+            sizes = sorted((size(lang, data, langid.EFFORT), lang) for lang in learned)
+        assert found[i].lang_pred == sizes[0][1]
+
+
 def test_language_of_odd_texts(documents):
     learned = langid.learn(documents(corpus()))
     odd = [(1, None), (2, ""), (3, "123 !!"), (4, "x"), (5, "bako mita " * 30_000), (6, "٣٤ 漢字"), (None, "bako mita ruta")]
@@ -275,6 +328,39 @@ def test_every_naming_sentence_is_swapped(documents, spark, monkeypatch):
     assert not set(toxicity.features_of("wait")) & {*more_gone.tolist(), *more_come.tolist()}
 
 
+def test_swaps_of_a_text_are_bounded_and_follow_its_text(documents, spark, monkeypatch):
+    """Of many naming sentences the first by hash; neither ids nor the order of rows choose names."""
+    text = ". ".join(f"men and jews met {SYLLABLES['aa'][k % 9 :]} {k}x" for k in range(100))
+    assert len(toxicity.pairs_of(text)) == toxicity.TEXT_PAIRS and len(toxicity.pairs_of(text, 200)) == 100
+    given = []
+    monkeypatch.setattr(toxicity, "train", lambda texts, toxic, pairs: given.append([tuple(map(bytes, p)) for p in pairs]))
+    for first in (0, 5_000):
+        rows = [(first, text), (first, text), (first + 1, "Old muslims sing. Gay men wait"), (first + 2, "none")]
+        toxicity.learn(documents(rows), labelled(spark, [(first + k, k % 2) for k in range(3)], "toxic"), text_pairs=10)
+    assert given[0] == given[1] and len(given[0]) == 10 + 2 + 1
+
+
+def test_penalty_makes_group_names_weigh_less(documents, spark):
+    """With and without the penalty, on labels that go with a name."""
+    rng = random.Random(9)
+    rows, labels = [], []
+    for i in range(600):
+        toxic = i % 3 == 0
+        name = rng.choice(["women", "muslims"] if toxic and rng.random() < 0.8 else ["men", "jews"])
+        rows.append((i, sentence(rng, "aa", 15) + f" {name}" + (rng.choice([" vilexa", " grobnar"]) if toxic else "")))
+        labels.append((i, int(toxic)))
+    change = []
+    for penalty in (0.0, toxicity.SWAP_PENALTY):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(toxicity, "SWAP_PENALTY", penalty)
+            model = toxicity.learn(documents(rows), labelled(spark, labels, "toxic"))
+        known = toxicity._Known(model.weights)
+        score = lambda text: toxicity.text_score(model, text, known)  # noqa: E731, B023
+        change.append(abs(score("ba ko women mita") - score("ba ko men mita")))
+        assert score("ba ko men grobnar") > 0.7
+    assert change[1] < 0.5 * change[0], change
+
+
 def test_swaps_stay_in_their_group():
     for name, others in toxicity.SWAPS.items():
         assert others and name not in others
