@@ -26,6 +26,8 @@ from tidemark.llm.common import TEXT, added, mapped, wider, with_text
 #: Bound of the sample the model is fitted on: labelled documents, and features of one of them.
 SAMPLE = 8_000
 SAMPLE_FEATURES = 20_000
+#: Naming sentences of a text that are swapped; of more, those that come first by hash.
+TEXT_PAIRS = 32
 BUCKETS = 1 << 20
 STARTS = (3, 4, 5, 6)
 #: A feature counts if it occurs in so many texts and its toxic share is so many standard errors from the mean.
@@ -86,11 +88,17 @@ def swapped(words: set[str], number: int) -> set[str] | None:
     return words - named | {SWAPS[n][(number + k) % len(SWAPS[n])] for k, n in enumerate(sorted(named))}
 
 
-def pairs_of(text: str, number: int) -> list[tuple[np.ndarray, np.ndarray]]:
+def pairs_of(text: str, most: int = TEXT_PAIRS) -> list[tuple[np.ndarray, np.ndarray]]:
     """Of each sentence of a text that names a group, the features that only it and that only its swapped form has; the
-    others cancel. A text that names none gives one pair, of a sentence with a name put in."""
-    parts = [set(words_of(s)) for s in SENTENCE.split(text)]
-    named = [p for p in parts if p & SWAPS.keys()]
+    others cancel. A text that names none gives one pair, of a sentence with a name put in. Which name comes is
+    told by a hash of the text. Of more than ``most`` naming sentences those that come first by hash are taken."""
+    number = zlib.crc32(text.encode())
+    sentences = SENTENCE.split(text)
+    parts = [set(words_of(s)) for s in sentences]
+    order = [k for k, p in enumerate(parts) if p & SWAPS.keys()]
+    if len(order) > most:
+        order = sorted(sorted(order, key=lambda k: (zlib.crc32(sentences[k].encode()), k))[:most])
+    named = [parts[k] for k in order]
     if not named:  # a neutral mention, put into a sentence that has none
         named = [next((p for p in parts if p), set()) | {NAMES[number % len(NAMES)]}]
     both = [(feature_set(p), feature_set(swapped(p, number + k))) for k, p in enumerate(named)]
@@ -148,13 +156,16 @@ def train(texts: list[np.ndarray], toxic: np.ndarray, pairs: list[tuple[np.ndarr
     return Model(float(theta[-1]), dict(zip(names.tolist(), theta[:-1].tolist(), strict=True)))
 
 
-def learn(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | None:
+def learn(
+    documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, most_features: int = SAMPLE_FEATURES, text_pairs: int = TEXT_PAIRS
+) -> Model | None:
     """A model from ``documents`` (doc_id, text) and ``labels`` (doc_id, toxic).
 
     Fitted on the ``sample`` labelled ids that come first by hash, less texts of
-    more than ``SAMPLE_FEATURES`` features; feature sets, no texts, reach the driver. Every sentence of these
-texts that names a group is swapped. Of repeated labels
-    the larger counts; null ids, labels and texts teach nothing. None if
+    more than ``most_features`` features; feature sets, no texts, reach the driver. Of each of these
+    texts ``text_pairs`` sentences that name a group are swapped, all if there are no more. So both bounds of what reaches the
+    driver are parameters. Of repeated labels
+    the larger counts, of repeated documents any one; null ids, labels and texts teach nothing. None if
     nothing is left to learn from.
     """
     chosen = (
@@ -169,9 +180,9 @@ texts that names a group is swapped. Of repeated labels
     rows = rows.where("text is not null").join(F.broadcast(chosen), F.col("doc_id") == F.col("id"))
 
     def features(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts, ids = batch.column("text").to_pylist(), batch.column("doc_id").to_pylist()
+        texts = batch.column("text").to_pylist()
         sets = [feature_set(set(words_of(t))).astype(np.int32).tobytes() for t in texts]
-        pairs = [pairs_of(t, k) for t, k in zip(texts, ids, strict=True)]
+        pairs = [pairs_of(t, text_pairs) for t in texts]
         sides = {
             name: pa.array([[p[side].astype(np.int32).tobytes() for p in of] for of in pairs], pa.list_(pa.binary()))
             for side, name in enumerate("ab")
@@ -181,7 +192,7 @@ texts that names a group is swapped. Of repeated labels
 
     schema = "doc_id long, toxic int, x binary, a array<binary>, b array<binary>"
     found = mapped(rows.select("doc_id", "toxic", "text"), features, schema)
-    got = found.where(F.length("x") <= 4 * SAMPLE_FEATURES).dropDuplicates(["doc_id"]).toArrow()
+    got = found.where(F.length("x") <= 4 * most_features).dropDuplicates(["doc_id"]).toArrow()
     if not got.num_rows:
         return None
     order = np.argsort(np.asarray(got.column("doc_id")))
@@ -219,7 +230,8 @@ def score(documents: DataFrame, model: Model | None, keep: str | StructType) ->
     """Columns ``keep`` (a schema), score and predicted for every row of ``documents``.
 
     Only ``text`` decides; a null text counts as empty and gets the score of the
-    bias. Without a model every score is 0. predicted is 1 from ``PREDICT_FROM``.
+    bias. Without a model every score is 0. predicted is 1 from ``PREDICT_FROM``. Every row is scored, repeated ones alike; an
+    empty table gives no rows. Other columns of ``documents`` are not read, whatever their names.
     """
 
     def batches(stream):
