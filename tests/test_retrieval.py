@@ -88,6 +88,17 @@ def test_bm25(spark, way, pad, seed, monkeypatch):
     assert got == expected
 
 
+def test_acceptance_values_of_a_rare_word(spark, way):
+    """Eight chunks of 6, 47, 47, 47, 36, 30, 23 and 26 words, the second with one word three times that no other has."""
+    sizes = [6, 47, 47, 47, 36, 30, 23, 26]
+    texts = [" ".join(["price:"] + [f"w{k}x{n}" for n in range(size - 1)]) for k, size in enumerate(sizes)]
+    texts[1] = " ".join(["laptop"] * 3 + texts[1].split()[3:])
+    index = lexical.build_index(chunks_of(spark, texts, 8), "ws")
+    assert index.corpus.first()["avgdl"] == 32.75
+    got = found(lexical.bm25_search(queries_of(spark, "laptop price"), index, 5, True))
+    assert got == [(0, 1, 0, 1, 2.419235), *((0, r, 0, k, 0.0) for r, k in ((2, 0), (3, 2), (4, 3), (5, 4)))]
+
+
 def test_bm25_tiny_corpus_with_negative_mean_idf(spark, way):
     texts = ["a b", "a b", "a b c"]
     index = lexical.build_index(chunks_of(spark, texts), "ws")

@@ -185,15 +185,20 @@ def contract_valid(spark, sf_dir):
 
 
 def contract_quarantine(spark, sf_dir):
+    """All of a refused message, as it came and as it was parsed. The price stands beside its place, rounded, as engines write
+    doubles differently; a message that is no UTF-8 is shown as its first byte and its text."""
     _, refused = contract.split_valid(contract.apply_contract(messages(spark, sf_dir)))
-    parsed = F.from_json("record", ORDER)
-    return refused.select(
-        F.regexp_extract("raw", "ORD-[0-9]+-[0-9]+", 0).alias("order_ref"),
+    number = r'"price":(-?[0-9][0-9.Ee+-]*)'
+    text = F.concat(F.lit("FF"), F.decode(F.unhex(F.substring("raw", 3, 1 << 30)), "UTF-8"))
+    shown = refused.withColumn("raw", F.when(F.col("raw").startswith("FF7B"), text).otherwise(F.col("raw")))
+    price = lambda c: F.round(F.regexp_extract(c, number, 1).try_cast("double"), 9)
+    plain = lambda c: F.regexp_replace(c, number, '"price":#')
+    return shown.select(
         "reason",
-        parsed["customer_id"].alias("record_customer"),
-        parsed["order_id"].alias("record_order"),
-        F.regexp_extract("raw", '"customer_id":"?([A-Z0-9-]+)', 1).alias("raw_customer"),
-        F.regexp_extract("raw", '"timestamp":(.*?)[,}]', 1).alias("raw_timestamp"),
+        plain("raw").alias("raw"),
+        price("raw").alias("raw_price"),
+        plain("record").alias("record"),
+        price("record").alias("record_price"),
     )
 
 

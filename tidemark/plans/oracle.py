@@ -424,14 +424,31 @@ ORACLE = {
         _LINES, _REASONS, _VALID,
     ),
     "contract_quarantine": _with(
-        """SELECT CASE fault WHEN 28 THEN '' ELSE order_id END AS order_ref, reason,
-  CASE WHEN fault IN (6, 12, 26, 28) THEN NULL WHEN fault = 11 THEN substr(customer_id, 6)
-       ELSE customer_id END AS record_customer,
-  CASE WHEN fault IN (6, 12, 26, 28) THEN NULL ELSE order_id END AS record_order,
-  CASE WHEN fault IN (26, 28) THEN '' WHEN fault = 11 THEN substr(customer_id, 6) ELSE customer_id END AS raw_customer,
-  CASE WHEN fault IN (5, 6, 26, 28) THEN '' WHEN fault = 24 THEN '5' ELSE '"' || "timestamp" || '"' END AS raw_timestamp
-FROM judged WHERE reason IS NOT NULL""",
+        """SELECT reason,
+  CASE fault WHEN 26 THEN '"' || order_id || '"' WHEN 28 THEN 'FF{' || sent || '}' WHEN 12 THEN '[{' || sent || '}]'
+             WHEN 6 THEN '{' || sent ELSE '{' || sent || '}' END AS raw,
+  CASE WHEN fault <> 26 THEN amount END AS raw_price,
+  CASE fault WHEN 26 THEN order_id WHEN 12 THEN '[{' || sorted || '}]'
+             WHEN 6 THEN NULL WHEN 28 THEN NULL ELSE '{' || sorted || '}' END AS record,
+  CASE WHEN fault NOT IN (6, 26, 28) THEN amount END AS record_price
+FROM (SELECT *,
+    concat_ws(',', named_order, named_customer, named_product, named_quantity, named_price, named_status, named_time) AS sent,
+    concat_ws(',', named_customer, named_order, named_price, named_product, named_quantity, named_status, named_time) AS sorted
+  FROM written)""",
         _LINES, _REASONS,
+        """written AS (
+  SELECT fault, order_id, reason,
+    '"order_id":"' || order_id || '"' AS named_order,
+    '"customer_id":' || CASE fault WHEN 11 THEN substr(customer_id, 6) ELSE '"' || customer_id || '"' END AS named_customer,
+    '"product":' || CASE fault WHEN 3 THEN '""' WHEN 13 THEN 'null' ELSE '"' || product || '"' END AS named_product,
+    '"quantity":' || CASE fault WHEN 1 THEN '0' WHEN 8 THEN quantity || '.5' WHEN 16 THEN '"x"'
+      WHEN 17 THEN '[' || quantity || ']' WHEN 29 THEN '-1' ELSE quantity::VARCHAR END AS named_quantity,
+    '"price":' || CASE fault WHEN 20 THEN '"NaN"' WHEN 21 THEN '"abc"' WHEN 33 THEN '"10.5d"' ELSE '#' END AS named_price,
+    CASE WHEN fault IN (20, 21, 33) THEN NULL WHEN fault = 2 THEN round(-price, 9) WHEN fault = 19 THEN 0
+         WHEN fault = 29 THEN -1 ELSE round(price, 9) END::DOUBLE AS amount,
+    '"status":' || CASE fault WHEN 4 THEN '"shipped"' WHEN 23 THEN '"Completed"' ELSE '"' || status || '"' END AS named_status,
+    CASE fault WHEN 5 THEN NULL WHEN 24 THEN '"timestamp":5' ELSE '"timestamp":"' || "timestamp" || '"' END AS named_time
+  FROM judged WHERE reason IS NOT NULL)""",
     ),
     "contract_counts": _with(
         """SELECT count(*) AS received, count(*) FILTER (reason IS NULL) AS valid,
