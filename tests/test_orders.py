@@ -71,6 +71,21 @@ def test_refused(spark, changes, code):
     assert json.loads(row["record"]) == json.loads(json.dumps(order(**changes)))
 
 
+def test_acceptance_values_of_three_orders(spark):
+    """Two good orders and one without quantity, up to sales per product."""
+    sent = messages(
+        spark,
+        order(product="Laptop", quantity=2, price=3500.0),
+        order(order_id="A-2", product="Phone", quantity=1, price=2500.0),
+        order(order_id="A-3", quantity=0),
+    )
+    valid, refused = contract.split_valid(contract.apply_contract(sent))
+    assert valid.count() == 2 and [r["reason"] for r in refused.collect()] == ["quantity:positive_integer"]
+    gold = sales.product_sales(sales.add_total(sales.dedupe_latest(valid, ["order_id"]))).collect()
+    found = {r["product"]: (r["total_orders"], r["total_quantity"], r["total_revenue"]) for r in gold}
+    assert found == {"Laptop": (1, 2, 7000.0), "Phone": (1, 1, 2500.0)}
+
+
 @pytest.mark.parametrize(
     "changes,field,value",
     [
