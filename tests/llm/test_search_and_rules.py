@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import mixing, topk_search, url_filter
+from tidemark.llm.queries import op4_exact_topk
 
 VECTORS = "vec_id long, embedding array<float>, label int"
 
@@ -65,6 +66,24 @@ def test_top_k_keeps_finite_components_of_any_size(spark, blocks):
     assert top(spark, rows, **blocks) == expected
 
 
+@pytest.mark.parametrize("blocks", [{}, {"rows": 8, "queries": 2}])
+def test_top_k_beyond_a_long_ranks_by_the_whole_score(spark, blocks):
+    rows = [(i, [(-1) ** i * 2.0 ** (20 + i), 2.0**44, float(i)], 0) for i in range(0, 40)]
+    rows += [(50, [-(2.0**44), -1.0, 0.0], 0), (60, [0.5, 0.0, 0.0], 0), (60, [0.5, 0.0, 0.0], 0)]
+    ends = lambda s: min(max(s, -(1 << 63)), (1 << 63) - 1)
+    expected = [(q, place, i, ends(s)) for q, place, i, s in brute_top(rows, 4, 10)]
+    assert sum(s == (1 << 63) - 1 for *_, s in expected) > 10
+    assert top(spark, rows, apart=True, **blocks) == expected
+    assert top(spark, rows, **blocks) != expected
+
+
+def test_op4_ranks_scores_beyond_a_long(spark, tmp_path):
+    rows = [(100, [2.0**44, 1.0], 0), *((i, [2.0 ** (10 + i), 0.0], 0) for i in range(1, 31))]
+    spark.createDataFrame(rows, VECTORS).write.parquet(f"{tmp_path}/embeddings.parquet")
+    found = sorted((r["rank"], r["vec_id"]) for r in op4_exact_topk(spark, str(tmp_path)).collect())
+    assert found == [(place, 31 - place) for place in range(1, 11)]
+
+
 def test_top_k_with_few_rows(spark):
     assert top(spark, []) == []
     assert top(spark, [(10, [1.0], 0)]) == []
