@@ -148,6 +148,19 @@ def vectors_of(spark, matrix):
     )
 
 
+@pytest.mark.parametrize("metric", ["dot", "l2sq"])
+def test_dense_search_of_a_table_in_itself(spark, way, metric, tmp_path):
+    m = np.random.default_rng(8).normal(size=(60, 5)).astype(np.float32)
+    vectors_of(spark, m).write.parquet(f"{tmp_path}/v")
+    vectors = spark.read.parquet(f"{tmp_path}/v")
+    asked = vectors.select(F.col("doc_id").alias("query_id"), "embedding")
+    got = dense.dense_search(asked, vectors, 4, metric).select("query_id", "rank", "doc_id").collect()
+    x = m.astype(float)
+    score = x @ x.T if metric == "dot" else -((x[:, None] - x[None]) ** 2).sum(axis=2)
+    expected = [(q, place + 1, int(r)) for q in range(60) for place, r in enumerate(np.argsort(-score[q], kind="stable")[:4])]
+    assert sorted(map(tuple, got)) == expected
+
+
 @pytest.mark.parametrize("metric", ["dot", "l2sq"])
 def test_dense(spark, way, metric, monkeypatch):
     monkeypatch.setattr(topk, "SCORE_CELLS", 40)

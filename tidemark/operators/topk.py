@@ -217,6 +217,9 @@ def cogrouped(
         ] + [pa.field("score", pa.float64())]
         return pa.schema(out_schema).empty_table()
 
+    # Sides made of one table share attributes, which Catalyst renames on the right, but not in what the task is given; it
+    # would then leave those columns out.
+    right = right.select(*[F.col(c).alias(c) for c in right.columns])
     return left.groupBy(*groups).cogroup(right.groupBy(*groups)).applyInArrow(task, schema)
 
 
