@@ -3,8 +3,10 @@
 import math
 import random
 import re
+from dataclasses import replace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -148,6 +150,36 @@ def vectors_of(spark, matrix):
     )
 
 
+@pytest.mark.parametrize("metric", ["dot", "l2sq"])
+@pytest.mark.parametrize("scale", [1.0, 1e-25, 1e-160, 1e30, 1e150])
+def test_cells_are_sifted_without_loss(metric, scale, monkeypatch):
+    """The k best of random, repeated, small and large vectors; few cells are worked out one by one."""
+    monkeypatch.setattr(topk, "SIFT_QUERIES", 7)
+    monkeypatch.setattr(topk, "SCORE_CELLS", 7 * 40)
+    monkeypatch.setattr(topk, "PENDING", 50)
+    rng = np.random.default_rng(4)
+    x, y = (rng.normal(size=(n, 6)) * scale for n in (400, 23))
+    x[1::9], x[2::11], y[5] = x[0], x[3] * 1e-6, x[0]
+    lists = lambda m: pa.array(m.tolist(), pa.list_(pa.float64()))
+    batch = pa.record_batch({"doc_id": np.arange(400), "chunk_no": np.zeros(400, np.int32), "embedding": lists(x)})
+    scorer, worked_out = dense.scorer(metric), []
+    refine = lambda side, b, r, q: worked_out.append(len(r)) or scorer.refine(side, b, r, q)
+    best = topk._Best(replace(scorer, refine=refine), pa.table({"query_id": np.arange(23), "embedding": lists(y)}), 4)
+    best.offer(batch)
+    (found,) = best.result(["query_id", "doc_id", "chunk_no", "score"])
+    scores = [x @ v if metric == "dot" else -((x - v) ** 2).sum(axis=1) for v in y]
+    keyed = [sorted((-topk.significant(np.array([s]))[0], r) for r, s in enumerate(each)) for each in scores]
+    got = list(zip(found["query_id"].to_pylist(), found["doc_id"].to_pylist(), strict=True))
+    assert got == [(q, r) for q, each in enumerate(keyed) for _, r in each[:4]]
+    assert sum(worked_out) < 400 * 23 / 3
+
+
+def test_vectors_that_are_not_finite_are_sifted_as_before():
+    side = dense._QueryVectors(pa.table({"query_id": [0], "embedding": pa.array([[1.0, float("inf")]])}))
+    batch = pa.record_batch({"embedding": pa.array([[1.0, 2.0]])})
+    assert dense._sift(side, batch, np.full(1, -np.inf), 1, 5, "dot") is None
+
+
 @pytest.mark.parametrize("metric", ["dot", "l2sq"])
 def test_dense_search_of_a_table_in_itself(spark, way, metric, tmp_path):
     m = np.random.default_rng(8).normal(size=(60, 5)).astype(np.float32)

@@ -17,6 +17,10 @@ from tidemark.sources.tables import read_table, replace_table
 METRICS = ("l2sq", "dot")
 # Cells whose scores a task works out at a time.
 CELLS = 100_000
+# Query blocks of vectors, beside those of texts.
+FACTOR = 4
+# A half of the last place of 32 bits, and the smallest number there.
+HALF, LEAST = 2.0**-24, 2.0**-149
 
 
 class BadVectorError(Exception):
@@ -181,7 +185,7 @@ def dense_search(
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}, not {metric!r}")
     asked = queries.select("query_id", "embedding").filter(F.col("embedding").isNotNull())
-    size = topk.measure(asked, F.size("embedding"))
+    size = topk.measure(asked, F.size("embedding"), FACTOR)
     there = vectors.filter(F.col("embedding").isNotNull())
     found = topk.top_k(there, asked, scorer(metric), k, size)
     return found if metric == "dot" else as_distance(found)
@@ -195,6 +199,7 @@ def scorer(metric: str) -> topk.Scorer:
         score=partial(_score, metric=metric),
         positive_only=False,
         refine=partial(_refine, metric=metric),
+        sift=partial(_sift, metric=metric),
     )
 
 
@@ -211,6 +216,8 @@ class _QueryVectors:
         rows = rows.combine_chunks()
         self.query_ids = rows["query_id"].combine_chunks()
         self.matrix = _matrix(rows["embedding"].combine_chunks())
+        self.largest = float(np.abs(self.matrix).max(initial=0))
+        self.raised: tuple | None = None
 
 
 def _matrix(lists: pa.ListArray) -> np.ndarray:
@@ -230,6 +237,53 @@ def _score(side: _QueryVectors, batch: pa.RecordBatch, metric: str) -> tuple[np.
     return (dot if metric == "dot" else 2 * dot - square), error
 
 
+def _sift(
+    side: _QueryVectors, batch: pa.RecordBatch, bar: np.ndarray, k: int, wide: int, metric: str
+) -> tuple[np.ndarray, np.ndarray] | None:
+    """Cells that may reach the bar of their query, from products in 32 bits that are no less than the scores.
+
+    Both sides are first brought near 1 by a power of two. What rounding may take away is added by two more columns, so a
+    matrix product and a comparison are all that a cell costs. Queries without a bar get one from the k-th of these rows.
+    """
+    rows = _matrix(batch.column("embedding"))
+    largest = max(side.largest, float(np.abs(rows).max(initial=0)))
+    if not np.isfinite(largest) or (len(rows) and len(side.matrix) and rows.shape[1] != side.matrix.shape[1]):
+        return None
+    power = -int(np.frexp(largest)[1])
+    if side.raised is None or side.raised[0] != power:
+        side.raised = (power, *_raised(side.matrix, power, metric, True))
+    _, queries, room = side.raised
+    raised, own_room = _raised(rows, power, metric, False)
+    with np.errstate(over="ignore"):
+        low = np.ldexp(bar, 2 * power)
+        low = np.nextafter(np.where(np.isfinite(low), low, np.where(low > 0, np.finfo(np.float32).max, -np.inf)).astype(np.float32), np.float32(-np.inf))
+    first, second = [], []
+    for at in range(0, len(queries), wide):
+        high = raised @ queries[at : at + wide].T
+        reach = low[at : at + wide]
+        if len(rows) >= k and not np.isfinite(reach).all():
+            kth = np.partition(high, len(rows) - k, axis=0)[len(rows) - k]
+            under = kth - 3 * (own_room.max() + room[at : at + wide]).astype(np.float32)
+            reach = np.maximum(reach, under)
+        cell = np.flatnonzero(high >= reach)
+        first.append(cell // high.shape[1])
+        second.append(cell % high.shape[1] + at)
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *first]), np.concatenate([none, *second])
+
+
+def _raised(x: np.ndarray, power: int, metric: str, query: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Rows in 32 bits whose products are at least the scores, times four to the ``power``, and the room that each side has added."""
+    x = np.ldexp(x, power)
+    square, width = (x**2).sum(axis=1), x.shape[1]
+    room = (4 * HALF * (width + 8)) * square + 8 * (width + 8) * LEAST
+    own = room if metric == "dot" else room - square
+    one = np.ones(len(x))
+    left, right = (one, own) if query else (own, one)
+    factor = 2 if metric != "dot" and not query else 1
+    return np.concatenate([factor * x, left[:, None], right[:, None]], axis=1).astype(np.float32), room
+
+
 def _refine(
     side: _QueryVectors, batch: pa.RecordBatch, r: np.ndarray, q: np.ndarray, metric: str
 ) -> np.ndarray:

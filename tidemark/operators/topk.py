@@ -40,8 +40,13 @@ MAX_QUERY_CELLS = 4_000_000
 # may reach. Larger query blocks mean fewer copies of the rows.
 BLOCK_ROWS = 50_000
 BLOCK_FACTOR = 4
-# Cells of the score array held at a time by one task.
+# Cells of the score array held at a time by one task, and of these queries where scores are sifted.
 SCORE_CELLS = 250_000
+SIFT_QUERIES = 1024
+# Found cells that are put in order together, and not before.
+PENDING = 50_000
+# Tasks for each pair of blocks, at most: so many that pairs hardly ever share one, however the keys fall.
+SPREAD, MOST_TASKS = 4, 2000
 # Scores are compared to this many significant digits, so that the order of a
 # sum of floats never decides between equal texts. Nothing is cut off: small
 # scores keep as many digits as large ones.
@@ -66,11 +71,11 @@ class Size:
     queries: int
 
 
-def measure(queries: DataFrame, cells: Column) -> Size:
-    """One small job: count the queries and their numbers or characters."""
+def measure(queries: DataFrame, cells: Column, factor: int = 1) -> Size:
+    """One small job: count the queries and their numbers or characters. Blocks may be ``factor`` times as large as elsewhere."""
     n, total = queries.agg(F.count("*"), F.coalesce(F.sum(cells), F.lit(0))).first()
     load = max(n / MAX_QUERIES, int(total) / MAX_QUERY_CELLS)
-    return Size(fits=load <= 1, blocks=max(1, ceil(load / BLOCK_FACTOR)), queries=n)
+    return Size(fits=load <= 1, blocks=max(1, ceil(load / BLOCK_FACTOR / factor)), queries=n)
 
 
 def significant(x: np.ndarray, digits: int = SCORE_DIGITS) -> np.ndarray:
@@ -109,13 +114,15 @@ class Scorer:
     must have ``query_ids``); ``score`` gives the (rows x queries) array from
     the column ``reads``, the only one sent to it besides the key. Where that
     array is only near the scores, it comes with an array of bounds of the error, and
-    ``refine`` gives the scores of single cells."""
+    ``refine`` gives the scores of single cells. ``sift`` gives the rows and queries of the cells that may reach the
+    queries' bars or be among the k best, looking at so many queries at a time, or None if it cannot tell."""
 
     reads: str
     prepare: Callable[[pa.Table], Any]
     score: Callable[[Any, pa.RecordBatch], np.ndarray]
     positive_only: bool
     refine: Callable[[Any, pa.RecordBatch, np.ndarray, np.ndarray], np.ndarray] | None = None
+    sift: Callable[[Any, pa.RecordBatch, np.ndarray, int, int], tuple[np.ndarray, np.ndarray] | None] | None = None
 
 
 def top_k(
@@ -195,6 +202,8 @@ def _grid(rows, queries, scorer, k, schema, query_blocks) -> DataFrame:
         "_r", all_blocks(row_blocks)
     )
 
+    tasks = min(SPREAD * row_blocks * query_blocks, MOST_TASKS)
+    left, right = (side.repartition(tasks, "_r", "_q") for side in (left, right))
     return cogrouped(left, right, ["_r", "_q"], scorer, k, schema)
 
 
@@ -236,14 +245,32 @@ class _Best:
         self.keys: list[np.ndarray] | None = None
         self.worst: list[np.ndarray] | None = None
         self.types: list[pa.DataType] = []
+        self.pending: list[tuple[np.ndarray, ...]] = []
+        self.waiting = 0
 
     def offer(self, batch: pa.RecordBatch) -> None:
-        step = max(1, SCORE_CELLS // max(1, self.n))
+        wide = min(self.n, SIFT_QUERIES) if self.scorer.sift else self.n
+        step = max(1, SCORE_CELLS // max(1, wide))
         for at in range(0, batch.num_rows, step):
             self._offer_block(batch.slice(at, step))
 
     def _cells(self, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Row, query and score of every cell that may be among the best."""
+        scorer = self.scorer
+        sifted = scorer.sift(self.side, batch, self.bar, self.k, SIFT_QUERIES) if scorer.sift else None
+        if sifted is not None:
+            r, q = sifted
+            scores = significant(scorer.refine(self.side, batch, r, q))
+            keep = scores >= self.bar[q]
+            return r[keep], q[keep], scores[keep]
+        if scorer.sift and self.n > SIFT_QUERIES:  # not more cells at a time than elsewhere
+            step = max(1, SCORE_CELLS // self.n)
+            parts = ((at, self._near_cells(batch.slice(at, step))) for at in range(0, batch.num_rows, step))
+            each = [(r + at, q, scores) for at, (r, q, scores) in parts]
+            return tuple(np.concatenate(c) for c in zip(*each, strict=True))
+        return self._near_cells(batch)
+
+    def _near_cells(self, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         scorer = self.scorer
         near = scorer.score(self.side, batch)
         if scorer.refine is None:
@@ -285,9 +312,19 @@ class _Best:
         r, q, scores = r[~later], q[~later], scores[~later]
         if not len(r):
             return
-        q = np.concatenate([self.q, q])
-        s = np.concatenate([self.score, scores])
-        doc, no = (np.concatenate([held, c[r]]) for held, c in zip(self.keys, own, strict=True))
+        self.pending.append((q, scores, *(c[r] for c in own)))
+        self.waiting += len(r)
+        if not self.scorer.sift or self.waiting >= max(PENDING, len(self.q)):
+            self._settle()
+
+    def _settle(self) -> None:
+        """The found cells put in order with those held, and the bars raised."""
+        if not self.pending:
+            return
+        q, s, doc, no = (
+            np.concatenate(c) for c in zip((self.q, self.score, *self.keys), *self.pending, strict=True)
+        )
+        self.pending, self.waiting = [], 0
         order = np.lexsort((no, doc, -s, q))
         starts = np.searchsorted(q[order], q[order], side="left")
         place = np.arange(len(order)) - starts
@@ -301,6 +338,7 @@ class _Best:
             worst[at] = held[kth]
 
     def result(self, names: list[str]) -> Iterator[pa.RecordBatch]:
+        self._settle()
         if self.keys is None or not len(self.q):
             return
         ids = self.side.query_ids.take(pa.array(self.q))
