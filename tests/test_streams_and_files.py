@@ -166,6 +166,17 @@ def test_documents_and_chunks(spark, tmp_path):
         files.read_chunks(spark, f"{tmp_path}/none")
 
 
+def test_documents_share_folders(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "FOLDER_FILES", 4)
+    rows = [(i, f"text {i}\nü") for i in range(12)] + [(3, "again"), (3, None), (20, None), (None, "none"), (None, "nothing")]
+    files.write_documents(spark.createDataFrame(rows, "k long, t string").repartition(3), f"{tmp_path}/d", "k", "t")
+    assert len(list(tmp_path.glob("d/of=*"))) <= 4
+    read = files.read_documents(spark, f"{tmp_path}/d").collect()
+    texts = [f"text {i}\nü\n" for i in range(12) if i != 3] + ["\nagain\ntext 3\nü\n", "none\nnothing\n"]
+    assert sorted(r["text"] for r in read) == sorted(texts)
+    assert len({r["doc_id"] for r in read}) == 13
+
+
 def test_shared_folder_comes_from_the_session(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     assert work_folder(spark, "x").startswith(base)

@@ -425,8 +425,8 @@ def documents_from_files(spark, sf_dir):
     """Documents written as one text file each, ended by a line feed, and read as whole documents."""
     path = work_folder(spark, "document-files")
     named = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("part"), F.col("text").alias("value"))
-    named.repartition("part").write.partitionBy("part").text(path)
-    read = files.read_documents(spark, f"{path}/*/*.txt")
+    files.write_documents(named, path, "part", "value")
+    read = files.read_documents(spark, path)
     return read.groupBy(F.md5(F.col("text").cast("binary")).alias("text_md5")).agg(
         F.count("*").alias("files"), F.count_distinct("doc_id").alias("ids"),
         F.count_if(F.col("source").rlike("^part-[0-9]{5}-[0-9a-f-]{36}[^/]*[.]txt$")).alias("named"),

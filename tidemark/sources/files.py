@@ -7,6 +7,10 @@ from tidemark.functions import text as X
 from tidemark.schemas import CHUNK, LINEAGE, MESSAGE, ORDER
 
 
+# Files of a folder of documents.
+FOLDER_FILES = 10_000
+
+
 class EmptyInputError(Exception):
     """A step that needs input found none."""
 
@@ -25,6 +29,19 @@ def read_messages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+def write_documents(rows: DataFrame, path: str, key: str, text: str) -> None:
+    """One text file for each value of ``key``, null among them, with the texts of its rows, each ended by a line feed.
+
+    Files share folders ``of=<n>`` of some thousands, as a folder for each costs a listing each. Tasks commit their
+    own files, so that the driver does not rename them one after the other.
+    """
+    texts = F.sort_array(F.collect_list(F.coalesce(F.col(text), F.lit(""))))
+    whole = rows.groupBy(key).agg(F.array_join(texts, "\n").alias("value"))
+    parts = max(1, -(-rows.select(key).distinct().count() // FOLDER_FILES))
+    dealt = whole.select("value", F.pmod(F.xxhash64(key), F.lit(parts)).alias("of"))
+    dealt.write.option("maxRecordsPerFile", 1).option("mapreduce.fileoutputcommitter.algorithm.version", 2).partitionBy("of").text(path)
+
+
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, source, text): each text file as one string, blank files left out.
 
