@@ -166,6 +166,14 @@ def test_documents_and_chunks(spark, tmp_path):
         files.read_chunks(spark, f"{tmp_path}/none")
 
 
+def test_routed_json_is_compressed(spark, tmp_path):
+    sent = spark.createDataFrame([("{",), ("[1]",)], "value string")
+    ingest.route(sent, f"{tmp_path}/valid", f"{tmp_path}/refused")
+    assert list(tmp_path.glob("refused/*.json.gz")) and not list(tmp_path.glob("refused/*.json"))
+    reasons = [r["reason"] for r in spark.read.json(f"{tmp_path}/refused").collect()]
+    assert sorted(reasons) == ["malformed_json", "not_an_object"]
+
+
 def test_documents_share_folders(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(files, "FOLDER_FILES", 4)
     rows = [(i, f"text {i}\nü") for i in range(12)] + [(3, "again"), (3, None), (20, None), (None, "none"), (None, "nothing")]

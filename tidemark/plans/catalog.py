@@ -282,8 +282,15 @@ def schema_enforcement(spark, sf_dir):
     return quality.rejected_batch(batch, SILVER)
 
 
-def _message_files(spark, df: DataFrame, folder: str) -> None:
-    df.select(F.col("value").cast("string").alias("value")).write.mode("append").text(folder)
+# Messages of a compressed file, which one task reads whole.
+FILE_MESSAGES = 400_000
+
+
+def _message_files(spark, df: DataFrame, folder: str, compressed: bool = True) -> None:
+    lines = df.select(F.col("value").cast("string").alias("value")).write.mode("append")
+    if compressed:
+        lines = lines.option("compression", "gzip").option("maxRecordsPerFile", FILE_MESSAGES)
+    lines.text(folder)
 
 
 def stream_ingest(spark, sf_dir):
@@ -322,7 +329,8 @@ def stream_upsert(spark, sf_dir):
 def stream_counts(spark, sf_dir):
     """What the ingest stream has counted over all batches and files, and the files that gave it nothing."""
     base = work_folder(spark, "stream-counts")
-    _message_files(spark, messages(spark, sf_dir), f"{base}/in")
+    # Plain files: one without messages has no bytes then, and is not taken for an unread one.
+    _message_files(spark, messages(spark, sf_dir), f"{base}/in", compressed=False)
     stream = files.stream_files(spark, f"{base}/in", files_per_batch=3, with_file=True)
     ingest.start_ingest(stream, f"{base}/checkpoint", f"{base}/valid", f"{base}/quarantine", f"{base}/counts").awaitTermination()
     counts = ingest.read_counts(spark, f"{base}/counts")

@@ -54,7 +54,7 @@ def route(
 
     The checked rows are written to the shared folder in two parts, one per
     side; each output is a copy of its part, so nothing is parsed twice and nothing is held by executors.
-    Counts are taken from that copy, too: two small columns of it.
+    Counts are taken from that copy, too: two small columns of it. The JSON is compressed, as refused messages stand in it twice.
     """
     spark = messages.sparkSession
     path = work_folder(spark, "checked")
@@ -63,7 +63,7 @@ def route(
     checked = spark.read.schema(schema).parquet(path)
     valid, quarantine = split_valid(checked)
     for df, folder in ((valid, valid_dir), (quarantine, quarantine_dir)):
-        df.write.mode(mode).option("ignoreNullFields", False).json(f"{folder}/{part}".rstrip("/"))
+        df.write.mode(mode).option("ignoreNullFields", False).option("compression", "gzip").json(f"{folder}/{part}".rstrip("/"))
     if counts_dir:
         file = F.col("file") if "file" in messages.columns else F.lit(None).cast("string").alias("file")
         counted = checked.select(file, "is_valid").groupBy("file").agg(
