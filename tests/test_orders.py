@@ -135,6 +135,17 @@ def test_messages_are_parsed_once(spark):
     assert plan_text.count("parseJson") + plan_text.count("try_parse_json") == 1
 
 
+def test_merged_parts_are_compressed(spark, tmp_path):
+    """Rows without a key stay, the row of a key is replaced, and the folders hold zstd files."""
+    first = sales.add_total(spark.createDataFrame([(None, k, 1.0, "p", 1, "s", "t") for k in ("a", "b", None, None)], ORDER))
+    later = first.filter("order_id = 'b'").withColumn("quantity", F.lit(5).cast("long"))
+    for batch in (first, later):
+        tables.merge_parts(batch, f"{tmp_path}/t", ["order_id"], SILVER, 4)
+    found = tables.read_parts(spark, f"{tmp_path}/t", SILVER)
+    assert sorted((r["order_id"] or "", r["quantity"]) for r in found.collect()) == [("", 1), ("", 1), ("a", 1), ("b", 5)]
+    assert all(name.endswith(".zstd.parquet") for name in found.inputFiles())
+
+
 def test_encode_round_trip(spark):
     df = spark.createDataFrame([tuple(GOOD[f] for f in ORDER.fieldNames())], ORDER)
     (row,) = contract.encode_messages(df).collect()

@@ -228,15 +228,17 @@ def merge_parts(source: DataFrame, path: str, keys: list[str], schema: T.StructT
             touched = stored.filter(F.col(name).isin(numbers)).select(*schema.fieldNames())
             merged = upsert(touched, batch, keys)
         merged = merged.withColumn(name, _part(parts, keys, schema.fieldNames()))
-        merged.repartition(name).write.partitionBy(name).parquet(pending)
+        merged.repartition(name).write.option("compression", "zstd").partitionBy(name).parquet(pending)
     _replace_parts(spark, pending, path, schema, name)
     remove(spark, pending)
     return numbers
 
 
 def _replace_parts(spark: SparkSession, pending: str, path: str, schema: T.StructType, name: str) -> None:
+    # The rows lie in files of one folder each already: copied as they are read, they need no second shuffle.
     rows = spark.read.schema(_with(schema, name)).parquet(pending)
-    rows.repartition(name).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(name).parquet(path)
+    copied = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
+    copied.partitionBy(name).parquet(path)
 
 
 def _with(schema: T.StructType, name: str) -> T.StructType:
