@@ -135,6 +135,15 @@ def test_messages_are_parsed_once(spark):
     assert plan_text.count("parseJson") + plan_text.count("try_parse_json") == 1
 
 
+def test_valid_orders_need_no_reasons(spark):
+    """Where the valid ones alone are asked for, no reason is put together, not even to tell them apart."""
+    valid, refused = contract.split_valid(contract.apply_contract(messages(spark, GOOD, order(quantity=0, status=""))))
+    plan_of = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert "quantity:positive_integer" not in plan_of(valid) and "quantity:positive_integer" in plan_of(refused)
+    assert [r["order_id"] for r in valid.collect()] == [GOOD["order_id"]]
+    assert [r["reason"] for r in refused.collect()] == ["quantity:positive_integer; status:allowed_value"]
+
+
 def test_merged_parts_are_compressed(spark, tmp_path):
     """Rows without a key stay, the row of a key is replaced, and the folders hold zstd files."""
     first = sales.add_total(spark.createDataFrame([(None, k, 1.0, "p", 1, "s", "t") for k in ("a", "b", None, None)], ORDER))

@@ -7,6 +7,8 @@ stage, with no shuffle and no Python.
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -103,22 +105,23 @@ def apply_contract(messages: DataFrame, rules: tuple[Rule, ...] = ORDER_RULES) -
     parsed = _once(messages, kept, [F.try_parse_json(utf8).alias("_v"), raw.alias("raw")])
 
     typed = _once(parsed, [*kept, "raw", "_v"], [r.value(r.field).alias(r.field) for r in rules])
-    failed = [
-        F.when(~F.coalesce(r.accept(F.col(r.field)), F.lit(False)), F.lit(r.code)) for r in rules
-    ]
-    reasons = F.array_join(F.array_compact(F.array(*failed)), "; ")
+    accepted = [F.coalesce(r.accept(F.col(r.field)), F.lit(False)) for r in rules]
+    # A message is valid by its verdicts alone: no text is put together for it, and none
+    # where only the valid ones are asked for. ``concat_ws`` leaves out the nulls of the rules that hold.
+    valid = reduce(and_, accepted, F.lit(True))
+    reasons = F.concat_ws("; ", *[F.when(~ok, F.lit(r.code)) for ok, r in zip(accepted, rules, strict=True)])
     # What is not an object has none of the fields, so its shape only has to
     # be looked at where a rule failed; the record is only kept there, too.
     v = F.col("_v")
     reason = (
-        F.when(reasons == "", None)
+        F.when(valid, None)
         .when(v.isNull(), "malformed_json")
         .when(~F.schema_of_variant(v).startswith("OBJECT"), "not_an_object")
         .otherwise(reasons)
     )
     return (
         typed.withColumn("reason", reason)
-        .withColumn("is_valid", F.col("reason").isNull())
+        .withColumn("is_valid", valid)
         .withColumn("record", F.when(~F.col("is_valid"), v.cast("string")))
         .drop("_v")
     )

@@ -30,6 +30,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # ---------------------------------------------------------------- orders ----
 
 
+def _named(*parts: str | Column) -> Column:
+    """Text and numbers in one string, a null number as ``null``: what ``format_string`` gives, at a fraction of its time."""
+    return F.concat(*[F.lit(p) if isinstance(p, str) else F.coalesce(p.cast("string"), F.lit("null")) for p in parts])
+
+
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per line item with the order fields and its fault number."""
     li = _table(spark, sf_dir, "lineitem")
@@ -44,9 +49,9 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         li.join(o, li.l_orderkey == o.o_orderkey)
         .join(p, li.l_partkey == p.p_partkey)
         .select(
-            F.format_string("ORD-%d-%d", "l_orderkey", "l_linenumber").alias("order_id"),
+            _named("ORD-", F.col("l_orderkey"), "-", F.col("l_linenumber")).alias("order_id"),
             F.col("o_custkey").alias("customer_no"),
-            F.format_string("CUST-%d", "o_custkey").alias("customer_id"),
+            _named("CUST-", F.col("o_custkey")).alias("customer_id"),
             F.col("p_type").alias("product"),
             F.col("l_quantity").cast("bigint").alias("quantity"),
             (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"),
@@ -142,8 +147,8 @@ def revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One order record per row of ``orders``: a later state of its line 1."""
     o = _table(spark, sf_dir, "orders")
     return o.select(
-        F.format_string("CUST-%d", "o_custkey").alias("customer_id"),
-        F.format_string("ORD-%d-1", "o_orderkey").alias("order_id"),
+        _named("CUST-", F.col("o_custkey")).alias("customer_id"),
+        _named("ORD-", F.col("o_orderkey"), "-1").alias("order_id"),
         F.col("o_totalprice").alias("price"),
         F.col("o_orderpriority").alias("product"),
         F.lit(1).cast("bigint").alias("quantity"),
