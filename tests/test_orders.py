@@ -144,6 +144,14 @@ def test_valid_orders_need_no_reasons(spark):
     assert [r["reason"] for r in refused.collect()] == ["quantity:positive_integer; status:allowed_value"]
 
 
+def test_kinds_come_from_the_same_parse(spark):
+    checked = contract.apply_contract(messages(spark, order(quantity="3"), order(price=MISSING), "{", b"\xff"), kinds=("quantity", "price"))
+    plan_text = checked._jdf.queryExecution().optimizedPlan().toString()
+    assert plan_text.count("parseJson") + plan_text.count("try_parse_json") == 1
+    found = [(r["quantity_kind"], r["price_kind"] is None) for r in checked.collect()]
+    assert found == [("STRING", False), ("BIGINT", True), (None, True), (None, True)]
+
+
 def test_merged_parts_are_compressed(spark, tmp_path):
     """Rows without a key stay, the row of a key is replaced, and the folders hold zstd files."""
     first = sales.add_total(spark.createDataFrame([(None, k, 1.0, "p", 1, "s", "t") for k in ("a", "b", None, None)], ORDER))

@@ -90,9 +90,12 @@ def encode_messages(orders: DataFrame) -> DataFrame:
     )
 
 
-def apply_contract(messages: DataFrame, rules: tuple[Rule, ...] = ORDER_RULES) -> DataFrame:
+def apply_contract(
+    messages: DataFrame, rules: tuple[Rule, ...] = ORDER_RULES, kinds: tuple[str, ...] = ()
+) -> DataFrame:
     """Add the typed fields, ``raw``, ``is_valid``, and ``reason`` and ``record`` if not.
 
+    For each field of ``kinds``, ``<field>_kind`` is the type name it was received with, from the same parse.
     Works on any frame with a ``value`` column (binary or text), streaming too.
     Of a key that an object repeats, the last value counts; the session is set to read it so.
     """
@@ -104,7 +107,9 @@ def apply_contract(messages: DataFrame, rules: tuple[Rule, ...] = ORDER_RULES) -
     kept = [c for c in messages.columns if c != "value"]
     parsed = _once(messages, kept, [F.try_parse_json(utf8).alias("_v"), raw.alias("raw")])
 
-    typed = _once(parsed, [*kept, "raw", "_v"], [r.value(r.field).alias(r.field) for r in rules])
+    fields = [r.value(r.field).alias(r.field) for r in rules]
+    fields += [_kind(f).alias(f"{f}_kind") for f in kinds]
+    typed = _once(parsed, [*kept, "raw", "_v"], fields)
     accepted = [F.coalesce(r.accept(F.col(r.field)), F.lit(False)) for r in rules]
     # A message is valid by its verdicts alone: no text is put together for it, and none
     # where only the valid ones are asked for. ``concat_ws`` leaves out the nulls of the rules that hold.

@@ -213,11 +213,9 @@ def contract_counts(spark, sf_dir):
 
 def contract_lax_types(spark, sf_dir):
     """How every spelling of a quantity and a price was read."""
-    checked = contract.apply_contract(messages(spark, sf_dir))
-    kind = "schema_of_variant(try_variant_get(try_parse_json(raw), '$.{}', 'variant'))"
+    checked = contract.apply_contract(messages(spark, sf_dir), kinds=("quantity", "price"))
     return (
-        checked.withColumn("quantity_kind", F.expr(kind.format("quantity")))
-        .withColumn("price_kind", F.regexp_replace(F.expr(kind.format("price")), "DECIMAL.*|BIGINT", "NUMBER"))
+        checked.withColumn("price_kind", F.regexp_replace("price_kind", "DECIMAL.*|BIGINT", "NUMBER"))
         .withColumn("quantity_kind", F.regexp_replace("quantity_kind", "DECIMAL.*|DOUBLE|BIGINT", "NUMBER"))
         .groupBy("quantity_kind", "price_kind", "is_valid")
         .agg(
