@@ -145,3 +145,22 @@ def test_more_results_than_vectors_and_none(spark, tmp_path):
     assert ranked(found, "score") == ranked(dense.dense_search(asked, few, 5, "dot"), "score")
     pivots.build(few.filter("false"), str(tmp_path / "none"))
     assert pivots.search(asked, pivots.load(spark, str(tmp_path / "none")), 5).count() == 0
+
+
+@pytest.mark.parametrize("metric, value", [("l2sq", "distance"), ("dot", "score")])
+def test_a_query_goes_once_to_a_block_of_cells(spark, metric, value, tmp_path, monkeypatch):
+    """Of spread-out vectors, where nearly every cell is compared, a query is written once a block, not once a cell."""
+    for name, rows in (("CELL_ROWS", 30), ("BLOCK_ROWS", 300), ("QUERY_ROWS", 64)):
+        monkeypatch.setattr(pivots, name, rows, raising=False)
+    x = np.random.default_rng(6).normal(size=(1500, 24))
+    x[5::100] = x[5]
+    vectors = vector_rows(spark, x)
+    asked = vectors.filter("doc_id % 4 = 1").select(F.col("doc_id").alias("query_id"), "embedding")
+    pivots.build(vectors, str(tmp_path / "i"), metric, pivots=40)
+    written, keep = [], pivots.materialise
+    monkeypatch.setattr(pivots, "materialise", lambda df, name: written.append((name, keep(df, name))) or written[-1][1])
+    index = pivots.load(spark, str(tmp_path / "i"))
+    assert len(index.cells) > 60
+    assert ranked(pivots.search(asked, index, 4), value) == ranked(dense.dense_search(asked, vectors, 4, metric), value)
+    chosen = [df.count() for name, df in written if name == "chosen-cells"]
+    assert len(chosen) == 2 and sum(chosen) <= 375 * 2 * 8

@@ -1,6 +1,7 @@
 """Vectors: encode text, keep a vector table, exact nearest neighbours."""
 
 from collections.abc import Callable, Iterator
+from copy import copy
 from functools import partial
 
 import numpy as np
@@ -219,6 +220,16 @@ class _QueryVectors:
         self.largest = float(np.abs(self.matrix).max(initial=0))
         self.raised: tuple | None = None
 
+    def take(self, only: np.ndarray) -> "_QueryVectors":
+        """The queries numbered in ``only``."""
+        if len(only) == len(self.matrix):
+            return self
+        part = copy(self)
+        part.query_ids, part.matrix = self.query_ids.take(pa.array(only)), self.matrix[only]
+        if self.raised is not None:
+            part.raised = (self.raised[0], *(a[only] for a in self.raised[1:]))
+        return part
+
 
 def _matrix(lists: pa.ListArray) -> np.ndarray:
     lengths = np.unique(lists.value_lengths().to_numpy(zero_copy_only=False))

@@ -36,6 +36,9 @@ PIVOTS = 64
 SAMPLE = 4096
 RINGS = 4
 CELL_ROWS = 20_000
+# Rows of the cells that a task compares, and queries that it compares them with.
+BLOCK_ROWS = 50_000
+QUERY_ROWS = 16_384
 # What rounding may move a distance by, as a part of the lengths involved.
 SLACK = 1e-9
 
@@ -136,11 +139,27 @@ def load(spark: SparkSession, path: str) -> Index:
     return Index(vectors, numbers, ranges, np.array(centres), meta["metric"], meta["longest"])
 
 
+def _dealt(index: Index) -> tuple[list[tuple[int, ...]], np.ndarray]:
+    """(pivot, ring, salt, cell, block) of all parts of cells, dealt in order into blocks of BLOCK_ROWS, and the distinct (block, cell, rows)."""
+    parts, cells, block, held = [], [], 0, 0
+    for cell, (pivot, ring, n) in enumerate(index.cells.tolist()):
+        salts = ceil(n / CELL_ROWS)
+        for salt in range(salts):
+            if held and held + n / salts > BLOCK_ROWS:
+                block, held = block + 1, 0
+            held += n / salts
+            parts.append((pivot, ring, salt, cell, block))
+            if not cells or cells[-1][:2] != (block, cell):
+                cells.append((block, cell, 0 if salt else n))  # the rows of a cell count once
+    return parts, np.array(cells, np.int64).reshape(-1, 3)
+
+
 def _choose(index: Index, which: Callable[[np.ndarray, np.ndarray, pa.RecordBatch], np.ndarray]):
-    """Rows (query_id, embedding, pivot, ring, rows) of the cells that ``which`` picks from the least possible distances."""
-    pivot, ring, n = index.cells.T
+    """Rows (query_id, embedding, bar, block, cells, rows) of the blocks with cells that ``which`` picks from the least possible distances."""
+    pivot = index.cells[:, 0]
     least, most = index.ranges.T
     centres, metric, longest = index.centres, index.metric, index.longest  # without the table
+    blocks, cells, rows = _dealt(index)[1].T
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -150,16 +169,22 @@ def _choose(index: Index, which: Callable[[np.ndarray, np.ndarray, pa.RecordBatc
             d = _distances(x, centres)[:, pivot]
             room = SLACK * (d + most + 1)
             bound = np.maximum(np.maximum(d - most, least - d) - room, 0)
-            q, cell = np.nonzero(which(bound, d, batch))
+            q, at = np.nonzero(which(bound, d, batch)[:, cells])
+            if not len(q):
+                continue
+            new = np.flatnonzero(np.concatenate([[True], (q[1:] != q[:-1]) | (blocks[at[1:]] != blocks[at[:-1]])]))
+            lists = pa.ListArray.from_arrays(pa.array(np.append(new, len(q)).astype(np.int32)), pa.array(cells[at].astype(np.int32)))
+            asked = batch.take(pa.array(q[new]))
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("query_id").take(pa.array(q)),
-                    batch.column("embedding").take(pa.array(q)),
-                    pa.array(pivot[cell].astype(np.int32)),
-                    pa.array(ring[cell].astype(np.int32)),
-                    pa.array(n[cell].astype(np.int64)),
+                    asked.column("query_id"),
+                    asked.column("embedding"),
+                    asked.column("bar"),
+                    pa.array(blocks[at[new]].astype(np.int32)),
+                    lists,
+                    pa.array(np.add.reduceat(rows[at], new)),
                 ],
-                names=["query_id", "embedding", "pivot", "ring", "rows"],
+                names=["query_id", "embedding", "bar", "block", "cells", "rows"],
             )
 
     return task
@@ -189,23 +214,46 @@ def _within(n: np.ndarray, k: int):
     return which
 
 
-def _compared(index: Index, asked: DataFrame, scorer: topk.Scorer, k: int, blocks: int, schema: T.StructType) -> DataFrame:
-    """The k best of each chosen cell for the queries that chose it."""
+def _compare_cells(best: topk._Best, rows: pa.Table, queries: pa.Table) -> None:
+    """Each cell's rows with the queries that chose it, of which only what reaches a query's bar is wanted."""
+    best.start(np.array(queries["bar"].fill_null(-np.inf)))
+    rows = rows.sort_by([(c, "ascending") for c in ("cell", *topk.KEY)]).combine_chunks()
+    lists = queries["cells"].combine_chunks()
+    asker = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+    wanted = lists.flatten().to_numpy()
+    order = np.argsort(wanted, kind="stable")
+    asker, wanted = asker[order], wanted[order]
+    numbers, starts = np.unique(rows["cell"].to_numpy(), return_index=True)
+    for cell, at, end in zip(numbers, starts, [*starts[1:], rows.num_rows], strict=True):
+        only = asker[np.searchsorted(wanted, cell) : np.searchsorted(wanted, cell, side="right")]
+        if len(only):
+            for batch in rows.slice(at, end - at).to_batches():
+                best.offer(batch, only)
+
+
+def _compared(index: Index, asked: DataFrame, scorer: topk.Scorer, k: int, schema: T.StructType) -> DataFrame:
+    """The k best rows of each block for the queries that chose cells of it, of those cells alone.
+
+    A query goes once to each block with a cell of its choice, not to each cell; a block's queries are dealt into parts of QUERY_ROWS."""
+    spark = asked.sparkSession
     asked = materialise(asked.drop("rows"), "chosen-cells")
-    numbers = [r["pivot"] for r in asked.select("pivot").distinct().collect()]  # no more than there are pivots
-    rows = index.vectors.filter(F.col("pivot").isin(numbers)) if numbers else index.vectors.limit(0)
-    cells = asked.sparkSession.createDataFrame(
-        [(int(p), int(r), ceil(int(n) / CELL_ROWS)) for p, r, n in index.cells], "pivot int, ring int, salts int"
+    most = max(1, min(QUERY_ROWS, topk.BLOCK_FACTOR * topk.MAX_QUERY_CELLS // max(1, index.centres.shape[1])))
+    sizes = {r["block"]: ceil(r["count"] / most) for r in asked.groupBy("block").count().collect()}  # a row a block of vectors
+    if not sizes:
+        return spark.createDataFrame([], schema)
+    parts = [p for p in _dealt(index)[0] if p[4] in sizes]
+    cells = spark.createDataFrame(
+        [(*p, sizes[p[4]]) for p in parts], "pivot int, ring int, salt int, cell int, block int, parts int"
     )
-    query_block = F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")
-    right = asked.join(F.broadcast(cells), ["pivot", "ring"]).select(
-        "query_id", "embedding", "pivot", "ring", query_block.alias("block"),
-        F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
-    )
-    left = rows.select(
-        *topk.KEY, "embedding", "pivot", "ring", "salt", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
+    rows = index.vectors.filter(F.col("pivot").isin(sorted({p[0] for p in parts})))
+    left = rows.join(F.broadcast(cells), ["pivot", "ring", "salt"]).select(
+        *topk.KEY, "embedding", "cell", "block", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
     )
-    return topk.cogrouped(left, right, ["pivot", "ring", "salt", "block"], scorer, k, schema)
+    right = asked.join(F.broadcast(cells.select("block", "parts").distinct()), "block")
+    right = right.withColumn("part", F.pmod(F.xxhash64("query_id"), "parts").cast("int")).drop("parts")
+    tasks = min(topk.SPREAD * sum(sizes.values()), topk.MOST_TASKS)
+    left, right = (side.repartition(tasks, "block", "part") for side in (left, right))
+    return topk.cogrouped(left, right, ["block", "part"], scorer, k, schema, _compare_cells)
 
 
 def search(queries: DataFrame, index: Index, k: int = 5) -> DataFrame:
@@ -223,10 +271,9 @@ def search(queries: DataFrame, index: Index, k: int = 5) -> DataFrame:
     if not len(index.centres):
         found = spark.createDataFrame([], schema)
         return _ranked(found.withColumn("rank", F.lit(1)), found.select("*", *[F.lit("").alias(c) for c in topk.CARRY]), index.metric)
-    size = topk.measure(asked, F.size("embedding"))
     scorer = dense.scorer(index.metric)
-    near, far = _chosen(asked, index, k, lambda chosen: _compared(index, chosen, scorer, k, size.blocks, schema))
-    other = _compared(index, far, scorer, k, size.blocks, schema)
+    near, far = _chosen(asked, index, k, lambda chosen: _compared(index, chosen, scorer, k, schema))
+    other = _compared(index, far, scorer, k, schema)
     found = materialise(topk.limit(near.unionByName(other), k), "nearest")
     return _ranked(found, index.vectors, index.metric)
 
@@ -239,9 +286,10 @@ def _ranked(found: DataFrame, rows: DataFrame, metric: str) -> DataFrame:
 def _chosen(asked: DataFrame, index: Index, k: int, compare) -> tuple[DataFrame, DataFrame]:
     """What comparing the first cells found, and the further cells that have to be compared."""
     fields = [asked.schema["query_id"], asked.schema["embedding"]]
-    cells = [T.StructField(c, t) for c, t in (("pivot", T.IntegerType()), ("ring", T.IntegerType()), ("rows", T.LongType()))]
-    schema, n = T.StructType(fields + cells), index.cells[:, 2]
-    near = materialise(compare(asked.mapInArrow(_choose(index, _first(n, k)), schema)), "near")
+    chosen = T._parse_datatype_string("bar double, block int, cells array<int>, rows long").fields
+    schema, n = T.StructType(fields + chosen), index.cells[:, 2]
+    first = asked.withColumn("bar", F.lit(None).cast("double"))
+    near = materialise(compare(first.mapInArrow(_choose(index, _first(n, k)), schema)), "near")
     best = near.groupBy("query_id").agg(F.count("*").alias("n"), F.array_sort(F.collect_list(-F.col("score"))).alias("s"))
     kth = best.filter(F.col("n") >= k).select("query_id", (-F.col("s")[k - 1]).alias("kth"))
     if index.metric == "dot":
@@ -251,7 +299,7 @@ def _chosen(asked: DataFrame, index: Index, k: int, compare) -> tuple[DataFrame,
         square = -F.col("kth")
     # Room for what the rounding to significant digits may have moved.
     reach = F.sqrt(F.greatest(square, F.lit(0.0)) * (1 + SLACK)) + SLACK * (1 + index.longest)
-    reached = asked.join(kth, "query_id", "left").select("query_id", "embedding", reach.alias("reach"))
+    reached = asked.join(kth, "query_id", "left").select("query_id", "embedding", F.col("kth").alias("bar"), reach.alias("reach"))
     return near, reached.mapInArrow(_choose(index, _within(n, k)), schema)
 
 
@@ -263,7 +311,7 @@ def compared(queries: DataFrame, index: Index, k: int = 5) -> DataFrame:
     def compare(chosen: DataFrame) -> DataFrame:
         seen.append(materialise(chosen, "first-cells"))
         schema = "query_id: long, doc_id: long, chunk_no: int, score: double"
-        return _compared(index, seen[0], dense.scorer(index.metric), k, topk.measure(asked, F.size("embedding")).blocks, T._parse_datatype_string(schema))
+        return _compared(index, seen[0], dense.scorer(index.metric), k, T._parse_datatype_string(schema))
 
     _, far = _chosen(asked, index, k, compare)
     total = int(index.cells[:, 2].sum()) if len(index.cells) else 0

@@ -207,16 +207,28 @@ def _grid(rows, queries, scorer, k, schema, query_blocks) -> DataFrame:
     return cogrouped(left, right, ["_r", "_q"], scorer, k, schema)
 
 
+def _compare_all(best: "_Best", rows: pa.Table, queries: pa.Table) -> None:
+    for batch in rows.to_batches():
+        best.offer(batch)
+
+
 def cogrouped(
-    left: DataFrame, right: DataFrame, groups: list[str], scorer: Scorer, k: int, schema: T.StructType
+    left: DataFrame,
+    right: DataFrame,
+    groups: list[str],
+    scorer: Scorer,
+    k: int,
+    schema: T.StructType,
+    compare: Callable[["_Best", pa.Table, pa.Table], None] = _compare_all,
 ) -> DataFrame:
-    """The k best rows of ``left`` for each query of ``right`` within each group of both; each group is one task's block."""
+    """The k best rows of ``left`` for each query of ``right`` within each group of both; each group is one task's block.
+
+    ``compare`` offers the rows of a block; by default all rows to all its queries."""
 
     def task(left_block: pa.Table, right_block: pa.Table) -> pa.Table:
         if left_block.num_rows and right_block.num_rows:
             best = _Best(scorer, right_block, k)
-            for batch in left_block.to_batches():
-                best.offer(batch)
+            compare(best, left_block, right_block)
             found = list(best.result(schema.fieldNames()))
             if found:
                 return pa.Table.from_batches(found)
@@ -232,6 +244,11 @@ def cogrouped(
     return left.groupBy(*groups).cogroup(right.groupBy(*groups)).applyInArrow(task, schema)
 
 
+def _last(keys: np.ndarray) -> float | int:
+    """What no key of this kind comes after."""
+    return np.iinfo(keys.dtype).max if keys.dtype.kind in "iu" else np.inf
+
+
 class _Best:
     """The k best rows per query among those offered so far; keys and scores only."""
 
@@ -239,7 +256,7 @@ class _Best:
         self.scorer, self.k = scorer, k
         self.side = scorer.prepare(query_rows)
         self.n = len(self.side.query_ids)
-        self.bar = np.full(self.n, -np.inf)
+        self.bar, self.started = np.full(self.n, -np.inf), False
         self.q = np.zeros(0, np.int64)
         self.score = np.zeros(0)
         self.keys: list[np.ndarray] | None = None
@@ -248,62 +265,69 @@ class _Best:
         self.pending: list[tuple[np.ndarray, ...]] = []
         self.waiting = 0
 
-    def offer(self, batch: pa.RecordBatch) -> None:
-        wide = min(self.n, SIFT_QUERIES) if self.scorer.sift else self.n
+    def start(self, bar: np.ndarray) -> None:
+        """Only rows that reach ``bar`` are wanted; k rows that do are known elsewhere, or it is not finite."""
+        self.bar, self.started = bar.copy(), True
+
+    def offer(self, batch: pa.RecordBatch, only: np.ndarray | None = None) -> None:
+        """Compare the rows with all queries, or with those numbered in ``only``; this takes a ``side`` with ``take``."""
+        side, n = (self.side, self.n) if only is None else (self.side.take(only), len(only))
+        wide = min(n, SIFT_QUERIES) if self.scorer.sift else n
         step = max(1, SCORE_CELLS // max(1, wide))
-        for at in range(0, batch.num_rows, step):
-            self._offer_block(batch.slice(at, step))
+        for at in range(0, batch.num_rows if n else 0, step):
+            self._offer_block(batch.slice(at, step), side, only)
 
-    def _cells(self, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _cells(self, batch: pa.RecordBatch, side: Any, bar: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Row, query and score of every cell that may be among the best."""
         scorer = self.scorer
-        sifted = scorer.sift(self.side, batch, self.bar, self.k, SIFT_QUERIES) if scorer.sift else None
+        sifted = scorer.sift(side, batch, bar, self.k, SIFT_QUERIES) if scorer.sift else None
         if sifted is not None:
             r, q = sifted
-            scores = significant(scorer.refine(self.side, batch, r, q))
-            keep = scores >= self.bar[q]
+            scores = significant(scorer.refine(side, batch, r, q))
+            keep = scores >= bar[q]
             return r[keep], q[keep], scores[keep]
-        if scorer.sift and self.n > SIFT_QUERIES:  # not more cells at a time than elsewhere
-            step = max(1, SCORE_CELLS // self.n)
-            parts = ((at, self._near_cells(batch.slice(at, step))) for at in range(0, batch.num_rows, step))
+        if scorer.sift and len(bar) > SIFT_QUERIES:  # not more cells at a time than elsewhere
+            step = max(1, SCORE_CELLS // len(bar))
+            parts = ((at, self._near_cells(batch.slice(at, step), side, bar)) for at in range(0, batch.num_rows, step))
             each = [(r + at, q, scores) for at, (r, q, scores) in parts]
             return tuple(np.concatenate(c) for c in zip(*each, strict=True))
-        return self._near_cells(batch)
+        return self._near_cells(batch, side, bar)
 
-    def _near_cells(self, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _near_cells(self, batch: pa.RecordBatch, side: Any, held: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         scorer = self.scorer
-        near = scorer.score(self.side, batch)
+        near = scorer.score(side, batch)
         if scorer.refine is None:
-            bar = self._bar_with(near)
+            bar = self._bar_with(near, held)
             slack = np.where(np.isfinite(bar), np.abs(bar) * SLACK, 0)  # what the last digits may move it by
             r, q = np.nonzero(near >= bar - slack)
             scores = near[r, q]
         else:
             near, error = near
-            r, q = np.nonzero(near + error >= self._bar_with(near - error))
-            scores = scorer.refine(self.side, batch, r, q)
+            r, q = np.nonzero(near + error >= self._bar_with(near - error, held))
+            scores = scorer.refine(side, batch, r, q)
         scores = significant(scores)
-        keep = scores >= self.bar[q]
+        keep = scores >= held[q]
         if scorer.positive_only:
             keep &= scores > 0
         return r[keep], q[keep], scores[keep]
 
-    def _bar_with(self, least: np.ndarray) -> np.ndarray:
+    def _bar_with(self, least: np.ndarray, bar: np.ndarray) -> np.ndarray:
         """The bar, raised by what k rows of this block reach at least."""
         n = len(least)
         if n <= self.k:
-            return self.bar
-        return np.maximum(self.bar, np.partition(least, n - self.k, axis=0)[n - self.k])
+            return bar
+        return np.maximum(bar, np.partition(least, n - self.k, axis=0)[n - self.k])
 
-    def _offer_block(self, batch: pa.RecordBatch) -> None:
-        if not self.n or not batch.num_rows:
+    def _offer_block(self, batch: pa.RecordBatch, side: Any, only: np.ndarray | None) -> None:
+        if not batch.num_rows:
             return
-        r, q, scores = self._cells(batch)
+        r, q, scores = self._cells(batch, side, self.bar if only is None else self.bar[only])
+        q = q if only is None else only[q]
         own = [batch.column(c).to_numpy(zero_copy_only=False) for c in KEY]
         if self.keys is None:
             self.types = [batch.column(c).type for c in KEY]
             self.keys = [c[:0] for c in own]
-            self.worst = [np.resize(c[:1], self.n) for c in own]
+            self.worst = [np.full(self.n, _last(c), c.dtype) if self.started else np.resize(c[:1], self.n) for c in own]
         # What equals the worst kept score has to come before that row in corpus order.
         doc, no = (c[r] for c in own)
         later = (scores == self.bar[q]) & (
