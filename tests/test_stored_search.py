@@ -164,3 +164,37 @@ def test_a_query_goes_once_to_a_block_of_cells(spark, metric, value, tmp_path, m
     assert ranked(pivots.search(asked, index, 4), value) == ranked(dense.dense_search(asked, vectors, 4, metric), value)
     chosen = [df.count() for name, df in written if name == "chosen-cells"]
     assert len(chosen) == 2 and sum(chosen) <= 375 * 2 * 8
+
+
+def test_blocks_hold_the_counts_of_every_key_and_tokens_are_written_once(spark, tmp_path, monkeypatch):
+    """Chunks of one key and length are one chunk, null keys too; blocks reach over batches and salts."""
+    monkeypatch.setattr(postings, "BLOCK", 4)
+    monkeypatch.setattr(postings, "SALT_ROWS", 15)
+    rng, rows = np.random.default_rng(2), []
+    for n in range(60):
+        key = None if n % 20 == 7 else n // 2 if n % 10 == 1 else n
+        rows.append((key, 1, "c", "s", " ".join(["all"] * (n % 3 + 1) + [f"w{k}" for k in rng.integers(0, 9, 5)] if n % 13 else [])))
+    written, keep = [], lexical.materialise
+    monkeypatch.setattr(lexical, "materialise", lambda df, name: written.append(name) or keep(df, name))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        postings.build(spark.createDataFrame(rows, CHUNK), str(tmp_path / "i"), "ws", postings.COUNT, parts=3)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert written == ["term-counts"]
+    counts = {}
+    for key, _, _, _, text in rows:
+        for term in text.split():
+            at = (term, key, len(text.split()))
+            counts[at] = counts.get(at, 0) + 1
+    found, blocks = [], postings.load(spark, str(tmp_path / "i")).blocks.collect()
+    for b in blocks:
+        assert b.best == b.impacts[0] and len(b.docs) <= 4 and list(b.impacts) == sorted(b.impacts, reverse=True)
+        found += [(b.term, d, i) for d, i in zip(b.docs, b.impacts, strict=True)]
+    plain = [(t, d, float(n)) for (t, d, _), n in counts.items()]
+    assert sorted(found, key=repr) == sorted(plain, key=repr)
+    for term, salt in {(b.term, b.salt) for b in blocks}:
+        mine = sorted((b for b in blocks if (b.term, b.salt) == (term, salt)), key=lambda b: b.block_no)
+        assert [b.block_no for b in mine] == list(range(len(mine))) and all(len(b.docs) == 4 for b in mine[:-1])
+        flat = [(-i, d is not None, d or 0) for b in mine for d, i in zip(b.docs, b.impacts, strict=True)]
+        assert flat == sorted(flat)

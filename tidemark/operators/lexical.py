@@ -6,7 +6,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import text as X
@@ -80,6 +80,21 @@ def _idf(n):
     return F.log(n - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)
 
 
+def counted_tokens(tokens: Column) -> Column:
+    """(term, tf) of every distinct token of an array, in order of the terms: linear after one sort, within the row."""
+
+    def runs(s: Column) -> Column:
+        new = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
+        return F.when(F.size(s) > 0, F.flatten(F.transform(F.array(new), lambda at: lengths(s, at))))
+
+    def lengths(s: Column, at: Column) -> Column:
+        end = lambda k: F.coalesce(F.get(at, k + 1), F.size(s))
+        return F.transform(at, lambda i, k: F.struct(F.get(s, i).alias("term"), (end(k) - i).cast("long").alias("tf")))
+
+    # Sorted once and bound to the lambda variable.
+    return F.flatten(F.transform(F.array(F.sort_array(tokens)), runs))
+
+
 def tokenise(chunks: DataFrame, mode: str) -> DataFrame:
     """Add ``tokens`` and ``dl`` unless the chunks have them already."""
     if "tokens" in chunks.columns:
@@ -113,9 +128,11 @@ def build_index(chunks: DataFrame, mode: str = "word", store: bool = True) -> In
     return Index(mode, tokenised, materialise(counts, "term-counts"))
 
 
-def save_chunks(chunks: DataFrame, path: str, parts: int) -> None:
-    """Chunks in folders ``part=<n>`` by a hash of their key, sorted by key in their files."""
+def save_chunks(chunks: DataFrame, path: str, parts: int, mode: str | None = None) -> None:
+    """Chunks in folders ``part=<n>`` by a hash of their key, sorted by key in their files. With a ``mode`` they are
+    tokenised on the way, after the shuffle, which then carries the text alone."""
     dealt = chunks.withColumn("part", topk.part_of(parts)).repartition("part")
+    dealt = tokenise(dealt, mode) if mode else dealt
     dealt.sortWithinPartitions("part", *topk.KEY).write.mode("overwrite").partitionBy("part").parquet(path)
     # Without a row there are no files to tell the columns.
     dealt.limit(0).write.mode("overwrite").parquet(f"{path}_columns")

@@ -18,8 +18,11 @@ the folders of the results alone.
 The impact of a posting does not depend on the question: the saturated term frequency, or the plain count.
 """
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -33,6 +36,8 @@ SALT_ROWS = 200_000
 MAX_TERMS = 10_000
 SLACK = 1e-9
 BM25, COUNT = "bm25", "count"
+BLOCKS = "term string, salt int, block_no int, best double, docs array<bigint>, chunk_nos array<int>, impacts array<double>"
+BLOCKS_NAMES = ["term", "salt", "block_no", "best", "docs", "chunk_nos", "impacts"]
 
 
 @dataclass(frozen=True)
@@ -57,40 +62,78 @@ def impact(tf: Column, dl: Column, avgdl: float, kind: str) -> Column:
 
 
 def build(chunks: DataFrame, path: str, mode: str = "ws", kind: str = BM25, parts: int = lexical.PARTS) -> None:
-    """Write the index of ``chunks`` under ``path``. A term in a third of all chunks is put in order in many salted parts."""
-    index = lexical.build_index(chunks, mode)
+    """Write the index of ``chunks`` under ``path``. A term in a third of all chunks is put in order in many salted parts.
+
+    The chunks are dealt into their folders first and read from there. A chunk's terms are counted in its row, and postings are shuffled
+    once, by ranges of (term, salt), in which they are put in order and cut into blocks."""
+    spark = chunks.sparkSession
+    lexical.save_chunks(chunks, f"{path}/chunks", parts, mode)
+    index = lexical.build_index(lexical.load_chunks(spark, f"{path}/chunks"), mode)
     avgdl = float(index.corpus.first()["avgdl"] or 1.0)
     stats = index.term_stats
-    spread = stats.select("term", F.ceil(F.col("df") / SALT_ROWS).alias("salts"))
-    each = index.chunks.select(*topk.KEY, "dl", F.explode("tokens").alias("term"))
-    counted = each.groupBy("term", *topk.KEY, "dl").agg(F.count("*").alias("tf")).join(spread, "term")
-    salted = counted.select(
-        "term",
-        F.pmod(F.xxhash64(*topk.KEY), "salts").cast("int").alias("salt"),
-        *topk.KEY,
-        impact(F.col("tf"), F.col("dl"), avgdl, kind).alias("impact"),
-    )
-    order = Window.partitionBy("term", "salt").orderBy(F.desc("impact"), *topk.KEY)
-    placed = salted.withColumn("block_no", F.floor((F.row_number().over(order) - 1) / BLOCK).cast("int"))
-    posting = F.struct((-F.col("impact")).alias("down"), *topk.KEY, "impact")
-    blocks = (
-        placed.groupBy("term", "salt", "block_no")
-        .agg(F.max("impact").alias("best"), F.array_sort(F.collect_list(posting)).alias("p"))
-        .select(
-            "term", "salt", "block_no", "best",
-            F.col("p.doc_id").alias("docs"), F.col("p.chunk_no").alias("chunk_nos"), F.col("p.impact").alias("impacts"),
-        )
-    )
-    _sorted(blocks, "term", "salt", "block_no").write.parquet(f"{path}/blocks")
-    best = chunks.sparkSession.read.parquet(f"{path}/blocks").groupBy("term").agg(F.max("best").alias("best"))
+    # Only terms of more than one salt, of which there are at most as many as salts are full.
+    spread = stats.filter(F.col("df") > SALT_ROWS).select("term", F.ceil(F.col("df") / SALT_ROWS).alias("salts"))
+    each = index.chunks.select(*topk.KEY, "dl", F.explode(lexical.counted_tokens(F.col("tokens"))).alias("p"))
+    counted = each.select("p.term", *topk.KEY, "dl", "p.tf").join(F.broadcast(spread), "term", "left")
+    salt = F.pmod(F.xxhash64(*topk.KEY), F.coalesce("salts", F.lit(1).cast("long"))).cast("int")
+    dealt = counted.select("term", salt.alias("salt"), *topk.KEY, "dl", "tf").repartitionByRange("term", "salt")
+    keys = index.doc_len.groupBy(*topk.KEY, "dl").count()
+    if not keys.filter("count > 1").isEmpty():  # rows of one key and length are one chunk; they are dealt to one task already
+        dealt = dealt.groupBy("term", "salt", *topk.KEY, "dl").agg(F.sum("tf").alias("tf"))
+    # One number as the order of so many rows; the terms, fewer and as blocks, are put in order after that.
+    grouped = dealt.select(
+        F.xxhash64("term", "salt").alias("group"),
+        "term", "salt", *topk.KEY, impact(F.col("tf"), F.col("dl"), avgdl, kind).alias("impact"),
+    ).sortWithinPartitions("group")
+    blocks = grouped.mapInArrow(_cut, BLOCKS).sortWithinPartitions("term", "salt", "block_no")
+    blocks.write.parquet(f"{path}/blocks")
+    best = spark.read.parquet(f"{path}/blocks").groupBy("term").agg(F.max("best").alias("best"))
     _sorted(stats.join(best, "term"), "term").write.parquet(f"{path}/terms")
-    lexical.save_chunks(index.chunks, f"{path}/chunks", parts)
-    meta = chunks.sparkSession.range(1).select(
+    meta = spark.range(1).select(
         F.lit(mode).alias("mode"), F.lit(kind).alias("kind"), F.lit(parts).alias("parts"), F.lit(avgdl).alias("avgdl")
     )
     meta.write.parquet(f"{path}/meta")
 
 
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of postings that come in order of ``group``. A task holds a batch and what came before of its first group, a salt of a term."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        group = batch.column("group").to_numpy()
+        last = int(np.searchsorted(group, group[-1]))
+        if held and (last or group[0] != held[-1].column("group")[0].as_py()):
+            yield _blocks(pa.Table.from_batches([*held, batch.slice(0, last)]))
+            held = []
+        elif last:
+            yield _blocks(pa.Table.from_batches([batch.slice(0, last)]))
+        held.append(batch.slice(last))
+    if held:
+        yield _blocks(pa.Table.from_batches(held))
+
+
+def _blocks(rows: pa.Table) -> pa.RecordBatch:
+    """Blocks of whole groups, each in order of falling impact; terms that share a number are told apart."""
+    rows = rows.combine_chunks()
+    term = rows["term"].combine_chunks().dictionary_encode()
+    salt, group, impacts = (rows[c].to_numpy() for c in ("salt", "group", "impact"))
+    code = term.indices.to_numpy().astype(np.int64)
+    keys = [rows[c].combine_chunks() for c in topk.KEY]
+    # A null key comes first, as it does in Spark.
+    order = [k for c in reversed(keys) for k in (c.fill_null(0).to_numpy(), c.is_valid().to_numpy(zero_copy_only=False))]
+    order = np.lexsort((*order, -impacts, salt, code, group))
+    salt, code = salt[order], code[order]
+    first = np.concatenate([[True], (code[1:] != code[:-1]) | (salt[1:] != salt[:-1])])
+    starts = np.flatnonzero(first)
+    place = np.arange(len(order)) - np.repeat(starts, np.diff(np.append(starts, len(order))))
+    at = np.flatnonzero(place % BLOCK == 0)
+    ends = pa.array(np.append(at, len(order)).astype(np.int32))
+    lists = [pa.ListArray.from_arrays(ends, c.take(pa.array(order))) for c in (*keys, rows["impact"].combine_chunks())]
+    own = [term.dictionary.take(pa.array(code[at])), pa.array(salt[at]), pa.array((place[at] // BLOCK).astype(np.int32))]
+    return pa.RecordBatch.from_arrays([*own, pa.array(impacts[order[at]]), *lists], names=BLOCKS_NAMES)
+
+
 def _sorted(df: DataFrame, first: str, *others: str) -> DataFrame:
     return df.repartitionByRange(first).sortWithinPartitions(first, *others)
 
