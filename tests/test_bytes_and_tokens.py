@@ -3,6 +3,7 @@
 import glob
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -83,6 +84,32 @@ def test_bounds_hold(metric, size):
     assert np.median(high - low) < 0.2 * np.median(np.abs(exact))
 
 
+@pytest.mark.parametrize("metric", ["dot", "l2sq"])
+@pytest.mark.parametrize("size", [1.0, 1e-12, 1e-70, 1e20, 1e100])
+def test_cells_are_sifted_before_their_bounds(metric, size, monkeypatch):
+    """Of random, repeated, tiny and large vectors the k best are in the band, and bounds are worked out for few cells."""
+    monkeypatch.setattr(topk, "SCORE_CELLS", 9 * 40)
+    monkeypatch.setattr(topk, "SIFT_QUERIES", 9)
+    monkeypatch.setattr(topk, "PENDING", 60)
+    rng = np.random.default_rng(3)
+    x, y = (rng.normal(size=(n, 12)) * size for n in (2000, 31))
+    x[1::50], x[2::60], x[3::70], y[5] = x[0], x[4] * 1e-9, x[4] * 9, x[0]
+    codes, scale, err = compact.encoded(x)
+    names = ["digest", "doc_id", "chunk_no", "codes", "scale", "err"]
+    digests = pa.array([b"%d" % n for n in range(2000)], pa.binary())
+    columns = [digests, pa.array(np.arange(2000)), pa.array(np.zeros(2000, np.int32)), compact._binary(codes), pa.array(scale), pa.array(err)]
+    worked_out, bounds = [], compact.bounds
+    monkeypatch.setattr(compact, "bounds", lambda *a: worked_out.append(bounds(*a)) or worked_out[-1])
+    band = compact._Band(pa.table({"query_id": np.arange(31), "embedding": pa.array(y.tolist(), pa.list_(pa.float64()))}), 4, metric)
+    band.offer(pa.RecordBatch.from_arrays(columns, names=names))
+    found = {(r["query_id"], r["doc_id"]) for b in band.result() for r in b.to_pylist()}
+    scores = [x @ v if metric == "dot" else -((x - v) ** 2).sum(axis=1) for v in y]
+    best = {(q, int(r)) for q, each in enumerate(scores) for r in np.flatnonzero(each >= np.sort(each)[-4])}
+    assert best <= found and len(found) < 2000 * 31 / 4
+    if 1e-60 < size < 1e60:
+        assert sum(low.size for low, _ in worked_out) < 2000 * 31 / 10
+
+
 def test_fewer_bytes_and_few_rows_in_full(spark, tmp_path):
     rng = np.random.default_rng(4)
     x = rng.normal(size=(4000, 64))

@@ -147,8 +147,12 @@ def bounds(side, batch: pa.RecordBatch, metric: str) -> tuple[np.ndarray, np.nda
         raise ValueError(f"vectors of different lengths: {codes.shape[1]} and {q.shape[1]}")
     x = codes * scale
     x2, q2 = (x**2).sum(axis=1)[:, None], (q**2).sum(axis=1)[None, :]
-    near = x @ q.T
-    rounding = (x2 + q2) * 4 * EPS * (codes.shape[1] + 4) + np.finfo(float).tiny
+    return _limits(x @ q.T, x2, q2, err, codes.shape[1], metric)
+
+
+def _limits(near, x2, q2, err, width: int, metric: str) -> tuple[np.ndarray, np.ndarray]:
+    """Least and largest score of cells with the product ``near`` of decoded rows and queries."""
+    rounding = (x2 + q2) * 4 * EPS * (width + 4) + np.finfo(float).tiny
     if metric == "dot":
         room = err * np.sqrt(q2) * (1 + SLACK) + rounding
         low, high = near - room, near + room
@@ -160,32 +164,114 @@ def bounds(side, batch: pa.RecordBatch, metric: str) -> tuple[np.ndarray, np.nda
 
 
 class _Band:
-    """What may be among the k best of each query: every row whose largest possible score reaches the k-th least possible one."""
+    """What may be among the k best of each query: every row whose largest possible score reaches the k-th least possible one.
+
+    Cells are first sifted as ``dense`` sifts them, by a product in 32 bits that is no less than the score of the decoded row,
+    and a bar lowered by what decoding may miss; bounds are worked out for what is left."""
 
     def __init__(self, query_rows: pa.Table, k: int, metric: str):
         self.side, self.k, self.metric = dense._QueryVectors(query_rows), k, metric
         self.n = len(self.side.query_ids)
+        self.square = (self.side.matrix**2).sum(axis=1)
         self.lows = np.full((self.n, k), -np.inf)
         self.held: list[tuple[np.ndarray, ...]] = []
-        self.count, self.limit = 0, HELD
+        self.found: list[tuple[np.ndarray, np.ndarray]] = []
+        self.count, self.limit, self.waiting = 0, HELD, 0
 
     def offer(self, batch: pa.RecordBatch) -> None:
-        step = max(1, topk.SCORE_CELLS // max(1, self.n))
+        step = max(1, topk.SCORE_CELLS // max(1, min(self.n, topk.SIFT_QUERIES)))
         for at in range(0, batch.num_rows if self.n else 0, step):
             block = batch.slice(at, step)
-            low, high = bounds(self.side, block, self.metric)
-            every = np.concatenate([self.lows, low.T], axis=1)
-            cut = every.shape[1] - self.k
-            self.lows = np.partition(every, cut, axis=1)[:, cut:]
-            r, q = np.nonzero(high >= self.lows[:, 0])
+            r, q, low, high = self._cells(block)
+            keep = high >= self.lows[q, 0]
+            r, q, low, high = r[keep], q[keep], low[keep], high[keep]
             keys = [block.column(c).to_numpy(zero_copy_only=False)[r] for c in ("digest", *topk.KEY)]
-            self.held.append((q, low[r, q], high[r, q], *keys))
-            self.count += len(r)
+            self.held.append((q, low, high, *keys))
+            self.found.append((q, low))
+            self.count, self.waiting = self.count + len(r), self.waiting + len(r)
+            if self.waiting > topk.PENDING or not np.isfinite(self.lows[:, 0]).all():
+                self._raise()
             if self.count > self.limit:
                 self._drop()
                 self.limit = max(HELD, 2 * self.count)
 
+    def _cells(self, block: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Row, query and bounds of the cells that may reach the bars."""
+        scale, err = (block.column(c).to_numpy() for c in ("scale", "err"))
+        codes = np.frombuffer(b"".join(block.column("codes").to_pylist()), np.int8).reshape(block.num_rows, -1)
+        if codes.shape[1] != self.side.matrix.shape[1]:
+            raise ValueError(f"vectors of different lengths: {codes.shape[1]} and {self.side.matrix.shape[1]}")
+        x = codes * scale[:, None]
+        x2, bar = (x**2).sum(axis=1), self.lows[:, 0]
+        sifted = self._sifted(x, x2, err, bar) if np.isfinite(bar).all() else None
+        if sifted is None:
+            step = max(1, topk.SCORE_CELLS // self.n)
+            each = [self._whole(block.slice(at, step), at) for at in range(0, block.num_rows, step)]
+            return tuple(np.concatenate(c) for c in zip(*each, strict=True))
+        none = np.zeros(0)
+        parts = [(none.astype(int), none.astype(int), none, none)]
+        for at in range(0, len(sifted[0]), dense.CELLS):
+            r, q = (c[at : at + dense.CELLS] for c in sifted)
+            near = (x[r] * self.side.matrix[q]).sum(axis=1)
+            low, high = _limits(near, x2[r], self.square[q], err[r], codes.shape[1], self.metric)
+            parts.append((r, q, low, high))
+        return tuple(np.concatenate(c) for c in zip(*parts, strict=True))
+
+    def _whole(self, block: pa.RecordBatch, at: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """All cells of some rows; those that k of the rows themselves rule out are left out."""
+        low, high = bounds(self.side, block, self.metric)
+        n = len(low)
+        reach = np.partition(low, n - self.k, axis=0)[n - self.k] if n >= self.k else np.full(self.n, -np.inf)
+        r, q = np.nonzero(high >= np.maximum(reach, self.lows[:, 0]))
+        return r + at, q, low[r, q], high[r, q]
+
+    def _sifted(self, x: np.ndarray, x2: np.ndarray, err: np.ndarray, bar: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+        """Rows and queries whose largest score may reach ``bar``, or None if 32 bits do not hold them.
+
+        A distance d of the decoded row matters up to reach + err, so d^2 up to reach^2 + 2 reach err + err^2; a product up to err |q| below
+        the bar. ``err`` is that of the row and goes with one more column of the query."""
+        largest = max(self.side.largest, float(np.abs(x).max(initial=0)))
+        worst = max(float(np.abs(bar).max(initial=0)), float(err.max(initial=0)) ** 2)
+        power = -int(np.frexp(max(largest, np.sqrt(worst)))[1])
+        if not 1e-60 < largest < 1e60 or not np.isfinite(worst):
+            return None
+        unit = 2.0**power
+        length = np.sqrt(self.square) if self.metric == "dot" else 2 * np.sqrt(np.maximum(-bar, 0))
+        rows, _ = dense._raised(x, power, self.metric, False)
+        queries, _ = dense._raised(self.side.matrix, power, self.metric, True)
+        # Room for the cells' rounding once more, and for the two columns and the bar.
+        own = (err * unit * (1 + 1e-6)).astype(np.float32)
+        extra = 0 if self.metric == "dot" else (err * unit) ** 2
+        slack = 1e-5 + 8 * dense.HALF * (x.shape[1] + 16)
+        room = slack * ((x2 * unit**2) + (err * unit) ** 2) + extra + 1e-30
+        rows = np.concatenate([rows, own[:, None], room[:, None].astype(np.float32)], axis=1)
+        length = (length * unit * (1 + 1e-6)).astype(np.float32)
+        queries = np.concatenate([queries, length[:, None], np.ones((self.n, 1), np.float32)], axis=1)
+        under = bar * unit**2
+        under = (under - slack * (np.abs(under) + self.square * unit**2) - 1e-30).astype(np.float32)
+        first, second = [], []
+        for at in range(0, self.n, topk.SIFT_QUERIES):
+            cell = np.flatnonzero(rows @ queries[at : at + topk.SIFT_QUERIES].T >= under[at : at + topk.SIFT_QUERIES])
+            wide = min(topk.SIFT_QUERIES, self.n - at)
+            first.append(cell // wide)
+            second.append(cell % wide + at)
+        return np.concatenate(first), np.concatenate(second)
+
+    def _raise(self) -> None:
+        """The bars from what was found since they were last raised."""
+        q, low = (np.concatenate(c) for c in zip(*self.found, strict=True))
+        self.found, self.waiting = [], 0
+        some = np.unique(q)
+        q = np.concatenate([np.repeat(some, self.k), q])
+        low = np.concatenate([self.lows[some].ravel(), low])
+        order = np.lexsort((-low, q))
+        place = np.arange(len(order)) - np.searchsorted(q[order], q[order], side="left")
+        best = order[place < self.k]
+        self.lows[some] = low[best].reshape(-1, self.k)[:, ::-1]
+
     def _drop(self) -> None:
+        if self.found:
+            self._raise()
         columns = [np.concatenate(c) for c in zip(*self.held, strict=True)]
         still = columns[2] >= self.lows[columns[0], 0]
         self.held = [tuple(c[still] for c in columns)]
@@ -226,6 +312,9 @@ def _banded(rows: DataFrame, asked: DataFrame, k: int, metric: str, size: topk.S
         "_r", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
     )
 
+    tasks = min(topk.SPREAD * blocks * size.blocks, topk.MOST_TASKS)
+    left, right = (side.repartition(tasks, "_r", "_q") for side in (left, right))
+
     def block(left_rows: pa.Table, right_rows: pa.Table) -> pa.Table:
         band = _Band(right_rows, k, metric)
         for batch in left_rows.to_batches():
