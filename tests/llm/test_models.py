@@ -255,6 +255,51 @@ def test_sums_equal_plain_addition():
         assert np.allclose(total, want[at], atol=1e-2) and (count == seen[at]).all() and len(at) == (seen > 0).sum()
 
 
+def test_a_step_equals_the_definition():
+    rng = np.random.default_rng(2)
+    found = rng.integers(0, 40, (300, lm_score.FEATURES)).astype(np.uint64)
+    place = rng.integers(0, lm_score.CLASSES * lm_score.SLOTS, 300)
+    bias = rng.normal(size=(lm_score.CLASSES + 1, lm_score.SLOTS)).astype(np.float32)
+    x, row, y = lm_score.decisions(found, place, 6)
+    error = np.exp(bias[row]) / np.exp(bias[row]).sum(axis=1, keepdims=True)
+    error[np.arange(len(y)), y] -= 1
+    g = np.zeros((2 << 6, lm_score.SLOTS))
+    np.add.at(g, x, error[:, None])
+    w, used, seen = np.zeros(g.shape, np.float32), np.ones(len(g), np.float32), np.zeros(len(g), np.int64)
+    lm_score.gradient_steps(w, used, seen, bias, found, place)
+    assert np.allclose(used, 1 + (g * g).sum(axis=1), rtol=1e-4)
+    assert np.allclose(w, -lm_score.RATE * g / np.sqrt(used)[:, None], atol=1e-4)
+    assert (seen == np.bincount(x.ravel(), minlength=len(g))).all()
+
+
+def test_sums_of_buckets_that_need_more_than_32_bits():
+    """Bucket and place then make one number of 64 bits."""
+    rng = np.random.default_rng(3)
+    buckets, error = rng.integers(0, 90, (700, 4)), rng.normal(size=(700, 16)).astype(np.float32)
+    few = lm_score._sums(error, buckets)
+    at, total, count = lm_score._sums(error, buckets << 24)
+    assert (at == few[0] << 24).all() and (total == few[1]).all() and (count == few[2]).all()
+
+
+def test_a_word_is_hashed_and_counted_once_a_batch(monkeypatch):
+    """Work goes with the distinct words, not with every place where one stands."""
+    texts = ["the cat The dog " * 500, None, "", "dog\tcat"]
+    expected = Counter(w for t in texts for w in tokens(t))
+    sizes = []
+    plain = lm_score.mix64
+    monkeypatch.setattr(lm_score, "mix64", lambda x: sizes.append(len(x)) or plain(x))
+    hashes, _, length = lm_score.hashed_words(pa.array(texts))
+    assert length.tolist() == [2001, 1, 1, 3] and len(hashes) == 2006 + 4 * lm_score.PAD
+    assert max(sizes) <= len(expected)
+    monkeypatch.setattr(lm_score, "words_of", None)  # no text is cut into Python objects
+    for flush in (1, 400_000):
+        monkeypatch.setattr(lm_score, "FLUSH", flush)
+        found = Counter()
+        for part in lm_score._count(iter([pa.record_batch({"text": pa.array([t], pa.string())}) for t in texts])):
+            found.update(dict(zip(part.column("word").to_pylist(), part.column("c").to_pylist(), strict=True)))
+        assert found == expected
+
+
 def test_hashed_words_are_the_words(monkeypatch):
     texts = ["Ab aB\tc", None, "", " \x0b\r\n", "É\x85x\x00 y", "ab", "z" * 300 + " C", "a\x1cb\u00a0c"]
     whole = pa.array(texts)

@@ -25,10 +25,8 @@ hot key, meet their counts by a join.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -63,12 +61,13 @@ LARGEST, LEAST = 80, 1e-35
 FEW = 24
 FLUSH = 400_000
 STEP = 1 << 12
+#: Bytes of a cache line.
+LINE = 64
 #: Bytes of text that are cut into words at a time; a longer text stays whole.
 PIECE = 4 << 20
 ODD = np.uint64(0x9FB21C651E98DF25)
 END_HASH, END_LAST = np.uint64(0xD6E8FEB86659FD93), (1 << 16) + END[0]
-LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
-SPACE = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
+LOWER, SPACE = bytes(range(256)).lower(), b" \t\n\r\x0b\x0c"
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -86,34 +85,66 @@ def pieces(texts: pa.Array) -> Iterator[tuple[int, int]]:
         start = stop
 
 
-def hashed_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The words of ``words_of``, as hashes and as codes of their last two bytes, each text with ``PAD`` zeros before it, and the
-    lengths without them."""
+def cut_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of ``words_of`` of all texts, one after the other and without the ends, and the lengths of the texts with them."""
     whole = texts if pa.types.is_binary(texts.type) else texts.cast(pa.binary())
     whole = whole.cast(pa.large_binary()).fill_null(b"")
     cut = np.frombuffer(whole.buffers()[1], np.int64)[whole.offset : whole.offset + len(whole) + 1]
     data = np.frombuffer(whole.buffers()[2] or b"", np.uint8)[cut[0] : cut[-1]]
     cut = cut - cut[0]
-    place = np.flatnonzero(~SPACE[data])
-    low = LOWER[data[place]]
-    new = np.ones(len(place), bool)
-    new[1:] = place[1:] != place[:-1] + 1
-    first = np.searchsorted(place, cut[:-1])
-    new[first[first < len(place)]] = True
+    inside = (data != ord(" ")) & (data - np.uint8(9) > 4)
+    new = inside.copy()
+    new[1:] &= ~inside[:-1]
+    first = cut[:-1][cut[:-1] < len(data)]  # a word ends with its text
+    new[first] = inside[first]
     head = np.flatnonzero(new)
-    size = np.diff(head, append=len(place))
-    length = np.diff(np.searchsorted(place[head], cut)) + 1
-    hashes, last = np.zeros(int(length.sum()) + PAD * len(whole), np.uint64), np.zeros(int(length.sum()) + PAD * len(whole), np.int64)
-    at, is_end = _inside(length), np.zeros(int(length.sum()), bool)
-    is_end[np.cumsum(length) - 1] = True
-    hashes[at[is_end]], last[at[is_end]] = END_HASH, END_LAST
-    if len(head):
-        power = np.cumprod(np.full(int(size.max()), ODD))
-        value = power[np.arange(len(place)) - np.repeat(head, size)] * (low.astype(np.uint64) + np.uint64(1))
-        hashes[at[~is_end]] = mix64(np.add.reduceat(value, head) + size.astype(np.uint64) * GOLDEN)
-        tail = head + size - 1
-        last[at[~is_end]] = low[tail] + np.where(size > 1, low[tail - 1].astype(np.int64) << 8, 1 << 16)
-    return hashes, last, length
+    low = data.tobytes().translate(LOWER, SPACE)
+    ends = inside.copy()
+    ends[:-1] &= ~inside[1:] | new[1:]
+    starts = np.zeros(len(head) + 1, np.int64)
+    np.cumsum(np.flatnonzero(ends) + 1 - head, out=starts[1:])
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(head), [None, pa.py_buffer(starts), pa.py_buffer(low)])
+    return words, np.diff(np.searchsorted(head, cut)) + 1
+
+
+def distinct_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Each word of the texts once, with the end as the last; the number in this list of every word and end; and the lengths of the texts."""
+    words, length = cut_words(texts)
+    found = words.dictionary_encode()
+    number = np.full(int(length.sum()), len(found.dictionary))
+    is_word = np.ones(len(number), bool)
+    is_word[np.cumsum(length) - 1] = False
+    number[is_word] = found.indices
+    return pa.concat_arrays([found.dictionary, pa.array([END], pa.large_binary())]).cast(pa.binary()), number, length
+
+
+def hashes_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of words, and codes of their last two bytes; none is empty, and the last one is the end."""
+    cut = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    low = np.frombuffer(words.buffers()[2], np.uint8)[cut[0] : cut[-1]]
+    head, size = cut[:-1] - cut[0], np.diff(cut)
+    power = np.cumprod(np.full(int(size.max()), ODD))
+    value = power[np.arange(len(low)) - np.repeat(head, size)] * (low.astype(np.uint64) + np.uint64(1))
+    hashes = mix64(np.add.reduceat(value, head) + size.astype(np.uint64) * GOLDEN)
+    tail = head + size - 1
+    last = low[tail] + np.where(size > 1, low[tail - 1].astype(np.int64) << 8, 1 << 16)
+    hashes[-1], last[-1] = END_HASH, END_LAST
+    return hashes, last
+
+
+def padded(values: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Values of tokens with ``PAD`` zeros before each text."""
+    out = np.zeros(len(values) + PAD * len(length), values.dtype)
+    out[_inside(length)] = values
+    return out
+
+
+def hashed_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words of ``words_of``, as hashes and as codes of their last two bytes, each text with ``PAD`` zeros before it, and the
+    lengths without them. A word is hashed once, however often it stands in the texts."""
+    words, number, length = distinct_words(texts)
+    hashes, last = hashes_of(words)
+    return padded(hashes[number], length), padded(last[number], length), length
 
 
 def last_of(ending: bytes) -> int:
@@ -126,20 +157,25 @@ def ending_of(last: int) -> bytes:
 
 
 def _count(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def out(counts: Counter) -> pa.RecordBatch:
-        return pa.record_batch(
-            {"word": pa.array(list(counts), pa.binary()), "c": pa.array(list(counts.values()), pa.int64())}
-        )
+    """Counts of distinct words, summed up until there are more than ``FLUSH``."""
 
-    counts: Counter = Counter()
+    def added(parts: list[pa.Table]) -> pa.Table:
+        return pa.concat_tables(parts).group_by("word", use_threads=False).aggregate([("c", "sum")]).rename_columns(["word", "c"])
+
+    parts, size = [], 0
     for batch in stream:
-        for text in batch.column("text").to_pylist():
-            counts.update(words_of(text))
-            if len(counts) > FLUSH:
-                yield out(counts)
-                counts = Counter()
-    if counts:
-        yield out(counts)
+        for piece in pieces(batch.column("text")):
+            words, number, _ = distinct_words(batch.column("text").slice(*piece))
+            parts.append(pa.table({"word": words, "c": np.bincount(number, minlength=len(words))}))
+            size += len(words)
+            if size > 2 * FLUSH:
+                parts = [added(parts)]
+                size = len(parts[0])
+                if size > FLUSH:
+                    yield from parts[0].to_batches()
+                    parts, size = [], 0
+    if parts:
+        yield from added(parts).to_batches()
 
 
 def vocabulary(training: DataFrame) -> DataFrame:
@@ -222,21 +258,51 @@ def decisions(found: np.ndarray, place: np.ndarray, bits: int) -> tuple[np.ndarr
     return buckets, np.concatenate([np.zeros_like(group), group + 1]), np.concatenate([group, place % SLOTS])
 
 
-def shares(buckets: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    """Probabilities (decision, choice); ``bias`` has a row a decision. Sums of weights count to ``LARGEST`` only, so that none overflows."""
-    z = weights.take(buckets[:, 0], axis=0)
+def _empty(rows: int, width: int) -> np.ndarray:
+    """Room for rows of 32-bit numbers, from the start of a cache line on; a row of 16 that begins in the middle of one costs two."""
+    room = np.empty(rows * width + LINE // 4, np.float32)
+    skip = -room.ctypes.data % LINE // 4
+    return room[skip : skip + rows * width].reshape(rows, width)
+
+
+def _aligned(rows: np.ndarray) -> np.ndarray:
+    """A copy in ``_empty`` room."""
+    out = _empty(*rows.shape)
+    out[:] = rows
+    return out
+
+
+def _taken(rows: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """``rows[at]`` for rows of 32-bit numbers."""
+    return rows.take(at, axis=0, out=_empty(len(at), rows.shape[1]), mode="clip")
+
+
+def _exponentials(buckets: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Exponentials of the sums of weights (decision, choice), and their totals. Sums count to ``LARGEST`` only, so that none overflows."""
+    first, *others = np.ascontiguousarray(buckets.T, np.int64)
+    z = _taken(weights, first)
     z += bias
-    for k in range(1, buckets.shape[1]):
-        z += weights.take(buckets[:, k], axis=0)
-    np.exp(np.minimum(z, LARGEST, out=z), out=z)
-    z /= (z @ np.ones(z.shape[1], np.float32))[:, None]
+    more = np.empty_like(z)
+    for other in others:
+        z += weights.take(other, axis=0, out=more, mode="clip")
+    if z.size and z.max() > LARGEST:
+        np.minimum(z, LARGEST, out=z)
+    np.exp(z, out=z)
+    return z, z @ np.ones(z.shape[1], np.float32)
+
+
+def shares(buckets: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """Probabilities (decision, choice); ``bias`` has a row a decision."""
+    z, total = _exponentials(buckets, weights, bias)
+    z /= total[:, None]
     return z
 
 
 def token_shares(found: np.ndarray, place: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
     """Natural log-probability of each token's class and slot."""
     buckets, row, choice = decisions(found, place, len(weights).bit_length() - 2)
-    p = shares(buckets, weights, bias.take(row, axis=0))[np.arange(len(row)), choice]
+    z, total = _exponentials(buckets, weights, bias.take(row, axis=0))
+    p = z.ravel().take(np.arange(0, z.size, z.shape[1]) + choice) / total
     return np.log(np.maximum(p, LEAST)).astype(np.float64).reshape(2, -1).sum(axis=0)
 
 
@@ -245,68 +311,63 @@ def bits_for(words: int, most_bits: int = MOST_BITS) -> int:
     return min(max(int(2 * words).bit_length(), BITS), most_bits)
 
 
-def _sums(error: np.ndarray, buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Buckets met, the sums of ``error`` (position, class) over the positions of each, and how many those are."""
-    width = buckets.shape[1]
-    found = np.sort(buckets.ravel().astype(np.int64) << 32 | np.arange(buckets.size))
-    row = (found & 0xFFFFFFFF) // width
-    bucket = found >> 32
-    head = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
-    count = np.diff(head, append=len(row))
-    most = int(count.max())
-    order = np.argsort(-np.minimum(count, 1 << 14).astype(np.int16), kind="stable")  # the buckets with a k-th row come first
-    head, count = head[order], count[order]
-    many = int(np.searchsorted(-count, -FEW))
-    total = error.take(row[head], axis=0)
-    for k in range(1, int(count[many]) if many < len(count) else 1):
-        stop = int(np.searchsorted(-count, -k))
-        total[many:stop] += error.take(row[head[many:stop] + k], axis=0)
-    one = np.ones(most, np.float32)
-    for at in range(many):
-        total[at] = one[: count[at]] @ error.take(row[head[at] : head[at] + count[at]], axis=0)
-    return bucket[head], total, count
+def _met(buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Buckets met, how often, the positions of each one after the other, where they begin, and ``buckets`` as numbers of buckets met."""
+    width, shift = buckets.shape[1], (buckets.size - 1).bit_length()
+    kind = np.uint32 if int(buckets.max()) >> (32 - shift) == 0 else np.uint64  # bucket and place in one number
+    found = buckets.ravel().astype(kind) << kind(shift)
+    found |= np.arange(buckets.size, dtype=kind)
+    found.sort()
+    place = (found & kind((1 << shift) - 1)).astype(np.int64)
+    found >>= kind(shift)
+    new = np.ones(len(found), bool)
+    np.not_equal(found[1:], found[:-1], out=new[1:])
+    head = np.flatnonzero(new)
+    number = np.empty(buckets.shape, np.int64)
+    number.ravel()[place] = np.cumsum(new) - 1
+    return found[head].astype(np.int64), np.diff(head, append=len(found)), place // width, head, number
+
+
+def _sums(error: np.ndarray, buckets: np.ndarray, met: tuple | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Buckets met, the sums of ``error`` (position, class) over the positions of each, and how many those are; ``met`` of the buckets may be given."""
+    bucket, count, row, head, _ = met or _met(buckets)
+    total = _taken(error, row.take(head))
+    more = np.flatnonzero(count > 1)
+    if len(more):
+        more = more[np.argsort(-np.minimum(count[more], 1 << 14).astype(np.int16), kind="stable")]  # the buckets with a k-th row come first
+        first, n = head[more], count[more]
+        stops = np.searchsorted(-n, -np.arange(FEW + 1)).tolist()
+        many, part = stops[FEW], total.take(more, axis=0)
+        for k in range(1, int(n[many]) if many < len(n) else 1):
+            part[many : stops[k]] += error.take(row.take(first[many : stops[k]] + k), axis=0, mode="clip")
+        size = n[:many]
+        stop = np.cumsum(size)
+        run = _taken(error, row.take(np.repeat(first[:many] + size - stop, size) + np.arange(int(size.sum()))))
+        one = np.ones(int(size.max(initial=0)), np.float32)
+        for at, (end, rows) in enumerate(zip(stop.tolist(), size.tolist(), strict=True)):
+            part[at] = one[:rows] @ run[end - rows : end]
+        total[more] = part
+    return bucket, total, count
 
 
 def gradient_steps(w: np.ndarray, used: np.ndarray, seen: np.ndarray, bias: np.ndarray, found: np.ndarray, place: np.ndarray) -> None:
     """One pass in small batches, in place, with a step per bucket that shrinks as it is used; ``seen`` counts its uses."""
-    bits = len(w).bit_length() - 2
+    bits, whole_row = len(w).bit_length() - 2, np.dtype((np.void, w.strides[0]))
+    rows = w.view(whole_row).ravel()
     for start in range(0, len(place), BATCH):
         x, row, y = decisions(found[start : start + BATCH], place[start : start + BATCH], bits)
-        error = shares(x, w, bias.take(row, axis=0))
-        error[np.arange(len(y)), y] -= 1
-        at, g, count = _sums(error, x)
-        used[at] += np.einsum("ij,ij->i", g, g)
+        met = _met(x)
+        weights = _taken(w, met[0])  # the rest of the step stays in these rows
+        error = shares(met[-1], weights, bias.take(row, axis=0))
+        error.ravel()[np.arange(0, error.size, error.shape[1]) + y] -= 1
+        at, g, count = _sums(error, x, met)
+        uses = used.take(at)
+        uses += np.einsum("ij,ij->i", g, g)
+        used[at] = uses
         seen[at] += count
-        g *= (-RATE / np.sqrt(used[at]))[:, None]
-        g += w.take(at, axis=0)
-        w[at] = g
-
-
-class Tokens(dict):
-    """Numbers of words met by a task and, where heavy, their log10 of count and ``ADD``."""
-
-    def __init__(self, heavy: dict[bytes, int], counts: np.ndarray):
-        super().__init__()
-        self.heavy, self.log_counts = heavy, np.log10(counts + ADD).tolist()
-        self.reset()
-
-    def reset(self) -> None:
-        self.clear()
-        self.words: list[bytes] = []
-        self.log_of: list[float] = []
-
-    def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self.words)
-        self.words.append(word)
-        at = self.heavy.get(word)
-        self.log_of.append(np.nan if at is None else self.log_counts[at])
-        return number
-
-    def numbers(self, texts: list[str | None]) -> np.ndarray:
-        """Token numbers of all texts, one after the other."""
-        if len(self) > FLUSH:
-            self.reset()
-        return np.fromiter(map(self.__getitem__, chain.from_iterable(map(words_of, texts))), np.int64)
+        g *= (-RATE / np.sqrt(uses))[:, None]
+        g += weights
+        np.put(rows, at, g.view(whole_row).ravel(), mode="clip")
 
 
 def _inside(length: np.ndarray) -> np.ndarray:
@@ -322,16 +383,15 @@ def _neighbours(own: list[bytes]):
         find, seen = _finder(own), np.zeros((endings + len(own)) * NEAR, np.int64)
         for batch in stream:
             for piece in pieces(batch.column("text")):
-                hashes, last, _ = hashed_words(batch.column("text").slice(*piece))
+                words, token, length = distinct_words(batch.column("text").slice(*piece))
+                hashes, last = hashes_of(words)
                 number = find(hashes)
-                row = np.where(number >= 0, endings + number, last)
-                row[hashes == 0] = -1
-                near = np.where((number < NEAR) & (row >= 0), number, -1)
+                row = padded(np.where(number >= 0, endings + number, last)[token] + 1, length) - 1
+                near = padded(np.where(number < NEAR, number, -1)[token] + 1, length) - 1
                 for step in (1, 2):
                     for word, other in ((slice(None, -step), slice(step, None)), (slice(step, None), slice(None, -step))):
                         at = (row[word] >= 0) & (near[other] >= 0)
-                        code, n = np.unique(row[word][at] * NEAR + near[other][at], return_counts=True)
-                        seen[code] += n
+                        np.add.at(seen, row[word][at] * NEAR + near[other][at], 1)
         code = np.flatnonzero(seen)
         yield pa.record_batch({"code": pa.array(code, pa.int64()), "n": pa.array(seen[code])})
 
@@ -407,14 +467,15 @@ def _changes(shared, classes: Classes):
 
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, used = shared.value
-        w, used = weights.copy(), used.copy()
+        w, used = _aligned(weights), used.copy()
         seen = np.zeros(len(w), np.int64)
         place_of = classes.numbers()
         for batch in stream:
             for piece in pieces(batch.column("text")):
-                hashes, last, length = hashed_words(batch.column("text").slice(*piece))
-                at = _inside(length)
-                gradient_steps(w, used, seen, classes.bias, features(hashes)[at - PAD], place_of(hashes, last)[at])
+                words, number, length = distinct_words(batch.column("text").slice(*piece))
+                hashes, last = hashes_of(words)
+                found = features(padded(hashes[number], length))[_inside(length) - PAD]
+                gradient_steps(w, used, seen, classes.bias, found, place_of(hashes, last)[number])
         w -= weights
         out = np.concatenate([w, used[:, None], np.ones((len(w), 1), np.float32)], 1) * seen.astype(np.float32)[:, None]
         block = np.flatnonzero(seen.reshape(-1, BLOCK).any(axis=1)).astype(np.int32)
@@ -474,27 +535,27 @@ def learn(training: DataFrame, most_bits: int = MOST_BITS) -> tuple[Model, DataF
 def _score(shared):
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared.value
-        classes = model.classes
-        tokens = Tokens({w: k for k, w in enumerate(model.heavy)}, model.heavy_counts)
+        classes, weights = model.classes, _aligned(model.weights)
+        heavy, log_counts = pa.array(model.heavy, pa.binary()), np.log10(model.heavy_counts + ADD)
         place_of = classes.numbers()
         cut_at = ((batch, piece) for batch in stream for piece in pieces(batch.column("text")))
         for batch in (batch.slice(*piece) for batch, piece in cut_at):
-            hashes, last, length = hashed_words(batch.column("text"))
-            mine = tokens.numbers(batch.column("text").to_pylist())
-            log_of = np.array(tokens.log_of)
-            at = _inside(length)
-            found, place = features(hashes)[at - PAD], place_of(hashes, last)[at]
+            words, mine, length = distinct_words(batch.column("text"))
+            hashes, last = hashes_of(words)
+            own = pc.index_in(words, value_set=heavy)
+            log_of = np.full(len(words), np.nan)
+            log_of[np.asarray(own.is_valid())] = log_counts[np.asarray(own.drop_null())]
+            found, place = features(padded(hashes[mine], length))[_inside(length) - PAD], place_of(hashes, last)[mine]
             share = np.empty(len(mine))
             for s in range(0, len(mine), STEP):
-                share[s : s + STEP] = token_shares(found[s : s + STEP], place[s : s + STEP], model.weights, classes.bias)
+                share[s : s + STEP] = token_shares(found[s : s + STEP], place[s : s + STEP], weights, classes.bias)
             share = share / np.log(10) - classes.log_total[place]
             known = log_of[mine]
             rare = np.isnan(known)
             heads = np.cumsum(length) - length
             owner = np.repeat(np.arange(len(length)), length)
-            pair, tf = np.unique(owner[rare] * len(tokens.words) + mine[rare], return_counts=True)
-            cut = np.searchsorted(pair // len(tokens.words), np.arange(len(length) + 1)).astype(np.int32)
-            words = [tokens.words[k] for k in (pair % len(tokens.words)).tolist()]
+            pair, tf = np.unique(owner[rare] * len(words) + mine[rare], return_counts=True)
+            cut = np.searchsorted(pair // len(words), np.arange(len(length) + 1)).astype(np.int32)
             rest = {c: batch.column(c) for c in batch.schema.names if c != "text"}
             yield pa.record_batch(
                 rest
@@ -503,7 +564,7 @@ def _score(shared):
                     "heavy": pa.array(np.add.reduceat(~rare, heads, dtype=np.int64)),
                     "counted": pa.array(np.add.reduceat(np.where(rare, 0, known), heads)),
                     "classed": pa.array(np.add.reduceat(share, heads)),
-                    "rare": pa.ListArray.from_arrays(cut, pa.array(words, pa.binary())),
+                    "rare": pa.ListArray.from_arrays(cut, words.take(pa.array(pair % len(words)))),
                     "tf": pa.ListArray.from_arrays(cut, pa.array(tf, pa.int64())),
                 }
             )
