@@ -101,9 +101,9 @@ def cut_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     low = data.tobytes().translate(LOWER, SPACE)
     ends = inside.copy()
     ends[:-1] &= ~inside[1:] | new[1:]
-    starts = np.zeros(len(head) + 1, np.int64)
+    starts = np.zeros(len(head) + 1, np.int32)  # a piece is small, and a text has fewer than 2^31 bytes
     np.cumsum(np.flatnonzero(ends) + 1 - head, out=starts[1:])
-    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(head), [None, pa.py_buffer(starts), pa.py_buffer(low)])
+    words = pa.BinaryArray.from_buffers(pa.binary(), len(head), [None, pa.py_buffer(starts), pa.py_buffer(low)])
     return words, np.diff(np.searchsorted(head, cut)) + 1
 
 
@@ -115,7 +115,7 @@ def distinct_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     is_word = np.ones(len(number), bool)
     is_word[np.cumsum(length) - 1] = False
     number[is_word] = found.indices
-    return pa.concat_arrays([found.dictionary, pa.array([END], pa.large_binary())]).cast(pa.binary()), number, length
+    return pa.concat_arrays([found.dictionary, pa.array([END], pa.binary())]), number, length
 
 
 def hashes_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -318,14 +318,14 @@ def _met(buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     found = buckets.ravel().astype(kind) << kind(shift)
     found |= np.arange(buckets.size, dtype=kind)
     found.sort()
-    place = (found & kind((1 << shift) - 1)).astype(np.int64)
+    place = found & kind((1 << shift) - 1)
     found >>= kind(shift)
     new = np.ones(len(found), bool)
     np.not_equal(found[1:], found[:-1], out=new[1:])
     head = np.flatnonzero(new)
     number = np.empty(buckets.shape, np.int64)
     number.ravel()[place] = np.cumsum(new) - 1
-    return found[head].astype(np.int64), np.diff(head, append=len(found)), place // width, head, number
+    return found[head].astype(np.int64), np.diff(head, append=len(found)), (place // kind(width)).astype(np.int64), head, number
 
 
 def _sums(error: np.ndarray, buckets: np.ndarray, met: tuple | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
