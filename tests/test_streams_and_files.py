@@ -1,8 +1,11 @@
 """Streaming jobs, file sources, lineage."""
 
 import json
+import re
+import shutil
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tidemark.operators import lineage
@@ -185,6 +188,49 @@ def test_documents_share_folders(spark, tmp_path, monkeypatch):
     assert len({r["doc_id"] for r in read}) == 13
 
 
+def test_documents_are_written_without_hadoop_and_opened_once(spark, tmp_path, monkeypatch):
+    rows = spark.createDataFrame([(i, f"text {i}\nü") for i in range(30)] + [(None, None)], "k long, t string").repartition(3)
+    files.write_documents(rows, f"{tmp_path}/a", "k", "t")
+    assert not list(tmp_path.glob("a/of=*/.*"))
+    with pytest.raises(AnalysisException, match="PATH_ALREADY_EXISTS"):
+        files.write_documents(rows, f"{tmp_path}/a", "k", "t")
+    monkeypatch.setattr(files, "local_folder", lambda *_: None)
+    files.write_documents(rows, f"{tmp_path}/b", "k", "t")
+    ours, sparks = [[p for p in sorted(tmp_path.glob(f"{d}/of=*/*")) if p.suffix == ".txt"] for d in "ab"]
+    assert sorted(p.read_bytes() for p in ours) == sorted(p.read_bytes() for p in sparks)
+    assert len(ours) == 31 and all(re.fullmatch(r"part-[0-9]{5}-[0-9a-f-]{36}[.]c[0-9]{3}[.]txt", p.name) for p in ours + sparks)
+    read = files.read_documents(spark, f"{tmp_path}/a")
+    shutil.rmtree(tmp_path / "a")
+    assert sorted(r["text"] for r in read.collect()) == sorted(f"text {i}\nü\n" for i in range(30))
+
+
+def test_documents_are_listed_some_folders_at_a_time(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "LISTED_FILES", 12)
+    calls, text = [], type(spark.read).text
+    monkeypatch.setattr(type(spark.read), "text", lambda self, paths, *a, **b: calls.append(paths) or text(self, paths, *a, **b))
+    for i in range(40):
+        (tmp_path / "d" / f"of={i}").mkdir(parents=True)
+        for n in range(i % 3):
+            (tmp_path / "d" / f"of={i}" / f"a {n}.txt").write_text(f"{i} {n}")
+    read = files.read_documents(spark, f"{tmp_path}/d").collect()
+    assert sorted(r["text"] for r in read) == sorted(f"{i} {n}" for i in range(40) for n in range(i % 3))
+    assert len(calls) > 3 and sum(map(len, calls)) == 40
+    monkeypatch.undo()
+    whole = spark.read.text(f"{tmp_path}/d", wholetext=True).select(F.xxhash64("_metadata.file_path").alias("doc_id"), "_metadata.file_name", "value")
+    assert sorted(map(tuple, read)) == sorted(map(tuple, whole.collect()))
+    for other in ("a=1", "plain", "of=[x]", "_of=1", "_metadata"):
+        (tmp_path / "d" / other).mkdir()
+        assert files._dealt_folders(spark, f"{tmp_path}/d") == []
+        (tmp_path / "d" / other).rmdir()
+    (tmp_path / "d" / "_SUCCESS").touch()
+    assert len(files._dealt_folders(spark, f"{tmp_path}/d")) == 40
+    (tmp_path / "none").mkdir()
+    assert files.read_documents(spark, f"{tmp_path}/none").collect() == []
+    monkeypatch.setattr(F, "xxhash64", lambda *_: F.lit(7))
+    with pytest.raises(files.RepeatedIdError, match="have the id 7"):
+        files.read_documents(spark, f"{tmp_path}/d")
+
+
 def test_shared_folder_comes_from_the_session(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     assert work_folder(spark, "x").startswith(base)

@@ -1,14 +1,26 @@
 """JSON Lines, text documents and keyed messages."""
 
-from pyspark.sql import DataFrame, SparkSession
+import os
+import uuid
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import text as X
 from tidemark.schemas import CHUNK, LINEAGE, MESSAGE, ORDER
+from tidemark.session import exists, local_folder, remove, work_folder
 
 
 # Files of a folder of documents.
 FOLDER_FILES = 10_000
+# Files whose folders are listed and read at once, about: the driver keeps each one's name and size meanwhile.
+LISTED_FILES = 50_000
+# Tasks a core that read documents at least, and partitions of files that such a task takes otherwise.
+READ_TASKS, READ_PARTS = 8, 256
 
 
 class EmptyInputError(Exception):
@@ -33,33 +45,109 @@ def write_documents(rows: DataFrame, path: str, key: str, text: str) -> None:
     """One text file for each value of ``key``, null among them, with the texts of its rows, each ended by a line feed.
 
     Files share folders ``of=<n>`` of some thousands, as a folder for each costs a listing each. Tasks commit their
-    own files, so that the driver does not rename them one after the other.
+    own files, so that the driver does not rename them one after the other. Into a local folder tasks write them
+    without Hadoop, which starts ``chmod`` for each file and for its checksum file.
     """
-    texts = F.sort_array(F.collect_list(F.coalesce(F.col(text), F.lit(""))))
-    whole = rows.groupBy(key).agg(F.array_join(texts, "\n").alias("value"))
-    parts = max(1, -(-rows.select(key).distinct().count() // FOLDER_FILES))
-    dealt = whole.select("value", F.pmod(F.xxhash64(key), F.lit(parts)).alias("of"))
-    dealt.write.option("maxRecordsPerFile", 1).option("mapreduce.fileoutputcommitter.algorithm.version", 2).partitionBy("of").text(path)
+    spark = rows.sparkSession
+    counted = rows.groupBy(F.col(key).alias("key")).agg(F.count("*").alias("n"))
+    keys = counted.agg(F.count("*").alias("files"), F.max("n").alias("most")).first()
+    value = F.coalesce(F.col(text), F.lit(""))
+    if (keys["most"] or 1) > 1:
+        whole = rows.groupBy(F.col(key).alias("key")).agg(F.array_join(F.sort_array(F.collect_list(value)), "\n").alias("value"))
+    else:  # no texts to bring together, so none are shuffled
+        whole = rows.select(F.col(key).alias("key"), value.alias("value"))
+    parts = max(1, -(-keys["files"] // FOLDER_FILES))
+    dealt = whole.select("key", "value", F.pmod(F.xxhash64("key"), F.lit(parts)).alias("of"))
+    if not (folder := local_folder(spark, path)):
+        each = dealt.select("value", "of").write.option("maxRecordsPerFile", 1)
+        each.option("mapreduce.fileoutputcommitter.algorithm.version", 2).partitionBy("of").text(path)
+        return
+    if exists(spark, path):
+        raise AnalysisException(f"[PATH_ALREADY_EXISTS] Path {path} already exists.")
+    # Each attempt of a task meets its documents in the same order and so gives a text the same name.
+    ordered = dealt.sortWithinPartitions("key").select(F.col("value").cast("binary").alias("value"), "of")
+    ordered.mapInArrow(_file_writer(folder, str(uuid.uuid4())), "files long").agg(F.sum("files")).collect()
+    done = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    done.getFileSystem(spark._jsc.hadoopConfiguration()).create(done, True).close()
+
+
+def _file_writer(folder: str, job: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A ``mapInArrow`` function that writes each ``value`` as a file, named as Spark's text writer does, and counts them.
+
+    A file gets its name when it is whole; until then it has one that Spark's readers pass over.
+    """
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        context, n, made = TaskContext.get(), 0, set()
+        for batch in batches:
+            for value, of in zip(batch.column("value"), batch.column("of").to_pylist(), strict=True):
+                if of not in made:
+                    os.makedirs(f"{folder}/of={of}", exist_ok=True)
+                    made.add(of)
+                name = f"part-{context.partitionId():05d}-{job}.c{n:03d}.txt"
+                half = f"{folder}/of={of}/.{name}.{context.taskAttemptId()}"
+                with open(half, "wb") as file:
+                    file.write(value.as_buffer())
+                    file.write(b"\n")
+                os.replace(half, f"{folder}/of={of}/{name}")
+                n += 1
+        yield pa.RecordBatch.from_pydict({"files": pa.array([n], pa.int64())})
+
+    return task
+
+
+def _dealt_folders(spark: SparkSession, path: str) -> list[str]:
+    """The folders ``<name>=<value>`` of a folder that holds nothing else, or none."""
+    jvm = spark._jvm.org.apache.hadoop.fs
+    top = jvm.Path(path)
+    fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(top):
+        return []
+    found, beside = [list(fs.globStatus(jvm.Path(top, names)) or []) for names in ("[!_.]*=*", "[_.]*")]
+    names, passed_over = [[f.getPath().getName() for f in some] for some in (found, beside)]
+    alone = len(found) + len(beside) == len(fs.listStatus(top)) and all(f.isDirectory() for f in found)
+    alone = alone and all(n[0] == "." or n in ("_SUCCESS", "_temporary") for n in passed_over) and len({n.split("=")[0] for n in names}) == 1
+    if not alone or any(set(n) & set("{}[]*?\\") or n.endswith("._COPYING_") for n in names):
+        return []
+    return [f.getPath().toString() for f in found]
+
+
+def _in_fewer_tasks(rows: DataFrame) -> DataFrame:
+    """Rows of files in fewer tasks: a partition of small files holds a few dozen at most, whose reading costs less than its task."""
+    tasks = READ_TASKS * rows.sparkSession.sparkContext.defaultParallelism
+    return rows.coalesce(max(tasks, rows.rdd.getNumPartitions() // READ_PARTS))
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, source, text): each text file as one string, blank files left out.
 
     The id is a 64-bit hash of the full path, so it does not depend on file
-    order. Should two paths share one, nothing is returned but an error: the
-    paths are compared first, without reading the files' text.
+    order. Should two paths share one, nothing is returned but an error.
+
+    Each file is opened once and kept in the shared folder, in a few large files. Folders ``<name>=<value>`` are read
+    some at a time, as the driver lists all files of a read.
     """
-    whole = spark.read.text(path, wholetext=True)
-    doc_id = F.xxhash64("_metadata.file_path").alias("doc_id")
-    paths = whole.select(doc_id, "_metadata.file_path").groupBy("doc_id").agg(
-        F.count("*").alias("n"), F.min("file_path").alias("one"), F.max("file_path").alias("other")
-    )
-    shared = paths.filter("n > 1").first()
+    kept, folders, at_once = work_folder(spark, "documents"), _dealt_folders(spark, path), max(1, LISTED_FILES // FOLDER_FILES)
+    reader = spark.read.option("basePath", path) if folders else spark.read
+    left = folders or [path]
+    while left:
+        some, left = left[:at_once], left[at_once:]
+        rows = reader.text(some, wholetext=True).select(
+            F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("source"), F.col("value").alias("text")
+        )
+        seen = Observation()
+        _in_fewer_tasks(rows).observe(seen, F.count("*").alias("files")).write.mode("append").option("compression", "zstd").parquet(kept)
+        if seen.get["files"] > LISTED_FILES:
+            at_once = max(1, at_once // 2)
+        elif seen.get["files"] <= LISTED_FILES // 2:
+            at_once *= 2
+    read = spark.read.schema("path string, source string, text string").parquet(kept).withColumn("doc_id", F.xxhash64("path"))
+    shared = read.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").first()
     if shared:
-        raise RepeatedIdError(f"{shared['one']} and {shared['other']} have the id {shared['doc_id']}")
-    return whole.select(
-        doc_id, F.col("_metadata.file_name").alias("source"), F.col("value").alias("text")
-    ).filter(X.strip(F.col("text")) != "")
+        two = read.filter(F.col("doc_id") == shared["doc_id"]).agg(F.min("path").alias("one"), F.max("path").alias("other")).first()
+        remove(spark, kept)
+        raise RepeatedIdError(f"{two['one']} and {two['other']} have the id {shared['doc_id']}")
+    return read.select("doc_id", "source", "text").filter(X.strip(F.col("text")) != "")
 
 
 def read_chunks(spark: SparkSession, path: str) -> DataFrame:
